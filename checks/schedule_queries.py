@@ -402,7 +402,7 @@ POINTS = (
 )
 
 
-def _text(coordinates):
+def points_text(coordinates):
     def fixed(value):
         return value.cast("decimal(12,6)").cast("string")
 
@@ -416,7 +416,7 @@ def _text(coordinates):
     FROM g_shapes GROUP BY 1, 2""")
 def _(t):
     return polyline_parts(t.shapes, points=16).select(
-        "shape_id", "part", _text(F.col("coordinates")).alias("points")
+        "shape_id", "part", points_text(F.col("coordinates")).alias("points")
     )
 
 
@@ -427,7 +427,7 @@ def _(t):
     FROM lines JOIN g_bridge USING (shape_id)""")
 def _(t):
     return route_polylines(t.shapes, t.trips, t.routes).withColumn(
-        "points", _text(F.col("coordinates"))
+        "points", points_text(F.col("coordinates"))
     ).drop("coordinates")
 
 
@@ -440,5 +440,5 @@ def _(t):
     stored = t.polylines.withColumn("coordinates", F.to_json("coordinates"))
     return route_geometries(stored).select(
         "shape_id", "route_name", "route_long_name", "route_type", "route_color",
-        F.size("coordinates").cast("bigint").alias("n"), _text(F.col("coordinates")).alias("points"),
+        F.size("coordinates").cast("bigint").alias("n"), points_text(F.col("coordinates")).alias("points"),
     )

@@ -107,13 +107,24 @@ VIEWS: dict[str, str] = {
                value * 3.7e0 AS bearing,
                CASE WHEN event_type = 'signup' THEN value * 0.1e0 END AS speed, event_id
         FROM [events]""",
-    # One stored routing response per event, with five speed intervals.
+    # One stored routing response per event, with three speed intervals or none.
     "g_responses": """
-        SELECT event_id, event_type,
+        SELECT event_id, 49.1e0 + (event_id % 40) * 0.003e0 AS origin_lat,
+               -123.1e0 + (event_id % 25) * 0.004e0 AS origin_lon,
+               49.2e0 + (event_id % 50) * 0.002e0 AS dest_lat,
+               -123.0e0 + (event_id % 35) * 0.003e0 AS dest_lon,
                '{"routes":[{"duration":"' || CAST(300 + event_id % 700 AS STRING)
                || 's","staticDuration":"' || CAST(event_id % 500 AS STRING)
-               || 's","distanceMeters":' || CAST(500 + event_id % 5000 AS STRING) || '}]}'
-                   AS api_response_json
+               || 's","distanceMeters":' || CAST(500 + event_id % 5000 AS STRING)
+               || ',"polyline":{"encodedPolyline":"_p~iF~ps|U_ulLnnqC_mqNvxq`@"}'
+               || CASE WHEN event_type = 'view' THEN '' ELSE
+                  ',"travelAdvisory":{"speedReadingIntervals":['
+                  || '{"endPolylinePointIndex":1,"speed":"'
+                  || CASE WHEN event_type = 'click' THEN 'TRAFFIC_JAM' ELSE 'SLOW' END || '"},'
+                  || '{"startPolylinePointIndex":1,"endPolylinePointIndex":2,"speed":"'
+                  || CASE WHEN event_id % 2 = 0 THEN 'TRAFFIC_JAM' ELSE 'NORMAL' END || '"},'
+                  || '{"startPolylinePointIndex":2,"endPolylinePointIndex":3}'
+                  || ']}' END || '}]}' AS api_response_json
         FROM [events]""",
     # One rider request per customer.
     "g_requests": """

@@ -91,7 +91,8 @@ CTES["g_delays"] = f"""
         SELECT route_id, route_name, route_type, hour_of_day, day_type, congestion_severity,
                ROW_NUMBER() OVER (PARTITION BY route_id, route_name, route_type, hour_of_day,
                                   day_type ORDER BY COUNT(*) DESC, congestion_severity) AS place
-        FROM g_comparison GROUP BY ALL),
+        FROM g_comparison
+        GROUP BY route_id, route_name, route_type, hour_of_day, day_type, congestion_severity),
     figures AS (
         SELECT route_id, route_name, route_type, hour_of_day, day_type, COUNT(*) AS sample_size,
                {rounded("AVG(delay_seconds)", 0)} AS avg_delay_seconds,
@@ -103,7 +104,8 @@ CTES["g_delays"] = f"""
                {rounded("COUNT(*) FILTER (ABS(delay_seconds) <= 120) * 100.0e0 / COUNT(*)", 1)}
                    AS pct_on_time,
                {rounded("AVG(congestion_ratio)", 3)} AS avg_congestion_ratio
-        FROM g_comparison GROUP BY ALL HAVING COUNT(*) >= 3)
+        FROM g_comparison GROUP BY route_id, route_name, route_type, hour_of_day, day_type
+        HAVING COUNT(*) >= 3)
     SELECT figures.*, congestion_severity AS typical_severity
     FROM figures JOIN votes USING (route_id, route_name, route_type, hour_of_day, day_type)
     WHERE place = 1"""
@@ -254,7 +256,9 @@ def _(t):
                {rounded("duration_seconds / static_duration_seconds", 4)} END AS congestion_ratio
     FROM figures""")
 def _(t):
-    return parse_route_response(t.responses).drop("api_response_json", "event_type")
+    return parse_route_response(t.responses.select("event_id", "api_response_json")).drop(
+        "api_response_json"
+    )
 
 
 @query("parse_duration", """
