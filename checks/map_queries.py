@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.query import CTES, query, rounded
+from checks.query import CTES, half_even, query, rounded
 from headway.functions.geo import equirect_m, grid_cell, haversine_km
 from headway.functions.labels import congestion_level, corridor_id, corridor_name, speed_limit
 from headway.functions.responses import parsed_response, traffic_level
@@ -496,7 +496,7 @@ def _(t):
 
 
 DEDUPE_KEYS = ", ".join(
-    f"round_even({c}, 4)" for c in ("origin_lat", "origin_lon", "dest_lat", "dest_lon")
+    half_even(c, 4) for c in ("origin_lat", "origin_lon", "dest_lat", "dest_lon")
 )
 
 

@@ -68,3 +68,24 @@ def rounded(expression: str, digits: int) -> str:
 def case_chain(subject: str, limits: list[tuple[str, str]], other: str) -> str:
     whens = " ".join(f"WHEN {subject} {test} THEN '{label}'" for test, label in limits)
     return f"CASE {whens} ELSE '{other}' END"
+
+
+def half_even(expression: str, digits: int) -> str:
+    """Half-even rounding of the shortest text of a double, as a scaled whole number."""
+    scaled = f"CAST(CAST({expression} AS VARCHAR) AS DECIMAL(34,18)) * {10**digits}"
+    return (
+        f"(CASE WHEN {scaled} - FLOOR({scaled}) = 0.5 THEN 2 * ROUND(FLOOR({scaled}) / 2.0 + 0.25)"
+        f" ELSE FLOOR({scaled} + 0.5) END)"
+    )
+
+
+def percentile(expression: str, p: float) -> str:
+    """Interpolated percentile in the form (upper - at) * low + (at - lower) * high."""
+    values = f"list_sort(list({expression}) FILTER ({expression} IS NOT NULL))"
+    at = f"({p}e0 * (COUNT({expression}) - 1))"
+    low = f"{values}[CAST(FLOOR({at}) AS BIGINT) + 1]"
+    high = f"{values}[CAST(CEIL({at}) AS BIGINT) + 1]"
+    return (
+        f"(CASE WHEN {low} = {high} THEN CAST({low} AS DOUBLE) ELSE"
+        f" (CEIL({at}) - {at}) * {low} + ({at} - FLOOR({at})) * {high} END)"
+    )

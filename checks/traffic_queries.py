@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.query import CTES, case_chain, query, rounded
+from checks.query import CTES, case_chain, percentile, query, rounded
 from checks.schedule_queries import TYPE_NAME
 from headway.functions.labels import congestion_severity, route_from_corridor
 from headway.functions.responses import parse_duration
@@ -70,7 +70,7 @@ CTES["g_readings"] = f"""
 CTES["g_plan"] = f"""
     SELECT route_id, route_name, route_type, departure_hour, COUNT(*) AS scheduled_segments,
            {rounded("AVG(scheduled_segment_seconds)", 0)} AS avg_scheduled_seconds,
-           {rounded("quantile_cont(scheduled_segment_seconds, 0.5)", 0)}
+           {rounded(percentile("scheduled_segment_seconds", 0.5), 0)}
                AS median_scheduled_seconds
     FROM g_segments
     WHERE scheduled_segment_seconds > 0 AND scheduled_segment_seconds < 7200
@@ -96,8 +96,8 @@ CTES["g_delays"] = f"""
     figures AS (
         SELECT route_id, route_name, route_type, hour_of_day, day_type, COUNT(*) AS sample_size,
                {rounded("AVG(delay_seconds)", 0)} AS avg_delay_seconds,
-               {rounded("quantile_cont(delay_seconds, 0.5)", 0)} AS median_delay_seconds,
-               {rounded("quantile_cont(delay_seconds, 0.95)", 0)} AS p95_delay_seconds,
+               {rounded(percentile("delay_seconds", 0.5), 0)} AS median_delay_seconds,
+               {rounded(percentile("delay_seconds", 0.95), 0)} AS p95_delay_seconds,
                {rounded("MAX(delay_seconds)", 0)} AS max_delay_seconds,
                {rounded("COUNT(*) FILTER (delay_seconds > 60) * 100.0e0 / COUNT(*)", 1)}
                    AS pct_delayed,
@@ -174,8 +174,8 @@ def _(t):
     SELECT corridor_id, corridor_name, day_of_week, day_type, hour_of_day, time_period,
            COUNT(*) AS num_observations,
            {rounded("AVG(congestion_ratio)", 3)} AS avg_congestion_ratio,
-           {rounded("quantile_cont(congestion_ratio, 0.5)", 3)} AS median_congestion_ratio,
-           {rounded("quantile_cont(congestion_ratio, 0.95)", 3)} AS p95_congestion_ratio,
+           {rounded(percentile("congestion_ratio", 0.5), 3)} AS median_congestion_ratio,
+           {rounded(percentile("congestion_ratio", 0.95), 3)} AS p95_congestion_ratio,
            {rounded("AVG(duration_seconds)", 0)} AS avg_duration_seconds,
            {rounded("AVG(distance_meters)", 0)} AS avg_distance_meters,
            COUNT(*) FILTER (congestion_severity = 'free_flow') AS free_flow_count,

@@ -172,8 +172,10 @@ def paint_routes(speeds_by_route: DataFrame, shapes: DataFrame, shape_routes: Da
     )
 
 
-def newest_positions(positions: DataFrame, within_s: int) -> DataFrame:
+def newest_positions(
+    positions: DataFrame, within_s: int, *, tie_break: Sequence[str] = ()
+) -> DataFrame:
     """Newest position per vehicle, for vehicles heard within ``within_s`` of the last one."""
     last = positions.agg(F.max("ts").alias("last")).scalar()
     heard = positions.filter(F.col("ts") >= last - within_s)
-    return top_per_key(heard, ["id"], [F.desc("ts")])
+    return top_per_key(heard, ["id"], [F.desc("ts"), *[F.desc_nulls_last(c) for c in tie_break]])
