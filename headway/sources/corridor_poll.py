@@ -25,7 +25,7 @@ from pyspark.sql.datasource import (
     InputPartition,
 )
 
-from headway.schemas import TRAFFIC_READING, ddl
+from headway.schemas import TRAFFIC_READING
 
 # Longest pause between two tries; poll interval.
 MAX_BACKOFF_S = 30.0
@@ -162,8 +162,8 @@ class CorridorPollSource(DataSource):
     def name(cls) -> str:
         return "corridor_poll"
 
-    def schema(self):
-        return ddl(TRAFFIC_READING)
+    def schema(self) -> str:
+        return TRAFFIC_READING
 
     def reader(self, schema) -> CorridorPollReader:
         return CorridorPollReader(self.options)
