@@ -16,6 +16,7 @@ from headway.plans.service import (
     stops_served_by,
     top_corridors,
     trip_plan,
+    with_alighting,
 )
 
 
@@ -107,7 +108,8 @@ CTES["g_departures"] = f"""
 
 @query("direct_departures", "SELECT * FROM g_departures")
 def _(t):
-    return direct_departures(t.calls, t.stops, t.requests)
+    departures = direct_departures(t.calls, t.stops, t.requests)
+    return with_alighting(departures, t.calls, t.stops, t.requests).drop("stop_sequence")
 
 
 @query("trip_plan", f"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,30 +47,53 @@ def traffic_level(intervals: Column) -> Column:
     )
 
 
-def _decode(text: str | None) -> list[dict[str, float]] | None:
-    """Points of one encoded polyline: zig-zag varints of 1e-5 degree steps."""
-    if text is None:
-        return None
-    steps: list[int] = []
-    value = shift = 0
-    for byte in text.encode("ascii"):
-        chunk = byte - 63
-        value |= (chunk & 31) << shift
-        shift += 5
-        if chunk < 32:
-            steps.append((value >> 1) ^ -(value & 1))
-            value = shift = 0
-    lats = (np.cumsum(steps[0::2]) / 1e5).tolist()
-    lons = (np.cumsum(steps[1::2]) / 1e5).tolist()
-    return [{"lat": lat, "lon": lon} for lat, lon in zip(lats, lons)]
-
-
-_POINTS = T.ArrayType(
-    T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
+_POINTS = T.StructType(
+    [T.StructField(name, T.ArrayType(T.DoubleType())) for name in ("lat", "lon")]
 )
 
 
-@F.pandas_udf(_POINTS)
-def decode_polyline(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield batch.map(_decode, na_action="ignore")
+def _decoded(texts: pa.Array) -> pa.Array:
+    """Points of a batch of encoded polylines, all texts decoded in one sweep.
+
+    A text is a row of numbers, latitude and longitude steps in turn; a number
+    is a run of 5-bit groups, lowest first, that ends at the first byte below
+    95, and its lowest bit is the sign.
+    """
+    known = texts.is_valid()
+    texts = texts.fill_null("")
+    lengths = np.array([len(t) for t in texts.to_pylist()], dtype=np.int64)
+    groups = np.frombuffer("".join(texts.to_pylist()).encode("ascii"), np.uint8).astype(np.int64)
+    groups -= 63
+    closes = groups < 32
+    closes[np.cumsum(lengths)[lengths > 0] - 1] = True
+    last = np.flatnonzero(closes)
+    first = np.concatenate(([0], last[:-1] + 1)) if last.size else last
+    place = np.arange(groups.size) - np.repeat(first, last - first + 1)
+    bits = (groups & 31) << (5 * place)
+    numbers = np.add.reduceat(bits, first) if last.size else bits
+    steps = (numbers >> 1) ^ -(numbers & 1)
+
+    bounds = np.searchsorted(last, np.concatenate(([0], np.cumsum(lengths))))
+    counts = np.diff(bounds)
+    pairs = counts // 2
+    turn = np.arange(steps.size) - np.repeat(bounds[:-1], counts)
+    whole = turn < np.repeat(2 * pairs, counts)
+    offsets = np.concatenate(([0], np.cumsum(pairs)))
+
+    def axis(parity: int) -> pa.Array:
+        chosen = steps[whole & (turn % 2 == parity)]
+        running = np.cumsum(chosen)
+        before = np.concatenate(([0], running))[offsets[:-1]]
+        degrees = (running - np.repeat(before, pairs)) / 1e5
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(degrees))
+
+    return pa.StructArray.from_arrays(
+        [axis(0), axis(1)], names=["lat", "lon"], mask=pc.invert(known)
+    )
+
+
+@F.arrow_udf(_POINTS)
+def decode_polyline(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Coordinates of an encoded polyline as two lists, ``lat`` and ``lon``."""
+    for texts in batches:
+        yield _decoded(texts)

@@ -51,12 +51,12 @@ def traffic_segments(responses: DataFrame, *, json: str = "api_response_json") -
     )
     first = F.coalesce("reading.startPolylinePointIndex", F.lit(0))
     last = F.coalesce("reading.endPolylinePointIndex", first + 1)
-    start = F.get("points", first)
-    end = F.coalesce(F.get("points", last), start)
-    located = measured.withColumns({"__start": start, "__end": end}).select(
+    start = {c: F.get(F.col("points")[c], first) for c in ("lat", "lon")}
+    end = {c: F.coalesce(F.get(F.col("points")[c], last), start[c]) for c in ("lat", "lon")}
+    located = measured.select(
         *kept, "interval",
-        F.col("__start.lat").alias("start_lat"), F.col("__start.lon").alias("start_lon"),
-        F.col("__end.lat").alias("end_lat"), F.col("__end.lon").alias("end_lon"),
+        start["lat"].alias("start_lat"), start["lon"].alias("start_lon"),
+        end["lat"].alias("end_lat"), end["lon"].alias("end_lon"),
         "level", F.coalesce("reading.speed", F.lit("NORMAL")).alias("speed"),
         F.lit(1).alias("samples"),
     )

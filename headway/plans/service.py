@@ -10,7 +10,7 @@ from headway.functions.times import departure_hour, gtfs_seconds
 from headway.operators.latest import distinct_on, top_per_key
 from headway.operators.quality import filter_route
 from headway.operators.ranges import RADIUS_M, stops_within
-from headway.operators.schedule import route_frequency, route_hourly_profile
+from headway.operators.schedule import PROFILE_HOURS
 
 # Departures looked at per request, hours after the asked one.
 MAX_DEPARTURES = 20
@@ -20,29 +20,47 @@ HOURS_ON = 2
 def top_corridors(
     stop_times: DataFrame, serving_routes: DataFrame, hour: int, n: int = 10
 ) -> DataFrame:
-    """The ``n`` busiest routes of an hour with geometry and hourly profile."""
-    busiest = route_frequency(stop_times, hour).orderBy(
-        F.desc("trips"), "route_name", "route_id"
-    ).limit(n)
+    """The ``n`` busiest routes of an hour with geometry and hourly profile.
+
+    One pass over the stop times counts every (route, hour); ranking and
+    profile both come from those few rows.
+    """
+    at, trips = F.col("hour"), F.col("trips")
+    hourly = (
+        stop_times.filter(F.col("route_short_name").isNotNull())
+        .groupBy(
+            F.col("route_short_name").alias("route"), "route_id",
+            departure_hour(F.col("departure_time")).alias("hour"),
+        )
+        .agg(
+            F.count_distinct("trip_id").alias("trips"),
+            F.count_distinct(
+                F.when(departure_hour(F.col("departure_time")) == hour, F.col("stop_id"))
+            ).alias("stops_served"),
+            F.min("shape_id").alias("shape_id"),
+        )
+    )
+    shown = F.when(at.between(*PROFILE_HOURS), F.struct("hour", "trips"))
+    busiest = (
+        hourly.groupBy("route", "route_id")
+        .agg(
+            F.max(F.when(at == hour, trips)).alias("trips_per_hour"),
+            F.max("stops_served").alias("stops_served"),
+            F.max(F.when(at == hour, F.col("shape_id"))).alias("sample_shape_id"),
+            F.sort_array(F.collect_list(shown)).alias("hourly_profile"),
+        )
+        .filter(F.col("trips_per_hour").isNotNull())
+        .orderBy(F.desc("trips_per_hour"), "route", "route_id")
+        .limit(n)
+    )
     geometry = serving_routes.select(
         F.col("shape_id").alias("sample_shape_id"), "route_long_name", "route_color", "coordinates"
     )
-    # Profiles are only counted for the chosen routes.
-    of_these = stop_times.join(busiest.select("route_id"), "route_id", "left_semi")
-    profile = route_hourly_profile(of_these)
-    return (
-        busiest.join(geometry, "sample_shape_id", "left")
-        .join(profile, "route_id", "left")
-        .select(
-            F.col("route_name").alias("route"),
-            "route_id",
-            F.col("trips").alias("trips_per_hour"),
-            "stops_served",
-            F.coalesce("route_long_name", F.lit("")).alias("long_name"),
-            default_if_blank(F.col("route_color"), DEFAULT_CORRIDOR_COLOR).alias("color"),
-            "coordinates",
-            "hourly_profile",
-        )
+    return busiest.join(geometry, "sample_shape_id", "left").select(
+        "route", "route_id", "trips_per_hour", "stops_served",
+        F.coalesce("route_long_name", F.lit("")).alias("long_name"),
+        default_if_blank(F.col("route_color"), DEFAULT_CORRIDOR_COLOR).alias("color"),
+        "coordinates", "hourly_profile",
     )
 
 
@@ -59,6 +77,16 @@ def frequency_for(
     return chosen if route is None else stops_served_by(chosen, stop_times, route)
 
 
+def _stops_near(requests: DataFrame, stops: DataFrame, side: str, radius_m: float) -> DataFrame:
+    at = requests.select(
+        "request_id", "hour",
+        F.col(f"{side}_lat").alias("lat"), F.col(f"{side}_lon").alias("lon"),
+    )
+    return stops_within(at, stops, radius_m=radius_m).select(
+        "request_id", "hour", "stop_id", "stop_name", "stop_lat", "stop_lon"
+    )
+
+
 def direct_departures(
     stop_times: DataFrame,
     stops: DataFrame,
@@ -68,45 +96,38 @@ def direct_departures(
     radius_m: float = RADIUS_M,
     hours_on: int = HOURS_ON,
 ) -> DataFrame:
-    """Boardings near the origin of each request from which a trip goes on to a
-    stop near the destination, one per request, route label and departure.
+    """Boardings near the origin of each request from which the trip goes on to
+    a stop near the destination; one per request, route label and departure.
 
     ``requests`` has request_id, origin_lat, origin_lon, dest_lat, dest_lon and
-    hour.  A boarding qualifies when the last call of its trip near the
-    destination comes later, so pairs of calls are never formed; the first
-    such call after boarding is looked up for the departures that remain.
+    hour.  A boarding qualifies when the last call of its trip at such a stop
+    comes later, and there is one last call per trip and stop; so pairs of
+    calls are never formed, however long a trip is.
     """
-    ends = {
-        side: stops_within(
-            requests.select("request_id", F.col(f"{side}_lat").alias("lat"),
-                            F.col(f"{side}_lon").alias("lon")),
-            stops, radius_m=radius_m,
-        ).select("request_id", "stop_id", "stop_name", "stop_lat", "stop_lon")
-        for side in ("origin", "dest")
-    }
-    calls = stop_times.withColumn("__hour", departure_hour(F.col("departure_time")))
-    boardings = (
-        calls.join(ends["origin"], "stop_id")
-        .join(requests.select("request_id", "hour"), "request_id")
-        .filter(F.col("__hour").between(F.col("hour"), F.col("hour") + hours_on))
+    hour = F.col("hour")
+    origins = (
+        _stops_near(requests, stops, "origin", radius_m)
+        .withColumn("__hour", F.explode(F.sequence(hour, hour + hours_on)))
         .select(
-            "request_id", "trip_id", "route_id", "route_short_name", "shape_id",
-            "stop_sequence", F.col("departure_time").alias("board_time"),
-            F.col("stop_name").alias("board_stop"), F.col("stop_lat").alias("board_lat"),
-            F.col("stop_lon").alias("board_lon"), F.col("stop_id").alias("board_stop_id"),
+            "request_id", "stop_id", "__hour", F.col("stop_name").alias("board_stop"),
+            F.col("stop_lat").alias("board_lat"), F.col("stop_lon").alias("board_lon"),
         )
     )
-    arrivals = stop_times.join(ends["dest"], "stop_id").select(
-        "request_id", "trip_id", F.col("stop_sequence").alias("alight_sequence"),
-        F.col("arrival_time").alias("alight_time"), F.col("stop_name").alias("alight_stop"),
-        F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),
-        F.col("stop_id").alias("alight_stop_id"),
+    boardings = stop_times.select(
+        "trip_id", "route_id", "route_short_name", "shape_id", "stop_id", "stop_sequence",
+        F.col("departure_time").alias("board_time"),
+        departure_hour(F.col("departure_time")).alias("__hour"),
+    ).join(origins, ["stop_id", "__hour"])
+    ends = _stops_near(requests, stops, "dest", radius_m).select(
+        "request_id", F.col("stop_id").alias("end_id")
     )
-    last_call = arrivals.groupBy("request_id", "trip_id").agg(
-        F.max("alight_sequence").alias("last_sequence")
+    last_calls = stop_times.groupBy("trip_id", F.col("stop_id").alias("end_id")).agg(
+        F.max("stop_sequence").alias("last_sequence")
     )
-    going = boardings.join(last_call, ["request_id", "trip_id"]).filter(
-        F.col("last_sequence") > F.col("stop_sequence")
+    going = (
+        boardings.join(ends, "request_id")
+        .join(last_calls, ["trip_id", "end_id"])
+        .filter(F.col("last_sequence") > F.col("stop_sequence"))
     )
     if serving_routes is None:
         label = F.coalesce("route_short_name", "route_id")
@@ -114,25 +135,42 @@ def direct_departures(
         names = serving_routes.select("shape_id", "route_long_name").dropDuplicates(["shape_id"])
         going = going.join(names, "shape_id", "left")
         label = F.coalesce("route_short_name", "route_long_name", "route_id")
-    first = distinct_on(
+    return distinct_on(
         going.withColumn("route", label),
         ["request_id", "route", "board_time"],
-        ["trip_id", "stop_sequence", "board_stop_id"],
-    ).drop("last_sequence", "shape_id", "route_short_name", "route_long_name")
-    call = F.struct("alight_sequence", "alight_stop_id")
-    picked = (
-        first.join(arrivals, ["request_id", "trip_id"])
+        ["trip_id", "stop_sequence", "stop_id"],
+    ).select(
+        "request_id", "route", "route_id", "trip_id", "stop_sequence", "board_time",
+        "board_stop", "board_lat", "board_lon",
+    )
+
+
+def with_alighting(
+    departures: DataFrame, stop_times: DataFrame, stops: DataFrame, requests: DataFrame,
+    *, radius_m: float = RADIUS_M,
+) -> DataFrame:
+    """Departures with the first call near the destination after boarding."""
+    ends = _stops_near(requests, stops, "dest", radius_m).drop("hour")
+    calls = stop_times.select(
+        "trip_id", "stop_id", F.col("stop_sequence").alias("alight_sequence"),
+        F.col("arrival_time").alias("alight_time"),
+    )
+    alight = F.struct(
+        "alight_time", F.col("stop_name").alias("alight_stop"),
+        F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),
+    )
+    keys = ["request_id", "route", "board_time"]
+    carried = [c for c in departures.columns if c not in keys]
+    return (
+        departures.join(ends, "request_id")
+        .join(calls, ["trip_id", "stop_id"])
         .filter(F.col("alight_sequence") > F.col("stop_sequence"))
-        .groupBy("request_id", "route", "board_time")
+        .groupBy(*keys)
         .agg(
-            F.min_by(
-                F.struct("alight_time", "alight_stop", "alight_lat", "alight_lon"), call
-            ).alias("__alight")
+            *[F.first(c).alias(c) for c in carried],
+            F.min_by(alight, F.struct("alight_sequence", "stop_id")).alias("__alight"),
         )
-        .select("request_id", "route", "board_time", "__alight.*")
-    )
-    return first.join(picked, ["request_id", "route", "board_time"]).drop(
-        "stop_sequence", "board_stop_id"
+        .select(*keys, *carried, "__alight.*")
     )
 
 
@@ -143,19 +181,23 @@ def trip_plan(
     serving_routes: DataFrame | None = None,
     *,
     max_departures: int = MAX_DEPARTURES,
-    **options,
+    radius_m: float = RADIUS_M,
+    hours_on: int = HOURS_ON,
 ) -> DataFrame:
     """Earliest direct trip per route for every request.
 
     As in a lookup page, only the first ``max_departures`` departures of a
     request in (route, time) order are looked at.
     """
-    departures = direct_departures(stop_times, stops, requests, serving_routes, **options)
+    departures = direct_departures(
+        stop_times, stops, requests, serving_routes, radius_m=radius_m, hours_on=hours_on
+    )
     shown = top_per_key(
         departures, ["request_id"], [F.asc("route"), F.asc("board_time")], max_departures
     )
     earliest = distinct_on(shown, ["request_id", "route"], ["board_time"])
+    planned = with_alighting(earliest, stop_times, stops, requests, radius_m=radius_m)
     seconds = gtfs_seconds(F.col("alight_time")) - gtfs_seconds(F.col("board_time"))
-    return earliest.withColumn(
+    return planned.withColumn(
         "duration_min", F.round(F.greatest(seconds, F.lit(0)) / 60, 1)
-    )
+    ).drop("stop_sequence")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,11 +64,33 @@ def test_haversine_and_grid(spark):
     )
 
 
-def test_published_polyline(spark):
-    text = "_p~iF~ps|U_ulLnnqC_mqNvxq`@"
-    points = column(spark, [text, "", None], responses.decode_polyline)
-    assert [tuple(p) for p in points[0]] == [(38.5, -120.2), (40.7, -120.95), (43.252, -126.453)]
+def encode(points):
+    text, last = "", (0, 0)
+    for point in points:
+        now = tuple(round(v * 1e5) for v in point)
+        for step in (now[0] - last[0], now[1] - last[1]):
+            bits = ~(step << 1) if step < 0 else step << 1
+            while bits >= 32:
+                text += chr((bits & 31 | 32) + 63)
+                bits >>= 5
+            text += chr(bits + 63)
+        last = now
+    return text
+
+
+def test_polylines(spark):
+    rng = random.Random(4)
+    lines = [
+        [(round(rng.uniform(-90, 90), 5), round(rng.uniform(-180, 180), 5)) for _ in range(n)]
+        for n in (1, 2, 50, 0, 7)
+    ]
+    published = "_p~iF~ps|U_ulLnnqC_mqNvxq`@"
+    texts = [published, "", None, *[encode(line) for line in lines]]
+    found = column(spark, texts, responses.decode_polyline)
+    points = [None if p is None else list(zip(p["lat"], p["lon"])) for p in found]
+    assert points[0] == [(38.5, -120.2), (40.7, -120.95), (43.252, -126.453)]
     assert points[1] == [] and points[2] is None
+    assert points[3:] == lines
 
 
 def test_durations_and_ratio(spark):
