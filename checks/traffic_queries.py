@@ -29,7 +29,7 @@ from headway.operators.traffic import (
     traffic_congestion_metrics,
     with_time_dimensions,
 )
-from headway.plans.live import quarter_hour_readings
+from headway.plans.live import peak_keys_to_fill, quarter_hour_readings
 from headway.plans.predict import day_profile, predict_travel_time, seasonal_factors
 from headway.plans.traffic import corridor_daily_summary, delay_patterns
 
@@ -417,6 +417,19 @@ def _(t):
     return missing_keys(required, t.cache.filter("hour_of_day < 12"), ["cache_key"])
 
 
+@query("peak_keys_to_fill", """
+    WITH ahead AS (
+        SELECT DISTINCT CAST((EXTRACT(hour FROM ts) + offset_hours) % 24 AS INTEGER) AS hour,
+               CAST(EXTRACT(dow FROM ts) + 1 AS INTEGER) AS day
+        FROM events, (SELECT UNNEST([1, 2]) AS offset_hours))
+    SELECT hour || '_' || day AS cache_key, hour, day FROM ahead
+    WHERE (hour BETWEEN 6 AND 10 OR hour BETWEEN 15 AND 19)
+      AND hour || '_' || day NOT IN (SELECT cache_key FROM g_cache_old)""")
+def _(t):
+    moments = t.raw("events").select(F.col("ts").alias("now"))
+    return peak_keys_to_fill(moments, t.cache.filter("hour_of_day < 12"))
+
+
 @query("cache_stats", """
     SELECT COUNT(*) AS entries, MIN(last_accessed_at) AS oldest, MAX(last_accessed_at) AS newest
     FROM g_cache""")
@@ -480,6 +493,35 @@ def _(t):
     )
 
 
+@query("predict_with_proxy", f"""
+    WITH asked AS (SELECT 'planned_' || corridor_id AS corridor_id, corridor_id AS used,
+                          day_of_week, hour FROM g_profiles)
+    SELECT asked.corridor_id, used AS used_corridor_id, day_of_week, hour,
+           {rounded("avg_duration_seconds * (13.0e0 / 7.2e0) * COALESCE(seasonal_multiplier, 1.1)", 6)}
+               AS predicted_seconds,
+           {rounded("avg_static_duration_seconds * (13.0e0 / 7.2e0)", 6)} AS free_flow_seconds
+    FROM asked JOIN g_profiles p USING (day_of_week, hour)
+    LEFT JOIN g_factors f ON f.corridor_id = used
+    WHERE p.corridor_id = used""")
+def _(t):
+    requests = t.profiles.select(
+        F.concat(F.lit("planned_"), "corridor_id").alias("corridor_id"), "day_of_week", "hour"
+    )
+    proxies = t.traffic.select("corridor_id").distinct().select(
+        F.concat(F.lit("planned_"), "corridor_id").alias("corridor_id"),
+        F.col("corridor_id").alias("proxy_corridor_id"),
+        F.lit(13.0 / 7.2).alias("scale_factor"),
+    )
+    predicted = predict_travel_time(
+        requests, t.profiles, seasonal_factors(t.readings, 1), proxies=proxies
+    )
+    return predicted.select(
+        "corridor_id", "used_corridor_id", "day_of_week", "hour",
+        F.round("predicted_seconds", 6).alias("predicted_seconds"),
+        F.round("free_flow_seconds", 6).alias("free_flow_seconds"),
+    )
+
+
 @query("day_profile", f"""
     SELECT hour, CAST(avg_static_duration_seconds / 60 AS FLOAT) AS freeflow_minutes,
            CAST(avg_duration_seconds * COALESCE(seasonal_multiplier, 1.1) / 60 AS FLOAT)

@@ -126,10 +126,13 @@ def corridor_to_route(corridors: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def current_delay(readings: DataFrame) -> DataFrame:
-    """Seconds lost against free flow, the most congested first."""
-    return readings.withColumn(
-        "delay_seconds", F.col("duration_seconds") - F.col("static_duration_seconds")
-    ).orderBy(F.desc_nulls_last("congestion_ratio"))
+    """Seconds lost against free flow, the most congested first.
+
+    Corridor and time break ties, so that a ratio shared by very many readings
+    still sorts into several ranges.
+    """
+    delay = F.col("duration_seconds") - F.col("static_duration_seconds")
+    return most_congested_now(readings.withColumn("delay_seconds", delay))
 
 
 def most_congested_now(readings: DataFrame, n: int | None = None) -> DataFrame:

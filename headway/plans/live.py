@@ -7,8 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.times import quarter_key
-from headway.operators.latest import dedupe_segments
+from headway.functions.times import day_of_week, hour_key, hour_of_day, quarter_key
+from headway.operators.latest import dedupe_segments, missing_keys
 from headway.operators.quality import filter_route
 from headway.operators.ranges import segments_near_cells
 from headway.operators.vehicles import slow_cells
@@ -16,6 +16,10 @@ from headway.operators.vehicles import slow_cells
 # Most segments that one round of targeted look-ups asks for.
 MAX_TARGETS = 50
 
+# Morning and evening peak hours, hours looked ahead.
+PEAK_HOURS = ((6, 10), (15, 19))
+HOURS_AHEAD = 2
+
 SEGMENT_ORDER = ("shape_id", "shape_pt_sequence", "route_id")
 
 
@@ -86,3 +90,21 @@ def quarter_hour_readings(readings: DataFrame, ts: str = "polled_at", tz: str |
             "readings", "avg_congestion_ratio",
         )
     )
+
+
+def peak_keys_to_fill(
+    moments: DataFrame, cache: DataFrame, ts: str = "now", tz: str | None = None
+) -> DataFrame:
+    """Hourly keys of the peak hours that come next after each moment and that
+    the cache does not hold."""
+    hour, day = hour_of_day(F.col(ts), tz), day_of_week(F.col(ts), tz)
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(HOURS_AHEAD)))
+    upcoming = moments.select(hour.alias("now_hour"), day.alias("day")).distinct().select(
+        "day", "now_hour", ahead.alias("ahead")
+    ).withColumn("hour", (F.col("now_hour") + F.col("ahead")) % 24)
+    (first_am, last_am), (first_pm, last_pm) = PEAK_HOURS
+    peak = F.col("hour").between(first_am, last_am) | F.col("hour").between(first_pm, last_pm)
+    wanted = upcoming.filter(peak).select(
+        hour_key(F.col("hour"), F.col("day")).alias("cache_key"), "hour", "day"
+    ).distinct()
+    return missing_keys(wanted, cache, ["cache_key"])

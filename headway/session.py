@@ -6,8 +6,6 @@ session that somebody else started.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 _RUNTIME_SETTINGS = {
@@ -23,21 +21,7 @@ _RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings and make sure a checkpoint folder is known.
-
-    On a cluster the shared folder comes from ``spark.checkpoint.dir``; a local
-    one is only made where neither the session nor the context names any.
-    """
+    """Apply the runtime settings to a session and return it."""
     for key, value in _RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's own, else a fresh local one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="headway-checkpoint-")
-    raise ValueError("spark.checkpoint.dir is not set on this cluster")
