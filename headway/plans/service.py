@@ -121,8 +121,12 @@ def direct_departures(
     ends = _stops_near(requests, stops, "dest", radius_m).select(
         "request_id", F.col("stop_id").alias("end_id")
     )
-    last_calls = stop_times.groupBy("trip_id", F.col("stop_id").alias("end_id")).agg(
-        F.max("stop_sequence").alias("last_sequence")
+    # Only calls at stops near some destination go into the shuffle.
+    calls = stop_times.select("trip_id", F.col("stop_id").alias("end_id"), "stop_sequence")
+    last_calls = (
+        calls.join(ends.select("end_id").distinct(), "end_id", "left_semi")
+        .groupBy("trip_id", "end_id")
+        .agg(F.max("stop_sequence").alias("last_sequence"))
     )
     going = (
         boardings.join(ends, "request_id")
