@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.times import departure_hour, gtfs_seconds
@@ -95,25 +95,37 @@ def serving_stop_times(stop_times: DataFrame, trips: DataFrame, routes: DataFram
 def stop_frequency(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """Trips per stop and hour, with the stop's daily trips and busiest hour.
 
-    Distinct trips are counted per (stop, hour) first; the stop totals come
-    from those few rows and not from the stop times.
+    One pass: calls are first reduced to (stop, trip) with the hours of that
+    trip at the stop, which splits a hot stop over its trips.  A trip counts
+    in each of its hours, and for the day only in the first.
     """
+    visits = (
+        stop_times.select(
+            "stop_id", "trip_id", departure_hour(F.col("departure_time")).alias("hour")
+        )
+        .filter(F.col("hour").isNotNull())
+        .groupBy("stop_id", "trip_id")
+        .agg(F.collect_set("hour").alias("hours"))
+    )
     hourly = (
-        stop_times.withColumn("hour_of_day", departure_hour(F.col("departure_time")))
-        .filter(F.col("hour_of_day").isNotNull())
+        visits.select("stop_id", F.posexplode("hours").alias("nth", "hour_of_day"))
         .groupBy("stop_id", "hour_of_day")
-        .agg(F.count_distinct("trip_id").alias("trip_count"))
+        .agg(
+            F.count(F.lit(1)).alias("trip_count"), F.count_if(F.col("nth") == 0).alias("__first")
+        )
     )
+    # One row per hour is left, so a stop's window holds a few dozen rows.
+    stop = Window.partitionBy("stop_id")
     busiest = F.struct(F.col("trip_count"), -F.col("hour_of_day"))
-    totals = hourly.groupBy("stop_id").agg(
-        F.max_by("hour_of_day", busiest).alias("peak_hour"),
-        F.max("trip_count").alias("peak_trips"),
+    totals = hourly.withColumns(
+        {
+            "trips_per_day": F.sum("__first").over(stop),
+            "peak_hour": F.max_by("hour_of_day", busiest).over(stop),
+            "peak_trips": F.max("trip_count").over(stop),
+        }
     )
-    daily = stop_times.filter(
-        departure_hour(F.col("departure_time")).isNotNull()
-    ).groupBy("stop_id").agg(F.count_distinct("trip_id").alias("trips_per_day"))
     places = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
-    return hourly.join(totals, "stop_id").join(daily, "stop_id").join(places, "stop_id").select(
+    return totals.join(places, "stop_id").select(
         "stop_id", "stop_name", "stop_lat", "stop_lon", "hour_of_day", "trip_count",
         "trips_per_day", "peak_hour", "peak_trips",
     )

@@ -47,43 +47,57 @@ def _replace_partitions(df: DataFrame, by: Sequence[str], path: str) -> None:
     )
 
 
-def merge_stream(
-    changes: DataFrame,
+def merge_batch(
+    batch: DataFrame,
+    batch_id: int,
     keys: Sequence[str],
     merge: Callable[[DataFrame], DataFrame],
     *,
     log: str,
     target: str,
-    checkpoint: str,
     buckets: int = 64,
-    trigger: str | None = None,
-) -> StreamingQuery:
-    """Keep ``target`` equal to ``merge`` of all changes seen so far.
+) -> None:
+    """Add one micro-batch to ``log`` and rebuild the buckets of ``target`` it touches.
 
-    Every micro-batch first adds its rows to ``log`` in key buckets, under its
-    batch number, then rebuilds only the buckets it touched from the log.
-    Rebuilding from the history is what makes late and repeated rows right.
     A batch that runs again overwrites the same partitions of both tables, so
     a lost executor or driver leaves no trace.
     """
+    known = batch.dropna(subset=list(keys)).withColumns(
+        {BUCKET: _bucket(keys, buckets), BATCH: F.lit(batch_id)}
+    )
+    # At most `buckets` numbers come back, whatever the batch holds.
+    touched = [row[0] for row in known.select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    _replace_partitions(known, [BUCKET, BATCH], log)
+    # Naming the folders keeps the other buckets from being listed.
+    history = (
+        batch.sparkSession.read.schema(batch.schema)
+        .option("basePath", log)
+        .parquet(*[f"{log}/{BUCKET}={number}" for number in touched])
+        .drop(BUCKET, BATCH)
+    )
+    merged = merge(history).withColumn(BUCKET, _bucket(keys, buckets))
+    _replace_partitions(merged, [BUCKET], target)
+
+
+def merge_stream(
+    changes: DataFrame,
+    keys: Sequence[str],
+    merge: Callable[[DataFrame], DataFrame],
+    *,
+    checkpoint: str,
+    trigger: str | None = None,
+    **places,
+) -> StreamingQuery:
+    """Keep a target equal to ``merge`` of all changes seen so far.
+
+    Every micro-batch goes through ``merge_batch``.  Buckets are rebuilt from
+    the change history, which is what makes late and repeated rows right.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = batch.dropna(subset=list(keys)).withColumns(
-            {BUCKET: _bucket(keys, buckets), BATCH: F.lit(batch_id)}
-        )
-        _replace_partitions(known, [BUCKET, BATCH], log)
-        written = spark.read.parquet(log)
-        # At most `buckets` numbers come back, whatever the batch holds.
-        touched = [
-            row[0]
-            for row in written.filter(F.col(BATCH) == batch_id).select(BUCKET).distinct().collect()
-        ]
-        if not touched:
-            return
-        history = written.filter(F.col(BUCKET).isin(*touched)).drop(BUCKET, BATCH)
-        merged = merge(history).withColumn(BUCKET, _bucket(keys, buckets))
-        _replace_partitions(merged, [BUCKET], target)
+        merge_batch(batch, batch_id, keys, merge, **places)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return _start(writer, trigger)

@@ -9,6 +9,7 @@ from headway.operators.scd import scd1, scd2
 from headway.operators.vehicles import vehicle_speeds
 from headway.plans.live import quarter_hour_readings
 from headway.streaming.tables import (
+    merge_batch,
     read_merged,
     refresh_days,
     run_stream,
@@ -61,6 +62,20 @@ def test_keyed_streams_equal_batch(spark, tmp_path, changes, kind):
         assert rows(stored.select(*expected.columns)) == rows(expected)
 
 
+def test_batches_that_run_again_change_nothing(spark, tmp_path, changes):
+    places = {"log": f"{tmp_path}/log", "target": f"{tmp_path}/out", "buckets": 4}
+
+    def versions(df):
+        return scd2(df, ["stop_id"], "snap")
+
+    for number in (0, 1, 1, 2, 2):
+        part = spark.createDataFrame(changes[number::3], CHANGES)
+        merge_batch(part, number, ["stop_id"], versions, **places)
+    expected = versions(spark.createDataFrame(changes, CHANGES))
+    assert rows(read_merged(spark, places["target"]).select(*expected.columns)) == rows(expected)
+    assert spark.read.parquet(places["log"]).count() == len(changes)
+
+
 def test_upserts(spark, tmp_path):
     source = f"{tmp_path}/in"
     schema = "cache_key STRING, at TIMESTAMP, v INT"
