@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from headway.schemas import CORRIDOR, TRAFFIC_READING
+from headway.schemas import CORRIDOR, TRAFFIC_READING, ddl
 from headway.sources.gtfs import with_file_metadata
 
 
@@ -34,8 +35,8 @@ def read_corridors(
 ) -> DataFrame:
     """Corridor list from a file or from inline JSON, coordinates flattened."""
     if json:
-        one = spark.range(1).select(F.from_json(F.lit(json), f"array<struct<{_fields()}>>"))
-        listed = one.toDF("corridors").select(F.inline("corridors"))
+        corridors = F.from_json(F.lit(json), T.ArrayType(ddl(CORRIDOR)))
+        listed = spark.range(1).select(F.inline(corridors))
     elif path:
         listed = spark.read.schema(CORRIDOR).option("multiLine", True).json(path)
     else:
@@ -47,12 +48,6 @@ def read_corridors(
     )
 
 
-def _fields() -> str:
-    from headway.schemas import ddl
-
-    return ddl(CORRIDOR).simpleString()[len("struct<"):-1]
-
-
 def export_corridors(corridors: DataFrame, path: str) -> None:
     corridors.write.mode("overwrite").json(path)
 
