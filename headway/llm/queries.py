@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.exact_dedup import exact_dedup
+from headway.llm.neighbours import nearest
 from headway.llm.shared import table
+from headway.llm.substring_dedup import substring_dedup
 from headway.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +43,45 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, min(CAST(embedding AS DOUBLE[])) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), r AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score,
+         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.e, c.e), c.vec_id) AS INTEGER) AS rank
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@registered("op8_neighbours", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, i, array_to_string(words[i : i + 12], ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM d)
+), f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first_id FROM s),
+r AS (SELECT DISTINCT doc_id, i + o AS p FROM f, (SELECT unnest(range(13)) AS o) WHERE first_id < doc_id),
+n AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(words, lambda x, j: NOT list_contains(coalesce(gone, []), j)), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id)
+"""
+
+
+@registered("op4_substring_dedup", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
