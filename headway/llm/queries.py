@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.exact_dedup import exact_dedup
+from headway.llm.jaccard_join import jaccard_join
 from headway.llm.neighbours import nearest
 from headway.llm.shared import table
 from headway.llm.substring_dedup import substring_dedup
@@ -85,3 +86,30 @@ FROM d LEFT JOIN n USING (doc_id)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) AS i FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), r(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other
+), c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
+@registered("op10_jaccard_join", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
