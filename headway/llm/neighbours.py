@@ -17,16 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-LEAF = 64
+LEAF = 256
 # Above the rounding of a distance in double precision, relative to its size.
 SLACK = 1e-9
 
 
-def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision, components added in their order."""
-    total = np.zeros((len(queries), len(points)))
-    for j in range(queries.shape[1]):
-        gap = queries[:, j, None] - points[None, :, j]
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows of a and b in double precision, components added in order."""
+    total = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        gap = a[:, j] - b[:, j]
         total += gap * gap
     return np.sqrt(total)
 
@@ -69,7 +69,7 @@ class VantageTree:
             pick = start + int(rng.integers(end - start))
             self.order[[start, pick]] = self.order[[pick, start]]
             rest = self.order[start + 1 : end]
-            d = distances(self.points[self.order[start], None], self.points[rest])[0]
+            d = distances(np.broadcast_to(self.points[self.order[start]], (len(rest), self.points.shape[1])), self.points[rest])
             half = len(rest) // 2
             split = np.argpartition(d, half)
             self.order[start + 1 : end] = rest[split]
@@ -84,14 +84,34 @@ class VantageTree:
         best_d = np.full((len(queries), k), np.inf)
         best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
 
-        def offer(active: np.ndarray, points: np.ndarray, d: np.ndarray) -> None:
-            ids = np.broadcast_to(self.ids[points].reshape(1, -1), (len(active), self.ids[points].size))
-            far = np.repeat(d, self.ids.shape[1], axis=1)
-            far = np.where(self.known[points].reshape(1, -1) & (ids != query_ids[active, None]), far, np.inf)
-            all_d, all_id = np.hstack([best_d[active], far]), np.hstack([best_id[active], ids])
-            order = np.lexsort((all_id, all_d), axis=-1)[:, :k]
-            best_d[active] = np.take_along_axis(all_d, order, 1)
-            best_id[active] = np.take_along_axis(all_id, order, 1)
+        square = (self.points * self.points).sum(axis=1)
+        own_square = (queries * queries).sum(axis=1)
+
+        def offer(active: np.ndarray, points: np.ndarray) -> np.ndarray:
+            """Approximate distances; what may be near enough is measured exactly and kept."""
+            scale = own_square[active, None] + square[points]
+            rough = scale - 2 * (queries[active] @ self.points[points].T)
+            near = rough <= best_d[active, -1:] ** 2 + SLACK * scale
+            some = np.flatnonzero(near.any(axis=1))
+            if len(some):
+                near, who = near[some], active[some]
+                row, column = np.nonzero(near)
+                exact = np.full(near.shape, np.inf)
+                exact[row, column] = distances(queries[who[row]], self.points[points[column]])
+                ids = np.broadcast_to(self.ids[points].reshape(1, -1), (len(who), self.ids[points].size))
+                far = np.repeat(exact, self.ids.shape[1], axis=1)
+                far = np.where(self.known[points].reshape(1, -1) & (ids != query_ids[who, None]), far, np.inf)
+                if far.shape[1] > 4 * k:  # what cannot be among the k nearest needs no sorting; ties stay
+                    limit = np.partition(far, k - 1, axis=1)[:, k - 1 : k]
+                    kept = far <= limit
+                    wide = min(far.shape[1], int(kept.sum(axis=1).max()))
+                    place = np.argsort(~kept, axis=1, kind="stable")[:, :wide]
+                    far, ids = np.take_along_axis(far, place, 1), np.take_along_axis(ids, place, 1)
+                all_d, all_id = np.hstack([best_d[who], far]), np.hstack([best_id[who], ids])
+                order = np.lexsort((all_id, all_d), axis=-1)[:, :k]
+                best_d[who] = np.take_along_axis(all_d, order, 1)
+                best_id[who] = np.take_along_axis(all_id, order, 1)
+            return np.sqrt(np.maximum(rough, 0))
 
         everyone = np.arange(len(queries))
         todo = [(0, everyone, np.zeros(len(queries)))]
@@ -103,13 +123,12 @@ class VantageTree:
                 continue
             vantage, start, end, children, ranges = self.nodes[at]
             if vantage < 0:
-                points = self.order[start:end]
-                offer(active, points, distances(queries[active], self.points[points]))
+                offer(active, self.order[start:end])
                 continue
-            d = distances(queries[active], self.points[vantage, None])
-            offer(active, np.array([vantage]), d)
-            d = d[:, 0]
-            gaps = [np.maximum(0, np.maximum(low - d, d - high) - SLACK * (d + high)) for low, high in ranges]
+            d = offer(active, np.array([vantage]))[:, 0]
+            # Rough distances are off by less than this.
+            off = 1e-6 * np.sqrt(own_square[active] + square[vantage])
+            gaps = [np.maximum(0, np.maximum(low - d, d - high) - off) for low, high in ranges]
             inside_first = gaps[0] <= gaps[1]
             for side, mask in ((1, inside_first), (0, ~inside_first), (0, inside_first), (1, ~inside_first)):
                 if mask.any():
