@@ -158,8 +158,8 @@ def packed(docs: DataFrame, blocks: int) -> DataFrame:
 
 
 def key_bits(keys: int) -> int:
-    """Bits so that a key is taken for another one about once in 4,000 times."""
-    return min(64, max(24, math.ceil(math.log2(max(2, keys))) + 12))
+    """Bits so that a key is taken for another one about once in 500 times."""
+    return min(64, max(24, math.ceil(math.log2(max(2, keys))) + 9))
 
 
 def shortened(keys: np.ndarray, bits: int) -> np.ndarray:

@@ -62,19 +62,27 @@ def prefix_groups(block: Block, starts: np.ndarray, window: int, groups: int) ->
 
 
 def bundle(block: Block, starts: np.ndarray, numbers: np.ndarray, window: int) -> bytes:
-    """Suffixes with their words: numbers, documents, a dictionary by frequency, codes."""
+    """Suffixes in order, with their words: numbers, documents, a dictionary, codes by column."""
     words = (starts[:, None] + np.arange(window)).reshape(-1)
-    _, place, code, many = np.unique(block.hashes[words], return_index=True, return_inverse=True, return_counts=True)
-    rank = np.argsort(-many, kind="stable")
+    _, place, code = np.unique(block.hashes[words], return_index=True, return_inverse=True)
+    own = words[place]
+    a, size = block.starts[own], (block.ends - block.starts)[own]
+    # Words in the order of their first bytes, which compresses well.
+    head = np.zeros(len(own), np.uint64)
+    for j in range(8):
+        byte = block.data[np.minimum(a + j, len(block.data) - 1)].astype(np.uint64)
+        head = (head << np.uint64(8)) | np.where(j < size, byte, 0)
+    rank = np.argsort(head, kind="stable")
     to = np.empty(len(rank), np.int64)
     to[rank] = np.arange(len(rank))
-    own = words[place[rank]]
-    text = [block.data[a:b] for a, b in zip(block.starts[own].tolist(), block.ends[own].tolist(), strict=True)]
-    code = to[code].astype(np.uint16 if len(rank) < 1 << 16 else np.uint32)
+    a, size = a[rank], size[rank]
+    text = block.data[np.arange(size.sum()) + np.repeat(a - np.cumsum(size) + size, size)]
+    code = to[code].reshape(-1, window)
+    order = np.lexsort((code[:, 2], code[:, 1], code[:, 0]))
+    code = code[order].astype(np.uint16 if len(rank) < 1 << 16 else np.uint32)
     return pack(
-        numbers.astype(np.uint32), block.ids[block.doc[starts]], (block.ends - block.starts)[own].astype(np.uint32),
-        np.concatenate(text), code.reshape(-1, window).T.reshape(-1),
-    )
+        numbers[order].astype(np.uint32), block.ids[block.doc[starts[order]]], size.astype(np.uint32), text, code.T.reshape(-1)
+    )
 
 
 class SuffixTree:
@@ -88,12 +96,14 @@ class SuffixTree:
         for at in range(0, codes.shape[1], each):
             key = np.zeros(len(codes), np.int64)
             for j in range(at, min(at + each, codes.shape[1])):
-                key = (key << width) | codes[:, j]
+                key <<= width
+                key |= codes[:, j]
             keys.append(key)
         self.order = np.lexsort(keys[::-1])
         ordered = codes[self.order]
-        same = ordered[1:] == ordered[:-1]
-        self.common = np.where(same.all(axis=1), codes.shape[1], np.argmin(same, axis=1))
+        same = np.ones((max(0, len(codes) - 1), codes.shape[1] + 1), bool)
+        same[:, :-1] = ordered[1:] != ordered[:-1]
+        self.common = np.argmax(same, axis=1)  # the last column stops those that are equal
 
     def deep_nodes(self, depth: int) -> np.ndarray:
         """For each suffix in sorted order the number of its node of that depth, leaves included."""
@@ -115,6 +125,7 @@ def substring_dedup(
     """
     blocks, size = block_count(docs, block_bytes)
     bits = key_bits(size // 4)
+    groups = max(1, blocks // 3)  # a block sends a part of its suffixes only
     rows = packed(docs, blocks)
 
     def window_keys(block: Block) -> np.ndarray:
@@ -128,7 +139,7 @@ def substring_dedup(
         held = classes(right)[np.cumsum(np.diff(short, prepend=short[:1]) > 0)] if len(short) else np.empty(0, np.uint8)
         numbers = np.flatnonzero(held)
         starts = repeats.leader[numbers]
-        group = prefix_groups(block, starts, window, blocks)
+        group = prefix_groups(block, starts, window, groups)
         order = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1)) if len(order) else np.zeros(1, int)
         found = [
@@ -140,10 +151,10 @@ def substring_dedup(
     def subtree(table: pa.Table) -> pa.Table:
         parts = [unpack(p) for p in table["payload"].to_pylist()]
         words = pa.concat_arrays([binary(p[3], np.concatenate([[0], np.cumsum(p[2].astype(np.int64))])) for p in parts])
-        word = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+        word = words.dictionary_encode().indices.to_numpy()
         shift = np.concatenate([[0], np.cumsum([len(p[2]) for p in parts])])
         codes = np.concatenate(
-            [word[p[4].astype(np.int64) + s].reshape(window, -1).T for p, s in zip(parts, shift[:-1], strict=True)]
+            [word[s + p[4].astype(np.int64)].reshape(window, -1).T for p, s in zip(parts, shift[:-1], strict=True)]
         )
         doc = np.concatenate([p[1] for p in parts])
         tree = SuffixTree(codes)
