@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headway.llm.exact_dedup import exact_dedup
 from headway.llm.jaccard_join import jaccard_join
+from headway.llm.language_id import language_id
 from headway.llm.neighbours import nearest
 from headway.llm.shared import table
 from headway.llm.substring_dedup import substring_dedup
 from headway.llm.token_counts import token_counts
+from headway.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +115,13 @@ SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id FROM c LEFT JOIN n
 @registered("op10_jaccard_join", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@registered("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@registered("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
