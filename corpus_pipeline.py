@@ -1,22 +1,67 @@
-"""The corpus pipeline: language ID, exact and near duplicates, repeated passages, packing."""
+"""The corpus pipeline: language, exact and near duplicates, repeated passages, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that the stages before it kept.
+All but the last return the columns of docs.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headway.llm.exact_dedup import exact_dedup
+from headway.llm.jaccard_join import jaccard_join
+from headway.llm.language_id import keep_identified, train
+from headway.llm.packing import best_fit_packing
 from headway.llm.shared import stored, table
+from headway.llm.substring_dedup import substring_dedup
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is less than half certain, go."""
+    return keep_identified(docs, train(docs))
+
+
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs with one of the ids (column kept_id), a null one included."""
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id stays."""
-    kept = exact_dedup(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """Of equal texts the row with the smallest doc_id stays; of rows that repeat an id, one."""
+    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    once = Window.partitionBy("doc_id").orderBy("text")
+    rows = _with_ids(docs, kept).select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    return rows.withColumn("number", F.row_number().over(once)).filter("number = 1").select("row.*")
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are connected by near-duplicate links the one with the smallest id stays."""
+    found = jaccard_join(docs)
+    kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id"))
+    return _with_ids(docs, kept.distinct())
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated passages go out of the texts; n_chars follows."""
+    found = substring_dedup(docs).select(F.col("doc_id").alias("own_id"), F.col("kept_text").alias("own_text"))
+    rows = docs.drop("text").join(found, docs["doc_id"].eqNullSafe(found["own_id"])).withColumn("text", F.col("own_text"))
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document, or each piece of a long one, stands in a training sequence."""
+    return best_fit_packing(docs)
 
 
 STAGES = [
+    ("language ID", language_stage),
     ("exact dedup", exact_stage),
+    ("n-gram Jaccard join", near_stage),
+    ("substring dedup", passage_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 # Language ID is a trained model, which SQL cannot express.

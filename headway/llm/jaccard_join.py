@@ -127,9 +127,13 @@ def _find(parent: list[int], i: int) -> int:
     return i
 
 
-def linked_chunk(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
+def fingerprints(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, np.uint64)
+
+
+def linked_chunk(rows: list[dict], percent: int, decode: Callable[[bytes], np.ndarray]) -> Iterator[tuple[int, int]]:
     """Edges that connect what links connect among the documents of a chunk."""
-    sets = [np.frombuffer(r["shared"], np.uint64) for r in rows]
+    sets = [decode(r["shared"]) for r in rows]
     sizes = np.array([r["n"] for r in rows])
     parent = list(range(len(rows)))
     found = []
@@ -252,8 +256,13 @@ def _edges(rows: DataFrame, keys: list[str], work) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_group(keys, work), "a bigint, b bigint")
 
 
-def links(found: DataFrame, percent: int, chunk: int) -> DataFrame:
-    """(id, component) of the linked documents among distinct sets (columns of SETS)."""
+def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes], np.ndarray] = fingerprints) -> DataFrame:
+    """(id, component) of the linked documents among distinct sets.
+
+    found: doc_id, n (size of the set), shared (what decode makes the sorted elements of that may
+    occur elsewhere), held (their number), signature, and prefix, the keys one of which linked sets
+    have in common.
+    """
     entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")))
     hubs = entries.groupBy("shingle").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     best = F.max(F.struct("hits", (-F.col("hub")).alias("minus")))
@@ -267,8 +276,9 @@ def links(found: DataFrame, percent: int, chunk: int) -> DataFrame:
     members = home.join(size, "hub").select("doc_id", "hub", F.pmod(F.xxhash64("doc_id"), "chunks").alias("part"))
     heads = size.select(F.col("hub").alias("doc_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part"))
     sets = found.select("doc_id", "n", "shared", "signature")
+    light = found.select("doc_id", "n", "signature", "held")
     chunks = members.unionByName(heads).join(sets, "doc_id")
-    near = components(_edges(chunks, ["hub", "part"], lambda rows: linked_chunk(rows, percent)))
+    near = components(_edges(chunks, ["hub", "part"], lambda rows: linked_chunk(rows, percent, decode)))
     near = stored(near)
 
     # What the chunks could not see: groups of a prefix shingle in more than one component.
@@ -281,7 +291,6 @@ def links(found: DataFrame, percent: int, chunk: int) -> DataFrame:
         .agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("many"))
         .filter("p < q").select("shingle", F.ceil(F.col("many") / (8 * chunk)).alias("chunks"))
     )
-    light = found.select("doc_id", "n", "signature", (F.octet_length("shared") / 8).cast("bigint").alias("held"))
     part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks"))
     spread = (
         labelled.join(open_, "shingle").withColumn("side", part)
@@ -298,7 +307,7 @@ def links(found: DataFrame, percent: int, chunk: int) -> DataFrame:
             rows = batch.to_pylist()
             good = []
             for r in rows:
-                both = np.intersect1d(np.frombuffer(r["set_a"], np.uint64), np.frombuffer(r["set_b"], np.uint64), assume_unique=True)
+                both = np.intersect1d(decode(r["set_a"]), decode(r["set_b"]), assume_unique=True)
                 if (100 + percent) * len(both) >= percent * (r["n_a"] + r["n_b"]):
                     good.append((r["a"], r["b"]))
             if good:
@@ -329,7 +338,7 @@ def jaccard_join(
     leaders = stored(alive.groupBy(*key).agg(F.min("doc_id").alias("leader")))
     # One row of each set: the leader's, once even if its row is repeated.
     found = alive.join(leaders.withColumnRenamed("leader", "doc_id"), [*key, "doc_id"], "left_semi")
-    once = stored(found.dropDuplicates([*key, "doc_id"]))
+    once = stored(found.dropDuplicates([*key, "doc_id"]).withColumn("held", (F.octet_length("shared") / 8).cast("bigint")))
     labels = links(once, percent, chunk)
     of_set = leaders.join(labels, leaders.leader == labels.id, "left").select(
         *key, F.coalesce("component", "leader").alias("component")

@@ -226,3 +226,14 @@ def language_id(docs: DataFrame, fold: int = 2, of: int = 4, max_rows: int = 600
     held = held_out(fold, of)
     model = train(docs.filter(~held), max_rows)
     return identify(docs, model, held)
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The rows of docs, all columns, whose language is known with a score of `least` or more."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", BATCH_BYTES):
+            names, score = model.predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array((np.array(names) != UNKNOWN) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

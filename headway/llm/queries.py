@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from headway.llm.exact_dedup import exact_dedup
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.language_id import language_id
+from headway.llm.line_dedup import line_dedup
 from headway.llm.neighbours import nearest
+from headway.llm.packing import best_fit_packing
+from headway.llm.pieces import piece_counts
 from headway.llm.shared import table
 from headway.llm.substring_dedup import substring_dedup
 from headway.llm.token_counts import token_counts
@@ -125,3 +128,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
+@registered("op5_pieces")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@registered("op7_best_fit_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"))

@@ -117,7 +117,7 @@ def substring_dedup(
 
     Words are the runs of other bytes than 0x20 and 0x09-0x0D, unchanged. Returns a row for each
     document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space),
-    kept_text (these words; null unless with_text) and repeats (the maximal runs of removed words,
+    kept_text (these words, or the whole text where none goes; null unless with_text) and repeats (the maximal runs of removed words,
     as word numbers, end excluded). Windows are judged on the input. A null text has no words; a
     null doc_id counts as larger than all others; rows that repeat a doc_id are one document as to
     what is smaller, and each gets a row. Texts shorter than a window keep all words. Only doc_id
@@ -194,7 +194,8 @@ def substring_dedup(
                 own = [w for w, x in zip(own, out.tolist(), strict=True) if not x]
             kept = b" ".join(own)
             digests.append(hashlib.sha256(kept).hexdigest())
-            texts.append(kept.decode("utf-8", "replace") if with_text else None)
+            left = kept if n_removed[i] else block.text(i)
+            texts.append(left.decode("utf-8", "replace") if with_text else None)
             spans.append(runs)
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
         return pa.table([ids, pa.array(np.diff(block.first)), pa.array(n_removed), pa.array(digests), pa.array(texts, pa.string()), pa.array(spans, RESULT.field("repeats").type)], schema=RESULT)
