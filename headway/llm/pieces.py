@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from bisect import insort
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.blocks import binary
+from headway.llm.blocks import binary, distinct
 from headway.llm.shared import sliced
 
 MARK = "▁"
@@ -54,7 +55,9 @@ class Vocabulary:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.score[piece] = (model.get_score(i), i)
         self.unknown = model.unk_id()
-        self.longest = max(map(len, self.score), default=1)
+        # Beginnings of pieces, with the score and id of those that are pieces.
+        self.prefix: dict[str, tuple[float, int] | None] = {p[:i]: None for p in self.score for i in range(1, len(p))}
+        self.prefix.update(self.score)
         # Characters of longer pieces by number, and which stand next to each other in one.
         pairs = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
         chars = sorted({c for pair in pairs for c in pair})
@@ -72,36 +75,60 @@ class Vocabulary:
         Where no piece is a single character, its bytes stand for it.
         """
         size = len(text)
-        into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
+        get = self.prefix.get
+        into: list[list[tuple[int, tuple[float, object]]]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-np.inf] * size
-        get, longest = self.score.get, self.longest
         for at in range(size):
-            here, single = best[at], False
-            for end in range(at + 1, min(size, at + longest) + 1):
-                known = get(text[at:end])
+            here, single, end = best[at], False, at + 1
+            while end <= size:
+                known = get(text[at:end], 0)
                 if known:
-                    single = single or end == at + 1
-                    into[end].append((at, known[0], (known[1],)))
+                    into[end].append((at, known))
                     if here + known[0] > best[end]:
                         best[end] = here + known[0]
+                    if end == at + 1:
+                        single = True
+                elif known == 0:  # no piece goes on like this
+                    break
+                end += 1
             if not single:
                 ids = tuple(self.byte.get(b, self.unknown) for b in text[at].encode("utf-8", "replace"))
-                into[at + 1].append((at, BYTE_SCORE * len(ids), ids))
+                into[at + 1].append((at, (BYTE_SCORE * len(ids), ids)))
                 best[at + 1] = max(best[at + 1], here + BYTE_SCORE * len(ids))
-        # A state is a path from some place to the end; best[place] is exactly what it lacks.
-        queue = [(-best[size], (), size, 0.0)]
+        # A state is a path from some place to the end; best[place] is exactly what it lacks, so a
+        # state stands for one path of its score at least, and those in the queue share no path. What
+        # is worse than n of them is left out. Ties in the queue are broken by a running number.
+        number = 0
+        queue = [(-best[size], 0, size, 0.0, None)]
+        top = [-best[size]]
         done: list[tuple[float, tuple[int, ...]]] = []
         pop, push = heapq.heappop, heapq.heappush
         while queue:
-            minus, ids, at, behind = pop(queue)
-            if len(done) >= n and -minus < done[n - 1][0]:
+            minus, _, at, behind, path = pop(queue)
+            if minus > top[-1] and len(top) == n:
                 break
             if at == 0:
-                done.append((behind, ids))
+                ids = []
+                while path:
+                    own, path = path
+                    ids += own if type(own) is tuple else (own,)
+                done.append((behind, tuple(ids)))
                 continue
-            for start, score, own in into[at]:
+            same = False  # one child has its parent's score, which is in top already
+            for start, (score, own) in into[at]:
                 score += behind
-                push(queue, (-(best[start] + score), own + ids, start, score))
+                f = -(best[start] + score)
+                if f == minus and not same:
+                    same = True
+                elif len(top) < n:
+                    insort(top, f)
+                elif f < top[-1]:
+                    insort(top, f)
+                    top.pop()
+                elif f > top[-1]:
+                    continue
+                number += 1
+                push(queue, (f, number, start, score, (own, path)))
         return sorted(done, key=lambda x: (-x[0], x[1]))[:n]
 
     def cuts(self, codes: np.ndarray) -> np.ndarray:
@@ -109,12 +136,14 @@ class Vocabulary:
         number = self.number[codes]
         return np.flatnonzero(~self.together[number[:-1], number[1:]]) + 1
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of ids; the blank that encoding puts in front is taken off."""
-        out = b"".join(
+    def bytes_of(self, ids: Iterable[int]) -> bytes:
+        return b"".join(
             self.value[i] if i in self.value else self.piece[i].replace(MARK, " ").encode() for i in ids if i not in self.special
         )
-        text = out.decode("utf-8", "replace")
+
+    def decode(self, ids: Iterable[int]) -> str:
+        """The text of ids; the blank that encoding puts in front is taken off."""
+        text = self.bytes_of(ids).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -147,7 +176,7 @@ class Found(NamedTuple):
 class Encoder:
     """N-best encoding that remembers parts: the latest ones, between `held` and twice as many."""
 
-    def __init__(self, path: str, n: int, held: int = 250_000):
+    def __init__(self, path: str, n: int, held: int = 350_000):
         self.words, self.n, self.held = Vocabulary(path), n, held
         self.new: dict[bytes, Found] = {}
         self.old: dict[bytes, Found] = {}
@@ -174,8 +203,9 @@ class Encoder:
                 text = part.decode("utf-8", "replace")
                 best = self.words.nbest(text, self.n)
                 ids = best[0][1]
-                plain = " " + text.replace(MARK, " ")  # decoding takes one blank off
-                whole = plain[1:] == self.words.decode((self.words.score[MARK][1], *ids) if MARK in self.words.score else ids)
+                whole = text == "".join([self.words.piece[i] for i in ids])
+                if not whole:  # bytes, which only decoding puts together
+                    whole = text.replace(MARK, " ") == self.words.bytes_of(ids).decode("utf-8", "replace")
                 found = Found(tuple(s for s, _ in best), len(ids), np.array(ids, "<i4").tobytes(), whole)
             if len(self.new) >= self.held:
                 self.old, self.new = self.new, {}
@@ -189,7 +219,7 @@ class Encoder:
         whole = "".join(normal)
         codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         docs = np.concatenate([[0], np.cumsum(size)])
-        places = np.union1d(self.words.cuts(codes), docs)
+        places = distinct(np.concatenate([self.words.cuts(codes), docs]))
         # From characters to bytes.
         width = 1 + (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
         at = np.concatenate([[0], np.cumsum(width)])

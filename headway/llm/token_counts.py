@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from headway.llm.blocks import distinct
 from headway.llm.shared import sliced
 
 # A single space or line feed between two characters that are certainly no white space. The
@@ -42,7 +43,7 @@ def cuts_bytes(data: np.ndarray) -> np.ndarray:
     begins = plain | lead
     gap = (data == 0x20) | (data == 0x0A)
     alone = np.flatnonzero(gap[1:-1] & ends[:-2] & begins[2:]) + 1
-    return np.union1d(alone, alone[data[alone] == 0x0A] + 1)
+    return distinct(np.concatenate([alone, alone[data[alone] == 0x0A] + 1]))
 
 
 class Counter:
@@ -109,7 +110,7 @@ class Counter:
     def short(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of texts that lie behind one another in data."""
         cut = cuts_bytes(data) if self.stable else np.empty(0, np.int64)
-        edges = np.union1d(cut, offsets)
+        edges = distinct(np.concatenate([cut, offsets]))
         if len(edges) < 2:
             return np.zeros(len(offsets) - 1, np.int64)
         units = pa.Array.from_buffers(
