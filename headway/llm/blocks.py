@@ -58,6 +58,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values, axis=None)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary array over a buffer of bytes."""
     return pa.Array.from_buffers(
@@ -76,7 +82,7 @@ def bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """The documents of a block by doc_id, and their words: runs without white space."""
 
-    def __init__(self, payloads: Iterable[bytes], lower: bool = False):
+    def __init__(self, payloads: Iterable[bytes], lower: bool = False, hashed: bool = True):
         parts = [unpack(p) for p in payloads]
         ids = np.concatenate([p[0] for p in parts])
         texts = pa.concat_arrays([binary(p[2], np.concatenate([[0], np.cumsum(p[1])])) for p in parts])
@@ -93,7 +99,7 @@ class Block:
         self.ends = edge[space[edge]]
         self.first = np.searchsorted(self.starts, self.offsets)  # first word of each document
         self.doc = np.repeat(np.arange(len(self.ids)), np.diff(self.first))
-        self.hashes = self._hashes(_LOWER[self.data] if lower else self.data)
+        self.hashes = self._hashes(_LOWER[self.data] if lower else self.data) if hashed else None
 
     def _hashes(self, data: np.ndarray) -> np.ndarray:
         """A 64-bit fingerprint of each word, by pieces of about a MB."""
@@ -171,7 +177,8 @@ def _edges(ranges: int, bits: int) -> np.ndarray:
 
 
 def holders(
-    rows: DataFrame, keys_of: Callable[[Block], np.ndarray], ranges: int, bits: int, lower: bool = False
+    rows: DataFrame, keys_of: Callable[[Block], np.ndarray], ranges: int, bits: int, lower: bool = False,
+    hashed: bool = True,
 ) -> DataFrame:
     """(block, part, payload): for each block and key range the class of its sorted distinct keys.
 
@@ -181,7 +188,7 @@ def holders(
 
     def send(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        keys = np.unique(shortened(keys_of(Block(table["payload"].to_pylist(), lower)), bits))
+        keys = distinct(shortened(keys_of(Block(table["payload"].to_pylist(), lower, hashed)), bits))
         found = []
         for part, own in enumerate(np.split(keys, np.searchsorted(keys, _edges(ranges, bits)))):
             if len(own):

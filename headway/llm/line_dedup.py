@@ -10,6 +10,7 @@ components by the distributed union-find, and each component keeps its first lin
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +21,11 @@ from headway.llm.blocks import BLOCK_BYTES, NO_ID, SPACE, Block, block_count, cl
 from headway.llm.jaccard_join import links, signature
 from headway.llm.shared import stored
 
-SHINGLE = 5
-BANDS, ROWS = 12, 3  # a pair of similarity 0.75 shares a band with a chance of 0.998
+# Long shingles and four rows a band: lines that merely share syllables hardly ever share a band.
+SHINGLE = 9
+BANDS, ROWS = 18, 4  # a pair of similarity 0.75 shares a band with a chance of 0.998
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_EMPTY = np.uint32(0xFFFFFFFF)
 LINES = pa.schema(
     [
         ("block", pa.int32()), ("number", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int64()), ("digest", pa.binary()),
@@ -48,6 +51,20 @@ def shingle_set(text: bytes) -> np.ndarray:
     return np.unique(rolled(codes, size))
 
 
+def short_hashes(codes: np.ndarray) -> np.ndarray:
+    """A 32-bit hash of every run of SHINGLE code points, for signatures."""
+    if len(codes) < SHINGLE:
+        return np.zeros(1, np.uint32)
+    step = np.uint32(0x9E3779B1)
+    value = np.zeros(len(codes) - SHINGLE + 1, np.uint32)
+    for j in range(SHINGLE):
+        value *= step
+        value += codes[j : j + len(value)]
+    value ^= value >> np.uint32(15)
+    value *= np.uint32(0x85EBCA6B)
+    return value ^ (value >> np.uint32(13))
+
+
 class Lines:
     """The lines of a block without white space around them; empty ones are not listed."""
 
@@ -73,34 +90,35 @@ class Lines:
         if not len(self.start):
             return np.empty((0, bands), np.uint64)
         # Code points by their first bytes; a line's shingles lie within it.
-        lead = (self.data & 0xC0) != 0x80
-        at = np.cumsum(lead) - 1
+        at = np.cumsum((self.data & 0xC0) != 0x80, dtype=np.int64) - 1
         codes = np.frombuffer(self.data.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
         a, size = at[self.start], at[self.stop - 1] - at[self.start] + 1
         grams = np.maximum(size - SHINGLE + 1, 1)
-        value = rolled(codes, SHINGLE)
-        found = np.full(len(a) * bins, np.iinfo(np.uint64).max, np.uint64)
+        value = short_hashes(codes)
+        found = np.full(len(a) * bins, _EMPTY, np.uint32)
+        ends = np.cumsum(grams)
         low = 0
-        while low < len(a):  # by pieces of about 2M shingles
-            high = max(low + 1, int(np.searchsorted(np.cumsum(grams[low:]), 2 << 20)) + low)
+        while low < len(a):  # by pieces of about 1M shingles
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] + (1 << 20))))
             own = grams[low:high]
-            index = np.arange(own.sum()) + np.repeat(a[low:high] - np.cumsum(own) + own, own)
-            v = value[np.minimum(index, len(value) - 1)] if len(value) else np.zeros(len(index), np.uint64)
+            first = np.cumsum(own) - own
+            v = value[np.minimum(np.arange(own.sum()) + np.repeat(a[low:high] - first, own), len(value) - 1)]
             short = np.flatnonzero(size[low:high] < SHINGLE)
             if len(short):
-                first = np.cumsum(own) - own
-                v[first[short]] = [shingle_set(self.text(low + i))[0] for i in short.tolist()]
-            slot = np.repeat(np.arange(low, high), own) * bins + ((v >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-            np.minimum.at(found, slot, v)
+                v[first[short]] = [zlib.crc32(self.text(low + i)) for i in short.tolist()]
+            slot = ((v.astype(np.uint64) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+            np.minimum.at(found, slot + np.repeat(np.arange(low, high) * bins, own), v)
             low = high
         found = found.reshape(-1, bins)
-        free = found == np.iinfo(np.uint64).max
-        while free.any():  # an empty bin takes its neighbour's value, marked as borrowed
-            found = np.where(free, mixed(np.roll(found, -1, axis=1) + _STEP), found)
-            free &= np.roll(free, -1, axis=1)
+        # An empty bin borrows from the next one that is not, marked with the distance.
+        bin_ = np.arange(bins)
+        after = np.where(found == _EMPTY, 2 * bins, bin_)
+        after = np.minimum.accumulate(np.hstack([after, after + bins])[:, ::-1], axis=1)[:, ::-1][:, :bins]
+        value = np.take_along_axis(found, after % bins, 1).astype(np.uint64)
+        value |= (after - bin_).astype(np.uint64) << np.uint64(32)
         key = np.broadcast_to(np.arange(bands, dtype=np.uint64) * _STEP, (len(found), bands)).copy()
         for r in range(rows):
-            key = mixed(key * _STEP + found[:, r::rows])
+            key = mixed(key * _STEP + value[:, r::rows])
         return key
 
     def text(self, i: int) -> bytes:
@@ -113,7 +131,7 @@ def line_dedup(
     """Of each component of similar lines keep the first, by doc_id and line number.
 
     Lines end at line feeds; white space around a line does not count, and blank lines always stay.
-    Two lines are linked if the Jaccard similarity of their sets of 5-character shingles is at least
+    Two lines are linked if the Jaccard similarity of their sets of 9-character shingles is at least
     percent / 100; bands find such a pair with a chance of 0.998 or more. Returns a row for each
     document: doc_id, n_lines, n_removed, kept_sha256 of the kept lines joined by line feeds, and
     kept_text (null unless with_text). A null text counts as empty: one blank line. A null
@@ -129,11 +147,16 @@ def line_dedup(
 
     def similar(left: pa.Table, right: pa.Table) -> pa.Table:
         number = left["block"][0].as_py()
-        lines = Lines(block := Block(left["payload"].to_pylist()))
+        lines = Lines(block := Block(left["payload"].to_pylist(), hashed=False))
         keys = lines.keys()
-        short, place, many = np.unique(shortened(keys.reshape(-1), bits), return_inverse=True, return_counts=True)
-        place = place.reshape(keys.shape)
-        shared = (classes(right)[place] > 0) | (many[place] > 1) if len(short) else np.zeros(keys.shape, bool)
+        short = shortened(keys.reshape(-1), bits)
+        order = np.argsort(short)
+        starts = np.flatnonzero(np.diff(short[order], prepend=short[order[:1]] + np.uint64(1)))
+        many = np.diff(starts, append=len(short))
+        shared = np.zeros(len(short), bool)
+        if len(short):
+            shared[order] = np.repeat((classes(right) > 0) | (many > 1), many)
+        shared = shared.reshape(keys.shape)
         seen: dict[bytes, int] = {}
         for i in np.flatnonzero(shared.any(axis=1)).tolist():
             seen.setdefault(lines.text(i), i)
@@ -145,12 +168,13 @@ def line_dedup(
         return pa.Table.from_batches([pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), LINES, strict=True)], schema=LINES)] if found else [], schema=LINES)
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        lines = Lines(block := Block(left["payload"].to_pylist()))
+        lines = Lines(block := Block(left["payload"].to_pylist(), hashed=False))
         # Every line of a text in question goes, unless it is the one that its component keeps.
         keeper = {lines.text(i): (d, n) for i, d, n in zip(*(right[c].to_pylist() for c in ("number", "keep_doc", "keep_line")), strict=True)}
         gone = np.zeros(len(lines.all_stop), bool)
         if keeper:
-            for i in range(len(lines.start)):
+            sizes = {len(t) for t in keeper}
+            for i in np.flatnonzero(np.isin(lines.stop - lines.start, list(sizes))).tolist():
                 kept = keeper.get(lines.text(i))
                 if kept is not None and kept != (block.ids[lines.doc[i]], lines.line[i]):
                     gone[lines.place[i]] = True
@@ -165,7 +189,7 @@ def line_dedup(
         ids = pa.array(block.ids, mask=block.ids == NO_ID)
         return pa.table([ids, *(pa.array(c, f.type) for c, f in zip(columns, list(RESULT)[1:], strict=True))], schema=RESULT)
 
-    held = holders(rows, band_keys, blocks, bits)
+    held = holders(rows, band_keys, blocks, bits, hashed=False)
     found = stored(rows.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(similar, LINES_DDL))
     first = F.min(F.struct("doc_id", "line")).alias("first")
     same = [F.any_value(c).alias(c) for c in ("shared", "n", "signature")]
