@@ -123,16 +123,11 @@ PRIORITY = (
     "'099','99','R1','R2','R3','R4','R5','009','9','014','14','025','25','041','41','049','49',"
     "'003','3','008','8','019','19','020','20'"
 )
-CTES["g_near"] = f"""
-    WITH cells AS (SELECT * FROM g_grid WHERE level IN ('HIGH', 'MEDIUM')
-                   ORDER BY lat, lon LIMIT 30)
-    SELECT * EXCLUDE (place)
-    FROM (SELECT c.lat, c.lon, c.level, c.avg_speed, s.*,
-                 ROW_NUMBER() OVER (PARTITION BY c.lat, c.lon
-                                    ORDER BY shape_id, shape_pt_sequence, route_id) AS place
-          FROM cells c JOIN g_route_segments s
-            ON ABS(s.origin_lat - c.lat) < 0.006e0 AND ABS(s.origin_lon - c.lon) < 0.006e0)
-    WHERE place <= 3"""
+CTES["g_near"] = """
+    SELECT c.lat, c.lon, c.level, c.avg_speed, s.*
+    FROM g_grid c JOIN g_route_segments s
+      ON ABS(s.origin_lat - c.lat) < 0.006e0 AND ABS(s.origin_lon - c.lon) < 0.006e0
+    WHERE c.level IN ('HIGH', 'MEDIUM')"""
 CORRIDOR_COLUMNS = """
            'route_' || route_short_name || '_seg_' || number AS corridor_id,
            route_short_name || ' ' || route_long_name || ' (segment ' || number || ')'
@@ -191,11 +186,9 @@ def _(t):
 
 @query("label_vehicles", """
     SELECT event_id, route_id, COALESCE(route_short_name, route_id) AS route
-    FROM g_positions LEFT JOIN (SELECT route_id, route_short_name FROM g_routes
-                                WHERE route_type <> 2) USING (route_id)""")
+    FROM g_positions LEFT JOIN g_routes USING (route_id)""")
 def _(t):
-    known = t.routes.filter("route_type <> 2")
-    return label_vehicles(t.positions.drop("route"), known).select("event_id", "route_id", "route")
+    return label_vehicles(t.positions.drop("route"), t.routes).select("event_id", "route_id", "route")
 
 
 @query("latest_positions", """
@@ -236,15 +229,15 @@ def _(t):
 CTES["g_painted"] = f"""
     WITH corners AS (
         SELECT *, GREATEST(1, size // 30) AS step FROM g_placed)
-    SELECT route_short_name AS route, a.shape_id, a.position // a.step AS piece,
+    SELECT lpad(l.route_id, 3, '0') AS route, a.shape_id, a.position // a.step AS piece,
            a.shape_pt_lon AS start_lon, a.shape_pt_lat AS start_lat,
            b.shape_pt_lon AS end_lon, b.shape_pt_lat AS end_lat,
            {LEVEL.format("avg_speed")} AS level,
            {rounded("avg_speed", 1)} || ' km/h' AS speed, 'bus_route' AS source, samples
     FROM corners a
     JOIN corners b ON b.shape_id = a.shape_id AND b.position = a.position + a.step
-    JOIN g_longest l ON l.shape_id = a.shape_id JOIN g_routes r ON r.route_id = l.route_id
-    JOIN g_route_speeds v ON v.route = r.route_short_name
+    JOIN g_longest l ON l.shape_id = a.shape_id
+    JOIN g_route_speeds v ON v.route = lpad(l.route_id, 3, '0')
     WHERE a.position % a.step = 0"""
 
 
@@ -286,18 +279,18 @@ def _(t):
 
 
 @query("stratified_sample", """
-    WITH placed AS (
+    WITH named AS (SELECT * REPLACE (COALESCE(route_short_name, 'unknown') AS route_short_name)
+                   FROM g_route_segments),
+    placed AS (
         SELECT shape_id, shape_pt_sequence, route_short_name,
                ROW_NUMBER() OVER own - 1 AS position,
                COUNT(*) OVER (PARTITION BY route_short_name) AS n,
-               GREATEST(1, 40 // (SELECT COUNT(DISTINCT route_short_name)
-                                  FROM g_route_segments)) AS share
-        FROM g_route_segments
+               GREATEST(1, 40 // (SELECT COUNT(DISTINCT route_short_name) FROM named)) AS share
+        FROM named
         WINDOW own AS (PARTITION BY route_short_name ORDER BY shape_id, shape_pt_sequence)),
     strided AS (SELECT *, GREATEST(1, n // LEAST(share, n)) AS stride FROM placed)
     SELECT route_short_name, shape_id, shape_pt_sequence FROM strided
-    WHERE position % stride = 0 AND position // stride < share
-    ORDER BY route_short_name, shape_id, shape_pt_sequence LIMIT 40""")
+    WHERE position % stride = 0 AND position // stride < share""")
 def _(t):
     return stratified_sample(
         t.route_segments, "route_short_name", "shape_pt_sequence", major=["shape_id"], cap=40
@@ -354,7 +347,7 @@ def _(t):
         WHERE points >= 4)
     SELECT {CORRIDOR_COLUMNS}, {rounded("km", 2)} AS distance_km FROM joined WHERE km >= 0.3""")
 def _(t):
-    return flattened(corridors_from_shapes(t.shapes, t.trips, t.routes))
+    return flattened(corridors_from_shapes(t.feed_shapes, t.feed_trips, t.routes))
 
 
 @query("corridors_from_waypoints", f"""
@@ -388,7 +381,7 @@ def _(t):
                 WHEN 4 THEN 'ferry' ELSE 'bus' END AS corridor_type, COUNT(*) AS segments
     FROM joined WHERE km >= 0.3 GROUP BY 1""")
 def _(t):
-    return corridors_by_type(corridors_from_shapes(t.shapes, t.trips, t.routes))
+    return corridors_by_type(corridors_from_shapes(t.feed_shapes, t.feed_trips, t.routes))
 
 
 @query("corridor_names", """
@@ -489,9 +482,7 @@ def _(t):
       ON ABS(s.origin_lat - c.lat) < 0.006e0 AND ABS(s.origin_lon - c.lon) < 0.006e0
     GROUP BY 1, 2""")
 def _(t):
-    near = segments_near_cells(
-        t.grid.select("lat", "lon"), t.route_segments, [], per_cell=None, max_cells=None
-    )
+    near = segments_near_cells(t.grid.select("lat", "lon"), t.route_segments, [])
     return near.groupBy("lat", "lon").agg(F.count("*").alias("segments"))
 
 
@@ -520,7 +511,7 @@ def _(t):
             FROM g_near) WHERE place = 1)
     SELECT origin_lat, origin_lon, dest_lat, dest_lon, route_short_name AS route_name,
            level AS trigger, avg_speed AS bus_speed
-    FROM once ORDER BY lat, lon, shape_id, shape_pt_sequence, route_id LIMIT 50""")
+    FROM once""")
 def _(t):
     return slow_corridor_targets(t.grid, t.route_segments)
 
@@ -541,8 +532,10 @@ def _(t):
 
 
 CTES["g_traffic_segments"] = """
-    WITH points AS (SELECT * FROM (VALUES (0, 38.5e0, -120.2e0), (1, 40.7e0, -120.95e0),
-                                          (2, 43.252e0, -126.453e0)) AS p(i, lat, lon)),
+    WITH known AS (SELECT * FROM (VALUES (0, 38.5e0, -120.2e0), (1, 40.7e0, -120.95e0),
+                                         (2, 43.252e0, -126.453e0)) AS p(i, lat, lon)),
+    -- Three points, none, two, and a text that is no polyline.
+    points AS (SELECT kind, known.* FROM known, (VALUES (0, 3), (2, 2)) AS k(kind, size) WHERE i < size),
     routes AS (
         SELECT *, api_response_json -> '$.routes[0]' AS route FROM g_responses),
     listed AS (
@@ -566,7 +559,8 @@ CTES["g_traffic_segments"] = """
            COALESCE(b.lat, a.lat) AS end_lat, COALESCE(b.lon, a.lon) AS end_lon,
            CASE WHEN jam > 0.3 THEN 'HIGH' WHEN slow > 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS level,
            COALESCE(reading ->> 'speed', 'NORMAL') AS speed, 1 AS samples
-    FROM bounds LEFT JOIN points a ON a.i = si LEFT JOIN points b ON b.i = COALESCE(ei, si + 1)
+    FROM bounds LEFT JOIN points a ON a.i = si AND a.kind = event_id % 4
+    LEFT JOIN points b ON b.i = COALESCE(ei, si + 1) AND b.kind = event_id % 4
     UNION ALL
     SELECT event_id, duration, distance, 0, origin_lat, origin_lon, dest_lat, dest_lon, 'LOW',
            'UNKNOWN', 1

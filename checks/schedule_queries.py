@@ -305,7 +305,7 @@ def _(t):
 @query("route_frequency", f"""
     SELECT route_short_name AS route_name, route_id, COUNT(DISTINCT trip_id) AS trips,
            COUNT(DISTINCT stop_id) AS stops_served, MIN(shape_id) AS sample_shape_id
-    FROM g_calls WHERE {HOUR.format("departure_time")} = 8 GROUP BY 1, 2""")
+    FROM g_calls WHERE {HOUR.format("departure_time")} = 8 AND route_short_name IS NOT NULL GROUP BY 1, 2""")
 def _(t):
     return route_frequency(t.calls, 8)
 
@@ -422,11 +422,11 @@ def _(t):
 
 @query("route_polylines", f"""
     WITH lines AS (SELECT shape_id, {POINTS} AS points FROM g_shapes GROUP BY 1)
-    SELECT shape_id, 0 AS part, route_short_name, route_long_name, route_type,
+    SELECT shape_id, route_short_name, route_long_name, route_type,
            COALESCE(NULLIF(route_color, ''), '0000FF') AS route_color, points
     FROM lines JOIN g_bridge USING (shape_id)""")
 def _(t):
-    return route_polylines(t.shapes, t.trips, t.routes).withColumn(
+    return route_polylines(t.feed_shapes, t.feed_trips, t.routes).withColumn(
         "points", points_text(F.col("coordinates"))
     ).drop("coordinates")
 

@@ -55,7 +55,7 @@ def _(t):
     WITH busiest AS (
         SELECT route_short_name AS route, route_id, COUNT(DISTINCT trip_id) AS trips_per_hour,
                COUNT(DISTINCT stop_id) AS stops_served, MIN(shape_id) AS shape_id
-        FROM g_calls WHERE {HOUR.format("departure_time")} = 8
+        FROM g_calls WHERE {HOUR.format("departure_time")} = 8 AND route_short_name IS NOT NULL
         GROUP BY 1, 2 ORDER BY trips_per_hour DESC, route, route_id LIMIT 10),
     hourly AS (
         SELECT route_id, {HOUR.format("departure_time")} AS hour,
@@ -90,13 +90,13 @@ def near(side: str) -> str:
 CTES["g_departures"] = f"""
     WITH os AS ({near("origin")}), ds AS ({near("dest")}),
     pairs AS (
-        SELECT os.request_id, o.route_short_name AS route, o.route_id, o.trip_id,
+        SELECT os.request_id, COALESCE(o.route_short_name, o.route_id) AS route, o.route_id, o.trip_id,
                o.departure_time AS board_time, d.arrival_time AS alight_time,
                os.stop_name AS board_stop, ds.stop_name AS alight_stop,
                os.stop_lat AS board_lat, os.stop_lon AS board_lon,
                ds.stop_lat AS alight_lat, ds.stop_lon AS alight_lon,
                ROW_NUMBER() OVER (
-                   PARTITION BY os.request_id, o.route_short_name, o.departure_time
+                   PARTITION BY os.request_id, COALESCE(o.route_short_name, o.route_id), o.departure_time
                    ORDER BY o.trip_id, o.stop_sequence, o.stop_id, d.stop_sequence, d.stop_id)
                    AS place
         FROM g_calls o JOIN os ON os.stop_id = o.stop_id
@@ -113,13 +113,11 @@ def _(t):
 
 
 @query("trip_plan", f"""
-    WITH shown AS (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id ORDER BY route, board_time) AS nth
-        FROM g_departures),
-    first AS (
-        SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id, route ORDER BY board_time) AS place
-        FROM shown WHERE nth <= 20)
-    SELECT * EXCLUDE (nth, place),
+    WITH first AS (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY request_id, route
+                                     ORDER BY {SECONDS.format("board_time")}, board_time) AS place
+        FROM g_departures)
+    SELECT * EXCLUDE (place),
            {rounded(f"GREATEST(({SECONDS.format('alight_time')}) - "
                     f"({SECONDS.format('board_time')}), 0) / 60", 1)} AS duration_min
     FROM first WHERE place = 1""")

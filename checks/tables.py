@@ -21,7 +21,7 @@ from headway.plans.predict import hourly_profiles, seasonal_factors
 from headway.plans.schedule import route_segments, scheduled_times
 from headway.plans.traffic import schedule_vs_actual, traffic_readings
 
-SNAPSHOT_DATE = "2024-01-12"
+SNAPSHOT_DATE, OLDER_DATE = "2024-01-12", "2024-01-05"
 
 
 def _clock(seconds: str) -> str:
@@ -37,7 +37,8 @@ def _clock(seconds: str) -> str:
 VIEWS: dict[str, str] = {
     "g_routes": """
         SELECT CAST(n_nationkey AS STRING) AS route_id,
-               lpad(CAST(n_nationkey AS STRING), 3, '0') AS route_short_name,
+               CASE WHEN n_nationkey <> 23 THEN lpad(CAST(n_nationkey AS STRING), 3, '0') END
+                   AS route_short_name,
                n_name AS route_long_name, n_nationkey % 5 AS route_type,
                CASE n_regionkey WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'FF000' || n_regionkey END
                    AS route_color
@@ -116,7 +117,9 @@ VIEWS: dict[str, str] = {
                '{"routes":[{"duration":"' || CAST(300 + event_id % 700 AS STRING)
                || 's","staticDuration":"' || CAST(event_id % 500 AS STRING)
                || 's","distanceMeters":' || CAST(500 + event_id % 5000 AS STRING)
-               || ',"polyline":{"encodedPolyline":"_p~iF~ps|U_ulLnnqC_mqNvxq`@"}'
+               || ',"polyline":{"encodedPolyline":"'
+               || CASE event_id % 4 WHEN 0 THEN '_p~iF~ps|U_ulLnnqC_mqNvxq`@' WHEN 1 THEN ''
+                       WHEN 2 THEN '_p~iF~ps|U_ulLnnqC' ELSE '_p~iF~ps|Ué' END || '"}'
                || CASE WHEN event_type = 'view' THEN '' ELSE
                   ',"travelAdvisory":{"speedReadingIntervals":['
                   || '{"endPolylinePointIndex":1,"speed":"'
@@ -144,6 +147,29 @@ VIEWS: dict[str, str] = {
 }
 
 
+# Feeds of two snapshots: the newest one, and an older one with other times, trips and points.
+def _dated(name: str, columns: str, older: str) -> str:
+    newest = f"SELECT {columns}, '{SNAPSHOT_DATE}' AS gtfs_snapshot_date FROM ({VIEWS[name]}) AS now"
+    return f"{newest} UNION ALL SELECT {older}, '{OLDER_DATE}' FROM ({VIEWS[name]}) AS before"
+
+
+VIEWS["g_feed_stop_times"] = _dated(
+    "g_stop_times",
+    "trip_id, stop_sequence, stop_id, arrival_time, departure_time, shape_dist_traveled",
+    "trip_id, stop_sequence + 1, stop_id, arrival_time, '04:00:00', shape_dist_traveled + 1e0",
+)
+VIEWS["g_feed_trips"] = _dated(
+    "g_trips",
+    "trip_id, route_id, shape_id, service_id, trip_headsign, direction_id",
+    "trip_id, CAST((direction_id + 3) % 25 AS STRING), shape_id, service_id, 'old', direction_id",
+)
+VIEWS["g_feed_shapes"] = _dated(
+    "g_shapes",
+    "shape_id, shape_pt_sequence, shape_pt_lat, shape_pt_lon, shape_dist_traveled",
+    "shape_id, shape_pt_sequence, shape_pt_lat + 0.5e0, shape_pt_lon, shape_dist_traveled",
+)
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = VIEWS[name].replace("{SEC}", "unix_timestamp(ts)")
     for table in set(re.findall(r"\[(\w+)\]", text)):
@@ -176,7 +202,7 @@ class Tables:
 
     @cached_property
     def segments(self) -> DataFrame:
-        return scheduled_times(self.stop_times, self.trips, self.routes, self.stops)
+        return scheduled_times(self.feed_stop_times, self.feed_trips, self.routes, self.stops)
 
     @cached_property
     def comparison(self) -> DataFrame:
@@ -192,11 +218,11 @@ class Tables:
 
     @cached_property
     def calls(self) -> DataFrame:
-        return serving_stop_times(self.stop_times, self.trips, self.routes)
+        return serving_stop_times(self.feed_stop_times, self.feed_trips, self.routes)
 
     @cached_property
     def polylines(self) -> DataFrame:
-        return route_polylines(self.shapes, self.trips, self.routes)
+        return route_polylines(self.feed_shapes, self.feed_trips, self.routes)
 
     @cached_property
     def speeds(self) -> DataFrame:
@@ -208,7 +234,7 @@ class Tables:
 
     @cached_property
     def route_segments(self) -> DataFrame:
-        return route_segments(self.shapes, self.trips, self.routes)
+        return route_segments(self.feed_shapes, self.feed_trips, self.routes)
 
     @cached_property
     def profiles(self) -> DataFrame:

@@ -410,11 +410,11 @@ def _(t):
 
 
 @query("missing_keys", """
-    SELECT DISTINCT cache_key FROM g_cache_new
-    WHERE cache_key NOT IN (SELECT cache_key FROM g_cache_old)""")
+    SELECT DISTINCT hour || '_' || request_id % 9 AS cache_key FROM g_requests
+    WHERE hour || '_' || request_id % 9 NOT IN (SELECT cache_key FROM g_cache)""")
 def _(t):
-    required = t.cache.filter("hour_of_day >= 8").select("cache_key").distinct()
-    return missing_keys(required, t.cache.filter("hour_of_day < 12"), ["cache_key"])
+    key = F.concat_ws("_", "hour", F.col("request_id") % 9).alias("cache_key")
+    return missing_keys(t.requests.select(key).distinct(), t.cache, ["cache_key"])
 
 
 @query("peak_keys_to_fill", """
@@ -424,10 +424,11 @@ def _(t):
         FROM events, (SELECT UNNEST([1, 2]) AS offset_hours))
     SELECT hour || '_' || day AS cache_key, hour, day FROM ahead
     WHERE (hour BETWEEN 6 AND 10 OR hour BETWEEN 15 AND 19)
-      AND hour || '_' || day NOT IN (SELECT cache_key FROM g_cache_old)""")
+      AND hour || '_' || day NOT IN (SELECT hour || '_' || request_id % 5 FROM g_requests)""")
 def _(t):
     moments = t.raw("events").select(F.col("ts").alias("now"))
-    return peak_keys_to_fill(moments, t.cache.filter("hour_of_day < 12"))
+    have = t.requests.select(F.concat_ws("_", "hour", F.col("request_id") % 5).alias("cache_key"))
+    return peak_keys_to_fill(moments, have)
 
 
 @query("cache_stats", """
@@ -469,11 +470,18 @@ PREDICTED = (
 
 
 @query("predict_travel_time", f"""
-    WITH base AS (
+    WITH asked AS (
+        SELECT corridor_id, CAST(day AS INTEGER) AS day_of_week, CAST(hour AS INTEGER) AS hour
+        FROM (SELECT DISTINCT corridor_id FROM g_traffic), (SELECT UNNEST(range(1, 8)) AS day),
+             (SELECT UNNEST(range(24)) AS hour)),
+    base AS (
         SELECT corridor_id, day_of_week, hour, avg_static_duration_seconds AS free_flow_seconds,
                COALESCE(seasonal_multiplier, 1.1) AS season, avg_duration_seconds,
-               avg_congestion_ratio, COALESCE(stddev_congestion_ratio, 0) AS spread, sample_count
-        FROM g_profiles LEFT JOIN g_factors USING (corridor_id)),
+               avg_congestion_ratio, COALESCE(stddev_congestion_ratio, 0) AS spread,
+               COALESCE(sample_count, 0) AS sample_count,
+               CASE WHEN sample_count IS NULL THEN 'none' ELSE 'direct' END AS data_source
+        FROM asked LEFT JOIN g_profiles USING (corridor_id, day_of_week, hour)
+        LEFT JOIN g_factors USING (corridor_id)),
     figures AS (
         SELECT *, avg_duration_seconds * season AS predicted_seconds,
                GREATEST(avg_duration_seconds * season - spread * free_flow_seconds,
@@ -481,11 +489,13 @@ PREDICTED = (
                avg_duration_seconds * season + spread * free_flow_seconds AS high_seconds,
                avg_congestion_ratio * season AS congestion_ratio
         FROM base)
-    SELECT corridor_id, day_of_week, hour, sample_count,
+    SELECT corridor_id, day_of_week, hour, sample_count, data_source,
            {", ".join(f"{rounded(m, 6)} AS {m}" for m in PREDICTED)}
     FROM figures""")
 def _(t):
-    requests = t.profiles.select("corridor_id", "day_of_week", "hour")
+    requests = t.traffic.select("corridor_id").distinct().select(
+        "corridor_id", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("day_of_week")
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
     return (
         predict_travel_time(requests, t.profiles, seasonal_factors(t.readings, 1))
         .withColumns(six(*PREDICTED))

@@ -59,11 +59,13 @@ def _decoded(texts: pa.Array) -> pa.Array:
     is a run of 5-bit groups, lowest first, that ends at the first byte below
     95, and its lowest bit is the sign.
     """
-    known = texts.is_valid()
-    texts = texts.fill_null("")
-    lengths = np.array([len(t) for t in texts.to_pylist()], dtype=np.int64)
-    groups = np.frombuffer("".join(texts.to_pylist()).encode("ascii"), np.uint8).astype(np.int64)
-    groups -= 63
+    # A text with other bytes than the encoding uses is no polyline: NULL.
+    known = pc.and_(texts.is_valid(), pc.match_substring_regex(texts, "^[?-~]*$").fill_null(False))
+    texts = pc.if_else(known, texts, "").cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    lengths = np.diff(offsets)
+    body = texts.buffers()[2] if lengths.any() else b""
+    groups = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]].astype(np.int64) - 63
     closes = groups < 32
     closes[np.cumsum(lengths)[lengths > 0] - 1] = True
     last = np.flatnonzero(closes)

@@ -28,8 +28,7 @@ PRIORITY_BY_WAYPOINTS = (
     "003", "3", "008", "8", "019", "19", "020", "20",
     "N19", "N9", "N10", "N15", "N17", "N22", "N24",
 )
-# How many routes and segments, and the shortest useful ones.
-MAX_ROUTES = 25
+# How many segments, and the shortest useful ones.
 SEGMENTS_PER_ROUTE = 3
 MIN_SHAPE_POINTS = 4
 MIN_SHAPE_SEGMENT_KM = 0.3
@@ -68,13 +67,15 @@ def select_routes(
     *,
     priority: tuple[str, ...] = PRIORITY_BY_SHAPES,
     count: str = "shapes",
-    max_routes: int = MAX_ROUTES,
+    max_routes: int | None = None,
 ) -> DataFrame:
     """Priority routes, then those with the highest count until ``max_routes``.
 
     ``counted`` has one row per route.  Priority routes are all kept, even if
-    they alone exceed the limit.
+    they alone exceed the limit; without a limit all routes are.
     """
+    if max_routes is None:
+        return counted
     first = F.col("route_short_name").isin(*priority)
     priorities = counted.filter(first)
     room = F.greatest(F.lit(max_routes) - F.count(F.lit(1)), F.lit(0))

@@ -56,6 +56,11 @@ def latest_snapshot(
     return df.filter(F.col(column) == newest)
 
 
+def newest_if_dated(df: DataFrame, column: str = "gtfs_snapshot_date") -> DataFrame:
+    """Rows of the newest snapshot where rows are dated; other tables as they are."""
+    return latest_snapshot(df, column) if column in df.columns else df
+
+
 def missing_keys(required: DataFrame, have: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Required keys that are not there yet."""
     return required.join(have.select(*keys), list(keys), "left_anti")

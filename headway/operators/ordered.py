@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.functions.labels import DEFAULT_ROUTE_NAME
+
 # Longest run of order values handled by one window group.
 BLOCK_WIDTH = 4096
 
@@ -157,19 +159,21 @@ def stratified_sample(
 ) -> DataFrame:
     """About ``cap`` rows spread evenly over all groups and along each group.
 
-    Every group gives ``max(1, cap // groups)`` rows at a constant stride; the
-    first ``cap`` of them in (group, order) order are kept.
+    Every group gives ``max(1, cap // groups)`` rows at a constant stride, so
+    with more groups than ``cap`` each still gives one.  Rows without a group
+    form the group ``unknown``.
     """
-    groups = df.agg(F.count_distinct(group).alias("groups")).scalar()
+    known = df.withColumn(group, F.coalesce(F.col(group), F.lit(DEFAULT_ROUTE_NAME)))
+    groups = known.agg(F.count_distinct(group).alias("groups")).scalar()
     share = F.greatest(F.lit(1), F.floor(F.lit(cap) / groups))
-    placed = with_position(df, [group], order, major=major, size="group_size")
+    placed = with_position(known, [group], order, major=major, size="group_size")
     stride = F.greatest(
         F.lit(1), F.floor(F.col("group_size") / F.least(share, F.col("group_size")))
     )
     chosen = placed.filter(
         (F.col("position") % stride == 0) & (F.col("position") < stride * share)
     )
-    return chosen.orderBy(group, *major, order).limit(cap).drop("position", "group_size")
+    return chosen.drop("position", "group_size")
 
 
 def strided_pick(
@@ -180,11 +184,19 @@ def strided_pick(
     Adds ``pick``, the 0-based number of the chosen row.
     """
     placed = with_position(df, keys, order, major=major, size="group_size")
-    place, rows = F.col("position"), F.col("group_size")
+    return picked_places(placed, F.col("group_size"), k)
+
+
+def picked_places(placed: DataFrame, rows: Column, k: int) -> DataFrame:
+    """The rows of ``strided_pick`` among rows that carry position and group_size.
+
+    ``rows`` says over how many of a group's first rows the ``k`` picks are spread.
+    """
+    place = F.col("position")
     # The only i whose place can be this row's: the smallest i with i * n / k >= place.
     i = F.ceil(place * k / rows)
     hit = (i < k) & (F.floor(i * rows / k) == place)
-    small = rows <= k
+    small = (rows <= k) & (place < k)
     return (
         placed.filter(small | hit)
         .withColumn("pick", F.when(small, place).otherwise(i).cast("long"))

@@ -74,15 +74,13 @@ def segments_near_cells(
     order: Sequence[str],
     *,
     grid: float = GRID_SIZE,
-    per_cell: int | None = 3,
-    max_cells: int | None = 30,
+    per_cell: int | None = None,
+    max_cells: int | None = None,
 ) -> DataFrame:
     """Segments that start within two grid steps of a cell.
 
-    At most ``per_cell`` segments, first by ``order``, for the first
-    ``max_cells`` cells; both limits are what the lookup is for, and None lifts
-    them.  With the limit the cell side is a few hundred bucket rows, and the
-    segments are neither shuffled nor sorted beyond ``per_cell`` rows per task.
+    A caller who pays per segment passes limits: at most ``per_cell`` segments,
+    first by ``order``, for the first ``max_cells`` cells.
     """
     if max_cells is not None:
         cells = cells.orderBy("lat", "lon").limit(max_cells)

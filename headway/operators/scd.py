@@ -83,11 +83,15 @@ def current_versions(history: DataFrame) -> DataFrame:
 def upsert_by_key(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], touched_at: str
 ) -> DataFrame:
-    """Existing rows with those of ``batch`` put in their place; newest touch wins."""
+    """One row per key of both tables: the newest touch, and of equal ones that of ``batch``.
+
+    A late batch row does not replace a newer one, so the order in which
+    batches arrive does not matter.
+    """
     both = existing.withColumn("__new", F.lit(0)).unionByName(
         batch.withColumn("__new", F.lit(1)), allowMissingColumns=True
     )
-    return top_per_key(both, keys, _newest_first(["__new", touched_at])).drop("__new")
+    return top_per_key(both, keys, _newest_first([touched_at, "__new"])).drop("__new")
 
 
 def expire(

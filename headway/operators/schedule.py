@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.times import departure_hour, gtfs_seconds
+from headway.operators.latest import newest_if_dated
 from headway.operators.ordered import with_next
 
 SNAPSHOT = "gtfs_snapshot_date"
@@ -76,15 +77,12 @@ def schedule_window(
 
 
 def serving_stop_times(stop_times: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """Stop times with the route and shape of their trip, ready for lookups."""
+    """Stop times of the newest snapshot with the route and shape of their trip, ready for lookups."""
     return with_route_labels(
-        stop_times.select(
-            "trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence",
-            *[c for c in (SNAPSHOT,) if c in stop_times.columns],
-        ),
-        trips.select(
-            "trip_id", "route_id", "shape_id", *[c for c in (SNAPSHOT,) if c in trips.columns]
+        newest_if_dated(stop_times).select(
+            "trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence"
         ),
+        newest_if_dated(trips).select("trip_id", "route_id", "shape_id"),
         routes.select("route_id", "route_short_name"),
     ).select(
         "trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence",
@@ -132,18 +130,23 @@ def stop_frequency(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
 
 
 def route_frequency(stop_times: DataFrame, hour: int) -> DataFrame:
-    """Distinct trips and stops per route in one hour, and one of its shapes."""
+    """Distinct trips and stops per route in one hour, and one of its shapes.
+
+    Trips and stops are made distinct in two small groupings of their own, so
+    no row is copied for the two counts.
+    """
+    route = [F.col("route_short_name").alias("route_name"), F.col("route_id")]
+    calls = stop_times.filter(
+        (departure_hour(F.col("departure_time")) == hour) & F.col("route_short_name").isNotNull()
+    )
+    trips = calls.groupBy(*route, "trip_id").agg(F.min("shape_id").alias("shape_id"))
+    stops = calls.groupBy(*route, "stop_id").agg(F.count(F.lit(1)).alias("calls"))
+    named = ["route_name", "route_id"]
     return (
-        stop_times.filter(
-            (departure_hour(F.col("departure_time")) == hour)
-            & F.col("route_short_name").isNotNull()
-        )
-        .groupBy(F.col("route_short_name").alias("route_name"), "route_id")
-        .agg(
-            F.count_distinct("trip_id").alias("trips"),
-            F.count_distinct("stop_id").alias("stops_served"),
-            F.min("shape_id").alias("sample_shape_id"),
-        )
+        trips.groupBy(*named)
+        .agg(F.count("trip_id").alias("trips"), F.min("shape_id").alias("sample_shape_id"))
+        .join(stops.groupBy(*named).agg(F.count("stop_id").alias("stops_served")), named)
+        .select(*named, "trips", "stops_served", "sample_shape_id")
     )
 
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.functions.labels import DEFAULT_ROUTE_COLOR, default_if_blank
-
-# Most points of a shape that one output row carries.
-POLYLINE_POINTS = 10_000
+from headway.operators.latest import newest_if_dated
 
 
 def shape_summary(shapes: DataFrame) -> DataFrame:
@@ -45,37 +43,42 @@ def longest_shape(shapes: DataFrame, shape_routes: DataFrame, key: str = "route_
     )
 
 
-def polyline_parts(shapes: DataFrame, *, points: int = POLYLINE_POINTS) -> DataFrame:
-    """Ordered coordinate lists, ``[lon, lat]`` per point.
-
-    A shape longer than ``points`` sequence numbers continues in further parts,
-    so no row and no task has to hold a whole oversized shape.
-    """
+def _coordinate_lists(shapes: DataFrame, *keys: Column | str) -> DataFrame:
     entry = F.struct(
         F.col("shape_pt_sequence").alias("seq"),
         F.col("shape_pt_lon").alias("lon"),
         F.col("shape_pt_lat").alias("lat"),
     )
     return (
-        shapes.groupBy(
-            "shape_id",
-            F.greatest(F.floor(F.col("shape_pt_sequence") / points), F.lit(0))
-            .cast("int")
-            .alias("part"),
-        )
+        shapes.groupBy("shape_id", *keys)
         .agg(F.array_sort(F.collect_list(entry)).alias("points"))
         .withColumn("coordinates", F.transform("points", lambda p: F.array(p["lon"], p["lat"])))
         .drop("points")
     )
 
 
+def polylines(shapes: DataFrame) -> DataFrame:
+    """One ordered coordinate list per shape, ``[lon, lat]`` per point.
+
+    A shape is bounded by the road it follows, so one row can hold it.
+    """
+    return _coordinate_lists(shapes)
+
+
+def polyline_parts(shapes: DataFrame, *, points: int) -> DataFrame:
+    """Coordinate lists in parts of ``points`` sequence numbers, for readers that want short rows."""
+    part = F.greatest(F.floor(F.col("shape_pt_sequence") / points), F.lit(0)).cast("int")
+    return _coordinate_lists(shapes, part.alias("part"))
+
+
 def route_polylines(shapes: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """Coordinate lists with the route that runs along them."""
+    """Coordinate lists of the newest snapshot with the route that runs along them."""
+    shapes, trips = newest_if_dated(shapes), newest_if_dated(trips)
     labels = shape_route_bridge(trips, routes).select(
         "shape_id", "route_short_name", "route_long_name", "route_type", "route_color"
     ).distinct()
-    return polyline_parts(shapes).join(labels, "shape_id").select(
-        "shape_id", "part", "route_short_name", "route_long_name", "route_type",
+    return polylines(shapes).join(labels, "shape_id").select(
+        "shape_id", "route_short_name", "route_long_name", "route_type",
         default_if_blank(F.col("route_color"), DEFAULT_ROUTE_COLOR).alias("route_color"),
         "coordinates",
     )

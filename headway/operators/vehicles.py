@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.geo import GRID_SIZE, grid_cell, haversine_km
 from headway.functions.labels import congestion_level
-from headway.operators.latest import top_per_key
+from headway.operators.latest import distinct_on, top_per_key
 from headway.operators.ordered import consecutive_pairs, with_position
 from headway.operators.shapes import longest_shape
 
@@ -39,7 +39,9 @@ def drop_unlocated(vehicles: DataFrame) -> DataFrame:
 
 def label_vehicles(positions: DataFrame, routes: DataFrame) -> DataFrame:
     """Positions with the short name of their route, or its id without one."""
-    names = routes.select("route_id", "route_short_name").dropDuplicates(["route_id"])
+    names = distinct_on(
+        routes.select("route_id", "route_short_name"), ["route_id"], ["route_short_name"]
+    )
     return positions.join(names, "route_id", "left").withColumn(
         "route", F.coalesce("route_short_name", "route_id")
     ).drop("route_short_name")
@@ -146,8 +148,9 @@ def paint_routes(speeds_by_route: DataFrame, shapes: DataFrame, shape_routes: Da
     is left behind the last full step is not painted.
     """
     longest = longest_shape(shapes, shape_routes, "route").select("route", "shape_id")
-    # Several routes may share a shape, so points are placed per shape first.
-    placed = with_position(shapes, ["shape_id"], "shape_pt_sequence", size="group_size")
+    # Several routes may share a shape, so points are placed per shape first, of painted shapes only.
+    used = shapes.join(longest.select("shape_id").distinct(), "shape_id", "left_semi")
+    placed = with_position(used, ["shape_id"], "shape_pt_sequence", size="group_size")
     step = F.greatest(F.lit(1), F.floor(F.col("group_size") / PAINTED_PIECES)).cast("long")
     corners = placed.filter(F.col("position") % step == 0).withColumn(
         "piece", (F.col("position") / step).cast("long")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.operators.corridors import (
-    MAX_ROUTES,
     MIN_SHAPE_POINTS,
     MIN_SHAPE_SEGMENT_KM,
     MIN_WAYPOINT_SEGMENT_KM,
@@ -18,36 +17,46 @@ from headway.operators.corridors import (
     segment_km,
     select_routes,
 )
-from headway.operators.latest import distinct_on
-from headway.operators.ordered import strided_pick, with_position
+from headway.operators.latest import distinct_on, newest_if_dated
+from headway.operators.ordered import picked_places, with_position
 from headway.operators.shapes import longest_shape
 
 
+def _one_per_name(routes: DataFrame) -> DataFrame:
+    """Of routes with the same short name the last by id; unnamed ones have no corridors."""
+    named = routes.filter(F.col("route_short_name").isNotNull()).select(
+        "route_id", "route_short_name", "route_long_name", "route_type"
+    )
+    return distinct_on(named, ["route_short_name"], [F.desc("route_id")])
+
+
 def corridors_from_shapes(
     shapes: DataFrame,
     trips: DataFrame,
     routes: DataFrame,
     *,
-    max_routes: int = MAX_ROUTES,
+    max_routes: int | None = None,
     per_route: int = SEGMENTS_PER_ROUTE,
 ) -> DataFrame:
     """Evenly spaced segments along the longest shape of each selected route.
 
-    Numbers of segments that are too short stay unused.
+    All tables are taken from their newest snapshot.  Of routes with one short
+    name the last by id counts, because corridor ids are built from the name.
+    Only the points of chosen shapes are numbered.  Numbers of segments that
+    are too short stay unused.
     """
+    shapes, trips = newest_if_dated(shapes), newest_if_dated(trips)
     pairs = trips.filter(F.col("shape_id").isNotNull()).select("route_id", "shape_id").distinct()
     counted = pairs.groupBy("route_id").agg(F.count(F.lit(1)).alias("shapes"))
     chosen = select_routes(
-        routes.select("route_id", "route_short_name", "route_long_name", "route_type").join(
-            counted, "route_id"
-        ),
+        _one_per_name(routes).join(counted, "route_id"),
         priority=PRIORITY_BY_SHAPES, max_routes=max_routes,
     ).drop("shapes")
-    longest = longest_shape(shapes, pairs).select("route_id", "shape_id")
-    placed = with_position(shapes, ["shape_id"], "shape_pt_sequence", size="group_size")
-    cut = evenly_spaced_segments(
-        placed.filter(F.col("group_size") >= MIN_SHAPE_POINTS), "shape_id", per_route
-    ).withColumn("km", segment_km())
+    mine = pairs.join(chosen.select("route_id"), "route_id", "left_semi")
+    longest = longest_shape(shapes, mine).filter(F.col("points") >= MIN_SHAPE_POINTS).drop("points")
+    used = shapes.join(longest.select("shape_id").distinct(), "shape_id", "left_semi")
+    placed = with_position(used, ["shape_id"], "shape_pt_sequence", size="group_size")
+    cut = evenly_spaced_segments(placed, "shape_id", per_route).withColumn("km", segment_km())
     long_enough = cut.filter(F.col("km") >= MIN_SHAPE_SEGMENT_KM)
     joined = chosen.join(longest, "route_id").join(long_enough, "shape_id")
     return corridor_rows(joined, F.col("segment") + 1)
@@ -59,7 +68,7 @@ def corridors_from_waypoints(
     *,
     order: str = "waypoint_no",
     major: tuple[str, ...] = ("shape_id",),
-    max_routes: int = MAX_ROUTES,
+    max_routes: int | None = None,
     per_route: int = SEGMENTS_PER_ROUTE,
 ) -> DataFrame:
     """Waypoints of useful length, evenly picked per selected route.
@@ -67,25 +76,22 @@ def corridors_from_waypoints(
     A route with no useful waypoint falls back to its first ones.  Numbers run
     from 1 without gaps.
     """
-    named = distinct_on(
-        routes.select("route_id", "route_short_name", "route_long_name", "route_type"),
-        ["route_short_name"], [F.desc("route_id")],
-    )
     measured = waypoints.withColumn("km", segment_km())
     useful = F.col("km") >= MIN_WAYPOINT_SEGMENT_KM
     counted = measured.groupBy("route_name").agg(
         F.count(F.lit(1)).alias("waypoints"), F.count_if(useful).alias("useful")
     )
+    named = _one_per_name(routes)
     chosen = select_routes(
         named.join(counted, named["route_short_name"] == counted["route_name"]),
         priority=PRIORITY_BY_WAYPOINTS, count="waypoints", max_routes=max_routes,
     )
-    along = measured.join(chosen.drop("waypoints"), "route_name")
-    good = along.filter(useful)
-    picked = strided_pick(good, ["route_name"], order, per_route, major=major)
-    hopeless = along.filter(F.col("useful") == 0)
-    placed = with_position(hopeless, ["route_name"], order, major=major, position="pick")
-    first = placed.filter(F.col("pick") < per_route)
+    # A route is represented by its useful waypoints, or, without any, by its first ones.
+    along = measured.join(chosen.drop("waypoints"), "route_name").filter(
+        useful | (F.col("useful") == 0)
+    )
+    placed = with_position(along, ["route_name"], order, major=major, size="group_size")
+    spread = F.when(F.col("useful") > 0, F.col("group_size")).otherwise(F.lit(per_route))
     return corridor_rows(
-        picked.unionByName(first), F.col("pick") + 1, on_demand=True
+        picked_places(placed, spread, per_route), F.col("pick") + 1, on_demand=True
     )

@@ -13,9 +13,6 @@ from headway.operators.quality import filter_route
 from headway.operators.ranges import segments_near_cells
 from headway.operators.vehicles import slow_cells
 
-# Most segments that one round of targeted look-ups asks for.
-MAX_TARGETS = 50
-
 # Morning and evening peak hours, hours looked ahead.
 PEAK_HOURS = ((6, 10), (15, 19))
 HOURS_AHEAD = 2
@@ -28,26 +25,27 @@ def slow_corridor_targets(
     segments: DataFrame,
     *,
     order: tuple[str, ...] = SEGMENT_ORDER,
-    per_cell: int | None = 3,
-    max_cells: int | None = 30,
-    max_targets: int = MAX_TARGETS,
+    per_cell: int | None = None,
+    max_cells: int | None = None,
+    max_targets: int | None = None,
 ) -> DataFrame:
-    """Route segments near slow cells, each once, at most ``max_targets``."""
+    """Route segments near slow cells, each once.
+
+    The limits are for callers who pay for every look-up; without them all are given.
+    """
     cells = slow_cells(grid).select("lat", "lon", "level", "avg_speed")
     near = segments_near_cells(
         cells, segments, order, per_cell=per_cell, max_cells=max_cells
     )
     ranked = ["lat", "lon", *order]
-    return (
-        dedupe_segments(near, ranked)
-        .orderBy(*ranked)
-        .limit(max_targets)
-        .select(
-            "origin_lat", "origin_lon", "dest_lat", "dest_lon",
-            F.col("route_short_name").alias("route_name"),
-            F.col("level").alias("trigger"),
-            F.col("avg_speed").alias("bus_speed"),
-        )
+    once = dedupe_segments(near, ranked)
+    if max_targets is not None:
+        once = once.orderBy(*ranked).limit(max_targets)
+    return once.select(
+        "origin_lat", "origin_lon", "dest_lat", "dest_lon",
+        F.col("route_short_name").alias("route_name"),
+        F.col("level").alias("trigger"),
+        F.col("avg_speed").alias("bus_speed"),
     )
 
 

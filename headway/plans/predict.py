@@ -84,16 +84,20 @@ def predict_travel_time(
     """Predicted seconds with a band for each (corridor_id, day_of_week, hour).
 
     The band is one standard deviation of the ratio around the prediction, not
-    below free flow.
+    below free flow.  Every request gives a row; ``data_source`` tells whether
+    its figures come from the corridor itself, from its proxy, or from nowhere
+    (then they are NULL).  A proxy stands in for a corridor without any profile
+    at all, not for single hours that are missing.
     """
     used = _with_proxies(requests, profiles, proxies)
     profile = profiles.withColumnRenamed("corridor_id", "used_corridor_id").drop("corridor_name")
     factor = factors.select(
         F.col("corridor_id").alias("used_corridor_id"), "seasonal_multiplier"
     )
-    joined = used.join(profile, ["used_corridor_id", "day_of_week", "hour"]).join(
+    joined = used.join(profile, ["used_corridor_id", "day_of_week", "hour"], "left").join(
         factor, "used_corridor_id", "left"
     )
+    own = F.col("used_corridor_id").eqNullSafe(F.col("corridor_id"))
     scale = F.col("scale_factor")
     season = F.coalesce("seasonal_multiplier", F.lit(default_factor))
     free_flow = F.col("avg_static_duration_seconds") * scale
@@ -108,7 +112,9 @@ def predict_travel_time(
         (predicted + band).alias("high_seconds"),
         (F.col("avg_congestion_ratio") * season).alias("congestion_ratio"),
         season.alias("seasonal_multiplier"),
-        "sample_count",
+        F.coalesce("sample_count", F.lit(0)).alias("sample_count"),
+        F.when(F.col("sample_count").isNull(), "none").when(own, "direct").otherwise("proxy")
+        .alias("data_source"),
     )
 
 

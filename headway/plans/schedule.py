@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.labels import route_type_label
 from headway.functions.times import departure_hour
-from headway.operators.latest import latest_snapshot
+from headway.operators.latest import latest_snapshot, newest_if_dated
 from headway.operators.ordered import consecutive_pairs, sample_every_nth
 from headway.operators.quality import non_terminal
 from headway.operators.schedule import (
@@ -90,10 +90,11 @@ def route_shapes(
 def route_segments(
     shapes: DataFrame, trips: DataFrame, routes: DataFrame, *, every: int = 10
 ) -> DataFrame:
-    """Origin and destination pairs along every shape, with the route's columns.
+    """Origin and destination pairs along every shape of the newest snapshot, with the route's columns.
 
     Every ``every``-th point starts a pair that ends at the next sampled point.
     """
+    shapes, trips = newest_if_dated(shapes), newest_if_dated(trips)
     sampled = sample_every_nth(shapes, ["shape_id"], "shape_pt_sequence", every)
     numbered = sampled.select(
         "shape_id",

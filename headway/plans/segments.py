@@ -24,43 +24,35 @@ def traffic_segments(responses: DataFrame, *, json: str = "api_response_json") -
     routes = responses.withColumn("route", F.explode(parsed_response(F.col(json))["routes"])).drop(
         json
     )
-    intervals = F.coalesce(
-        F.col("route.travelAdvisory.speedReadingIntervals"), F.array()
+    listed = routes.select(
+        *[c for c in routes.columns if c != "route"],
+        F.coalesce("route.travelAdvisory.speedReadingIntervals", F.array()).alias("intervals"),
+        F.coalesce(parse_duration(F.col("route.duration")), F.lit(0)).alias("duration"),
+        F.coalesce("route.distanceMeters", F.lit(0)).alias("distance"),
+        # Decoded once per route, below the explode.
+        decode_polyline(F.coalesce("route.polyline.encodedPolyline", F.lit(""))).alias("points"),
     )
-    listed = routes.withColumns(
-        {
-            "intervals": intervals,
-            "duration": F.coalesce(parse_duration(F.col("route.duration")), F.lit(0)),
-            "distance": F.coalesce("route.distanceMeters", F.lit(0)),
-            "polyline": F.coalesce("route.polyline.encodedPolyline", F.lit("")),
-        }
-    ).drop("route")
-    known = ["origin_lat", "origin_lon", "dest_lat", "dest_lon"]
-    kept = [c for c in listed.columns if c not in {*known, "intervals", "polyline"}]
-    plain = listed.filter(F.size("intervals") == 0).select(
-        *kept, F.lit(0).alias("interval"),
-        F.col("origin_lat").alias("start_lat"), F.col("origin_lon").alias("start_lon"),
-        F.col("dest_lat").alias("end_lat"), F.col("dest_lon").alias("end_lon"),
-        F.lit("LOW").alias("level"), F.lit("UNKNOWN").alias("speed"), F.lit(1).alias("samples"),
-    )
-    measured = listed.filter(F.size("intervals") > 0).select(
-        *kept,
-        decode_polyline("polyline").alias("points"),
-        traffic_level(F.col("intervals")).alias("level"),
-        F.posexplode("intervals").alias("interval", "reading"),
+    ends = ["origin_lat", "origin_lon", "dest_lat", "dest_lon"]
+    kept = [c for c in listed.columns if c not in {*ends, "intervals", "points"}]
+    none = F.size("intervals") == 0
+    spread = listed.select(
+        *kept, *ends, "points", none.alias("plain"),
+        F.when(none, "LOW").otherwise(traffic_level(F.col("intervals"))).alias("level"),
+        F.posexplode_outer("intervals").alias("place", "reading"),
     )
     first = F.coalesce("reading.startPolylinePointIndex", F.lit(0))
     last = F.coalesce("reading.endPolylinePointIndex", first + 1)
     start = {c: F.get(F.col("points")[c], first) for c in ("lat", "lon")}
     end = {c: F.coalesce(F.get(F.col("points")[c], last), start[c]) for c in ("lat", "lon")}
-    located = measured.select(
-        *kept, "interval",
-        start["lat"].alias("start_lat"), start["lon"].alias("start_lon"),
-        end["lat"].alias("end_lat"), end["lon"].alias("end_lon"),
-        "level", F.coalesce("reading.speed", F.lit("NORMAL")).alias("speed"),
+    plain = F.col("plain")
+    return spread.select(
+        *kept, F.coalesce("place", F.lit(0)).alias("interval"),
+        *[F.when(plain, F.col(f"origin_{c}")).otherwise(start[c]).alias(f"start_{c}") for c in ("lat", "lon")],
+        *[F.when(plain, F.col(f"dest_{c}")).otherwise(end[c]).alias(f"end_{c}") for c in ("lat", "lon")],
+        "level",
+        F.when(plain, "UNKNOWN").otherwise(F.coalesce("reading.speed", F.lit("NORMAL"))).alias("speed"),
         F.lit(1).alias("samples"),
     )
-    return plain.unionByName(located)
 
 
 def level_counts(segments: DataFrame) -> DataFrame:

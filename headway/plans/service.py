@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from headway.functions.labels import DEFAULT_CORRIDOR_COLOR, default_if_blank
 from headway.functions.times import departure_hour, gtfs_seconds
-from headway.operators.latest import distinct_on, top_per_key
+from headway.operators.latest import distinct_on
 from headway.operators.quality import filter_route
 from headway.operators.ranges import RADIUS_M, stops_within
 from headway.operators.schedule import PROFILE_HOURS
 
-# Departures looked at per request, hours after the asked one.
-MAX_DEPARTURES = 20
+# Fixed value: hours after the asked one.
 HOURS_ON = 2
 
 
@@ -22,30 +21,25 @@ def top_corridors(
 ) -> DataFrame:
     """The ``n`` busiest routes of an hour with geometry and hourly profile.
 
-    One pass over the stop times counts every (route, hour); ranking and
-    profile both come from those few rows.
+    Calls are first reduced to one row per trip and hour, so counts need no
+    distinct; stops are counted for the ``n`` chosen routes only.
     """
     at, trips = F.col("hour"), F.col("trips")
+    named = stop_times.filter(F.col("route_short_name").isNotNull()).select(
+        F.col("route_short_name").alias("route"), "route_id", "trip_id", "stop_id", "shape_id",
+        departure_hour(F.col("departure_time")).alias("hour"),
+    )
     hourly = (
-        stop_times.filter(F.col("route_short_name").isNotNull())
-        .groupBy(
-            F.col("route_short_name").alias("route"), "route_id",
-            departure_hour(F.col("departure_time")).alias("hour"),
-        )
-        .agg(
-            F.count_distinct("trip_id").alias("trips"),
-            F.count_distinct(
-                F.when(departure_hour(F.col("departure_time")) == hour, F.col("stop_id"))
-            ).alias("stops_served"),
-            F.min("shape_id").alias("shape_id"),
-        )
+        named.groupBy("route", "route_id", "hour", "trip_id")
+        .agg(F.min("shape_id").alias("shape_id"))
+        .groupBy("route", "route_id", "hour")
+        .agg(F.count(F.lit(1)).alias("trips"), F.min("shape_id").alias("shape_id"))
     )
     shown = F.when(at.between(*PROFILE_HOURS), F.struct("hour", "trips"))
     busiest = (
         hourly.groupBy("route", "route_id")
         .agg(
             F.max(F.when(at == hour, trips)).alias("trips_per_hour"),
-            F.max("stops_served").alias("stops_served"),
             F.max(F.when(at == hour, F.col("shape_id"))).alias("sample_shape_id"),
             F.sort_array(F.collect_list(shown)).alias("hourly_profile"),
         )
@@ -53,14 +47,30 @@ def top_corridors(
         .orderBy(F.desc("trips_per_hour"), "route", "route_id")
         .limit(n)
     )
-    geometry = serving_routes.select(
-        F.col("shape_id").alias("sample_shape_id"), "route_long_name", "route_color", "coordinates"
-    )
-    return busiest.join(geometry, "sample_shape_id", "left").select(
-        "route", "route_id", "trips_per_hour", "stops_served",
-        F.coalesce("route_long_name", F.lit("")).alias("long_name"),
-        default_if_blank(F.col("route_color"), DEFAULT_CORRIDOR_COLOR).alias("color"),
-        "coordinates", "hourly_profile",
+    served = (
+        named.filter(at == hour)
+        .join(busiest.select("route", "route_id"), ["route", "route_id"], "left_semi")
+        .groupBy("route", "route_id", "stop_id")
+        .agg(F.count(F.lit(1)).alias("calls"))
+        .groupBy("route", "route_id")
+        .agg(F.count("stop_id").alias("stops_served"))
+    )
+    geometry = distinct_on(
+        serving_routes.select(
+            F.col("shape_id").alias("sample_shape_id"), "route_short_name", "route_long_name",
+            "route_color", "coordinates",
+        ),
+        ["sample_shape_id"], ["route_short_name", "route_long_name", "route_color"],
+    ).drop("route_short_name")
+    return (
+        busiest.join(served, ["route", "route_id"], "left")
+        .join(geometry, "sample_shape_id", "left")
+        .select(
+            "route", "route_id", "trips_per_hour", "stops_served",
+            F.coalesce("route_long_name", F.lit("")).alias("long_name"),
+            default_if_blank(F.col("route_color"), DEFAULT_CORRIDOR_COLOR).alias("color"),
+            "coordinates", "hourly_profile",
+        )
     )
 
 
@@ -87,6 +97,21 @@ def _stops_near(requests: DataFrame, stops: DataFrame, side: str, radius_m: floa
     )
 
 
+def _arrivals(
+    requests: DataFrame, stop_times: DataFrame, stops: DataFrame, radius_m: float
+) -> DataFrame:
+    """Calls near the destination of each request, with their stop."""
+    ends = _stops_near(requests, stops, "dest", radius_m).select(
+        "request_id", "stop_id", F.col("stop_name").alias("alight_stop"),
+        F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),
+    )
+    calls = stop_times.select(
+        "trip_id", "stop_id", F.col("stop_sequence").alias("alight_sequence"),
+        F.col("arrival_time").alias("alight_time"),
+    )
+    return calls.join(ends, "stop_id").withColumnRenamed("stop_id", "alight_stop_id")
+
+
 def direct_departures(
     stop_times: DataFrame,
     stops: DataFrame,
@@ -100,11 +125,17 @@ def direct_departures(
     a stop near the destination; one per request, route label and departure.
 
     ``requests`` has request_id, origin_lat, origin_lon, dest_lat, dest_lon and
-    hour.  A boarding qualifies when the last call of its trip at such a stop
-    comes later, and there is one last call per trip and stop; so pairs of
-    calls are never formed, however long a trip is.
+    hour.  A boarding qualifies when the trip's last call near the destination
+    comes later.  That last call is one row per request and trip, so boardings
+    meet at most one row each, and only calls of trips that come near some
+    destination are looked at.
     """
     hour = F.col("hour")
+    reach = (
+        _arrivals(requests, stop_times, stops, radius_m)
+        .groupBy("request_id", "trip_id")
+        .agg(F.max("alight_sequence").alias("last_sequence"))
+    )
     origins = (
         _stops_near(requests, stops, "origin", radius_m)
         .withColumn("__hour", F.explode(F.sequence(hour, hour + hours_on)))
@@ -113,30 +144,24 @@ def direct_departures(
             F.col("stop_lat").alias("board_lat"), F.col("stop_lon").alias("board_lon"),
         )
     )
-    boardings = stop_times.select(
-        "trip_id", "route_id", "route_short_name", "shape_id", "stop_id", "stop_sequence",
-        F.col("departure_time").alias("board_time"),
-        departure_hour(F.col("departure_time")).alias("__hour"),
-    ).join(origins, ["stop_id", "__hour"])
-    ends = _stops_near(requests, stops, "dest", radius_m).select(
-        "request_id", F.col("stop_id").alias("end_id")
-    )
-    # Only calls at stops near some destination go into the shuffle.
-    calls = stop_times.select("trip_id", F.col("stop_id").alias("end_id"), "stop_sequence")
-    last_calls = (
-        calls.join(ends.select("end_id").distinct(), "end_id", "left_semi")
-        .groupBy("trip_id", "end_id")
-        .agg(F.max("stop_sequence").alias("last_sequence"))
+    boardings = (
+        stop_times.select(
+            "trip_id", "route_id", "route_short_name", "shape_id", "stop_id", "stop_sequence",
+            F.col("departure_time").alias("board_time"),
+            departure_hour(F.col("departure_time")).alias("__hour"),
+        )
+        .join(reach.select("trip_id").distinct(), "trip_id", "left_semi")
+        .join(origins, ["stop_id", "__hour"])
     )
-    going = (
-        boardings.join(ends, "request_id")
-        .join(last_calls, ["trip_id", "end_id"])
-        .filter(F.col("last_sequence") > F.col("stop_sequence"))
+    going = boardings.join(reach, ["request_id", "trip_id"]).filter(
+        F.col("last_sequence") > F.col("stop_sequence")
     )
     if serving_routes is None:
         label = F.coalesce("route_short_name", "route_id")
     else:
-        names = serving_routes.select("shape_id", "route_long_name").dropDuplicates(["shape_id"])
+        names = distinct_on(
+            serving_routes.select("shape_id", "route_long_name"), ["shape_id"], ["route_long_name"]
+        )
         going = going.join(names, "shape_id", "left")
         label = F.coalesce("route_short_name", "route_long_name", "route_id")
     return distinct_on(
@@ -154,25 +179,17 @@ def with_alighting(
     *, radius_m: float = RADIUS_M,
 ) -> DataFrame:
     """Departures with the first call near the destination after boarding."""
-    ends = _stops_near(requests, stops, "dest", radius_m).drop("hour")
-    calls = stop_times.select(
-        "trip_id", "stop_id", F.col("stop_sequence").alias("alight_sequence"),
-        F.col("arrival_time").alias("alight_time"),
-    )
-    alight = F.struct(
-        "alight_time", F.col("stop_name").alias("alight_stop"),
-        F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),
-    )
+    arrivals = _arrivals(requests, stop_times, stops, radius_m)
+    alight = F.struct("alight_time", "alight_stop", "alight_lat", "alight_lon")
     keys = ["request_id", "route", "board_time"]
     carried = [c for c in departures.columns if c not in keys]
     return (
-        departures.join(ends, "request_id")
-        .join(calls, ["trip_id", "stop_id"])
+        departures.join(arrivals, ["request_id", "trip_id"])
         .filter(F.col("alight_sequence") > F.col("stop_sequence"))
         .groupBy(*keys)
         .agg(
             *[F.first(c).alias(c) for c in carried],
-            F.min_by(alight, F.struct("alight_sequence", "stop_id")).alias("__alight"),
+            F.min_by(alight, F.struct("alight_sequence", "alight_stop_id")).alias("__alight"),
         )
         .select(*keys, *carried, "__alight.*")
     )
@@ -184,22 +201,17 @@ def trip_plan(
     requests: DataFrame,
     serving_routes: DataFrame | None = None,
     *,
-    max_departures: int = MAX_DEPARTURES,
     radius_m: float = RADIUS_M,
     hours_on: int = HOURS_ON,
 ) -> DataFrame:
-    """Earliest direct trip per route for every request.
-
-    As in a lookup page, only the first ``max_departures`` departures of a
-    request in (route, time) order are looked at.
-    """
+    """Earliest direct trip per route for every request, by the clock and not by its text."""
     departures = direct_departures(
         stop_times, stops, requests, serving_routes, radius_m=radius_m, hours_on=hours_on
     )
-    shown = top_per_key(
-        departures, ["request_id"], [F.asc("route"), F.asc("board_time")], max_departures
+    earliest = distinct_on(
+        departures, ["request_id", "route"],
+        [F.asc_nulls_last(gtfs_seconds(F.col("board_time"))), "board_time"],
     )
-    earliest = distinct_on(shown, ["request_id", "route"], ["board_time"])
     planned = with_alighting(earliest, stop_times, stops, requests, radius_m=radius_m)
     seconds = gtfs_seconds(F.col("alight_time")) - gtfs_seconds(F.col("board_time"))
     return planned.withColumn(

@@ -61,6 +61,11 @@ CORRIDOR = (
     "destination STRUCT<lat: DOUBLE, lng: DOUBLE>"
 )
 
+WAYPOINT = (
+    "origin_lat DOUBLE, origin_lon DOUBLE, dest_lat DOUBLE, dest_lon DOUBLE, shape_id STRING, "
+    "waypoint_no INT, route_name STRING"
+)
+
 ROUTE_RESPONSE = (
     "routes ARRAY<STRUCT<duration: STRING, staticDuration: STRING, distanceMeters: INT, "
     "polyline: STRUCT<encodedPolyline: STRING>, "
@@ -68,12 +73,6 @@ ROUTE_RESPONSE = (
     "startPolylinePointIndex: INT, endPolylinePointIndex: INT, speed: STRING>>>>>"
 )
 
-VEHICLE_POSITION = (
-    "id STRING, lat DOUBLE, lon DOUBLE, route STRING, route_id STRING, trip STRING, "
-    "bearing DOUBLE, speed DOUBLE, ts BIGINT"
-)
-
-
 def ddl(schema: str) -> T.StructType:
     """Parsed form of a DDL string."""
     return T.StructType.fromDDL(schema)

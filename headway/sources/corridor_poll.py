@@ -1,9 +1,10 @@
 """Python data source that polls a routing service for every corridor.
 
     spark.dataSource.register(CorridorPollSource)
-    spark.read.format("corridor_poll").options(corridors_json=..., transport="pkg.mod:fetch")
+    spark.read.format("corridor_poll").options(corridors_path=..., transport="pkg.mod:fetch")
 
-``transport`` names a function that takes a corridor (a dict) and the options,
+The corridor list is read by Spark, so it can lie in any store that Spark reads; ``corridors_json``
+gives it inline instead. ``transport`` names a function that takes a corridor (a dict) and the options,
 and returns the service's answer as JSON text.  It runs on the executors; each
 corridor slice is a partition of its own.
 """
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from urllib.error import HTTPError
 
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -26,6 +28,7 @@ from pyspark.sql.datasource import (
 )
 
 from headway.schemas import TRAFFIC_READING
+from headway.sources.traffic import corridor_records
 
 # Longest pause between two tries; poll interval.
 MAX_BACKOFF_S = 30.0
@@ -83,21 +86,36 @@ class CorridorSlice(InputPartition):
     polled_at: datetime
 
 
+def _listed(corridors_json: str | None) -> list[dict]:
+    if not corridors_json:
+        raise ValueError("corridors_json is required; poll_options reads it from a path")
+    return json.loads(corridors_json)
+
+
+def poll_options(spark: SparkSession, path: str, **options: str) -> dict[str, str]:
+    """Options for the source with the corridor list that Spark reads from a path.
+
+    A list has some hundred corridors: as many as one poll can ask for.
+    """
+    listed = [row.asDict(recursive=True) for row in corridor_records(spark, path).collect()]
+    return {"corridors_json": json.dumps(listed), **options}
+
+
 class _Poller:
     def __init__(self, options: dict[str, str]):
-        self.options = dict(options)
-        if options.get("corridors_json"):
-            self.corridors = json.loads(options["corridors_json"])
-        elif options.get("corridors_path"):
-            with open(options["corridors_path"], encoding="utf-8") as file:
-                self.corridors = json.load(file)
-        else:
-            raise ValueError("corridors_json or corridors_path is required")
-        self.slices = max(1, int(options.get("slices", "8")))
+        corridors = _listed(options.get("corridors_json"))
+        self.options = {k: v for k, v in options.items() if k != "corridors_json"}
+        slices = max(1, int(options.get("slices", "8")))
+        self.parts = [part for i in range(slices) if (part := corridors[i::slices])]
+
+    def __getstate__(self) -> dict:
+        # A task gets its corridors with its partition, not the whole list.
+        return {"options": self.options, "parts": []} | {
+            k: v for k, v in self.__dict__.items() if k not in ("options", "parts")
+        }
 
     def sliced(self, polled_at: datetime) -> list[CorridorSlice]:
-        parts = [self.corridors[i :: self.slices] for i in range(self.slices)]
-        return [CorridorSlice(part, polled_at) for part in parts if part]
+        return [CorridorSlice(part, polled_at) for part in self.parts]
 
     def read(self, partition: CorridorSlice) -> Iterator[tuple]:
         module, _, name = self.options["transport"].partition(":")

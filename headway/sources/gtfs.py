@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.csv as pa_csv
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,26 +61,86 @@ def bronze(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
+def snapshot_headers(spark: SparkSession, root: str, table: str, dates: str = "*") -> DataFrame:
+    """(header, files): header lines of a table's files and the files that begin with each.
+
+    The header is the line that names the table's first declared column.
+    """
+    first = ddl(GTFS_COLUMNS[table]).fields[0].name
+    lines = spark.read.text(f"{root}/{dates}/{table}.txt")
+    named = lines.filter(F.col("value").rlike(rf'(^|,)\s*"?\ufeff?{first}"?\s*(,|$)'))
+    return named.groupBy(F.col("value").alias("header")).agg(
+        F.collect_set(F.col("_metadata.file_path")).alias("files")
+    )
+
+
 def scan_snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All snapshots of a table as one typed batch."""
-    raw = spark.read.option("header", True).csv(f"{root}/*/{table}.txt")
-    return bronze(raw, table)
+    """All snapshots of a table as one typed batch, every file by its own header.
+
+    Files are grouped by header line, of which a feed has a handful over the
+    years, and each group is one scan; columns that a group lacks are NULL.
+    """
+    groups = snapshot_headers(spark, root, table).orderBy("header").collect()
+    scans = [bronze(spark.read.option("header", True).csv(sorted(g["files"])), table) for g in groups]
+    if not scans:  # nothing but headless or missing files
+        return bronze(spark.read.option("header", True).csv(f"{root}/*/{table}.txt"), table)
+    whole = scans[0]
+    for scan in scans[1:]:
+        whole = whole.unionByName(scan)
+    return whole
+
+
+def _parsed_files(table: str):
+    """Rows of whole files, columns picked by each file's header; all of them texts."""
+    names = [f.name for f in ddl(GTFS_COLUMNS[table]).fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content, path, file in zip(*(batch.column(c).to_pylist() for c in ("content", "path", "file")), strict=True):
+                header = content.removeprefix(b"\xef\xbb\xbf").split(b"\n", 1)[0].strip().decode()
+                if not header:
+                    continue
+                found = [c.strip().strip('"') for c in header.split(",")]
+                rows = pa_csv.open_csv(
+                    pa.BufferReader(content.removeprefix(b"\xef\xbb\xbf")),
+                    read_options=pa_csv.ReadOptions(column_names=found, skip_rows=1),
+                    parse_options=pa_csv.ParseOptions(newlines_in_values=True),
+                    convert_options=pa_csv.ConvertOptions(
+                        column_types=dict.fromkeys(found, pa.string()), null_values=[""],
+                        strings_can_be_null=True, include_columns=[n for n in names if n in found],
+                    ),
+                )
+                for part in rows:
+                    n = part.num_rows
+                    known = [part.column(c) if c in part.schema.names else pa.nulls(n, pa.string()) for c in names]
+                    yield pa.record_batch([*known, pa.array([path] * n), pa.array([file] * n)], names=[*names, "path", "file"])
+
+    return run, ", ".join(f"{n} STRING" for n in [*names, "path", "file"])
 
 
 def stream_snapshots(
     spark: SparkSession, root: str, table: str, *, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream of a table over all snapshot folders, new files only.
+    """Stream of a table over all snapshot folders, new files only, every file by its own header.
 
-    A stream needs its columns up front: they are taken from the header found
-    there now, and a file with another header stops the stream instead of
-    being read into the wrong columns.
+    A stream cannot know the headers of files to come, so each file arrives
+    whole and is parsed by the header it has; a file is one table of one
+    snapshot and fits a task (2 GB at most).
     """
-    header = spark.read.option("header", True).csv(f"{root}/*/{table}.txt").schema
-    reader = spark.readStream.schema(header).option("header", True).option("enforceSchema", False)
+    reader = spark.readStream.format("binaryFile").schema(
+        "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
+    )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return bronze(reader.csv(f"{root}/*/{table}.txt"), table)
+    run, columns = _parsed_files(table)
+    files = reader.load(f"{root}/*/{table}.txt").select(
+        "content", F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file")
+    )
+    rows = files.mapInArrow(run, columns)
+    return rows.select(
+        *_typed(rows, table), snapshot_from_path(F.col("path")).alias("gtfs_snapshot_date"),
+        F.col("file").alias("_source_file"),
+    )
 
 
 @dataclass(frozen=True)
@@ -120,22 +183,34 @@ def ingest_snapshots(spark: SparkSession, root: str, target: str) -> list[Ingest
     """
     found = found_snapshots(spark, root)
     done: list[Ingested] = []
+
+    def load(table: str, rows: DataFrame) -> None:
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(FEED_DATE)
+            .parquet(f"{target}/{table}")
+        )
+
     for table in GTFS_COLUMNS:
         dates = found.filter(F.col("table") == table).select(FEED_DATE)
         have = loaded_dates(spark, target, table).select(F.col(FEED_DATE).cast("string"))
-        todo = dates.join(have, FEED_DATE, "left_anti").orderBy(FEED_DATE)
-        for (date,) in todo.collect():
-            try:
-                (
-                    read_gtfs(spark, root, table, date)
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(FEED_DATE)
-                    .parquet(f"{target}/{table}")
-                )
-                done.append(Ingested(table, date))
-            except Exception as error:  # one bad file must not stop the rest
-                done.append(Ingested(table, date, str(error)))
+        todo = [d for (d,) in dates.join(have, FEED_DATE, "left_anti").orderBy(FEED_DATE).collect()]
+        if not todo:
+            continue
+        try:  # all new snapshots in one job
+            whole = read_gtfs(spark, root, table, todo[0])
+            for date in todo[1:]:
+                whole = whole.unionByName(read_gtfs(spark, root, table, date))
+            load(table, whole)
+            done += [Ingested(table, date) for date in todo]
+        except Exception:  # one by one, to tell which file is bad
+            for date in todo:
+                try:
+                    load(table, read_gtfs(spark, root, table, date))
+                    done.append(Ingested(table, date))
+                except Exception as error:  # one bad file must not stop the rest
+                    done.append(Ingested(table, date, str(error)))
     return done
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headway.schemas import CORRIDOR, TRAFFIC_READING, ddl
+from headway.schemas import CORRIDOR, TRAFFIC_READING, WAYPOINT, ddl
 from headway.sources.gtfs import with_file_metadata
 
 
@@ -30,17 +30,27 @@ def append_poll_json(poll: DataFrame, path: str) -> None:
     poll.write.mode("append").json(path)
 
 
-def read_corridors(
+def corridor_records(
     spark: SparkSession, path: str | None = None, json: str | None = None
 ) -> DataFrame:
-    """Corridor list from a file or from inline JSON, coordinates flattened."""
+    """Corridor records as listed: a JSON array, or one record per line as ``export_corridors`` writes."""
     if json:
-        corridors = F.from_json(F.lit(json), T.ArrayType(ddl(CORRIDOR)))
-        listed = spark.range(1).select(F.inline(corridors))
+        texts = spark.range(1).select(F.lit(json).alias("value"))
     elif path:
-        listed = spark.read.schema(CORRIDOR).option("multiLine", True).json(path)
+        texts = spark.read.text(path, wholetext=True)
     else:
         raise ValueError("give either a path or inline JSON")
+    text = F.trim("value")
+    lines = F.concat(F.lit("["), F.regexp_replace(text, r"\}\s*\n\s*\{", "},{"), F.lit("]"))
+    array = F.when(F.startswith(text, F.lit("[")), text).otherwise(lines)
+    return texts.select(F.inline(F.from_json(array, T.ArrayType(ddl(CORRIDOR)))))
+
+
+def read_corridors(
+    spark: SparkSession, path: str | None = None, json: str | None = None
+) -> DataFrame:
+    """Corridor list from files or from inline JSON, coordinates flattened."""
+    listed = corridor_records(spark, path, json)
     return listed.select(
         *[c for c in listed.columns if c not in ("origin", "destination")],
         F.col("origin.lat").alias("origin_lat"), F.col("origin.lng").alias("origin_lng"),
@@ -53,8 +63,16 @@ def export_corridors(corridors: DataFrame, path: str) -> None:
 
 
 def export_waypoints(route_segments: DataFrame, path: str) -> None:
-    """Origin and destination pairs for pollers, as JSON lines."""
+    """Origin and destination pairs for pollers, as JSON lines.
+
+    ``waypoint_no`` keeps the order along the shape for ``corridors_from_waypoints``.
+    """
     route_segments.select(
         "origin_lat", "origin_lon", "dest_lat", "dest_lon", "shape_id",
+        F.col("shape_pt_sequence").alias("waypoint_no"),
         F.col("route_short_name").alias("route_name"),
     ).write.mode("overwrite").json(path)
+
+
+def read_waypoints(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(WAYPOINT).json(path)

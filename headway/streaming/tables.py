@@ -22,13 +22,20 @@ def _start(writer, trigger: str | None) -> StreamingQuery:
 
 
 def run_stream(
-    df: DataFrame, target: str, checkpoint: str, *, trigger: str | None = None
+    df: DataFrame, target: str, checkpoint: str, *, trigger: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append a stream to a parquet table, exactly once."""
+    """Append a stream to a parquet table, exactly once.
+
+    With ``partition_by=("gtfs_snapshot_date",)`` the newest snapshot of a
+    bronze table is one folder, and ``latest_snapshot`` reads only that.
+    """
     writer = (
         df.writeStream.format("parquet").outputMode("append")
         .option("path", target).option("checkpointLocation", checkpoint)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return _start(writer, trigger)
 
 
@@ -122,7 +129,7 @@ def scd2_stream(
 def upsert_stream(
     rows: DataFrame, keys: Sequence[str], touched_at: str, **kw
 ) -> StreamingQuery:
-    """Last write per key, as ``operators.scd.upsert_by_key`` does for two batches."""
+    """Newest touch per key, as ``operators.scd.upsert_by_key`` keeps it for two batches."""
     return merge_stream(
         rows, keys, lambda all_: top_per_key(all_, keys, [F.desc_nulls_last(touched_at)]), **kw
     )
@@ -141,6 +148,23 @@ def refresh_days(
     day: str = "poll_date",
     result_day: str = "report_date",
 ) -> None:
-    """Recompute a daily summary for the given days only."""
-    touched = readings.join(days.select(day).distinct(), day, "left_semi")
+    """Recompute a daily summary for the given days only.
+
+    A day whose readings are gone loses its partition: it is overwritten by no
+    rows, through the rows of the other days that are written with it.
+    """
+    asked = days.select(F.col(day).cast("string").alias("asked")).distinct()
+    touched = readings.join(asked, F.col(day).cast("string") == F.col("asked"), "left_semi")
     _replace_partitions(summarize(touched), [result_day], target)
+    _drop_empty_days(readings.sparkSession, asked, touched.select(F.col(day).cast("string").alias("asked")), target, result_day)
+
+
+def _drop_empty_days(
+    spark: SparkSession, asked: DataFrame, full: DataFrame, target: str, result_day: str
+) -> None:
+    """Delete the partitions of asked days without rows; one name per day comes to the driver."""
+    empty = [d for (d,) in asked.join(full.distinct(), "asked", "left_anti").collect()]
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in empty:
+        path = hadoop(f"{target}/{result_day}={name}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -88,3 +88,9 @@ def test_stratified_sample_spreads_over_groups(groups):
     # 61 groups share 200 rows: 3 each, 183 in all.
     assert len(chosen) == 183
     assert {sum(1 for r in chosen if r["k"] == k) for k in ("hot", "g1", "g59")} == {3}
+
+
+def test_stratified_sample_loses_no_group(spark):
+    data = [(f"r{g}" if g else None, i) for g in range(10) for i in range(5)]
+    chosen = stratified_sample(spark.createDataFrame(data, "k STRING, o INT"), "k", "o", cap=4).collect()
+    assert sorted(r["k"] for r in chosen) == sorted(["unknown", *(f"r{g}" for g in range(1, 10))])

@@ -83,6 +83,8 @@ def test_upsert_and_expiry(spark):
     new = spark.sql("SELECT 'b' k, 2 v, timestamp'2024-01-03' at UNION ALL SELECT 'c', 2, timestamp'2024-01-03'")
     merged = upsert_by_key(old, new, ["k"], "at")
     assert sorted((r["k"], r["v"]) for r in merged.collect()) == [("a", 1), ("b", 2), ("c", 2)]
+    late = spark.sql("SELECT 'b' k, 9 v, timestamp'2024-01-01' at")
+    assert sorted((r["k"], r["v"]) for r in upsert_by_key(merged, late, ["k"], "at").collect()) == [("a", 1), ("b", 2), ("c", 2)]
     fresh = expire(merged, "at", F.lit("2024-01-03 12:00:00").cast("timestamp"), "24 hours")
     assert sorted(r["k"] for r in fresh.collect()) == ["b", "c"]
     assert merged.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()

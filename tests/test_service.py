@@ -13,7 +13,7 @@ def clock(minutes):
     return f"{minutes // 60:02}:{minutes % 60:02}:00"
 
 
-def brute(calls, near, hour, max_departures=20):
+def brute(calls, near, hour):
     """All pairs of calls, as a page that serves one request would do it."""
     best = {}
     for o in calls:
@@ -26,7 +26,7 @@ def brute(calls, near, hour, max_departures=20):
                 if key not in best or rank < best[key][0]:
                     best[key] = (rank, d[1])
     out = {}
-    for (route, board), (rank, alight) in sorted(best.items())[:max_departures]:
+    for (route, board), (rank, alight) in sorted(best.items()):
         out.setdefault(route, (board, rank[0], alight))
     return sorted((r, *v) for r, v in out.items())
 
@@ -67,6 +67,23 @@ def test_trip_plan_on_a_long_hot_trip(spark):
     assert not [r for r in plan if r["request_id"] == 4]
 
 
+def test_earliest_by_clock_and_no_route_is_lost(spark):
+    """Many departures of one route hide no other, and 9:50 comes before 10:05."""
+    calls = []
+    for n in range(25):
+        at = 605 + n
+        calls += [(f"a{n}", clock(at), clock(at), "a", 1, "1", "1", "x"), (f"a{n}", clock(at + 9), clock(at + 9), "b", 2, "1", "1", "x")]
+    calls += [("early", "9:50:00", "9:50:00", "a", 1, "1", "1", "x"), ("early", "9:59:00", "9:59:00", "b", 2, "1", "1", "x")]
+    calls += [("other", clock(640), clock(640), "a", 1, "2", "2", "x"), ("other", clock(650), clock(650), "b", 2, "2", "2", "x")]
+    stops = [("a", "A", 49.0, -123.0), ("b", "B", 49.1, -123.0)]
+    plan = trip_plan(
+        spark.createDataFrame(calls, CALLS),
+        spark.createDataFrame(stops, "stop_id STRING, stop_name STRING, stop_lat DOUBLE, stop_lon DOUBLE"),
+        spark.sql("SELECT 1 request_id, 49D origin_lat, -123D origin_lon, 49.1D dest_lat, -123D dest_lon, 9 hour"),
+    ).collect()
+    assert {r["route"]: r["trip_id"] for r in plan} == {"1": "early", "2": "other"}
+
+
 def test_labels_fall_back_to_long_name(spark):
     calls = [("t", clock(480), clock(480), "a", 1, "r", None, "x"), ("t", clock(490), clock(490), "b", 2, "r", None, "x")]
     stops = [("a", "A", 49.0, -123.0), ("b", "B", 49.1, -123.0)]
@@ -101,5 +118,8 @@ def test_prediction_band_and_proxy(spark):
     assert direct["low_seconds"] == max(140 * season - spread * 100, 100)
     assert abs(proxy["predicted_seconds"] - 2 * direct["predicted_seconds"]) < 1e-9
     assert (proxy["used_corridor_id"], proxy["sample_count"]) == ("c2", 2)
+    asked = requests.union(spark.sql("SELECT 'c2', 5, 9 UNION ALL SELECT 'new', 1, 1"))
+    sources = {(r["corridor_id"], r["day_of_week"]): (r["data_source"], r["sample_count"]) for r in predict_travel_time(asked, profiles, factors, proxies=proxies).collect()}
+    assert sources == {("c2", 2): ("direct", 2), ("c16", 2): ("proxy", 2), ("c2", 5): ("none", 0), ("new", 1): ("none", 0)}
     without = predict_travel_time(requests, profiles, factors.limit(0)).collect()
-    assert [r["seasonal_multiplier"] for r in without] == [1.10]
+    assert {r["corridor_id"]: r["seasonal_multiplier"] for r in without} == {"c2": 1.10, "c16": 1.10}

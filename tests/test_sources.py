@@ -5,9 +5,15 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from headway.functions.responses import decode_polyline
+from headway.operators.latest import latest_snapshot
 from headway.operators.quality import STOP_KEY, expect
-from headway.plans.schedule import scheduled_times
+from headway.operators.schedule import serving_stop_times
+from headway.operators.shapes import polylines, route_polylines
+from headway.plans.corridors import corridors_from_shapes, corridors_from_waypoints
+from headway.plans.schedule import route_segments, scheduled_times
 from headway.plans.segments import traffic_segments
+from headway.sources.corridor_poll import CorridorPollSource, poll_options
 from headway.sources.gtfs import (
     found_snapshots,
     ingest_snapshots,
@@ -19,10 +25,12 @@ from headway.sources.gtfs import (
 from headway.sources.tables import publish_serving
 from headway.sources.traffic import (
     append_poll_json,
+    corridor_records,
     export_corridors,
     export_waypoints,
     read_corridors,
     read_traffic,
+    read_waypoints,
     stream_traffic,
 )
 from headway.streaming.tables import run_stream
@@ -105,7 +113,90 @@ def test_bronze_batch_and_stream(spark, feed, tmp_path):
     put(f"{feed}/2024-01-19/routes.txt", "route_id,route_short_name,route_type\nR3,9,4\n")
     run_stream(stream_snapshots(spark, feed, "routes"), target, checkpoint).awaitTermination()
     stored = spark.read.parquet(target)
-    assert stored.count() == 4 and stored.schema == batch.schema
+    assert stored.count() == 4 and stored.schema.simpleString() == batch.schema.simpleString()
+
+
+def test_every_file_by_its_own_header(spark, tmp_path):
+    """Columns in other order, added, missing and quoted, in batch and stream."""
+    root = f"{tmp_path}/feed"
+    put(f"{root}/2024-01-05/routes.txt", "route_id,route_short_name,route_type\nR1,007,3\n")
+    put(f"{root}/2024-01-12/routes.txt",
+        'route_type,route_id,route_long_name,route_short_name\n3,A,"Main, North",7\n')
+    put(f"{root}/2024-01-19/routes.txt", '\ufeff"route_id","unheard_of"\nB,x\n')
+    batch = scan_snapshots(spark, root, "routes")
+    known = ["route_id", "route_short_name", "route_long_name", "route_type", "gtfs_snapshot_date"]
+    expected = [
+        ("A", "7", "Main, North", 3, "2024-01-12"), ("B", None, None, None, "2024-01-19"),
+        ("R1", "007", None, 3, "2024-01-05"),
+    ]
+    assert sorted(tuple(r) for r in batch.select(*known).collect()) == expected
+    target = f"{tmp_path}/bronze"
+    stream = stream_snapshots(spark, root, "routes")
+    run_stream(stream, target, f"{tmp_path}/cp", partition_by=("gtfs_snapshot_date",)).awaitTermination()
+    stored = spark.read.schema(batch.schema).parquet(target)
+    assert sorted(map(str, stored.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
+    newest = latest_snapshot(stored)
+    assert [r["route_id"] for r in newest.collect()] == ["B"]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(gtfs_snapshot_date" in plan
+
+
+def test_plans_take_the_newest_snapshot(spark):
+    points = spark.sql("""
+        SELECT 's' shape_id, CAST(i AS INT) shape_pt_sequence, 49 + i / 10D + d shape_pt_lat, -123D shape_pt_lon,
+               concat('2024-01-0', d + 1) gtfs_snapshot_date
+        FROM (SELECT explode(sequence(0, 20)) i), (SELECT explode(array(0, 1)) d)""")
+    trips = spark.sql("SELECT 't' trip_id, 'r' route_id, 's' shape_id, d gtfs_snapshot_date FROM VALUES ('2024-01-01'), ('2024-01-02') AS v(d)")
+    routes = spark.sql("""
+        SELECT r route_id, '99' route_short_name, concat('Line ', r) route_long_name, 3 route_type, '' route_color
+        FROM VALUES ('r'), ('q') AS v(r)""")
+    found = route_segments(points, trips, routes).collect()
+    assert sorted(r["origin_lat"] for r in found) == [50.0, 51.0]
+    assert [len(r["coordinates"]) for r in route_polylines(points, trips, routes).collect()] == [21]
+    both = trips.unionByName(trips.withColumns({"trip_id": F.lit("u"), "route_id": F.lit("q")}))
+    ids = [r["corridor_id"] for r in corridors_from_shapes(points, both, routes).collect()]
+    assert sorted(ids) == ["route_99_seg_1", "route_99_seg_2", "route_99_seg_3"]
+    times = spark.sql("""
+        SELECT 't' trip_id, concat('0', h, ':00:00') arrival_time, '09:00:00' departure_time, 'a' stop_id, 1 stop_sequence,
+               d gtfs_snapshot_date FROM VALUES (7, '2024-01-01'), (8, '2024-01-02') AS v(h, d)""")
+    assert [r["arrival_time"] for r in serving_stop_times(times, trips, routes).collect()] == ["08:00:00"]
+
+
+def test_one_row_for_a_long_shape(spark):
+    shape = spark.range(10_001).select(
+        F.lit("s").alias("shape_id"), F.col("id").cast("int").alias("shape_pt_sequence"),
+        F.lit(49.0).alias("shape_pt_lat"), F.lit(-123.0).alias("shape_pt_lon"),
+    )
+    assert [len(r["coordinates"]) for r in polylines(shape).collect()] == [10_001]
+
+
+def test_corridor_and_waypoint_files_round_trip(spark, tmp_path):
+    listed = [
+        {**CORRIDORS[0], "corridor_id": f"c{i}", "origin": {"lat": 49.0 + i, "lng": -123.0}} for i in range(5)
+    ]
+    path = f"{tmp_path}/list"
+    export_corridors(corridor_records(spark, json=json.dumps(listed)).repartition(3), path)
+    back = read_corridors(spark, path)
+    assert sorted(r["corridor_id"] for r in back.collect()) == [f"c{i}" for i in range(5)]
+    options = poll_options(spark, path, transport="tests.transports:scripted")
+    spark.dataSource.register(CorridorPollSource)
+    polled = spark.read.format("corridor_poll").options(**options).load()
+    assert {r["corridor_id"]: r["origin_lat"] for r in polled.collect()} == {f"c{i}": 49.0 + i for i in range(5)}
+    segments = spark.sql("""
+        SELECT 's' shape_id, 49 + i / 50D origin_lat, -123D origin_lon, 49 + (i + 1) / 50D dest_lat, -123D dest_lon,
+               CAST(i * 10 AS INT) shape_pt_sequence, '7' route_short_name FROM (SELECT explode(sequence(0, 8)) i)""")
+    routes = spark.sql("SELECT 'r7' route_id, '7' route_short_name, 'Seven' route_long_name, 3 route_type")
+    export_waypoints(segments, f"{tmp_path}/w")
+    found = corridors_from_waypoints(read_waypoints(spark, f"{tmp_path}/w"), routes).orderBy("corridor_id").collect()
+    assert [(r["corridor_id"], r["origin"]["lat"]) for r in found] == [
+        ("route_7_seg_1", 49.0), ("route_7_seg_2", 49.06), ("route_7_seg_3", 49.12)
+    ]
+
+
+def test_bad_polylines_give_no_points(spark):
+    texts = spark.createDataFrame([("_p~iF~ps|U",), ("_p~iFé",), ("",), (None,), ("with blank",)], "t STRING")
+    points = [r["p"] for r in texts.select(decode_polyline("t").alias("p")).collect()]
+    assert points[0]["lat"] == [38.5] and points[2]["lat"] == [] and points[1] is points[3] is points[4] is None
 
 
 def test_traffic_files(spark, tmp_path):
@@ -136,13 +227,13 @@ def test_corridor_lists(spark, tmp_path):
 def test_exports(spark, tmp_path):
     segments = spark.sql("""
         SELECT 's' shape_id, 1D origin_lat, 2D origin_lon, 3D dest_lat, 4D dest_lon,
-               '007' route_short_name""")
+               '007' route_short_name, 10 shape_pt_sequence""")
     export_waypoints(segments, f"{tmp_path}/w")
     assert spark.read.json(f"{tmp_path}/w").first()["route_name"] == "007"
     corridors = spark.sql("SELECT 'c' corridor_id, struct(1D AS lat, 2D AS lng) origin")
     export_corridors(corridors, f"{tmp_path}/c")
     assert spark.read.json(f"{tmp_path}/c").first()["origin"]["lng"] == 2.0
-    lines = spark.sql("SELECT 's' shape_id, 0 part, array(array(1D, 2D)) coordinates")
+    lines = spark.sql("SELECT 's' shape_id, array(array(1D, 2D)) coordinates")
     stops = spark.sql("SELECT 'x' stop_id, 'X' stop_name, 1D stop_lat, 2D stop_lon, 0 location_type")
     publish_serving(lines, stops, segments, f"{tmp_path}/serving", "2024-01-12")
     assert spark.read.parquet(f"{tmp_path}/serving/routes").first()["coordinates"] == "[[1.0,2.0]]"

@@ -155,3 +155,6 @@ def test_refresh_touches_only_given_days(spark, tmp_path):
     changed = readings([("2024-01-01", 100), ("2024-01-02", 200)])
     refresh_days(changed, changed.filter("poll_date = '2024-01-02'"), summarize, target)
     assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1, 200]
+    gone = readings([("2024-01-01", 1)])
+    refresh_days(gone, both.filter("poll_date = '2024-01-02'"), summarize, target)
+    assert sorted(r["v"] for r in spark.read.parquet(target).collect()) == [1]
