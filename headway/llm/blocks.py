@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import sliced
+from headway.llm.shared import sliced, tidy
 
 NO_ID = (1 << 63) - 1  # stands for a null doc_id, after all others
 BLOCK_BYTES = 8 << 20
@@ -140,6 +140,7 @@ def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[int, i
 def packed(docs: DataFrame, blocks: int) -> DataFrame:
     """(block, payload) rows; a block's documents are spread over some of them."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 16 << 20):
             block = batch.column("block").to_numpy()
@@ -186,6 +187,7 @@ def holders(
     """
     ship = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
 
+    @tidy
     def send(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         keys = distinct(shortened(keys_of(Block(table["payload"].to_pylist(), lower, hashed)), bits))
@@ -199,6 +201,7 @@ def holders(
 
     back = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 
+    @tidy
     def count(table: pa.Table) -> pa.Table:
         part = table["part"][0].as_py()
         own = []
@@ -220,6 +223,7 @@ def holders(
     )
 
 
+@tidy
 def classes(table: pa.Table) -> np.ndarray:
     """The classes of a block's sorted distinct keys from the rows that `holders` has for it."""
     order = np.argsort(table["part"].to_numpy())

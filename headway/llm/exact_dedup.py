@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import stored
+from headway.llm.shared import stored, tidy
 
 WHITE = r"[\x20\x09-\x0D]+"
 NODE_BYTES = 400
@@ -124,6 +124,7 @@ class RadixTrie:
             stack += node.children.values()
 
 
+@tidy
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, int, int]]:
     for batch in batches:
         text, keep, rows = (batch.column(i) for i in range(3))
@@ -149,6 +150,7 @@ _OWNERS = pa.schema([*_ENTRIES, ("digest", pa.binary())])
 def combine(budget: int):
     """Map side: equal texts of a task become one row; spilled subtrees are simply sent on."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def merged() -> Iterator[tuple]:
             trie = RadixTrie()
@@ -171,6 +173,7 @@ def combine(budget: int):
 def owners(budget: int):
     """Final tries: a text's owner and size, or, where its subtree was spilled, the text again."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled() -> Iterator[tuple]:
             trie = RadixTrie()

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.blocks import BLOCK_BYTES, NO_ID, Block, block_count, classes, holders, key_bits, mixed, packed, shortened
 from headway.llm.components import components
-from headway.llm.shared import stored
+from headway.llm.shared import stored, tidy
 
 BITS = 1024
 LEAF = 8
@@ -194,6 +194,7 @@ def candidate_chunk(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]
 def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, int]]]):
     """Run over rows that are sorted by keys within a partition, one group at a time."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group, out = None, [], []
         for batch in batches:
@@ -224,6 +225,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, block_bytes: int) ->
     def keys_of(block: Block) -> np.ndarray:
         return shingles(block, size)[1]
 
+    @tidy
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block(left["payload"].to_pylist(), lower=True)
         doc, value = shingles(block, size)
@@ -302,6 +304,7 @@ def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes],
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("set_b"))
 
+    @tidy
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.shared import sliced
+from headway.llm.shared import sliced, tidy
 
 SLOTS = 1 << 13
 BATCH_BYTES = 2 << 20
@@ -148,6 +148,7 @@ def sampled(rate: Column | float, seed: int) -> Column:
     return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rate
 
 
+@tidy
 def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(SLOTS, np.int64), 0
     for batch in sliced(batches, "text", BATCH_BYTES):
@@ -157,6 +158,7 @@ def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array([total.tolist()]), pa.array([rows])], names=["df", "n"])
 
 
+@tidy
 def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(SLOTS, np.int64), 0
     for batch in batches:
@@ -183,6 +185,7 @@ def train(docs: DataFrame, max_rows: int = 6000, epochs: int = 3) -> Model:
     df, n = np.sum([r["df"] for r in found], axis=0), sum(r["n"] for r in found)
     model = Model(languages, np.log((1 + n) / (1 + df)) + 1, np.zeros((SLOTS + 1, len(languages))))
 
+    @tidy
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples, target, check = [], [], []
         for batch in sliced(batches, "text", BATCH_BYTES):
@@ -212,6 +215,7 @@ def identify(docs: DataFrame, model: Model, held: Column | None = None) -> DataF
     text if the model knows no language. Repeated rows each get a row. `held` fills held_out.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             names, score = model.predict(batch.column("text").to_pylist())
@@ -231,6 +235,7 @@ def language_id(docs: DataFrame, fold: int = 2, of: int = 4, max_rows: int = 600
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of docs, all columns, whose language is known with a score of `least` or more."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             names, score = model.predict(batch.column("text").to_pylist())

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.blocks import BLOCK_BYTES, NO_ID, SPACE, Block, block_count, classes, holders, key_bits, mixed, packed, shortened
 from headway.llm.jaccard_join import links, signature
-from headway.llm.shared import stored
+from headway.llm.shared import stored, tidy
 
 # Long shingles and four rows a band: lines that merely share syllables hardly ever share a band.
 SHINGLE = 9
@@ -145,6 +145,7 @@ def line_dedup(
     def band_keys(block: Block) -> np.ndarray:
         return Lines(block).keys().reshape(-1)
 
+    @tidy
     def similar(left: pa.Table, right: pa.Table) -> pa.Table:
         number = left["block"][0].as_py()
         lines = Lines(block := Block(left["payload"].to_pylist(), hashed=False))
@@ -167,6 +168,7 @@ def line_dedup(
             found.append((number, i, int(block.ids[lines.doc[i]]), int(lines.line[i]), digest, text, len(own), signature(own).tobytes(), keys[i][shared[i]].view(np.int64)))
         return pa.Table.from_batches([pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), LINES, strict=True)], schema=LINES)] if found else [], schema=LINES)
 
+    @tidy
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         lines = Lines(block := Block(left["payload"].to_pylist(), hashed=False))
         # Every line of a text in question goes, unless it is the one that its component keeps.

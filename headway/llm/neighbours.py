@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from headway.llm.shared import tidy
+
 LEAF = 256
 # Above the rounding of a distance in double precision, relative to its size.
 SLACK = 1e-9
@@ -142,6 +144,7 @@ def _stack(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _tree(keep: int):
+    @tidy
     def build(rows: pa.Table) -> pa.Table:
         tree = VantageTree(rows["vec_id"].to_numpy(), _stack(rows["vector"]), keep)
         return pa.table(
@@ -154,6 +157,7 @@ def _tree(keep: int):
 def _search(k: int, factor: float):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm.shared import tidy
+
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 64
 PLACED = pa.schema(
@@ -86,6 +88,7 @@ def best_fit_packing(
     total = sized.agg(F.coalesce(F.sum(F.greatest(F.ceil(F.col("tokens") / most), F.lit(1))), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // shard_rows))
 
+    @tidy
     def place(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         shard = table["shard"][0].as_py()

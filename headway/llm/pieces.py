@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.blocks import binary, distinct
-from headway.llm.shared import sliced
+from headway.llm.shared import sliced, tidy
 
 MARK = "▁"
 BATCH_BYTES = 8 << 20
@@ -257,6 +257,7 @@ def piece_counts(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
     text are read. `path` is a .model file that is present on all machines. Nothing is shuffled.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, n)
         for batch in sliced(batches, "text", BATCH_BYTES):
@@ -274,6 +275,7 @@ def piece_counts(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """doc_id and text of rows with an array of ids; null ids give a null text."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path, 1).words
         for batch in batches:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+from inspect import isgeneratorfunction
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +50,45 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
         step = max(1, int(rows * limit / max(1, batch.column(column).nbytes)))
         for start in range(0, rows, step):
             yield batch.slice(start, step)
+
+
+def release() -> None:
+    """Give freed memory back to the machine: idle Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """A function for mapInArrow or applyInArrow that releases memory when it is done."""
+    if isgeneratorfunction(work):
+
+        @wraps(work)
+        def stream(batches):
+            try:
+                yield from work(batches)
+            finally:
+                release()
+
+        return stream
+
+    if work.__code__.co_argcount == 1:
+
+        @wraps(work)
+        def group(table):
+            try:
+                return work(table)
+            finally:
+                release()
+
+        return group
+
+    @wraps(work)
+    def cogroup(left, right):
+        try:
+            return work(left, right)
+        finally:
+            release()
+
+    return cogroup

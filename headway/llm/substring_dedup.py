@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from headway.llm.blocks import (
     BLOCK_BYTES, NO_ID, Block, binary, block_count, bytes_of, classes, holders, key_bits, pack, packed, shortened, unpack,
 )
+from headway.llm.shared import tidy
 
 PREFIX_BYTES = 16
 BUNDLE = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
@@ -131,6 +132,7 @@ def substring_dedup(
     def window_keys(block: Block) -> np.ndarray:
         return block.windows(window)[1]
 
+    @tidy
     def suffixes(left: pa.Table, right: pa.Table) -> pa.Table:
         number = left["block"][0].as_py()
         block = Block(left["payload"].to_pylist())
@@ -148,6 +150,7 @@ def substring_dedup(
         ]
         return pa.Table.from_batches([pa.record_batch(list(zip(*found, strict=True)), schema=BUNDLE)] if found else [], schema=BUNDLE)
 
+    @tidy
     def subtree(table: pa.Table) -> pa.Table:
         parts = [unpack(p) for p in table["payload"].to_pylist()]
         words = pa.concat_arrays([binary(p[3], np.concatenate([[0], np.cumsum(p[2].astype(np.int64))])) for p in parts])
@@ -170,6 +173,7 @@ def substring_dedup(
                 marks.append((number, pack(p[0][own])))
         return pa.Table.from_batches([pa.record_batch(list(zip(*marks, strict=True)), schema=MARKS)] if marks else [], schema=MARKS)
 
+    @tidy
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         block = Block(left["payload"].to_pylist())
         repeats = Repeats(block, window)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from headway.llm.blocks import distinct
-from headway.llm.shared import sliced
+from headway.llm.shared import sliced, tidy
 
 # A single space or line feed between two characters that are certainly no white space. The
 # byte-level pattern gives the space to what follows it, and makes the line feed a token of its own.
@@ -153,6 +153,7 @@ def token_counts(
     given whole texts.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(path, chunk, overlap)
         for batch in sliced(batches, "text", BATCH_BYTES):

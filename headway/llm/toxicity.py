@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.language_id import held_out, sampled
-from headway.llm.shared import sliced, stored
+from headway.llm.shared import sliced, stored, tidy
 
 BATCH_BYTES = 8 << 20
 # Second-person pronouns of some languages.
@@ -227,6 +227,7 @@ class Model:
         return np.interp(raw, *self.points) if self.points else 1 / (1 + np.exp(-raw))
 
 
+@tidy
 def _tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, token, toxic documents, documents) of each batch."""
     for batch in sliced(batches, "text", BATCH_BYTES):
@@ -286,6 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, entries: i
         return Model(base=both[0] / both[1] if both[1] else 0.0)
     lexicon = learn_lexicon(sample.filter("part < 4"), toxic, total - toxic, entries)
 
+    @tidy
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             x = features(batch.column("text"), lexicon)
@@ -313,6 +315,7 @@ def score(docs: DataFrame, model: Model, held: Column | None = None, threshold:
     """
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", BATCH_BYTES):
             s = model.predict(batch.column("text"))
