@@ -37,7 +37,13 @@ from headway.operators.vehicles import (
     slow_cells,
 )
 from headway.plans.corridors import corridors_from_shapes, corridors_from_waypoints
-from headway.plans.live import combine_congestion, live_congestion, slow_corridor_targets
+from headway.functions.times import hour_key, route_key
+from headway.plans.live import (
+    combine_congestion,
+    congestion_at,
+    live_congestion,
+    slow_corridor_targets,
+)
 from headway.plans.segments import level_counts, traffic_segments
 
 
@@ -608,3 +614,64 @@ def _(t):
     SELECT route, level, start_lat, start_lon, source FROM g_painted WHERE route = '003'""")
 def _(t):
     return live_congestion(layers(t), "003")
+
+
+# Look-ups answered for hours, quarter hours and routes, one segment per event.
+CTES["g_answers"] = """
+    SELECT HOUR(ts) || '_' || user_id % 7 + 1 || suffix AS cache_key, event_id
+    FROM events, (VALUES (0), (1), (2)) AS kinds(kind),
+         LATERAL (SELECT CASE kind WHEN 0 THEN '' WHEN 1 THEN '_q' || MINUTE(ts) // 15 * 15
+                         ELSE '_r_r' || event_id % 5 END AS suffix)"""
+
+
+def answers(t):
+    events = t.raw("events")
+    hour, day = F.hour("ts"), (F.col("user_id") % 7 + 1).cast("int")
+    quarter = F.concat(F.lit("_q"), (F.floor(F.minute("ts") / 15) * 15).cast("string"))
+    keys = F.array(
+        hour_key(hour, day), F.concat(hour_key(hour, day), quarter),
+        route_key(hour, day, F.concat(F.lit("R"), (F.col("event_id") % 5).cast("string"))),
+    )
+    return events.select(F.explode(keys).alias("cache_key"), "event_id")
+
+
+NOW = "TIMESTAMP '2024-01-15 08:20:00'"
+
+
+def at_that_time(t, **asked):
+    painted = t.raw("events").filter("event_type = 'view'").select(
+        "event_id", F.concat(F.lit("R"), (F.col("user_id") % 5).cast("string")).alias("route")
+    )
+    arterial = t.raw("events").select("event_id", F.col("ts").alias("queried_at"))
+    found = congestion_at(painted, arterial, answers(t), now=F.expr(NOW), hour=8, day=2, **asked)
+    return found.select("event_id", "source")
+
+
+LIVE = f"""
+    SELECT event_id, 'bus_route' AS source FROM events WHERE event_type = 'view' {{0}}"""
+CACHED = """
+    SELECT event_id, 'google_targeted' AS source FROM g_answers WHERE cache_key = '8_2_q15'
+    UNION ALL SELECT event_id, 'google' FROM g_answers WHERE cache_key = '8_2'"""
+
+
+@query("congestion_now", f"""
+    {LIVE.format("")} UNION ALL {CACHED} UNION ALL
+    SELECT event_id, 'google_arterial' FROM events WHERE ts > {NOW} - INTERVAL 15 MINUTES""")
+def _(t):
+    return at_that_time(t, live=True)
+
+
+@query("congestion_explored", CACHED)
+def _(t):
+    return at_that_time(t)
+
+
+@query("congestion_of_route", """
+    SELECT event_id, 'google_route' AS source FROM g_answers WHERE cache_key = '8_2_r_r3'""")
+def _(t):
+    return at_that_time(t, route="R3")
+
+
+@query("congestion_of_route_now", LIVE.format("AND user_id % 5 = 3"))
+def _(t):
+    return at_that_time(t, route="r3", live=True)

@@ -13,6 +13,9 @@ from headway.operators.latest import top_per_key
 # Search box and radius around a point.
 BOX_LAT, BOX_LON, RADIUS_M = 0.008, 0.012, 800.0
 
+# Width in degrees of the smallest cell of the nearest-stop search.
+FINEST = 0.002 / 3**6
+
 
 def _covering(degrees: Column, reach: float, size: float) -> Column:
     """Numbers of all buckets that a window of ``reach`` around a value touches."""
@@ -114,13 +117,14 @@ def nearest_stops(
     key: str = "point_id",
     lat: str = "lat",
     lon: str = "lon",
-    finest: float = 0.002,
-    levels: int = 12,
+    finest: float = FINEST,
+    levels: int = 18,
 ) -> DataFrame:
     """The ``k`` stops nearest to every point of a table, exactly.
 
     Stops are counted on nested grids, each cell three times as wide (in
-    degrees) as one of the level below; the coarsest spans the world.  A point
+    degrees) as one of the level below; the finest are smaller than a metre, so
+    a crowded place is told apart too, and the coarsest spans the world.  A point
     searches on the finest level where the 3 x 3 cells around it hold ``k``
     stops.  Its k-th neighbour is then no farther than the diagonal of two
     cells, so the few cells within that reach hold all answers.  Only if the

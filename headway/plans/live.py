@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.times import day_of_week, hour_key, hour_of_day, quarter_key
+from headway.functions.times import day_of_week, hour_key, hour_of_day, quarter_key, route_key
 from headway.operators.latest import dedupe_segments, missing_keys
 from headway.operators.quality import filter_route
 from headway.operators.ranges import segments_near_cells
 from headway.operators.vehicles import slow_cells
 
+# Fixed value: how long answers for arterials count.
+ARTERIAL_TTL = "15 minutes"
+
 # Morning and evening peak hours, hours looked ahead.
 PEAK_HOURS = ((6, 10), (15, 19))
 HOURS_AHEAD = 2
@@ -74,6 +77,57 @@ def live_congestion(layers: Mapping[str, DataFrame], route: str | None = None) -
     return filter_route(combine_congestion(painted), route, "route")
 
 
+def congestion_at(
+    painted: DataFrame,
+    arterial: DataFrame,
+    cache: DataFrame,
+    *,
+    now: Column,
+    hour: int,
+    day: int,
+    live: bool = False,
+    route: str | None = None,
+    queried_at: str = "queried_at",
+) -> DataFrame:
+    """What is known of congestion at a moment, each row with the layer it comes from.
+
+    ``cache`` holds the segments of answered look-ups under their ``cache_key``.
+    A route outside live mode is answered from the cache under its own key
+    (``google_route``), in live mode by its painted pieces.  Without a route
+    there are, in live mode, all painted pieces and the arterial answers of the
+    last 15 minutes, and always the cached answers of the quarter hour
+    (``google_targeted``) and of the hour (``google`` unless they say otherwise).
+    """
+    hour_, day_ = F.lit(hour), F.lit(day)
+
+    def under(key: Column) -> DataFrame:
+        return cache.filter(F.col("cache_key") == key).drop("cache_key")
+
+    def tagged(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn("source", F.lit(name))
+
+    if route is not None and not live:
+        known = tagged(under(route_key(hour_, day_, F.lit(route))), "google_route")
+        return known.withColumn("routes", F.array(F.lit(route)))
+    if route is not None:
+        return tagged(painted.filter(F.lower("route") == route.lower()), "bus_route")
+    quarter = (F.floor(F.minute(now) / 15) * 15).cast("int").cast("string")
+    cached = {
+        "google_targeted": tagged(
+            under(F.concat(hour_key(hour_, day_), F.lit("_q"), quarter)), "google_targeted"
+        ),
+        "google": under(hour_key(hour_, day_)),
+    }
+    if not live:
+        return combine_congestion(cached)
+    fresh = arterial.filter(F.col(queried_at) > now - F.expr(f"INTERVAL '{ARTERIAL_TTL}'"))
+    shown = {
+        "bus_route": tagged(painted, "bus_route"),
+        "google_arterial": tagged(fresh.drop(queried_at), "google_arterial"),
+    }
+    return combine_congestion({**shown, **cached})
+
+
 def quarter_hour_readings(readings: DataFrame, ts: str = "polled_at", tz: str | None = None):
     """Readings per 15-minute bucket and its key; works on streams with a watermark."""
     return (

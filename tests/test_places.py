@@ -73,10 +73,28 @@ def test_segments_near_cells_limits(spark):
         (c, s[0]) for c in cells for s in segments
         if abs(s[1] - c[0]) < 0.006 and abs(s[2] - c[1]) < 0.006
     }
-    everything = segments_near_cells(cell, seg, ["n"], per_cell=None, max_cells=None)
+    everything = segments_near_cells(cell, seg, ["n"])
     assert {((r["lat"], r["lon"]), r["n"]) for r in everything.collect()} == near
     expected = set()
     for c in sorted(cells)[:30]:
         expected |= {(c, n) for n in sorted(n for cc, n in near if cc == c)[:3]}
-    limited = segments_near_cells(cell, seg, ["n"])
+    limited = segments_near_cells(cell, seg, ["n"], per_cell=3, max_cells=30)
     assert {((r["lat"], r["lon"]), r["n"]) for r in limited.collect()} == expected
+
+
+def test_crowded_place(spark):
+    """5,000 stops within 200 m: points look at their own surroundings only."""
+    rng = random.Random(3)
+    stops = [(f"s{i:04}", 49.25 + rng.random() * 0.0018, -123.1 + rng.random() * 0.0018) for i in range(5000)]
+    points = [(i, 49.25 + rng.random() * 0.0018, -123.1 + rng.random() * 0.0018) for i in range(300)]
+    found = nearest_stops(
+        spark.createDataFrame(points, "point_id INT, lat DOUBLE, lon DOUBLE"),
+        spark.createDataFrame(stops, "stop_id STRING, stop_lat DOUBLE, stop_lon DOUBLE"),
+        3,
+    )
+    mine = {(r["point_id"], r["rank"]): r["stop_id"] for r in found.collect()}
+    theirs = {}
+    for pid, lat, lon in points:
+        ranked = sorted((flat(lat, lon, s[1], s[2]), s[0]) for s in stops)[:3]
+        theirs.update({(pid, n + 1): stop for n, (_, stop) in enumerate(ranked)})
+    assert mine == theirs
