@@ -350,14 +350,15 @@ def _(t):
     WITH joined AS (
         SELECT r.*, e.*, segment + 1 AS number, {KM} AS km
         FROM g_even e JOIN g_longest USING (shape_id) JOIN g_routes r USING (route_id)
-        WHERE points >= 4)
+        WHERE points >= 4 AND route_short_name IS NOT NULL)
     SELECT {CORRIDOR_COLUMNS}, {rounded("km", 2)} AS distance_km FROM joined WHERE km >= 0.3""")
 def _(t):
     return flattened(corridors_from_shapes(t.feed_shapes, t.feed_trips, t.routes))
 
 
 @query("corridors_from_waypoints", f"""
-    WITH measured AS (SELECT *, {KM} AS km FROM g_route_segments),
+    WITH measured AS (SELECT *, {KM} AS km FROM g_route_segments
+                      WHERE route_short_name IS NOT NULL),
     useful AS (
         SELECT *, ROW_NUMBER() OVER own - 1 AS p,
                COUNT(*) OVER (PARTITION BY route_short_name) AS n
@@ -382,7 +383,7 @@ def _(t):
     WITH joined AS (
         SELECT route_type, {KM} AS km
         FROM g_even JOIN g_longest USING (shape_id) JOIN g_routes USING (route_id)
-        WHERE points >= 4)
+        WHERE points >= 4 AND route_short_name IS NOT NULL)
     SELECT CASE route_type WHEN 0 THEN 'tram' WHEN 1 THEN 'subway' WHEN 2 THEN 'rail'
                 WHEN 4 THEN 'ferry' ELSE 'bus' END AS corridor_type, COUNT(*) AS segments
     FROM joined WHERE km >= 0.3 GROUP BY 1""")
