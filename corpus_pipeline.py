@@ -18,7 +18,7 @@ from headway.llm.substring_dedup import substring_dedup
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or whose language is less than half certain, go."""
+    """Documents without a letter, or in which no language stands out, go."""
     return keep_identified(docs, train(docs))
 
 

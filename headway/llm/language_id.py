@@ -232,8 +232,11 @@ def language_id(docs: DataFrame, fold: int = 2, of: int = 4, max_rows: int = 600
     return identify(docs, model, held)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of docs, all columns, whose language is known with a score of `least` or more."""
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
+    """The rows of docs, all columns, whose language is known with a score of `least` or more.
+
+    The default only asks that one language stands out: short but clean texts stay.
+    """
 
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
