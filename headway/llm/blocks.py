@@ -1,6 +1,6 @@
 """Blocks of whole documents, word fingerprints, and which of a block's keys other blocks have.
 
-Documents are dealt by a hash of doc_id into blocks of a few MB and travel as compressed rows, so
+Documents are dealt by a hash of doc_id and length into blocks of a few MB and travel as compressed rows, so
 one shuffle serves every pass over the texts. `holders` tells each block in how many blocks each of
 its keys occurs: blocks send their sorted keys, shortened to a few bits more than the number of keys
 needs, as delta-coded pieces by key range, and get a small class per key back. A key is sent once
@@ -160,7 +160,8 @@ def packed(docs: DataFrame, blocks: int) -> DataFrame:
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(blocks)).cast("int").alias("block"),
+        # With the length, so that rows without an id, or with one and the same, do not meet.
+        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint"), F.octet_length("text")), F.lit(blocks)).cast("int").alias("block"),
     ).mapInArrow(run, "block int, payload binary")
 
 

@@ -135,7 +135,7 @@ def line_dedup(
     percent / 100; bands find such a pair with a chance of 0.998 or more. Returns a row for each
     document: doc_id, n_lines, n_removed, kept_sha256 of the kept lines joined by line feeds, and
     kept_text (null unless with_text). A null text counts as empty: one blank line. A null
-    doc_id comes after all others; rows that repeat a doc_id go on numbering its lines. Only doc_id
+    doc_id comes after all others; rows that repeat a doc_id keep or lose a line alike. Only doc_id
     and text are read. `block_bytes` and `chunk` bound what a task holds.
     """
     blocks, size = block_count(docs, block_bytes)
