@@ -7,8 +7,9 @@
    group of the smallest document it meets most often, in chunks; each chunk is joined with itself
    by a signature tree. What it links is contracted to components.
 3. Groups whose documents still lie in several components are joined by trees of signatures and
-   components alone, chunk by chunk; the pairs left are verified with the sets. So every pair that
-   shares a prefix shingle is either in one component or tested.
+   components alone, chunk by chunk; the pairs left are verified with the sets. A first round takes
+   only pairs that would connect components, which merges most of them; the second takes all that
+   are left. So every pair that shares a prefix shingle is either in one component or tested.
 
 A tree's nodes hold the OR of their sets' bitmaps, the range of their sizes, the most elements that
 share a bit, and their component if it is one. A pair of nodes is left out if no pair of sizes fits,
@@ -155,9 +156,15 @@ def linked_chunk(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
     yield from found
 
 
-def candidate_chunk(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of documents of two chunks (sides) that may be linked and are not yet connected."""
+def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of documents of two chunks (sides) that may be linked and are not yet connected.
+
+    With `once` only as many as would connect their components if all were links.
+    """
     found = []
+    names = sorted({r["component"] for r in rows})
+    number = {c: i for i, c in enumerate(names)}
+    parent = list(range(len(names)))
     sides = sorted({r["side"] for r in rows})
     parts = [[r for r in rows if r["side"] == s] for s in sides]
 
@@ -180,12 +187,15 @@ def candidate_chunk(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]
         for p in left.tolist():
             for q in right.tolist():
                 u, v = a[p], b[q]
-                if u["component"] != v["component"]:
+                left_root, right_root = (_find(parent, number[x["component"]]) for x in (u, v))
+                if left_root != right_root:
                     bits = np.bitwise_count(np.frombuffer(u["signature"], np.uint64) & np.frombuffer(v["signature"], np.uint64))
                     # Elements that share a bit are bounded by those of the smaller side.
                     most = min(int(bits.sum()) + doubled(u), int(bits.sum()) + doubled(v))
                     if (100 + percent) * most >= percent * (u["n"] + v["n"]):
                         found.append((max(u["doc_id"], v["doc_id"]), min(u["doc_id"], v["doc_id"])))
+                        if once:
+                            parent[left_root] = right_root
 
     dual(x, y, percent, visit)
     yield from set(found)
@@ -284,6 +294,18 @@ def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes],
     near = stored(near)
 
     # What the chunks could not see: groups of a prefix shingle in more than one component.
+    for once in (True, False):
+        rest = stored(_more_links(entries, near, sets, light, percent, chunk, once, decode))
+        if not rest.isEmpty():
+            near = stored(components(rest.unionByName(near.select(F.col("id").alias("a"), F.col("component").alias("b")))))
+    return near
+
+
+def _more_links(
+    entries: DataFrame, near: DataFrame, sets: DataFrame, light: DataFrame, percent: int, chunk: int, once: bool,
+    decode: Callable[[bytes], np.ndarray],
+) -> DataFrame:
+    """Verified links between components of one prefix shingle."""
     labelled = (
         entries.join(near, entries.doc_id == near.id, "left")
         .select("shingle", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -300,26 +322,22 @@ def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes],
         .select("shingle", "doc_id", "component", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"))
         .join(light, "doc_id")
     )
-    pairs = _edges(spread, ["shingle", "first", "second"], lambda rows: candidate_chunk(rows, percent)).distinct()
+    pairs = _edges(spread, ["shingle", "first", "second"], lambda rows: candidate_chunk(rows, percent, once)).distinct()
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("set_b"))
 
     @tidy
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
             good = []
-            for r in rows:
+            for r in batch.to_pylist():
                 both = np.intersect1d(decode(r["set_a"]), decode(r["set_b"]), assume_unique=True)
                 if (100 + percent) * len(both) >= percent * (r["n_a"] + r["n_b"]):
                     good.append((r["a"], r["b"]))
             if good:
                 yield pa.record_batch(list(zip(*good, strict=True)), schema=EDGES)
 
-    rest = stored(pairs.join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint"))
-    if rest.isEmpty():
-        return near
-    return components(rest.unionByName(near.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint")
 
 
 def jaccard_join(
