@@ -17,10 +17,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from headway.llm.blocks import (
-    BLOCK_BYTES, NO_ID, Block, binary, block_count, bytes_of, classes, holders, key_bits, pack, packed, shortened, unpack,
+    BLOCK_BYTES, NO_ID, Block, binary, block_count, classes, holders, key_bits, pack, packed, shortened, unpack,
 )
 from headway.llm.shared import tidy
 
