@@ -21,8 +21,9 @@ from headway.llm.blocks import BLOCK_BYTES, NO_ID, Block, block_count, classes,
 from headway.llm.jaccard_join import links, signature
 from headway.llm.shared import stored, tidy
 
-# Long shingles and four rows a band: lines that merely share syllables hardly ever share a band.
-SHINGLE = 9
+# Part of what the result means: longer shingles would ask for a higher similarity.
+SHINGLE = 5
+# Four rows a band: lines that merely share syllables seldom share one.
 BANDS, ROWS = 18, 4  # a pair of similarity 0.75 shares a band with a chance of 0.998
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint32(0xFFFFFFFF)
@@ -131,7 +132,7 @@ def line_dedup(
     """Of each component of similar lines keep the first, by doc_id and line number.
 
     Lines end at line feeds; white space around a line does not count, and blank lines always stay.
-    Two lines are linked if the Jaccard similarity of their sets of 9-character shingles is at least
+    Two lines are linked if the Jaccard similarity of their sets of 5-character shingles is at least
     percent / 100; bands find such a pair with a chance of 0.998 or more. Returns a row for each
     document: doc_id, n_lines, n_removed, kept_sha256 of the kept lines joined by line feeds, and
     kept_text (null unless with_text). A null text counts as empty: one blank line. A null

@@ -144,6 +144,21 @@ def test_many_near_copies_in_small_chunks(spark):
     assert got == brute_jaccard(rows)
 
 
+def test_similar_lines_by_five_characters(spark):
+    """One changed letter inside a line of 39 to 70 characters: alike by shingles of 5, not by longer ones."""
+    rng = random.Random(6)
+    rows, expected = [], {}
+    for i in range(64):
+        size = 37 + i % 34  # two sizes below the threshold, and all from 39 on
+        one = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size))
+        two = one[: size // 2] + "#" + one[size // 2 + 1 :]
+        x, y = ({t[j : j + 5] for j in range(size - 4)} for t in (one, two))
+        rows += [(2 * i, one, None, "", "", 0, "", 0), (2 * i + 1, two, None, "", "", 0, "", 0)]
+        expected |= {2 * i: 0, 2 * i + 1: int(100 * len(x & y) >= 75 * len(x | y))}
+    assert sum(expected.values()) == sum(37 + i % 34 >= 39 for i in range(64))
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup(frame(spark, rows)).collect()} == expected
+
+
 @pytest.mark.parametrize("operator", [exact_dedup, substring_dedup, jaccard_join, line_dedup])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).collect() == []
