@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headway.llm.exact_dedup import exact_dedup
+from headway.llm.blocks import NO_ID
+from headway.llm.exact_dedup import exact_dedup, normalised
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.language_id import keep_identified, train
 from headway.llm.packing import best_fit_packing
@@ -22,30 +23,41 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keep_identified(docs, train(docs))
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs with one of the ids (column kept_id), a null one included."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
+def _with_own_ids(docs: DataFrame) -> DataFrame:
+    """docs with own_id, which no two rows share: doc_id, or the place by doc_id if some ids repeat; null is last."""
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.withColumn("own_id", F.col("doc_id"))
+    # By text as well, so that the rows of one id, or of none, spread.
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stored(rows.withColumn("own_id", F.monotonically_increasing_id()))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the smallest doc_id stays; of rows that repeat an id, one."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    once = Window.partitionBy("doc_id").orderBy("text")
-    rows = _with_ids(docs, kept).select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    return rows.withColumn("number", F.row_number().over(once)).filter("number = 1").select("row.*")
+    """Of rows with equal texts the one with the smallest doc_id stays, and one only; ids may repeat."""
+    kept = exact_dedup(docs).filter("kept").select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("own_id"), F.unhex("text_sha256").alias("own_digest")
+    ).distinct()
+    rows = docs.withColumn("own_id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("own_digest", F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    # The number first: of a text and id that many rows share, each task sends one row.
+    once = Window.partitionBy("own_id", "own_digest").orderBy("text")
+    first = rows.withColumn("own_number", F.row_number().over(once)).filter("own_number = 1")
+    return first.join(kept, ["own_id", "own_digest"], "left_semi").select(docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are connected by near-duplicate links the one with the smallest id stays."""
-    found = jaccard_join(docs)
-    kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id"))
-    return _with_ids(docs, kept.distinct())
+    rows = _with_own_ids(docs)
+    found = jaccard_join(rows.select(F.col("own_id").alias("doc_id"), "text"))
+    kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
+    return rows.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")), "left_semi").select(docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages go out of the texts; n_chars follows."""
-    found = substring_dedup(docs).select(F.col("doc_id").alias("own_id"), F.col("kept_text").alias("own_text"))
-    rows = docs.drop("text").join(found, docs["doc_id"].eqNullSafe(found["own_id"])).withColumn("text", F.col("own_text"))
+    own = _with_own_ids(docs)
+    found = substring_dedup(own.select(F.col("own_id").alias("doc_id"), "text")).select(F.col("doc_id").alias("cut_id"), F.col("kept_text").alias("cut_text"))
+    rows = own.drop("text").join(found, F.col("own_id").eqNullSafe(F.col("cut_id"))).withColumn("text", F.col("cut_text"))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(docs.columns)

@@ -32,5 +32,24 @@ def test_stages_one_by_one(spark):
     assert sum(r["length"] for r in packed) == sum(len(t.split()) for t in rows[4].values())
 
 
+def test_one_id_of_several_texts(spark):
+    """Rows without an id, or under one id, are documents of their own: only copies of a text that stays may go."""
+    words = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    schema = table(spark, FOLDER, "documents").schema
+    texts = [(1, "a"), (5, "a"), (5, "b"), (5, "c"), (None, "d"), (None, "e"), (None, "e"), (None, "b"), (9, "e"), (9, "d")]
+    docs = stored(spark.createDataFrame([(d, words(t), "en", "s", len(words(t))) for d, t in texts], schema))
+    exact = stored(corpus_pipeline.exact_stage(spark, docs, FOLDER))
+    expected = sorted((d, words(t)) for d, t in [(1, "a"), (5, "b"), (5, "c"), (9, "d"), (9, "e")])
+    got = lambda df: sorted((r["doc_id"] or 0, r["text"]) for r in df.collect())
+    assert got(exact) == expected
+    # A near copy under an id of its own goes; other rows without an id stay.
+    more = [(None, words("c") + " x"), (None, words("f")), (None, words("g"))]
+    docs = stored(exact.unionByName(spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in more], schema)))
+    near = stored(corpus_pipeline.near_stage(spark, docs, FOLDER))
+    expected = sorted([*expected, (0, words("f")), (0, words("g"))])
+    assert got(near) == expected
+    assert got(corpus_pipeline.passage_stage(spark, near, FOLDER)) == expected
+
+
 def test_run_on_whole_table(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 100
