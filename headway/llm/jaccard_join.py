@@ -349,21 +349,23 @@ def jaccard_join(
     distinct shingles of `size` words, or the whole sequence of fewer words. Returns a row for each
     document: doc_id, n_shingles, component_id, the smallest doc_id reachable by links. Null texts
     and texts without words have no shingle and no link. A null doc_id counts as larger than others.
-    Rows that repeat a doc_id are judged row by row. Only doc_id and text are read; an empty table
+    Rows that repeat a doc_id, or have none, are judged row by row and do not connect each other. Only doc_id and text are read; an empty table
     gives no row. `block_bytes` and `chunk` bound what a task holds; they do not change the result.
     Shingles are compared by 64-bit fingerprints.
     """
     every = stored(shingle_sets(docs, size, percent, block_bytes))
     alive = every.filter("key1 IS NOT NULL")
     key = ["n", "key1", "key2"]
-    leaders = stored(alive.groupBy(*key).agg(F.min("doc_id").alias("leader")))
+    # Sets are the nodes: ids may repeat or be missing.
+    sets = stored(alive.groupBy(*key).agg(F.min("doc_id").alias("leader")).withColumn("node", F.monotonically_increasing_id()))
     # One row of each set: the leader's, once even if its row is repeated.
-    found = alive.join(leaders.withColumnRenamed("leader", "doc_id"), [*key, "doc_id"], "left_semi")
-    once = stored(found.dropDuplicates([*key, "doc_id"]).withColumn("held", (F.octet_length("shared") / 8).cast("bigint")))
+    found = alive.join(sets.withColumnRenamed("leader", "doc_id"), [*key, "doc_id"]).drop("doc_id", *key[1:])
+    once = stored(found.dropDuplicates(["node"]).withColumnRenamed("node", "doc_id").withColumn("held", (F.octet_length("shared") / 8).cast("bigint")))
     labels = links(once, percent, chunk)
-    of_set = leaders.join(labels, leaders.leader == labels.id, "left").select(
-        *key, F.coalesce("component", "leader").alias("component")
-    )
+    named = sets.join(labels, sets.node == labels.id).select(*key, "leader", F.col("component").alias("linked"))
+    least = named.groupBy("linked").agg(F.min("leader").alias("least"))
+    alone = sets.join(labels, sets.node == labels.id, "left_anti").select(*key, F.col("leader").alias("component"))
+    of_set = named.join(least, "linked").select(*key, F.col("least").alias("component")).unionByName(alone)
     known = lambda c: F.when(c != NO_ID, c)
     return every.select("doc_id", *key).join(of_set, key, "left").select(
         known(F.col("doc_id")).alias("doc_id"),

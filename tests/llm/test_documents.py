@@ -172,6 +172,16 @@ def test_null_and_repeated_ids(spark, operator):
     assert [r["doc_id"] for r in found] == [None, 3, 3, 4]
 
 
+def test_one_id_does_not_connect(spark):
+    """Rows that share an id, or have none, link no documents through it."""
+    one, two, three, four = (" ".join(f"{name}{i}" for i in range(60)) for name in "abcd")
+    near = lambda text: text + " more"
+    texts = [(1, one), (2, two), (None, near(one)), (None, near(two)), (3, three), (4, four), (9, near(three)), (9, near(four)), (9, "else")]
+    found = jaccard_join(frame(spark, [(d, t, None, "", "", 0, "", 0) for d, t in texts])).collect()
+    got = sorted((r["doc_id"] or 99, r["component_id"]) for r in found)
+    assert got == [(1, 1), (2, 2), (3, 3), (4, 4), (9, 3), (9, 4), (9, 9), (99, 1), (99, 2)]
+
+
 def test_spans_and_text_of_repeats(spark):
     one = [f"a{i}" for i in range(20)]
     two = ["x", *one[2:18], "y"]
