@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +92,19 @@ class Block:
         if len(same):  # rows that repeat an id: in the order of their texts
             order = np.array(sorted(order.tolist(), key=lambda i: (ids[i], texts[i].as_py())))
         self.ids = ids[order]
-        self.offsets, self.data = bytes_of(pa.concat_arrays([texts.take(pa.array(order))]))
+        self._read(pa.concat_arrays([texts.take(pa.array(order))]), lower, hashed)
+
+    @classmethod
+    def of(cls, texts: pa.Array, lower: bool = False) -> Block:
+        """A block of texts (large_binary) in their order, numbered from 0."""
+        block = cls.__new__(cls)
+        block.ids = np.arange(len(texts))
+        lines = pc.binary_join_element_wise(texts, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
+        block._read(pa.concat_arrays([lines]), lower, True)
+        return block
+
+    def _read(self, texts: pa.Array, lower: bool, hashed: bool) -> None:
+        self.offsets, self.data = bytes_of(texts)
         # Every text ends in a line feed that was added, so no word crosses into the next one.
         space = SPACE[self.data]
         edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1))

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from headway.llm.alignment import align
 from headway.llm.exact_dedup import exact_dedup
+from headway.llm.hyperminhash import near_dedup
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.language_id import language_id
 from headway.llm.line_dedup import line_dedup
@@ -18,6 +21,7 @@ from headway.llm.shared import table
 from headway.llm.substring_dedup import substring_dedup
 from headway.llm.token_counts import token_counts
 from headway.llm.toxicity import toxicity
+from headway.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +148,26 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op7_best_fit_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+@registered("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP12_SQL = OP10_SQL.replace("words[i : i + 4]", "words[i : i + 3]").replace("len(words) - 4,", "len(words) - 3,")
+OP12_SQL = OP12_SQL.replace("100 * shared >= 75 *", "100 * shared >= 80 *")
+OP12_SQL = OP12_SQL.replace("AS n_shingles, component_id FROM c", "AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c")
+
+
+@registered("op12_hyperminhash", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+@registered("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's deviation is a long: null where the exact number does not fit into one."""
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from inspect import isgeneratorfunction
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,29 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
             yield batch.slice(start, step)
 
 
+def grouped(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of batches that are sorted by integer keys, one table after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for own in columns:
+            change[1:] |= own[1:] != own[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            key = tuple(own[a] for own in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def release() -> None:
     """Give freed memory back to the machine: idle Python workers live on between tasks."""
     pa.default_memory_pool().release_unused()
