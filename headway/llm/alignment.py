@@ -221,11 +221,11 @@ def align(docs: DataFrame, path_a: str, path_b: str, batch_bytes: int = BATCH_BY
         once.select("text", "copies", F.unhex(F.sha2("text", 256)).alias("digest"))
         .mapInArrow(run, "block bigint, payload binary, codes array<bigint>, weights array<bigint>")
     )
-    pairs = blocks.select("block", F.explode(F.arrays_zip("codes", "weights")).alias("x")).select("block", "x.codes", "x.weights")
+    pairs = blocks.select(F.col("block").alias("of"), F.explode(F.arrays_zip("codes", "weights")).alias("x")).select("of", "x.codes", "x.weights")
     counts = pairs.groupBy("codes").agg(F.sum("weights").alias("count")).withColumn("a", F.shiftright("codes", SHIFT))
     most = counts.groupBy("a").agg(F.max("count").alias("most"))
     scored = counts.join(most, "a").select("codes", "count", (F.col("count") == F.col("most")).alias("best"))
-    back = pairs.select("block", "codes").join(scored, "codes")
+    back = pairs.select("of", "codes").join(scored, "codes")
 
     @tidy
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -234,7 +234,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, batch_bytes: int = BATCH_BY
         columns = measures(left["payload"][0].as_py(), count, best)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, MEASURES, strict=True)], schema=MEASURES)
 
-    found = blocks.select("block", "payload").groupBy("block").cogroup(back.groupBy("block")).applyInArrow(finish, MEASURES_DDL)
+    found = blocks.select("block", "payload").groupBy("block").cogroup(back.groupBy("of")).applyInArrow(finish, MEASURES_DDL)
     members = rows.select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"))
     numbers = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
     return members.join(found, "digest", "left").select("doc_id", *numbers, F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
