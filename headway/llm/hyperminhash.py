@@ -5,12 +5,13 @@ only the number of leading zeros and some mantissa bits. Groups of registers are
 bucket borrows a register by a fixed order of the others, so short documents have all bands too.
 Documents that share a band are candidates:
 
-1. Each one meets the first document of each of its bands. Pairs whose registers cannot come from
+1. Each one meets the document that is the first in most of its bands. Pairs whose registers cannot come from
    similar sets (matching ones, corrected for chance collisions) go; the others are verified on their
    whole sets. What is linked is contracted to components, so groups of copies cost a pair a member.
 2. Bands whose documents still lie in several components are taken whole: by size, as similar sets
-   have similar sizes, and in chunks, in which all pairs of different components are tested in place
-   (registers first, sets then) and nothing but links comes out.
+   have similar sizes, and in chunks, in which all pairs of different components are tested in place:
+   by registers, which leaves the documents with a possible partner, and then these on their sets.
+   Nothing but links comes out.
 """
 
 from __future__ import annotations
@@ -216,47 +217,75 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int)
     return near.join(side("a", sets), "a").join(side("b", sets), "b").mapInArrow(verify, ddl)
 
 
+class Rows:
+    """The rows of one band, size class and pair of chunks, and which pairs of them are to be tested."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        get = lambda c: rows[c].to_numpy()
+        self.node, self.n, self.component, self.low, self.side = get("node"), get("n"), get("component"), get("low"), get("side")
+        self.percent = percent
+        self.idle = bool((self.component == self.component[0]).all() or self.low.all())
+        if self.idle:
+            return
+        self.apart = rows["first"][0].as_py() != rows["second"][0].as_py()
+        self.registers = _registers(rows["registers"])
+        self.bands = bands(self.registers)
+        self.bands[self.n > SHORT, BUCKETS // BAND :] = 0
+        self.here = int(np.flatnonzero(self.bands[0] == rows["band"][0].as_py())[0])
+
+    def partners(self, i: int, component: np.ndarray) -> np.ndarray:
+        """Later rows of other components that row i may be linked with."""
+        # Each pair once: of two chunks one row each, of two size classes not both the lower.
+        others = np.arange(i + 1, len(self.node))
+        others = others[(component[others] != component[i]) & ~(self.low[others] & self.low[i])]
+        if self.apart:
+            others = others[self.side[others] != self.side[i]]
+        if len(others) and self.here:  # and in the first band only that the two share
+            before = self.bands[i, : self.here]
+            others = others[~((self.bands[others, : self.here] == before) & (before != 0)).any(axis=1)]
+        if len(others):
+            same = np.full(len(others), i)
+            r = self.registers
+            others = others[plausible(r[same], r[others], self.n[same], self.n[others], self.percent)]
+        return others
+
+
+def hopeful(rows: pa.Table, percent: int) -> pa.Table:
+    """The rows that may be linked with one of another component, by their registers."""
+    own = Rows(rows, percent)
+    found = np.zeros(rows.num_rows, bool)
+    if not own.idle:
+        for i in range(rows.num_rows):
+            others = own.partners(i, own.component)
+            found[others] = True
+            found[i] |= len(others) > 0
+    return rows.filter(pa.array(found))
+
+
 def chunk_links(rows: pa.Table, percent: int) -> Iterator[tuple[int, int]]:
-    """Links between components among the rows of one band, size class and pair of chunks."""
-    get = lambda c: rows[c].to_numpy()
-    node, n, component, low, side = get("node"), get("n"), get("component"), get("low"), get("side")
-    if (component == component[0]).all() or low.all():
+    """Links between components among the rows, on their whole sets."""
+    own = Rows(rows, percent)
+    if own.idle:
         return
-    apart = rows["first"][0].as_py() != rows["second"][0].as_py()
-    own = _registers(rows["registers"])
-    lists = rows["bands"].to_pylist()
-    keys = np.zeros((len(lists), max(map(len, lists))), np.int64)  # 0 stands for none
-    for i, k in enumerate(lists):
-        keys[i, : len(k)] = k
-    here = int(np.flatnonzero(keys[0] == rows["band"][0].as_py())[0])
-    names = np.unique(component).tolist()
-    parent = {c: c for c in names}
-    current = component.copy()
-    for i in range(len(node)):
-        # Each pair once: of two chunks one row each, of two size classes not both the lower.
-        others = np.arange(i + 1, len(node))
-        others = others[(current[others] != current[i]) & ~(low[others] & low[i])]
-        if apart:
-            others = others[side[others] != side[i]]
-        if not len(others):
-            continue
-        # A pair is tested in the first band that it shares.
-        others = others[~((keys[others, :here] == keys[i, :here]) & (keys[i, :here] != 0)).any(axis=1)]
-        if not len(others):
-            continue
-        same = np.full(len(others), i)
-        others = others[plausible(own[same], own[others], n[same], n[others], percent)]
+    parent = {c: c for c in np.unique(own.component).tolist()}
+    current = own.component.copy()
+    for i in range(len(own.node)):
+        others = own.partners(i, current)
         mine = np.frombuffer(rows["set"][i].as_py(), np.uint64) if len(others) else None
         for j in others.tolist():
-            p, q = _find(parent, int(component[i])), _find(parent, int(component[j]))
+            p, q = _find(parent, int(own.component[i])), _find(parent, int(own.component[j]))
             if p != q and linked(mine, np.frombuffer(rows["set"][j].as_py(), np.uint64), percent):
                 parent[p] = q
                 current[current == p] = q
-                yield int(node[i]), int(node[j])
+                yield int(own.node[i]), int(own.node[j])
 
 
 def rest(members: DataFrame, near: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, chunk: int) -> DataFrame:
-    """Links within bands whose documents still lie in several components."""
+    """Links within bands whose documents still lie in several components.
+
+    The rows of a band's largest component only meet those of others, and are copied for each chunk of
+    these; the others are copied for each chunk of either kind.
+    """
     size_class = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) * F.lit(1 - 1e-9)).cast("bigint")
     labelled = (
         members.join(near, members.node == near.id, "left")
@@ -267,27 +296,50 @@ def rest(members: DataFrame, near: DataFrame, nodes: DataFrame, sets: DataFrame,
     # Similar sets are in one size class or in neighbouring ones: a row goes to its own and, as `low`, to the next.
     dealt = sized.withColumn("low", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("class", F.col("class") + F.col("low"))
     keys = ["band", "class"]
-    held = dealt.groupBy(*keys).agg(
-        F.min("component").alias("p"), F.max("component").alias("q"), F.min("low").alias("some"),
-        F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n") / F.lit(chunk * 16384))).alias("chunks"),
-    ).filter("p < q AND some = 0").select(*keys, "chunks")
-    spread = (
-        dealt.join(held, keys).withColumn("side", F.pmod(F.xxhash64("node"), F.col("chunks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-        .select("band", "class", "node", "component", F.col("low") == 1, "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"))
-        .toDF("band", "class", "node", "component", "low", "side", "first", "second")
-        .join(nodes.select("node", "n", "registers", "bands"), "node").join(sets, "node")
+    weight = F.greatest(F.sum("rows") / F.lit(chunk), F.sum("held") / F.lit(chunk << 10))
+    most = F.max(F.struct("rows", "held", "component"))
+    parts = dealt.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("held"), F.min("low").alias("some"))
+    groups = (
+        parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), F.min("some").alias("some"), F.ceil(weight).alias("all"), F.sum("rows").alias("rows"), F.sum("held").alias("held"), most.alias("top"))
+        .filter("parts > 1 AND some = 0")
+        .select(
+            *keys, F.when(F.col("all") > 1, F.col("top.component")).alias("main"),
+            F.when(F.col("all") > 1, F.ceil(F.greatest(F.col("top.rows") / chunk, F.col("top.held") / (chunk << 10)))).otherwise(0).alias("mains"),
+            F.when(F.col("all") > 1, F.ceil(F.greatest((F.col("rows") - F.col("top.rows")) / chunk, (F.col("held") - F.col("top.held")) / (chunk << 10)))).otherwise(1).alias("others"),
+        )
     )
+    count = lambda c: F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1)
+    pair = lambda a, b: F.struct(a.cast("bigint").alias("first"), b.cast("bigint").alias("second"))
+    in_main = F.col("component").eqNullSafe(F.col("main"))
+    place = F.when(in_main, -1 - F.pmod(F.xxhash64("node"), "mains")).otherwise(F.pmod(F.xxhash64("node"), "others"))
+    side = F.col("side")
+    with_main = F.when(F.col("mains") > 0, F.transform(count("mains"), lambda i: pair(-1 - i, side))).otherwise(F.array().cast("array<struct<first:bigint,second:bigint>>"))
+    chunks = F.when(in_main, F.transform(count("others"), lambda j: pair(side, j))).otherwise(
+        F.concat(with_main, F.transform(count("others"), lambda j: pair(F.least(side, j), F.greatest(side, j))))
+    )
     keys = [*keys, "first", "second"]
+    spread = (
+        dealt.join(groups, ["band", "class"]).withColumn("side", place).withColumn("to", F.explode(chunks))
+        .select("band", "class", "to.first", "to.second", "node", "component", (F.col("low") == 1).alias("low"), "side")
+        .join(nodes.select("node", "n", "registers"), "node")
+    )
+
+    @tidy
+    def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in grouped(batches, keys):
+            if rows.num_rows > 1:
+                yield from hopeful(rows, percent).to_batches()
 
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(edge for rows in grouped(batches, keys) if rows.num_rows > 1 for edge in chunk_links(rows, percent))
 
-    return spread.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a bigint, b bigint")
+    together = lambda df: df.repartition(*keys).sortWithinPartitions(*keys)
+    left = together(spread).mapInArrow(sift, spread.schema)
+    return together(left.join(sets, "node")).mapInArrow(run, "a bigint, b bigint")
 
 
-def near_dedup(docs: DataFrame, size: int = 4, percent: int = 80, chunk: int = 256) -> DataFrame:
+def near_dedup(docs: DataFrame, size: int = 4, percent: int = 80, chunk: int = 2048) -> DataFrame:
     """Connect documents whose shingle sets have 100 * intersection >= percent * union.
 
     Words are runs of other bytes than 0x20 and 0x09-0x0D with A-Z in lower case; a set holds the
@@ -315,7 +367,11 @@ def near_dedup(docs: DataFrame, size: int = 4, percent: int = 80, chunk: int = 2
     named = nodes.select("node", "doc_id", "text_key").join(members.select("node").distinct(), "node")
     texts = rows.join(named, ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text")
     sets = stored(full_sets(texts, size))
-    pairs = members.filter("hub < node").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    best = F.max(F.struct("hits", (-F.col("hub")).alias("minus")))
+    pairs = (
+        members.filter("hub < node").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("hits"))
+        .groupBy("node").agg(best.alias("best")).select(F.col("node").alias("a"), (-F.col("best.minus")).alias("b"))
+    )
     first = stored(verified(pairs, nodes, sets, percent))
     near = stored(components(first))
     more = stored(rest(members, near, nodes, sets, percent, chunk))
