@@ -240,7 +240,7 @@ def _identity_errors(vectors: DataFrame, fits: dict[int, Fit]) -> dict[int, floa
         held: dict[int, Part] = {}
         for r in rows:
             mean = np.asarray(r["mean"])
-            held[r["length"]] = joined(held.get(r["length"]), (r["n"], mean, np.asarray(r["spread"]).reshape(len(mean), -1)))
+            held[r["length"]] = joined(held.get(r["length"]), (r["n"], mean, np.asarray(r["spread"]).reshape(len(mean), len(mean))))
         return held
 
     @tidy
