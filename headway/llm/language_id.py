@@ -14,13 +14,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.shared import sliced, tidy
 
 SLOTS = 1 << 13
-BATCH_BYTES = 2 << 20
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 256  # counts are dense: rows are bounded too
 UNKNOWN = "und"
 _STEPS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)]
 RESULT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
@@ -145,13 +145,14 @@ def held_out(fold: int, of: int) -> Column:
 
 
 def sampled(rate: Column | float, seed: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rate
+    """By id and text, so that rows without an id, or under one, are drawn one by one."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rate
 
 
 @tidy
 def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(SLOTS, np.int64), 0
-    for batch in sliced(batches, "text", BATCH_BYTES):
+    for batch in sliced(batches, "text", BATCH_BYTES, BATCH_ROWS):
         grams, _ = counts(batch.column("text").to_pylist())
         total += (grams > 0).sum(axis=0)
         rows += batch.num_rows
@@ -170,15 +171,17 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, max_rows: int = 6000, epochs: int = 3) -> Model:
     """Fit a model on the rows of docs (doc_id, text, lang) that have text and language.
 
-    Every row counts for the document frequencies. The weights and the temperature are fitted on a
-    sample of at most about `max_rows` rows, spread evenly over the languages and chosen by a hash.
+    Every row counts for the document frequencies, and every language is learned. The weights and the
+    temperature are fitted on a sample of at most `max_rows` rows, spread evenly over the languages and
+    chosen by a hash; where that would be less than 8 rows of a language, it has up to 8 of each.
     """
     rows = docs.filter("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows // 8).collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return Model()
     languages = sorted(sizes)
-    each = max_rows / len(languages)
+    each = max(8, max_rows // len(languages))
+    number = {name: i for i, name in enumerate(languages)}
     merged = "df array<bigint>, n bigint"
     partial = rows.select("text").mapInArrow(_frequencies, merged)
     found = partial.repartition(16).mapInArrow(_added, merged).collect()
@@ -188,23 +191,28 @@ def train(docs: DataFrame, max_rows: int = 6000, epochs: int = 3) -> Model:
     @tidy
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples, target, check = [], [], []
-        for batch in sliced(batches, "text", BATCH_BYTES):
+        for batch in sliced(batches, "text", BATCH_BYTES, BATCH_ROWS):
             grams, _ = counts(batch.column("text").to_pylist())
             for x, lang, h in zip(model.features(grams), batch.column("lang").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 slots = np.append(np.flatnonzero(x), SLOTS)
                 examples.append((h, slots, np.append(x[slots[:-1]], 1.0)))
-                target.append(languages.index(lang))
-        order = sorted(range(len(examples)), key=lambda i: examples[i][0])[: max_rows + len(languages)]
-        check = [i for i in order if examples[i][0] % 5 == 0]
-        learn = [i for i in order if examples[i][0] % 5]
+                target.append(number[lang])
+        order = sorted(range(len(examples)), key=lambda i: examples[i][0])
+        # A fifth is for the temperature, but each language's first example is learned.
+        first = {target[i]: i for i in reversed(order)}
+        check = [i for i in order if examples[i][0] % 5 == 0 and first[target[i]] != i]
+        learn = [i for i in order if examples[i][0] % 5 or first[target[i]] == i]
         model.weights = ftrl([examples[i][1:] for i in learn], np.array([target[i] for i in learn]), len(languages), epochs, 0.5, 1.0, 0.02, 0.01)
         if check:
             logits = np.array([v @ model.weights[s] for _, s, v in (examples[i] for i in check)])
             model.temperature = temperature(logits, np.array([target[i] for i in check]))
         yield pa.record_batch([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, each / v))]), F.col("lang"))
-    sample = rows.filter(sampled(rate, 5)).select("text", "lang", F.xxhash64("doc_id", F.lit(9)).alias("h"))
+    # Few rows: a language with less than 8 times as many as wanted is drawn whole, and cut to the number then.
+    rate = F.element_at(F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, 1.0 if v < 8 * each else 1.25 * each / v)]), F.col("lang"))
+    drawn = rows.filter(sampled(rate, 5)).select("text", "lang", F.xxhash64("doc_id", "text", F.lit(9)).alias("h"))
+    # Copies of a row are drawn together: a limit for each language keeps them from filling the task.
+    sample = drawn.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("place") <= each).drop("place")
     return pickle.loads(sample.repartition(1).mapInArrow(fit, "model binary").first()[0])
 
 
@@ -217,7 +225,7 @@ def identify(docs: DataFrame, model: Model, held: Column | None = None) -> DataF
 
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", BATCH_BYTES):
+        for batch in sliced(batches, "text", BATCH_BYTES, BATCH_ROWS):
             names, score = model.predict(batch.column("text").to_pylist())
             yield pa.record_batch([batch.column("doc_id"), batch.column("held"), pa.array(names), pa.array(score)], schema=RESULT)
 
@@ -232,15 +240,19 @@ def language_id(docs: DataFrame, fold: int = 2, of: int = 4, max_rows: int = 600
     return identify(docs, model, held)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
-    """The rows of docs, all columns, whose language is known with a score of `least` or more.
+def keep_identified(docs: DataFrame, model: Model, margin: float = 2 / 15) -> DataFrame:
+    """The rows of docs, all columns, in whose text one language stands out.
 
-    The default only asks that one language stands out: short but clean texts stay.
+    With k languages that is a score of 1/k + margin * (1 - 1/k) or more: `margin` of the way from
+    knowing nothing to being sure. Short but clean texts stay. Null texts and texts without a letter
+    go, as does every row if the model knows no language.
     """
+    k = max(1, len(model.languages))
+    least = 1 / k + margin * (1 - 1 / k) - 1e-9
 
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", BATCH_BYTES):
+        for batch in sliced(batches, "text", BATCH_BYTES, BATCH_ROWS):
             names, score = model.predict(batch.column("text").to_pylist())
             yield batch.filter(pa.array((np.array(names) != UNKNOWN) & (score >= least)))
 

@@ -42,13 +42,13 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that a column holds about `limit` bytes or a single row; empty ones go."""
+def sliced(batches: Iterable[pa.RecordBatch], column: str, limit: int, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that a column holds about `limit` bytes and `most` rows, or a single row; empty ones go."""
     for batch in batches:
         rows = batch.num_rows
         if not rows:
             continue
-        step = max(1, int(rows * limit / max(1, batch.column(column).nbytes)))
+        step = min(most, max(1, int(rows * limit / max(1, batch.column(column).nbytes))))
         for start in range(0, rows, step):
             yield batch.slice(start, step)
 

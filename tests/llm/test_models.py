@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from headway.llm.language_id import language_id, softmax, temperature
+from headway.llm.language_id import SLOTS, ftrl, identify, language_id, softmax, temperature, train
 from headway.llm.shared import table
 from headway.llm.toxicity import Trees, isotonic, toxicity
 
@@ -32,6 +32,47 @@ def test_language_without_labels_or_rows(spark):
     assert language_id(docs.limit(0)).collect() == []
 
 
+def test_every_language_is_learned_and_rows_without_id_are_bounded(spark):
+    """800 languages, each with a word of its own; a third of all rows is one row without an id."""
+    rows = [(lang * 10 + k, f"w{chr(0x4E00 + lang)}{chr(0x5E00 + lang)} " * (3 + k), f"l{lang}") for lang in range(800) for k in range(3)]
+    rows += [(None, "same words again", "l0")] * 1200
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = train(docs, max_rows=600)
+    assert len(model.languages) == 800
+    found = {r["doc_id"]: r["lang_pred"] for r in identify(docs, model).collect() if r["doc_id"] is not None}
+    assert np.mean([found[d] == lang for d, _, lang in rows if d is not None]) > 0.9
+
+
+def test_regression_against_a_plain_version():
+    """FTRL-proximal one coordinate at a time."""
+    rng = np.random.default_rng(4)
+    slots = [np.append(np.sort(rng.choice(40, 6, replace=False)), SLOTS) for _ in range(60)]
+    rows = [(s, np.append(rng.random(6), 1.0)) for s in slots]
+    target = rng.integers(0, 3, 60)
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.01
+    z, n = {}, {}
+
+    def weight(i, c):
+        own = z.get((i, c), 0.0)
+        return 0.0 if abs(own) <= l1 else -(own - np.sign(own) * l1) / ((beta + n.get((i, c), 0.0) ** 0.5) / alpha + l2)
+
+    order = np.random.default_rng(11)
+    for _ in range(2):
+        for k in order.permutation(60):
+            s, v = rows[k]
+            score = np.exp([sum(x * weight(i, c) for i, x in zip(s, v, strict=True)) for c in range(3)])
+            p = score / score.sum()
+            w = {(i, c): weight(i, c) for i in s for c in range(3)}
+            for i, x in zip(s, v, strict=True):
+                for c in range(3):
+                    g = x * (p[c] - (target[k] == c))
+                    old = n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * w[i, c]
+                    n[i, c] = old + g * g
+    found = ftrl(rows, target, 3, 2, alpha, beta, l1, l2)
+    assert all(abs(found[i, c] - weight(i, c)) < 1e-9 for i in range(SLOTS + 1) for c in range(3))
+
+
 def test_temperature_recovers_scale():
     rng = np.random.default_rng(1)
     logits = rng.normal(size=(4000, 3))
