@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.blocks import BLOCK_BYTES, NO_ID, Block, block_count, classes, holders, key_bits, mixed, packed, shortened
 from headway.llm.components import components
-from headway.llm.shared import stored, tidy
+from headway.llm.shared import grouped, stored, tidy
 
 BITS = 1024
 LEAF = 8
@@ -96,8 +96,8 @@ class SignatureTree:
         return (i + 1, self.right[i]) if self.right[i] else (i,)
 
 
-def dual(x: SignatureTree, y: SignatureTree, percent: int, visit: Callable[[np.ndarray, np.ndarray], None]) -> None:
-    """Call visit(members of x, members of y) for every pair of leaves that may hold a link."""
+def dual(x: SignatureTree, y: SignatureTree, percent: int) -> Iterator[tuple[int, int]]:
+    """Every pair (member of x, member of y) of leaves that may hold a link; of one tree each pair once."""
     todo = [(0, 0)]
     while todo:
         i, j = todo.pop()
@@ -112,7 +112,11 @@ def dual(x: SignatureTree, y: SignatureTree, percent: int, visit: Callable[[np.n
             continue
         a, b = x.children(i), y.children(j)
         if len(a) == len(b) == 1:
-            visit(x.order[slice(*x.span[i])], y.order[slice(*y.span[j])])
+            left, right = (t.order[slice(*t.span[k])].tolist() for t, k in ((x, i), (y, j)))
+            for p in left:
+                for q in right:
+                    if x is not y or i < j or p < q:
+                        yield p, q
         else:
             todo += [(p, q) for p in a for q in b]
 
@@ -137,23 +141,15 @@ def linked_chunk(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
     sets = [decode(r["shared"]) for r in rows]
     sizes = np.array([r["n"] for r in rows])
     parent = list(range(len(rows)))
-    found = []
-
-    def visit(left: np.ndarray, right: np.ndarray) -> None:
-        for p in left.tolist():
-            for q in right.tolist():
-                if _find(parent, p) == _find(parent, q):
-                    continue
-                both = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
-                if (100 + percent) * both >= percent * (sizes[p] + sizes[q]):
-                    parent[_find(parent, p)] = _find(parent, q)
-                    found.append((rows[p]["doc_id"], rows[q]["doc_id"]))
-
     tree = SignatureTree(
         sizes, np.array([len(s) for s in sets]), _bitmaps([r["signature"] for r in rows]), np.arange(len(rows))
     )
-    dual(tree, tree, percent, visit)
-    yield from found
+    for p, q in dual(tree, tree, percent):
+        if _find(parent, p) != _find(parent, q):
+            both = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
+            if (100 + percent) * both >= percent * (sizes[p] + sizes[q]):
+                parent[_find(parent, p)] = _find(parent, q)
+                yield rows[p]["doc_id"], rows[q]["doc_id"]
 
 
 def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tuple[int, int]]:
@@ -161,7 +157,6 @@ def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tupl
 
     With `once` only as many as would connect their components if all were links.
     """
-    found = []
     names = sorted({r["component"] for r in rows})
     number = {c: i for i, c in enumerate(names)}
     parent = list(range(len(names)))
@@ -183,22 +178,17 @@ def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tupl
     else:
         return
 
-    def visit(left: np.ndarray, right: np.ndarray) -> None:
-        for p in left.tolist():
-            for q in right.tolist():
-                u, v = a[p], b[q]
-                left_root, right_root = (_find(parent, number[x["component"]]) for x in (u, v))
-                if left_root != right_root:
-                    bits = np.bitwise_count(np.frombuffer(u["signature"], np.uint64) & np.frombuffer(v["signature"], np.uint64))
-                    # Elements that share a bit are bounded by those of the smaller side.
-                    most = min(int(bits.sum()) + doubled(u), int(bits.sum()) + doubled(v))
-                    if (100 + percent) * most >= percent * (u["n"] + v["n"]):
-                        found.append((max(u["doc_id"], v["doc_id"]), min(u["doc_id"], v["doc_id"])))
-                        if once:
-                            parent[left_root] = right_root
-
-    dual(x, y, percent, visit)
-    yield from set(found)
+    for p, q in dual(x, y, percent):
+        u, v = a[p], b[q]
+        left_root, right_root = (_find(parent, number[r["component"]]) for r in (u, v))
+        if left_root != right_root:
+            bits = np.bitwise_count(np.frombuffer(u["signature"], np.uint64) & np.frombuffer(v["signature"], np.uint64))
+            # Elements that share a bit are bounded by those of the smaller side.
+            most = min(int(bits.sum()) + doubled(u), int(bits.sum()) + doubled(v))
+            if (100 + percent) * most >= percent * (u["n"] + v["n"]):
+                yield max(u["doc_id"], v["doc_id"]), min(u["doc_id"], v["doc_id"])
+                if once:
+                    parent[left_root] = right_root
 
 
 def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, int]]]):
@@ -206,20 +196,15 @@ def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, i
 
     @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group, out = None, [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = tuple(row[k] for k in keys)
-                if own != key and len(group) > 1:
-                    out += work(group)
-                if own != key:
-                    key, group = own, []
-                group.append(row)
-            if len(out) > 10_000:
-                yield pa.record_batch(list(zip(*out, strict=True)), schema=EDGES)
-                out = []
-        if len(group) > 1:
-            out += work(group)
+        out: list[tuple[int, int]] = []
+        for group in grouped(batches, keys):
+            if group.num_rows < 2:
+                continue
+            for edge in work(group.to_pylist()):
+                out.append(edge)
+                if len(out) >= 10_000:
+                    yield pa.record_batch(list(zip(*out, strict=True)), schema=EDGES)
+                    out = []
         if out:
             yield pa.record_batch(list(zip(*out, strict=True)), schema=EDGES)
 
@@ -329,13 +314,10 @@ def _more_links(
     @tidy
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for r in batch.to_pylist():
-                both = np.intersect1d(decode(r["set_a"]), decode(r["set_b"]), assume_unique=True)
-                if (100 + percent) * len(both) >= percent * (r["n_a"] + r["n_b"]):
-                    good.append((r["a"], r["b"]))
-            if good:
-                yield pa.record_batch(list(zip(*good, strict=True)), schema=EDGES)
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            own = lambda c, i: decode(batch.column(c)[i].as_py())  # noqa: E731, B023
+            both = np.array([len(np.intersect1d(own("set_a", i), own("set_b", i), assume_unique=True)) for i in range(len(total))], np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * both >= percent * total))
 
     return pairs.join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint")
 

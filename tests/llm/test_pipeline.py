@@ -53,3 +53,33 @@ def test_one_id_of_several_texts(spark):
 
 def test_run_on_whole_table(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 100
+
+
+CLASHING = ("own_id", "own_digest", "own_number", "kept_id", "cut_id", "cut_text", "doc", "kept", "component_id", "many", "id", "block", "length")
+
+
+def test_clashing_columns_null_and_long_texts(spark):
+    """Columns with the names that stages use come out of each stage as they went in."""
+    words = lambda name, n=40: " ".join(f"{name}word{i}" for i in range(n))
+    texts = [(1, words("a")), (2, words("a")), (3, words("b")), (4, words("b") + " end"), (5, None), (6, ""), (7, words("long", 50_000)), (None, words("c")), (None, None)]
+    rows = [(d, t, "en", "s", len(t or ""), *range(111, 111 + len(CLASHING))) for d, t in texts]
+    ddl = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{c} int" for c in CLASHING)
+    docs = stored(spark.createDataFrame(rows, ddl))
+    left = []
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stored(stage(spark, docs, FOLDER))
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        found = out.collect()
+        assert all(r[c] == 111 + i for r in found for i, c in enumerate(CLASHING))
+        left.append(sorted((r["doc_id"] or 0, len(r["text"] or "")) for r in found))
+    size = {d: len(t or "") for d, t in texts}
+    assert left[0] == sorted([(d, size[d]) for d in (1, 3, 4, 5, 7)] + [(0, len(words("c")))])
+    assert [d for d, _ in left[1]] == [0, 0, 1, 3, 5, 6, 7] and len(left[2]) == len(texts)
+    assert corpus_pipeline.language_stage(spark, docs, FOLDER).columns == docs.columns
+    assert corpus_pipeline.packing_stage(spark, docs, FOLDER).filter("length = 0").count() == 3
+
+
+def test_empty_table(spark):
+    docs = table(spark, FOLDER, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, FOLDER).collect() == []
