@@ -48,15 +48,15 @@ class Vocabulary:
         n = model.get_piece_size()
         self.piece = [model.id_to_piece(i) for i in range(n)]
         self.byte: dict[int, int] = {}
-        self.score: dict[str, tuple[float, int]] = {}
+        self.score: dict[str, tuple[float, tuple[int, ...]]] = {}
         for i, piece in enumerate(self.piece):
             if model.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                self.score[piece] = (model.get_score(i), i)
+                self.score[piece] = (model.get_score(i), (i,))
         self.unknown = model.unk_id()
         # Beginnings of pieces, with the score and id of those that are pieces.
-        self.prefix: dict[str, tuple[float, int] | None] = {p[:i]: None for p in self.score for i in range(1, len(p))}
+        self.prefix: dict[str, tuple[float, tuple[int, ...]] | None] = {p[:i]: None for p in self.score for i in range(1, len(p))}
         self.prefix.update(self.score)
         # Characters of longer pieces by number, and which stand next to each other in one.
         pairs = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
@@ -76,7 +76,7 @@ class Vocabulary:
         """
         size = len(text)
         get = self.prefix.get
-        into: list[list[tuple[int, tuple[float, object]]]] = [[] for _ in range(size + 1)]
+        into: list[list[tuple[int, tuple[float, tuple[int, ...]]]]] = [[] for _ in range(size + 1)]
         best = [0.0] + [-np.inf] * size
         for at in range(size):
             here, single, end = best[at], False, at + 1
@@ -97,23 +97,30 @@ class Vocabulary:
                 best[at + 1] = max(best[at + 1], here + BYTE_SCORE * len(ids))
         # A state is a path from some place to the end; best[place] is exactly what it lacks, so a
         # state stands for one path of its score at least, and those in the queue share no path. What
-        # is worse than n of them is left out. Ties in the queue are broken by a running number.
-        number = 0
-        queue = [(-best[size], 0, size, 0.0, None)]
+        # is worse than n of them is left out. Of equal states those nearer to the end come first, so
+        # all equal ones of a place are known when its first is taken; they are taken by the ids of
+        # their first piece, then in the order of what follows it: that is by their ids. No place is
+        # in more than n of the n best paths' different rests, so it is taken n times at most.
+        queue = [(-best[size], -size, (), 0, 0.0, None)]
         top = [-best[size]]
+        taken = [0] * (size + 1)
+        number = 0
         done: list[tuple[float, tuple[int, ...]]] = []
         pop, push = heapq.heappop, heapq.heappush
-        while queue:
-            minus, _, at, behind, path = pop(queue)
-            if minus > top[-1] and len(top) == n:
-                break
+        while queue and len(done) < n:
+            minus, at, _, _, behind, path = pop(queue)
+            at = -at
+            if taken[at] == n:
+                continue
+            taken[at] += 1
             if at == 0:
-                ids = []
+                ids: list[int] = []
                 while path:
                     own, path = path
-                    ids += own if type(own) is tuple else (own,)
+                    ids += own
                 done.append((behind, tuple(ids)))
                 continue
+            number += 1
             same = False  # one child has its parent's score, which is in top already
             for start, (score, own) in into[at]:
                 score += behind
@@ -127,9 +134,8 @@ class Vocabulary:
                     top.pop()
                 elif f > top[-1]:
                     continue
-                number += 1
-                push(queue, (f, number, start, score, (own, path)))
-        return sorted(done, key=lambda x: (-x[0], x[1]))[:n]
+                push(queue, (f, -start, own, number, score, (own, path)))
+        return sorted(done, key=lambda x: (-x[0], x[1]))
 
     def cuts(self, codes: np.ndarray) -> np.ndarray:
         """The places between code points that every path passes."""
@@ -253,7 +259,9 @@ def piece_counts(docs: DataFrame, path: str, n: int = 3) -> DataFrame:
     doc_id; n_pieces of the best; scores, best first (fewer if there are fewer); ids_sha256, of the
     best ids as 32-bit little-endian numbers; round_trip, whether decoding gives the normalised text
     again. Scores are the model file's, added up; a byte counts BYTE_SCORE. Null counts as empty: no
-    piece and one empty segmentation with score 0. Repeated rows each give a row. Only doc_id and
+    piece and one empty segmentation with score 0. Repeated rows each give a row. Of segmentations
+    with equal scores those with smaller ids come first. Long runs without a place to cut take time in
+    proportion to their length. Only doc_id and
     text are read. `path` is a .model file that is present on all machines. Nothing is shuffled.
     """
 

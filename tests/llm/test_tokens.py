@@ -1,6 +1,7 @@
 """Token counts, pieces and packing against plain versions."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from headway.llm.packing import LENGTHS, best_fit, best_fit_packing, opened
-from headway.llm.pieces import BYTE_SCORE, Encoder, decode, piece_counts
+from headway.llm.pieces import BYTE_SCORE, Encoder, Vocabulary, decode, piece_counts
 from headway.llm.token_counts import token_counts
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -137,3 +138,37 @@ def test_packing_keeps_every_token(spark):
         assert [r["offset"] for r in inside] == ends[:-1]
         assert inside[0]["capacity"] == min(c for c in LENGTHS if c >= ends[-1])
     assert best_fit_packing(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
+
+
+def tied(seed, n):
+    """A vocabulary of a few short pieces with few different scores, and all segmentations of a text."""
+    rng = random.Random(seed)
+    words = Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = {"a", "b", "-"} | {"".join(rng.choice("ab-") for _ in range(rng.randint(2, 4))) for _ in range(8)}
+    words.score = {p: (-float(rng.randint(1, 3)), (i,)) for i, p in enumerate(sorted(pieces, key=lambda _: rng.random()))}
+    words.prefix = {p[:i]: None for p in words.score for i in range(1, len(p))} | words.score
+
+    def every(text):
+        if not text:
+            return [(0.0, ())]
+        return [(s + words.score[text[:i]][0], words.score[text[:i]][1] + ids) for i in range(1, min(4, len(text)) + 1) if text[:i] in words.score for s, ids in every(text[i:])]
+
+    text = "".join(rng.choice("ab--") for _ in range(rng.randint(1, 9)))
+    return words.nbest(text, n), sorted(every(text), key=lambda x: (-x[0], x[1]))[:n]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_equal_scores_by_ids(n):
+    for seed in range(60):
+        found, expected = tied(seed * 7 + n, n)
+        assert found == expected
+
+
+def test_long_runs_end():
+    """Runs that can be cut in very many equally good ways."""
+    words = Vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    for text in ("-" * 400, "-" * 20_000, "a" * 20_000, "=" * 5_000, " " * 5_000):
+        began = time.time()
+        found = words.nbest(text.replace(" ", "▁"), 3)
+        assert len(found) == 3 and words.bytes_of(found[0][1]).decode() == text
+        assert time.time() - began < 60
