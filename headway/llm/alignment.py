@@ -16,7 +16,7 @@ import json
 import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain, compress
 from typing import NamedTuple
 
 import numpy as np
@@ -54,6 +54,9 @@ class Unit(NamedTuple):
     groups: bytes
 
 
+UNSOUND = Unit(False, 0, 0, 0, b"", b"")
+
+
 def byte_letters() -> dict[str, int]:
     """The byte of each letter that byte-level vocabularies write for it."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -64,10 +67,10 @@ def byte_letters() -> dict[str, int]:
 class Aligner:
     """Aligns tokens of a byte-level .json file (a) and of a .model file (b).
 
-    Units of up to `long` bytes are remembered, the latest `held` to twice as many.
+    Units of up to `long` bytes that recur in a block are remembered, the latest `held` to twice as many.
     """
 
-    def __init__(self, path_a: str, path_b: str, held: int = 60_000, long: int = 64):
+    def __init__(self, path_a: str, path_b: str, held: int = 100_000, long: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -90,42 +93,60 @@ class Aligner:
             split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"] and parts["normalizer"] is None
             and not any(MARK in p.lstrip(MARK) for p in pieces)
         )
+        last = max(self.bytes_a, default=0) + 1
+        self.width_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(last)], np.int64)
+        self.width_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.text_a, self.text_b = ([str(i).encode() for i in range(n)] for n in (last, len(self.bytes_b)))
         self.held, self.long = held, long
         self.new: dict[bytes, Unit] = {}
         self.old: dict[bytes, Unit] = {}
 
-    def align(self, unit: bytes, a: list[int], b: list[int]) -> Unit:
-        own_a, own_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(own_a) != unit or b"".join(own_b) != unit:
-            return Unit(False, 0, 0, 0, b"", b"")
-        ends_a, ends_b = list(accumulate(map(len, own_a))), list(accumulate(map(len, own_b)))
-        links, groups = [], []
-        i = j = from_a = from_b = 0
-        while i < len(a):
-            links.append(a[i] << SHIFT | b[j])
-            if ends_a[i] == ends_b[j]:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
-                from_a, from_b = i, j
-            elif ends_a[i] < ends_b[j]:
-                i += 1
-            else:
-                j += 1
-        return Unit(True, len(a), len(b), len(groups), np.array(links, np.int64).tobytes(), ";".join(groups).encode())
-
-    def units(self, texts: list[bytes]) -> list[Unit]:
+    def align(self, units: list[bytes], a: list[list[int]], b: list[list[int]]) -> Iterator[Unit]:
+        """The alignment of each unit with these ids: ends of tokens are compared for all of them at once."""
+        size_a, size_b = ([len(x) for x in side] for side in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(side), np.int64, sum(n)) for side, n in ((a, size_a), (b, size_b)))
+        ends_a, ends_b = np.cumsum(self.width_a[ids_a]), np.cumsum(self.width_b[ids_b])
+        # A stretch of bytes in one token of either side is a link; common ends close groups.
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (ids_a[at_a] << SHIFT | ids_b[at_b]).tobytes()
+        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        # Written group by group: a's ids, a bar, b's ids, a semicolon.
+        group_a, group_b = (np.cumsum(x) - x for x in (last_a, last_b))
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        written = [self.text_a[i] + (b"|" if x else b",") for i, x in zip(ids_a.tolist(), last_a.tolist(), strict=True)]
+        written += [self.text_b[i] + (b";" if x else b",") for i, x in zip(ids_b.tolist(), last_b.tolist(), strict=True)]
+        written = [written[k] for k in order.tolist()]
+        edge_a, edge_b = np.cumsum([0, *size_a]), np.cumsum([0, *size_b])
+        edge = np.concatenate([[0], np.cumsum([len(u) for u in units])])
+        cut = np.searchsorted(ends, edge, side="right").tolist()
+        groups = np.concatenate([[0], np.cumsum(last_a)])[edge_a]
+        rows = zip(size_a, size_b, np.diff(groups).tolist(), cut[:-1], cut[1:], (edge_a + edge_b)[:-1].tolist(), (edge_a + edge_b)[1:].tolist(), strict=True)
+        for n_a, n_b, n, p, q, r, t in rows:
+            yield Unit(True, n_a, n_b, n, links[8 * p : 8 * q], b"".join(written[r:t])[:-1])
+
+    def aligned(self, units: list[bytes]) -> list[Unit]:
+        words = [u.decode("utf-8", "replace") for u in units]
+        a = [x.ids for x in self.a.encode_batch_fast(words, add_special_tokens=False)]
+        b = self.b.encode([w[1:] for w in words], num_threads=1)
+        get_a, get_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        whole = b"".join(units)
+        if b"".join(map(get_a, chain.from_iterable(a))) != whole or b"".join(map(get_b, chain.from_iterable(b))) != whole:
+            good = [b"".join(map(get_a, x)) == u == b"".join(map(get_b, y)) for u, x, y in zip(units, a, b, strict=True)]
+            found = self.align(*(list(compress(x, good)) for x in (units, a, b)))
+            return [next(found) if x else UNSOUND for x in good]
+        return list(self.align(units, a, b))
+
+    def units(self, texts: list[bytes], often: list[int]) -> list[Unit]:
         """The alignment of each unit, which starts with the blank that is put in front."""
         found: list[Unit | None] = [self.new.get(t) or self.old.get(t) for t in texts]
         missing = [k for k, x in enumerate(found) if x is None]
         for start in range(0, len(missing), 4096):
             some = missing[start : start + 4096]
-            words = [texts[k].decode("utf-8", "replace") for k in some]
-            a = self.a.encode_batch_fast(words, add_special_tokens=False)
-            b = self.b.encode([w[1:] for w in words], num_threads=1)
-            for k, x, y in zip(some, a, b, strict=True):
-                found[k] = self.align(texts[k], x.ids, y)
-        for t, x in zip(texts, found, strict=True):
-            if len(t) <= self.long:
+            for k, x in zip(some, self.aligned([texts[k] for k in some]), strict=True):
+                found[k] = x
+        for t, x, n in zip(texts, found, often, strict=True):
+            if n > 1 and len(t) <= self.long:  # what occurs once is seldom met again
                 if len(self.new) >= self.held:
                     self.old, self.new = self.new, {}
                 self.new[t] = x
@@ -139,8 +160,8 @@ class Aligner:
         cut = cuts_bytes(data) if self.cuts else np.empty(0, np.int64)
         edges = distinct(np.concatenate([cut[data[cut] == 0x20], docs]))
         coded = binary(data, edges).dictionary_encode()
-        kinds = self.units(coded.dictionary.to_pylist())
         code, first = coded.indices.to_numpy().astype(np.int64), np.searchsorted(edges, docs)
+        kinds = self.units(coded.dictionary.to_pylist(), np.bincount(code).tolist())
         add = lambda per_unit: np.diff(np.concatenate([[0], np.cumsum(per_unit[code])])[first])
         get = lambda name: np.array([getattr(k, name) for k in kinds], np.int64)
         sound = add(1 - get("sound")) == 0
