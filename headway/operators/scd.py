@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from headway.operators.latest import top_per_key
 
 START, END = "__START_AT", "__END_AT"
+# Sequences at which a version was delivered, in a table that later changes are spliced into.
+SEEN = "__SEEN_AT"
 
 
 def _newest_first(columns: Sequence[str]) -> list[Column]:
@@ -75,6 +77,67 @@ def scd2(
     )
 
 
+def scd2_spliced(
+    versions: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    sequence: str,
+    *,
+    drop: Sequence[str] = (),
+) -> DataFrame:
+    """The versions of ``scd2`` with further changes spliced in, late and repeated ones too.
+
+    ``versions`` is a former result (None at first); its column ``__SEEN_AT``
+    holds the sequences at which a version was delivered, so the changes
+    themselves are not needed again.  A change falls into the version that held
+    at its sequence.  That version and its neighbours are laid out by the
+    sequences they were seen at, and compared with the change anew; all others
+    stay single rows.  Keys without a change keep their rows.
+    """
+    keys = list(keys)
+    hidden = {*keys, sequence, *drop}
+    tracked = [c for c in changes.columns if c not in hidden]
+    seen = F.array(F.col(sequence))
+    new = changes.dropna(subset=[*keys, sequence]).select(
+        *keys, *tracked, F.col(sequence).alias(START), seen.alias(SEEN), F.lit(True).alias("__new")
+    )
+    rest = None
+    if versions is None:
+        laid = new
+    else:
+        touched = new.select(*keys).distinct()
+        rest = versions.join(touched, keys, "left_anti")
+        mine = versions.join(touched, keys, "left_semi")
+        known = mine.select(*keys, *tracked, START, SEEN, F.lit(False).alias("__new"))
+        # A version stands before the changes of its first sequence; those before the next version fall into it.
+        timeline = Window.partitionBy(*keys).orderBy(START, "__new")
+        so_far = F.count(F.when(F.col("__new"), 1)).over(timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        every = F.count(F.when(F.col("__new"), 1)).over(Window.partitionBy(*keys))
+        counted = known.unionByName(new).withColumns({"__before": so_far, "__all": every}).filter(~F.col("__new"))
+        line = Window.partitionBy(*keys).orderBy(START)
+        inside = F.coalesce(F.lead("__before").over(line), F.col("__all")) > F.col("__before")
+        first = F.row_number().over(line) == 1
+        met = counted.withColumn("__hit", inside | (first & (F.col("__before") > 0)))
+        near = F.col("__hit") | F.coalesce(F.lag("__hit").over(line), F.lit(False)) | F.coalesce(F.lead("__hit").over(line), F.lit(False))
+        marked = met.withColumn("__near", near)
+        open_ = marked.filter("__near").withColumn(START, F.explode(SEEN)).withColumn(SEEN, F.array(START))
+        laid = (
+            marked.filter("NOT __near").select(*new.columns)
+            .unionByName(open_.select(*new.columns)).unionByName(new)
+        )
+    once = top_per_key(laid, [*keys, START], [F.desc_nulls_last(c) for c in tracked])
+    timeline = Window.partitionBy(*keys).orderBy(START)
+    state = F.struct(*tracked)
+    changed = (F.row_number().over(timeline) == 1) | ~state.eqNullSafe(F.lag(state).over(timeline))
+    numbered = once.withColumn("__changed", changed).withColumn("__version", F.sum(F.col("__changed").cast("int")).over(timeline))
+    found = numbered.groupBy(*keys, "__version").agg(
+        *[F.min_by(c, START).alias(c) for c in tracked],
+        F.min(START).alias("__start"), F.sort_array(F.flatten(F.collect_list(SEEN))).alias(SEEN),
+    ).withColumnRenamed("__start", START)
+    spliced = found.withColumn(END, F.lead(START).over(timeline)).select(*keys, *tracked, START, END, SEEN)
+    return spliced if rest is None else spliced.unionByName(rest.select(*spliced.columns))
+
+
 def current_versions(history: DataFrame) -> DataFrame:
     """Open versions of an ``scd2`` history."""
     return history.filter(F.col(END).isNull()).drop(START, END)

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from headway.operators.latest import top_per_key
-from headway.operators.scd import scd1, scd2
+from headway.operators.scd import SEEN, scd1, scd2_spliced
 
 BUCKET, BATCH = "bucket_no", "batch_no"
-# Folders of a merged table: rows by batch and bucket, and which batch holds each bucket.
-DATA, POINTERS = "data", "pointers"
 
 
 def _start(writer, trigger: str | None) -> StreamingQuery:
@@ -58,131 +55,59 @@ def _replace_partitions(df: DataFrame, by: Sequence[str], path: str) -> None:
     )
 
 
-def _files(spark: SparkSession, folder: str):
-    """The store's file system, the folder's path object, and the class to make others with."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    own = path(folder)
-    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own, path
-
-
-def _versions(spark: SparkSession, target: str, before: int | None = None) -> dict[int, int]:
-    """Batch whose files hold each bucket, by the last pointer (of a batch below ``before``)."""
-    store, folder, _ = _files(spark, f"{target}/{POINTERS}")
-    if not store.exists(folder):
-        return {}
-    names = sorted(f.getPath().getName() for f in store.listStatus(folder))
-    names = [n for n in names if n.isdigit() and (before is None or int(n) < before)]
-    if not names:
-        return {}
-    text = spark.read.text(f"{target}/{POINTERS}/{names[-1]}", wholetext=True).first()[0]
-    return {int(k): v for k, v in json.loads(text).items()}
-
-
-def _point(spark: SparkSession, target: str, batch_id: int, versions: dict[int, int]) -> None:
-    """Publish the versions: the pointer appears with all its content or not at all."""
-    store, folder, path = _files(spark, f"{target}/{POINTERS}")
-    hidden, name = path(folder, f"_{batch_id}"), path(folder, f"{batch_id:019d}")
-    out = store.create(hidden, True)
-    out.write(bytearray(json.dumps(versions).encode()))
-    out.close()
-    store.delete(name, False)
-    store.rename(hidden, name)
-
-
-def _rows_of(
-    spark: SparkSession, target: str, versions: dict[int, int], schema: T.StructType | None = None
-) -> DataFrame | None:
-    if not versions:
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a parquet folder; None where nothing was written yet."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException:
         return None
-    reader = spark.read.option("basePath", f"{target}/{DATA}")
-    if schema is not None:
-        reader = reader.schema(schema)
-    paths = [f"{target}/{DATA}/{BATCH}={b}/{BUCKET}={k}" for k, b in sorted(versions.items())]
-    store, _, path = _files(spark, target)
-    paths = [p for p in paths if store.exists(path(p))]
-    return reader.parquet(*paths).drop(BATCH, BUCKET) if paths else None
 
 
 def merge_batch(
     batch: DataFrame,
     batch_id: int,
     keys: Sequence[str],
-    merge: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
     *,
     target: str,
-    log: str | None = None,
     buckets: int = 64,
 ) -> None:
     """Merge one micro-batch into the buckets of ``target`` that it touches.
 
-    Without a ``log`` the result of ``merge`` can itself be merged again (the
-    newest row per key): the batch meets the rows that are there, and history
-    is never read.  With a ``log`` all changes are kept by bucket, and ``merge``
-    is given those of the batch's keys only; the other keys keep their rows.
-
-    Every batch writes its buckets to a folder of its own and then publishes a
-    pointer, so readers see whole batches.  A batch that runs again starts from
-    the pointer before it, whatever it left behind.
+    ``merge`` gets the rows that the touched buckets hold (None at first) and
+    those of the batch, and must give the same again if it meets rows twice.
+    No history is read.  Its result is written beside the target first, and the
+    target's partitions are overwritten from there: a batch that is run again
+    either finds the target as it was, or the whole result to write once more.
     """
     spark, keys = batch.sparkSession, list(keys)
-    known = batch.dropna(subset=keys).withColumns(
-        {BUCKET: _bucket(keys, buckets), BATCH: F.lit(batch_id)}
-    )
-    # At most `buckets` numbers come back, whatever the batch holds.
-    touched = [row[0] for row in known.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    versions = _versions(spark, target, batch_id)
-    there = {k: versions[k] for k in touched if k in versions}
-    if log is None:
-        old = _rows_of(spark, target, there)
-        new = known.drop(BUCKET, BATCH)
-        merged = merge(new if old is None else old.unionByName(new, allowMissingColumns=True))
-    else:
-        _replace_partitions(known, [BUCKET, BATCH], log)
-        # Naming the folders keeps the other buckets from being listed.
-        history = (
-            spark.read.schema(known.schema)
-            .option("basePath", log)
-            .parquet(*[f"{log}/{BUCKET}={number}" for number in touched])
-            .filter(F.col(BATCH) <= batch_id)
-        )
-        mine = known.select(*keys).distinct()
-        merged = merge(history.drop(BUCKET, BATCH).join(mine, keys, "left_semi"))
-        old = _rows_of(spark, target, there)
+    ready, done = f"{target.rstrip('/')}_ready", f"{target.rstrip('/')}_ready_batch"
+    finished = _stored(spark, done)
+    if finished is None or finished.first()[BATCH] != batch_id:
+        known = batch.dropna(subset=keys).withColumn(BUCKET, _bucket(keys, buckets))
+        # At most `buckets` numbers come back, whatever the batch holds.
+        touched = [row[0] for row in known.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        old = _stored(spark, target)
         if old is not None:
-            merged = merged.unionByName(old.join(mine, keys, "left_anti"))
-    placed = merged.withColumns({BUCKET: _bucket(keys, buckets), BATCH: F.lit(batch_id)})
-    _replace_partitions(placed, [BATCH, BUCKET], f"{target}/{DATA}")
-    _point(spark, target, batch_id, versions | dict.fromkeys(touched, batch_id))
-    _forget(spark, target, batch_id)
-
-
-def _forget(spark: SparkSession, target: str, batch_id: int, keep: int = 3) -> None:
-    """Delete pointers but the last ones, and folders of batches that no pointer left needs."""
-    store, folder, path = _files(spark, f"{target}/{POINTERS}")
-    names = sorted(int(n) for f in store.listStatus(folder) if (n := f.getPath().getName()).isdigit())
-    kept = [n for n in names if n <= batch_id][-keep:]
-    for n in names:
-        if n < kept[0]:
-            store.delete(path(folder, f"{n:019d}"), False)
-    needed = {b for n in kept for b in _versions(spark, target, n + 1).values()}
-    for f in store.listStatus(path(f"{target}/{DATA}")):
-        name = f.getPath().getName()
-        if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) not in needed:
-            store.delete(f.getPath(), True)
+            old = old.filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        merged = merge(old, known.drop(BUCKET)).withColumn(BUCKET, _bucket(keys, buckets))
+        merged.write.mode("overwrite").parquet(ready)
+        spark.createDataFrame([(batch_id,)], f"{BATCH} BIGINT").coalesce(1).write.mode("overwrite").parquet(done)
+    _replace_partitions(spark.read.parquet(ready), [BUCKET], target)
 
 
 def merge_stream(
     changes: DataFrame,
     keys: Sequence[str],
-    merge: Callable[[DataFrame], DataFrame],
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
     *,
     checkpoint: str,
     trigger: str | None = None,
     **places,
 ) -> StreamingQuery:
-    """Keep a target equal to ``merge`` of all changes seen so far, by ``merge_batch``."""
+    """Keep a target equal to what ``merge`` makes of all changes seen so far, by ``merge_batch``."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         merge_batch(batch, batch_id, keys, merge, **places)
@@ -191,6 +116,10 @@ def merge_stream(
     return _start(writer, trigger)
 
 
+def _both(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    return new if old is None else old.unionByName(new, allowMissingColumns=True)
+
+
 def scd1_stream(
     changes: DataFrame, keys: Sequence[str], sequence: str, *, tie_break: Sequence[str] = (), **kw
 ) -> StreamingQuery:
@@ -200,15 +129,17 @@ def scd1_stream(
     without any history.
     """
     return merge_stream(
-        changes, keys, lambda rows: scd1(rows, keys, sequence, tie_break=tie_break), **kw
+        changes, keys, lambda old, new: scd1(_both(old, new), keys, sequence, tie_break=tie_break), **kw
     )
 
 
 def scd2_stream(
     changes: DataFrame, keys: Sequence[str], sequence: str, *, drop: Sequence[str] = (), **kw
 ) -> StreamingQuery:
-    """Version history per key; needs a ``log``, out of which the batch's keys are read again."""
-    return merge_stream(changes, keys, lambda rows: scd2(rows, keys, sequence, drop=drop), **kw)
+    """Version history per key; a batch is spliced into the versions that it meets."""
+    return merge_stream(
+        changes, keys, lambda old, new: scd2_spliced(old, new, keys, sequence, drop=drop), **kw
+    )
 
 
 def upsert_stream(
@@ -216,16 +147,16 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Newest touch per key, as ``operators.scd.upsert_by_key`` keeps it for two batches."""
     return merge_stream(
-        rows, keys, lambda all_: top_per_key(all_, keys, [F.desc_nulls_last(touched_at)]), **kw
+        rows, keys, lambda old, new: top_per_key(_both(old, new), keys, [F.desc_nulls_last(touched_at)]), **kw
     )
 
 
 def read_merged(spark: SparkSession, target: str) -> DataFrame:
-    """The table as of the last whole batch."""
-    rows = _rows_of(spark, target, _versions(spark, target))
+    """The table as the batches so far have left it."""
+    rows = _stored(spark, target)
     if rows is None:
         raise ValueError(f"no batch was merged into {target} yet")
-    return rows
+    return rows.drop(BUCKET, SEEN)
 
 
 def refresh_days(
