@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
-import pyarrow.csv as pa_csv
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from headway.functions.labels import snapshot_from_path
 from headway.schemas import GTFS_COLUMNS, ddl
@@ -61,86 +59,94 @@ def bronze(raw: DataFrame, table: str) -> DataFrame:
     )
 
 
-def snapshot_headers(spark: SparkSession, root: str, table: str, dates: str = "*") -> DataFrame:
-    """(header, files): header lines of a table's files and the files that begin with each.
+def _headers(lines: DataFrame, table: str) -> DataFrame:
+    """(header, files) of a text scan: header lines and the files that hold each.
 
     The header is the line that names the table's first declared column.
     """
     first = ddl(GTFS_COLUMNS[table]).fields[0].name
-    lines = spark.read.text(f"{root}/{dates}/{table}.txt")
     named = lines.filter(F.col("value").rlike(rf'(^|,)\s*"?\ufeff?{first}"?\s*(,|$)'))
     return named.groupBy(F.col("value").alias("header")).agg(
         F.collect_set(F.col("_metadata.file_path")).alias("files")
     )
 
 
+def snapshot_headers(spark: SparkSession, root: str, table: str, dates: str = "*") -> DataFrame:
+    """(header, files): header lines of a table's files and the files that begin with each."""
+    return _headers(spark.read.text(f"{root}/{dates}/{table}.txt"), table)
+
+
+def _by_header(spark: SparkSession, headers: DataFrame, table: str) -> DataFrame | None:
+    """Rows of the files of each header, one scan a header; None without any."""
+    whole = None
+    for group in headers.orderBy("header").collect():
+        scan = bronze(spark.read.option("header", True).csv(sorted(group["files"])), table)
+        whole = scan if whole is None else whole.unionByName(scan)
+    return whole
+
+
 def scan_snapshots(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All snapshots of a table as one typed batch, every file by its own header.
 
     Files are grouped by header line, of which a feed has a handful over the
     years, and each group is one scan; columns that a group lacks are NULL.
     """
-    groups = snapshot_headers(spark, root, table).orderBy("header").collect()
-    scans = [bronze(spark.read.option("header", True).csv(sorted(g["files"])), table) for g in groups]
-    if not scans:  # nothing but headless or missing files
+    whole = _by_header(spark, snapshot_headers(spark, root, table), table)
+    if whole is None:  # nothing but headless or missing files
         return bronze(spark.read.option("header", True).csv(f"{root}/*/{table}.txt"), table)
-    whole = scans[0]
-    for scan in scans[1:]:
-        whole = whole.unionByName(scan)
     return whole
 
 
-def _parsed_files(table: str):
-    """Rows of whole files, columns picked by each file's header; all of them texts."""
-    names = [f.name for f in ddl(GTFS_COLUMNS[table]).fields]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content, path, file in zip(*(batch.column(c).to_pylist() for c in ("content", "path", "file")), strict=True):
-                header = content.removeprefix(b"\xef\xbb\xbf").split(b"\n", 1)[0].strip().decode()
-                if not header:
-                    continue
-                found = [c.strip().strip('"') for c in header.split(",")]
-                rows = pa_csv.open_csv(
-                    pa.BufferReader(content.removeprefix(b"\xef\xbb\xbf")),
-                    read_options=pa_csv.ReadOptions(column_names=found, skip_rows=1),
-                    parse_options=pa_csv.ParseOptions(newlines_in_values=True),
-                    convert_options=pa_csv.ConvertOptions(
-                        column_types=dict.fromkeys(found, pa.string()), null_values=[""],
-                        strings_can_be_null=True, include_columns=[n for n in names if n in found],
-                    ),
-                )
-                for part in rows:
-                    n = part.num_rows
-                    known = [part.column(c) if c in part.schema.names else pa.nulls(n, pa.string()) for c in names]
-                    yield pa.record_batch([*known, pa.array([path] * n), pa.array([file] * n)], names=[*names, "path", "file"])
-
-    return run, ", ".join(f"{n} STRING" for n in [*names, "path", "file"])
-
-
 def stream_snapshots(
-    spark: SparkSession, root: str, table: str, *, max_files_per_trigger: int | None = None
-) -> DataFrame:
-    """Stream of a table over all snapshot folders, new files only, every file by its own header.
-
-    A stream cannot know the headers of files to come, so each file arrives
-    whole and is parsed by the header it has; a file is one table of one
-    snapshot and fits a task (2 GB at most).
+    spark: SparkSession,
+    root: str,
+    table: str,
+    target: str,
+    checkpoint: str,
+    *,
+    trigger: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Append a table's new snapshots to a bronze folder, every file by its own header.
+
+    The stream carries the paths of new files only.  Each batch groups its files
+    by header line and reads every group as one CSV scan, which Spark splits, so
+    a file may be of any size.  The target is partitioned by snapshot date, one
+    folder a file, and a batch overwrites those of its own files: one that runs
+    again changes nothing, and ``latest_snapshot`` reads only the newest folder.
+    Files in folders that name no date are left out, as by ``ingest_snapshots``.
+    A file that is put in place of an older one of its date counts as new.
     """
     reader = spark.readStream.format("binaryFile").schema(
         "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    run, columns = _parsed_files(table)
-    files = reader.load(f"{root}/*/{table}.txt").select(
-        "content", F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file")
-    )
-    rows = files.mapInArrow(run, columns)
-    return rows.select(
-        *_typed(rows, table), snapshot_from_path(F.col("path")).alias("gtfs_snapshot_date"),
-        F.col("file").alias("_source_file"),
-    )
+    dated = snapshot_from_path(F.col("path")).rlike(r"^\d")
+    # Without the content, which is then not read.
+    paths = reader.load(f"{root}/*/{table}.txt").filter(dated).select("path")
+
+    def load(batch: DataFrame, _: int) -> None:
+        names = [row[0] for row in batch.distinct().orderBy("path").collect()]  # one a file
+        rows = _by_header(spark, _headers(spark.read.text(names), table), table) if names else None
+        if rows is not None:
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("gtfs_snapshot_date")
+                .parquet(target)
+            )
+
+    writer = paths.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    if trigger is None:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=trigger).start()
+
+
+def read_bronze(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """What ``stream_snapshots`` has stored, with the columns of ``scan_snapshots``."""
+    schema = ddl(GTFS_COLUMNS[table]).add("gtfs_snapshot_date", "string").add("_source_file", "string")
+    return spark.read.schema(schema).parquet(target).select(*schema.names)
 
 
 @dataclass(frozen=True)

@@ -17,6 +17,7 @@ from headway.sources.corridor_poll import CorridorPollSource, poll_options
 from headway.sources.gtfs import (
     found_snapshots,
     ingest_snapshots,
+    read_bronze,
     read_gtfs,
     read_ingested,
     scan_snapshots,
@@ -107,15 +108,35 @@ def test_bronze_batch_and_stream(spark, feed, tmp_path):
     ]
     target, checkpoint = f"{tmp_path}/bronze", f"{tmp_path}/cp"
     for _ in range(2):  # the second run finds nothing new
-        stream = stream_snapshots(spark, feed, "routes", max_files_per_trigger=1)
-        run_stream(stream, target, checkpoint).awaitTermination()
-        assert spark.read.parquet(target).count() == 3
+        stream_snapshots(spark, feed, "routes", target, checkpoint, max_files_per_trigger=1).awaitTermination()
+        assert read_bronze(spark, target, "routes").count() == 3
     put(f"{feed}/2024-01-19/routes.txt", "route_id,route_short_name,route_type\nR3,9,4\n")
-    run_stream(stream_snapshots(spark, feed, "routes"), target, checkpoint).awaitTermination()
-    stored = spark.read.parquet(target)
+    put(f"{feed}/notes/routes.txt", "route_id,route_short_name,route_type\nR4,9,4\n")
+    put(f"{feed}/2024-01-20/routes.txt", "")
+    stream_snapshots(spark, feed, "routes", target, checkpoint).awaitTermination()
+    stored = read_bronze(spark, target, "routes")
     assert stored.count() == 4 and stored.schema.simpleString() == batch.schema.simpleString()
 
 
+def test_large_files_are_split(spark, tmp_path):
+    """A stream's file goes through many tasks, and its rows are those of the batch scan."""
+    root, target = f"{tmp_path}/feed", f"{tmp_path}/bronze"
+    lines = [f'{i},"Stop, {i}",{49 + i / 1e5},-123.1' for i in range(20_000)]
+    put(f"{root}/2024-01-05/stops.txt", "\n".join(["stop_id,stop_name,stop_lat,stop_lon", *lines]))
+    put(f"{root}/2024-01-12/stops.txt", "\n".join(["stop_lon,stop_id,zone_id", *[f"-123,{i},z" for i in range(5000)]]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        stream_snapshots(spark, root, "stops", target, f"{tmp_path}/cp").awaitTermination()
+        one = spark.read.option("header", True).csv(f"{root}/2024-01-05/stops.txt")
+        assert one.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len([f for f in os.listdir(f"{target}/gtfs_snapshot_date=2024-01-05") if f.endswith(".parquet")]) > 4
+    batch, stored = scan_snapshots(spark, root, "stops"), read_bronze(spark, target, "stops")
+    assert stored.count() == 25_000 and stored.exceptAll(batch).isEmpty() and batch.exceptAll(stored).isEmpty()
+
+
 def test_every_file_by_its_own_header(spark, tmp_path):
     """Columns in other order, added, missing and quoted, in batch and stream."""
     root = f"{tmp_path}/feed"
@@ -131,9 +152,8 @@ def test_every_file_by_its_own_header(spark, tmp_path):
     ]
     assert sorted(tuple(r) for r in batch.select(*known).collect()) == expected
     target = f"{tmp_path}/bronze"
-    stream = stream_snapshots(spark, root, "routes")
-    run_stream(stream, target, f"{tmp_path}/cp", partition_by=("gtfs_snapshot_date",)).awaitTermination()
-    stored = spark.read.schema(batch.schema).parquet(target)
+    stream_snapshots(spark, root, "routes", target, f"{tmp_path}/cp").awaitTermination()
+    stored = read_bronze(spark, target, "routes")
     assert sorted(map(str, stored.select(*batch.columns).collect())) == sorted(map(str, batch.collect()))
     newest = latest_snapshot(stored)
     assert [r["route_id"] for r in newest.collect()] == ["B"]
