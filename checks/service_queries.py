@@ -16,7 +16,6 @@ from headway.plans.service import (
     stops_served_by,
     top_corridors,
     trip_plan,
-    with_alighting,
 )
 
 
@@ -108,8 +107,7 @@ CTES["g_departures"] = f"""
 
 @query("direct_departures", "SELECT * FROM g_departures")
 def _(t):
-    departures = direct_departures(t.calls, t.stops, t.requests)
-    return with_alighting(departures, t.calls, t.stops, t.requests).drop("stop_sequence")
+    return direct_departures(t.calls, t.stops, t.requests).drop("stop_sequence")
 
 
 @query("trip_plan", f"""

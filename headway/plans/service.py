@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions.labels import DEFAULT_CORRIDOR_COLOR, default_if_blank
@@ -14,6 +14,7 @@ from headway.operators.schedule import PROFILE_HOURS
 
 # Fixed value: hours after the asked one.
 HOURS_ON = 2
+ALIGHT = [f"__alight.{c}" for c in ("alight_time", "alight_stop", "alight_lat", "alight_lon")]
 
 
 def top_corridors(
@@ -93,23 +94,54 @@ def _stops_near(requests: DataFrame, stops: DataFrame, side: str, radius_m: floa
         F.col(f"{side}_lat").alias("lat"), F.col(f"{side}_lon").alias("lon"),
     )
     return stops_within(at, stops, radius_m=radius_m).select(
-        "request_id", "hour", "stop_id", "stop_name", "stop_lat", "stop_lon"
+        "request_id", "hour", F.lit(side).alias("side"), "stop_id", "stop_name", "stop_lat", "stop_lon"
     )
 
 
-def _arrivals(
-    requests: DataFrame, stop_times: DataFrame, stops: DataFrame, radius_m: float
+def _rides(
+    stop_times: DataFrame,
+    stops: DataFrame,
+    requests: DataFrame,
+    serving_routes: DataFrame | None,
+    radius_m: float,
+    hours_on: int,
 ) -> DataFrame:
-    """Calls near the destination of each request, with their stop."""
-    ends = _stops_near(requests, stops, "dest", radius_m).select(
-        "request_id", "stop_id", F.col("stop_name").alias("alight_stop"),
+    """Boardings near the origin of each request in its hours, with the first call near the
+    destination after them.
+
+    Calls meet the stops near either end in one join. Each boarding then takes the arrival that lies
+    next to it when a request's calls of a trip are walked from the last to the first, so boardings
+    and arrivals are never joined, and stop_times is read once.
+    """
+    near = _stops_near(requests, stops, "origin", radius_m).unionByName(_stops_near(requests, stops, "dest", radius_m))
+    leaves, is_dest = departure_hour(F.col("departure_time")), F.col("side") == "dest"
+    calls = (
+        stop_times.join(near, "stop_id")
+        .filter(is_dest | leaves.between(F.col("hour"), F.col("hour") + hours_on))
+        .select(
+            "request_id", "trip_id", is_dest.alias("__dest"), "stop_sequence", "stop_id", "route_id", "route_short_name", "shape_id",
+            "stop_name", "stop_lat", "stop_lon", F.when(is_dest, F.col("arrival_time")).otherwise(F.col("departure_time")).alias("__time"),
+        )
+    )
+    alighting = F.struct(
+        F.col("__time").alias("alight_time"), F.col("stop_name").alias("alight_stop"),
         F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),
     )
-    calls = stop_times.select(
-        "trip_id", "stop_id", F.col("stop_sequence").alias("alight_sequence"),
-        F.col("arrival_time").alias("alight_time"),
+    # At one sequence boardings come first: only later calls are arrivals of theirs.
+    backwards = Window.partitionBy("request_id", "trip_id").orderBy(F.desc("stop_sequence"), "__dest", F.desc("stop_id"))
+    met = backwards.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rides = (
+        calls.withColumn("__alight", F.last(F.when(F.col("__dest"), alighting), ignorenulls=True).over(met))
+        .filter(~F.col("__dest") & F.col("__alight").isNotNull())
+        .withColumnsRenamed({"__time": "board_time", "stop_name": "board_stop", "stop_lat": "board_lat", "stop_lon": "board_lon"})
+    )
+    if serving_routes is None:
+        return rides.withColumn("route", F.coalesce("route_short_name", "route_id"))
+    names = distinct_on(
+        serving_routes.select("shape_id", "route_long_name"), ["shape_id"], ["route_long_name"]
     )
-    return calls.join(ends, "stop_id").withColumnRenamed("stop_id", "alight_stop_id")
+    named = rides.join(names, "shape_id", "left")
+    return named.withColumn("route", F.coalesce("route_short_name", "route_long_name", "route_id"))
 
 
 def direct_departures(
@@ -122,76 +154,17 @@ def direct_departures(
     hours_on: int = HOURS_ON,
 ) -> DataFrame:
     """Boardings near the origin of each request from which the trip goes on to
-    a stop near the destination; one per request, route label and departure.
+    a stop near the destination, with the first such call; one per request, route label and departure.
 
     ``requests`` has request_id, origin_lat, origin_lon, dest_lat, dest_lon and
-    hour.  A boarding qualifies when the trip's last call near the destination
-    comes later.  That last call is one row per request and trip, so boardings
-    meet at most one row each, and only calls of trips that come near some
-    destination are looked at.
+    hour.  A boarding qualifies when the trip has a later call near the destination.
     """
-    hour = F.col("hour")
-    reach = (
-        _arrivals(requests, stop_times, stops, radius_m)
-        .groupBy("request_id", "trip_id")
-        .agg(F.max("alight_sequence").alias("last_sequence"))
-    )
-    origins = (
-        _stops_near(requests, stops, "origin", radius_m)
-        .withColumn("__hour", F.explode(F.sequence(hour, hour + hours_on)))
-        .select(
-            "request_id", "stop_id", "__hour", F.col("stop_name").alias("board_stop"),
-            F.col("stop_lat").alias("board_lat"), F.col("stop_lon").alias("board_lon"),
-        )
-    )
-    boardings = (
-        stop_times.select(
-            "trip_id", "route_id", "route_short_name", "shape_id", "stop_id", "stop_sequence",
-            F.col("departure_time").alias("board_time"),
-            departure_hour(F.col("departure_time")).alias("__hour"),
-        )
-        .join(reach.select("trip_id").distinct(), "trip_id", "left_semi")
-        .join(origins, ["stop_id", "__hour"])
-    )
-    going = boardings.join(reach, ["request_id", "trip_id"]).filter(
-        F.col("last_sequence") > F.col("stop_sequence")
-    )
-    if serving_routes is None:
-        label = F.coalesce("route_short_name", "route_id")
-    else:
-        names = distinct_on(
-            serving_routes.select("shape_id", "route_long_name"), ["shape_id"], ["route_long_name"]
-        )
-        going = going.join(names, "shape_id", "left")
-        label = F.coalesce("route_short_name", "route_long_name", "route_id")
+    rides = _rides(stop_times, stops, requests, serving_routes, radius_m, hours_on)
     return distinct_on(
-        going.withColumn("route", label),
-        ["request_id", "route", "board_time"],
-        ["trip_id", "stop_sequence", "stop_id"],
+        rides, ["request_id", "route", "board_time"], ["trip_id", "stop_sequence", "stop_id"]
     ).select(
         "request_id", "route", "route_id", "trip_id", "stop_sequence", "board_time",
-        "board_stop", "board_lat", "board_lon",
-    )
-
-
-def with_alighting(
-    departures: DataFrame, stop_times: DataFrame, stops: DataFrame, requests: DataFrame,
-    *, radius_m: float = RADIUS_M,
-) -> DataFrame:
-    """Departures with the first call near the destination after boarding."""
-    arrivals = _arrivals(requests, stop_times, stops, radius_m)
-    alight = F.struct("alight_time", "alight_stop", "alight_lat", "alight_lon")
-    keys = ["request_id", "route", "board_time"]
-    carried = [c for c in departures.columns if c not in keys]
-    return (
-        departures.join(arrivals, ["request_id", "trip_id"])
-        .filter(F.col("alight_sequence") > F.col("stop_sequence"))
-        .groupBy(*keys)
-        .agg(
-            *[F.first(c).alias(c) for c in carried],
-            F.min_by(alight, F.struct("alight_sequence", "alight_stop_id")).alias("__alight"),
-        )
-        .select(*keys, *carried, "__alight.*")
+        "board_stop", "board_lat", "board_lon", *ALIGHT,
     )
 
 
@@ -205,15 +178,13 @@ def trip_plan(
     hours_on: int = HOURS_ON,
 ) -> DataFrame:
     """Earliest direct trip per route for every request, by the clock and not by its text."""
-    departures = direct_departures(
-        stop_times, stops, requests, serving_routes, radius_m=radius_m, hours_on=hours_on
-    )
-    earliest = distinct_on(
-        departures, ["request_id", "route"],
-        [F.asc_nulls_last(gtfs_seconds(F.col("board_time"))), "board_time"],
+    rides = _rides(stop_times, stops, requests, serving_routes, radius_m, hours_on)
+    planned = distinct_on(
+        rides, ["request_id", "route"],
+        [F.asc_nulls_last(gtfs_seconds(F.col("board_time"))), "board_time", "trip_id", "stop_sequence", "stop_id"],
+    ).select(
+        "request_id", "route", "board_time", "route_id", "trip_id", "board_stop", "board_lat", "board_lon",
+        *ALIGHT,
     )
-    planned = with_alighting(earliest, stop_times, stops, requests, radius_m=radius_m)
     seconds = gtfs_seconds(F.col("alight_time")) - gtfs_seconds(F.col("board_time"))
-    return planned.withColumn(
-        "duration_min", F.round(F.greatest(seconds, F.lit(0)) / 60, 1)
-    ).drop("stop_sequence")
+    return planned.withColumn("duration_min", F.round(F.greatest(seconds, F.lit(0)) / 60, 1))
