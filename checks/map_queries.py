@@ -640,7 +640,7 @@ NOW = "TIMESTAMP '2024-01-15 08:20:00'"
 
 
 def at_that_time(t, **asked):
-    painted = t.raw("events").filter("event_type = 'view'").select(
+    painted = t.raw("events").select(
         "event_id", F.concat(F.lit("R"), (F.col("user_id") % 5).cast("string")).alias("route")
     )
     arterial = t.raw("events").select("event_id", F.col("ts").alias("queried_at"))
@@ -649,7 +649,7 @@ def at_that_time(t, **asked):
 
 
 LIVE = f"""
-    SELECT event_id, 'bus_route' AS source FROM events WHERE event_type = 'view' {{0}}"""
+    SELECT event_id, 'bus_route' AS source FROM events {{0}}"""
 CACHED = """
     SELECT event_id, 'google_targeted' AS source FROM g_answers WHERE cache_key = '8_2_q15'
     UNION ALL SELECT event_id, 'google' FROM g_answers WHERE cache_key = '8_2'"""
@@ -673,6 +673,6 @@ def _(t):
     return at_that_time(t, route="R3")
 
 
-@query("congestion_of_route_now", LIVE.format("AND user_id % 5 = 3"))
+@query("congestion_of_route_now", LIVE.format("WHERE user_id % 5 = 3"))
 def _(t):
     return at_that_time(t, route="r3", live=True)

@@ -379,18 +379,25 @@ def _(t):
 
 CTES["g_cache_old"] = "SELECT * FROM g_cache WHERE hour_of_day < 12"
 CTES["g_cache_new"] = "SELECT * FROM g_cache WHERE hour_of_day >= 8"
+# A batch whose rows were touched an hour before or after those that are kept.
+CTES["g_cache_batch"] = """
+    SELECT * REPLACE (last_accessed_at + INTERVAL 1 HOUR * (event_id % 2 * 2 - 1) AS last_accessed_at,
+                      segments_json || ' ' AS segments_json) FROM g_cache_new"""
 
 
 @query("upsert_by_key", """
     WITH both_sides AS (SELECT *, 0 AS fresh FROM g_cache_old
-                        UNION ALL SELECT *, 1 AS fresh FROM g_cache_new)
+                        UNION ALL SELECT *, 1 AS fresh FROM g_cache_batch)
     SELECT cache_key, hour_of_day, day_of_week, segments_json, event_id
     FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cache_key
-                 ORDER BY fresh DESC, last_accessed_at DESC) AS place FROM both_sides)
+                 ORDER BY last_accessed_at DESC, fresh DESC) AS place FROM both_sides)
     WHERE place = 1""")
 def _(t):
     old = t.cache.filter("hour_of_day < 12")
-    new = t.cache.filter("hour_of_day >= 8")
+    hours = F.make_dt_interval(hours=(F.col("event_id") % 2 * 2 - 1).cast("int"))
+    new = t.cache.filter("hour_of_day >= 8").withColumns(
+        {"last_accessed_at": F.col("last_accessed_at") + hours, "segments_json": F.concat("segments_json", F.lit(" "))}
+    )
     return upsert_by_key(old, new, ["cache_key"], "last_accessed_at").drop("last_accessed_at")
 
 

@@ -19,7 +19,6 @@ CORRIDOR_ROUTE_PATTERN = r"route_(.+)_seg_\d+"
 SNAPSHOT_PATTERN = r"(\d{4}-\d{2}-\d{2})"
 DEFAULT_ROUTE_COLOR = "0000FF"
 DEFAULT_CORRIDOR_COLOR = "0066cc"
-DEFAULT_RAIL_NAME = "SkyTrain"
 DEFAULT_ROUTE_NAME = "unknown"
 DEFAULT_ZONE = "Metro Vancouver"
 BUS_LIMIT_KMH = 50
