@@ -23,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Where a session names none (a single-machine session, as in tests) a temporary folder is made
-    and put into the setting.
+    Where a session on a local master names none, as in tests, a temporary folder is made and put
+    into the setting. On a cluster executors would not see it, so there it must be named.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = known.get() if known.isDefined() else tempfile.mkdtemp(prefix="headway-")
+        if known.isDefined():
+            folder = known.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            folder = tempfile.mkdtemp(prefix="headway-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
