@@ -11,6 +11,7 @@ from headway.functions.labels import (
     route_type_label,
 )
 from headway.functions.times import departure_hour, gtfs_seconds
+from headway.operators.distinct import distinct_counts, distinct_sketches, merge_sketches
 from headway.operators.latest import latest_snapshot
 from headway.operators.quality import (
     STOP_KEY,
@@ -23,7 +24,7 @@ from headway.operators.quality import (
     table_counts,
     violation_counts,
 )
-from headway.operators.scd import scd1
+from headway.operators.scd import scd1, scd2, versions_at
 from headway.operators.schedule import (
     route_frequency,
     route_hourly_profile,
@@ -43,7 +44,7 @@ from headway.operators.shapes import (
     shape_route_bridge,
     shape_summary,
 )
-from headway.plans.schedule import route_shapes
+from headway.plans.schedule import route_shapes, scheduled_times
 
 SECONDS = (
     "CAST(split_part({0}, ':', 1) AS INTEGER) * 3600 + CAST(split_part({0}, ':', 2) AS INTEGER)"
@@ -340,6 +341,68 @@ def _(t):
     return scd1(t.snapshots, ["stop_id"], "gtfs_snapshot_date", drop=["gtfs_snapshot_date"])
 
 
+@query("versions_at", """
+    SELECT o_orderkey, o_orderdate, stop_id, stop_name, zone_id
+    FROM (SELECT o_orderkey, o_orderdate, CAST(o_custkey AS STRING) AS stop_id,
+                 CAST(YEAR(o_orderdate) AS STRING) AS held_in FROM orders) AS asked
+    LEFT JOIN g_history USING (stop_id)
+    WHERE __START_AT <= held_in AND (__END_AT IS NULL OR held_in < __END_AT)""")
+def _(t):
+    asked = t.raw("orders").select(
+        "o_orderkey", "o_orderdate", F.col("o_custkey").cast("string").alias("stop_id"),
+        F.year("o_orderdate").cast("string").alias("held_in"),
+    )
+    return versions_at(asked, t.history, ["stop_id"], "held_in").drop("held_in")
+
+
+@query("scheduled_times_at_date", f"""
+    WITH moved AS (
+        SELECT stop_id, stop_name || ' old' AS stop_name, stop_lat + 1e0 AS stop_lat, stop_lon,
+               '2024-01-05' AS date_from, '2024-01-12' AS date_to FROM g_stops
+        UNION ALL SELECT stop_id, stop_name, stop_lat, stop_lon, '2024-01-12', '9999-12-31' FROM g_stops),
+    legs AS (
+        SELECT gtfs_snapshot_date, trip_id, stop_sequence, departure_time, stop_id AS origin_stop_id,
+               LEAD(stop_id) OVER (PARTITION BY gtfs_snapshot_date, trip_id ORDER BY stop_sequence) AS dest_stop_id
+        FROM g_feed_stop_times)
+    SELECT gtfs_snapshot_date, route_id, trip_headsign, stop_sequence, departure_time, origin_stop_id,
+           o.stop_name AS origin_stop_name, o.stop_lat AS origin_lat,
+           dest_stop_id, d.stop_name AS dest_stop_name, d.stop_lat AS dest_lat
+    FROM legs JOIN g_feed_trips USING (gtfs_snapshot_date, trip_id) JOIN g_routes USING (route_id)
+    LEFT JOIN moved o ON o.stop_id = origin_stop_id AND o.date_from <= gtfs_snapshot_date AND gtfs_snapshot_date < o.date_to
+    LEFT JOIN moved d ON d.stop_id = dest_stop_id AND d.date_from <= gtfs_snapshot_date AND gtfs_snapshot_date < d.date_to
+    WHERE dest_stop_id IS NOT NULL""")
+def _(t):
+    newest = t.stops.drop("location_type").withColumn("gtfs_snapshot_date", F.lit("2024-01-12"))
+    older = newest.withColumns(
+        {
+            "stop_name": F.concat("stop_name", F.lit(" old")), "stop_lat": F.col("stop_lat") + 1,
+            "gtfs_snapshot_date": F.lit("2024-01-05"),
+        }
+    )
+    history = scd2(newest.unionByName(older), ["stop_id"], "gtfs_snapshot_date")
+    return scheduled_times(t.feed_stop_times, t.feed_trips, t.routes, history, all_snapshots=True).select(
+        "gtfs_snapshot_date", "route_id", "trip_headsign", "stop_sequence", "departure_time",
+        "origin_stop_id", "origin_stop_name", "origin_lat", "dest_stop_id", "dest_stop_name", "dest_lat",
+    )
+
+
+@query("distinct_trips_sketched", f"""
+    SELECT route_id, {HOUR.format("departure_time")} AS hour, COUNT(DISTINCT trip_id) AS trips, TRUE AS near
+    FROM g_calls GROUP BY ALL""")
+def _(t):
+    """Daily sketches added up, beside the exact counts: no estimate is off by 3 %."""
+    calls = t.calls.select(
+        "route_id", "trip_id", departure_hour(F.col("departure_time")).alias("hour"),
+        (F.col("trip_id").cast("bigint") % 7).alias("day"),
+    )
+    by_day = distinct_sketches(calls, ["route_id", "hour", "day"], ["trip_id"])
+    merged = merge_sketches(by_day, ["route_id", "hour"], ["trip_id"])
+    estimates = distinct_counts(merged, ["trip_id"]).withColumnRenamed("trip_id", "estimate")
+    exact = calls.groupBy("route_id", "hour").agg(F.count_distinct("trip_id").alias("trips"))
+    near = F.abs(F.col("estimate") - F.col("trips")) <= 0.03 * F.col("trips")
+    return exact.join(estimates, ["route_id", "hour"]).select("route_id", "hour", "trips", near.alias("near"))
+
+
 @query("scd2", "SELECT * FROM g_history")
 def _(t):
     return t.history

@@ -32,6 +32,7 @@ from headway.operators.traffic import (
 from headway.plans.live import peak_keys_to_fill, quarter_hour_readings
 from headway.plans.predict import day_profile, predict_travel_time, seasonal_factors
 from headway.plans.traffic import corridor_daily_summary, delay_patterns
+from headway.streaming.gold import daily_from_parts, merge_parts, reading_parts
 
 SEVERITY = case_chain(
     "congestion_ratio",
@@ -194,6 +195,13 @@ def _(t):
     return corridor_daily(t.readings)
 
 
+@query("corridor_daily_from_parts", "SELECT * FROM g_daily")
+def _(t):
+    """Parts of even and odd polls, added up as a refresh adds up batches."""
+    parts = [reading_parts(t.readings.filter(F.col("event_id") % 2 == n)) for n in (0, 1)]
+    return daily_from_parts(merge_parts(parts[0].unionByName(parts[1])))
+
+
 @query("corridor_to_route", f"""
     SELECT corridor_id, route_id, r.route_short_name AS route_name, route_long_name,
            {TYPE_NAME.format("route_type")} AS route_type

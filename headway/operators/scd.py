@@ -6,7 +6,9 @@ deliveries of the same (key, sequence) count once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -143,6 +145,34 @@ def current_versions(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END).isNull()).drop(START, END)
 
 
+def versions_at(
+    rows: DataFrame, history: DataFrame, keys: Sequence[str], at: str, *, bucket: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Rows with the tracked columns of the version of their key that held at ``at``.
+
+    ``history`` is an ``scd2`` result. Rows before the first version, or
+    without a key, keep nulls. A version is copied to every bucket (by default
+    year) that it holds in, up to the newest one asked for, and met there by an
+    equi-join; so a key with a long history and many rows is no square, and a
+    hot key's rows can be split. At most one version holds at a time, so no row
+    is multiplied.
+    """
+    year = bucket or (lambda c: F.year(c.cast("date")))
+    last = rows.agg(F.max(year(F.col(at)))).scalar()
+    tracked = [c for c in history.columns if c not in (*keys, START, END, SEEN)]
+    ends = F.least(F.coalesce(year(F.col(END)), last), last)
+    begins = year(F.col(START))
+    held = history.filter(begins <= ends).select(
+        *[F.col(c).alias(f"__key_{n}") for n, c in enumerate(keys)], *tracked,
+        F.col(START).alias("__from"), F.col(END).alias("__to"), F.explode(F.sequence(begins, ends)).alias("__bucket"),
+    )
+    moment = F.col(at)
+    met = reduce(and_, [F.col(c) == F.col(f"__key_{n}") for n, c in enumerate(keys)])
+    holds = (F.col("__from") <= moment) & (F.col("__to").isNull() | (moment < F.col("__to")))
+    joined = rows.join(held, met & (year(moment) == F.col("__bucket")) & holds, "left")
+    return joined.drop(*[f"__key_{n}" for n in range(len(keys))], "__from", "__to", "__bucket")
+
+
 def upsert_by_key(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], touched_at: str
 ) -> DataFrame:

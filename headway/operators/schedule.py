@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from headway.functions.times import departure_hour, gtfs_seconds
 from headway.operators.latest import newest_if_dated
 from headway.operators.ordered import with_next
+from headway.operators.scd import END, START, versions_at
 
 SNAPSHOT = "gtfs_snapshot_date"
 
@@ -68,6 +69,21 @@ def with_stop_ends(segments: DataFrame, stops: DataFrame) -> DataFrame:
     return segments
 
 
+def with_stop_ends_at(segments: DataFrame, history: DataFrame) -> DataFrame:
+    """Both stops of a segment as they were on its snapshot date, from an ``scd2`` history."""
+    for end in ("origin", "dest"):
+        side = history.select(
+            F.col("stop_id").alias(f"{end}_stop_id"),
+            F.col("stop_name").alias(f"{end}_stop_name"),
+            F.col("stop_lat").alias(f"{end}_lat"),
+            F.col("stop_lon").alias(f"{end}_lon"),
+            START,
+            END,
+        )
+        segments = versions_at(segments, side, [f"{end}_stop_id"], SNAPSHOT)
+    return segments
+
+
 def schedule_window(
     stop_times: DataFrame, first_hour: int, last_hour: int | None = None
 ) -> DataFrame:

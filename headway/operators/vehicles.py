@@ -61,30 +61,39 @@ def vehicle_speeds(
     spreads over tasks.  Only a position of the last 120 s can matter, so the
     end of each slice is copied in front of the next.
     """
+    window = Window.partitionBy("id", "__slice").orderBy("ts", *tie_break)
+    placed = cut_slices(positions, slice_s).withColumns(
+        {
+            "__ts": F.lag(F.col("ts").cast("double")).over(window),
+            "__lat": F.lag("lat").over(window),
+            "__lon": F.lag("lon").over(window),
+        }
+    )
+    own = placed.filter(F.col("__slice") == F.col("__own")).drop("__slice", "__own")
+    return speeds_from_previous(own)
+
+
+def cut_slices(positions: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
+    """Positions in their own slice, and once more in the next one if they can matter there."""
     at = F.col("ts").cast("double")
     own = F.floor(at / slice_s).cast("long")
     follows = F.floor((at + MAX_GAP_S) / slice_s).cast("long")
     slices = F.when(follows > own, F.array(own, follows)).otherwise(F.array(own))
-    cut = positions.withColumn("__slice", F.explode(slices)).withColumn("__own", own)
-    window = Window.partitionBy("id", "__slice").orderBy("ts", *tie_break)
-    gap = at - F.col("__ts")
+    return positions.withColumn("__slice", F.explode(slices)).withColumn("__own", own)
+
+
+def speeds_from_previous(rows: DataFrame) -> DataFrame:
+    """Speeds of positions that carry time and place of the one before: __ts, __lat, __lon."""
+    gap = F.col("ts").cast("double") - F.col("__ts")
     moved = haversine_km(F.col("__lat"), F.col("__lon"), F.col("lat"), F.col("lon"))
     usable = (gap > MIN_GAP_S) & (gap < MAX_GAP_S) & (moved > MIN_MOVE_KM)
     speed = F.when(F.col("speed") > 0, F.col("speed")).when(
         usable, F.round(moved / (gap / 3600), 1)
     )
     return (
-        cut.withColumns(
-            {
-                "__ts": F.lag(at).over(window),
-                "__lat": F.lag("lat").over(window),
-                "__lon": F.lag("lon").over(window),
-            }
-        )
-        .filter(F.col("__slice") == F.col("__own"))
-        .withColumn("speed_kmh", speed)
+        rows.withColumn("speed_kmh", speed)
         .filter(F.col("speed_kmh") < MAX_KMH)
-        .drop("__slice", "__own", "__ts", "__lat", "__lon")
+        .drop("__ts", "__lat", "__lon")
     )
 
 

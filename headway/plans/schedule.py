@@ -10,6 +10,7 @@ from headway.functions.times import departure_hour
 from headway.operators.latest import latest_snapshot, newest_if_dated
 from headway.operators.ordered import consecutive_pairs, sample_every_nth
 from headway.operators.quality import non_terminal
+from headway.operators.scd import END
 from headway.operators.schedule import (
     SNAPSHOT,
     segment_distance,
@@ -17,6 +18,7 @@ from headway.operators.schedule import (
     stop_segments,
     with_route_labels,
     with_stop_ends,
+    with_stop_ends_at,
 )
 from headway.operators.shapes import shape_route_bridge, shape_summary
 
@@ -28,13 +30,18 @@ def scheduled_times(
     stops: DataFrame,
     *,
     snapshot: str | None = None,
+    all_snapshots: bool = False,
 ) -> DataFrame:
     """Scheduled seconds and kilometres from every stop to the next.
 
     Uses the newest snapshot, or the given one where the caller knows it and
-    wants to save the look-up.  ``stops`` holds current versions only.
+    wants to save the look-up, or all of them.  ``stops`` holds current versions
+    only, or is an ``scd2`` history: then a segment shows its stops as they were
+    on its snapshot date.
     """
-    if snapshot is None:
+    if all_snapshots:
+        pass
+    elif snapshot is None:
         stop_times = latest_snapshot(stop_times, SNAPSHOT)
     else:
         stop_times = stop_times.filter(F.col(SNAPSHOT) == snapshot)
@@ -51,7 +58,8 @@ def scheduled_times(
             route_type_label(F.col("route_type")).alias("route_type"),
         ),
     )
-    return with_stop_ends(labelled, stops).select(
+    placed = with_stop_ends_at if END in stops.columns else with_stop_ends
+    return placed(labelled, stops).select(
         "route_id", "route_name", "route_long_name", "route_type", "trip_headsign",
         "direction_id", "service_id",
         "origin_stop_id", "origin_stop_name", "origin_lat", "origin_lon",

@@ -28,6 +28,13 @@ def traffic_readings(
 ) -> DataFrame:
     """Cleaned readings: failed polls dropped, one per corridor and poll, classified."""
     once = dedupe_latest(drop_failed_polls(raw), newest=newest)
+    return classified_readings(once, tz=tz, null_label=null_label)
+
+
+def classified_readings(
+    once: DataFrame, *, tz: str | None = None, null_label: str | None = "severe"
+) -> DataFrame:
+    """Single polls with their severity and time dimensions, without the stored response."""
     classified = with_time_dimensions(with_severity(once, null_label=null_label), tz=tz)
     return classified.drop("api_response_json", "_file_arrival_time")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,10 +32,33 @@ def serving_segments(route_segments: DataFrame) -> DataFrame:
     )
 
 
+SERVING = ("routes", "stops", "route_segments")
+_EDITIONS = "editions"
+
+
 def publish_serving(
     routes: DataFrame, stops: DataFrame, segments: DataFrame, path: str, feed_date: str
 ) -> None:
-    """Replace the serving tables; executors write, nothing passes the driver."""
-    save_table(serving_routes(routes, feed_date), f"{path}/routes")
-    save_table(serving_stops(stops, feed_date), f"{path}/stops")
-    save_table(serving_segments(segments), f"{path}/route_segments")
+    """Publish the serving tables as one; executors write, nothing passes the driver.
+
+    The three tables go to a folder of a new edition. Its row in the list of
+    editions is written last, so readers see all three of it or none.
+    """
+    edition = f"{feed_date}_{time.time_ns()}"
+    for name, df in zip(SERVING, (serving_routes(routes, feed_date), serving_stops(stops, feed_date), serving_segments(segments))):
+        save_table(df, f"{path}/{edition}/{name}")
+    listed = routes.sparkSession.range(1).select(F.lit(edition).alias("edition"), F.current_timestamp().alias("published_at"))
+    listed.write.mode("append").parquet(f"{path}/{_EDITIONS}")
+
+
+def serving_editions(spark: SparkSession, path: str) -> list[str]:
+    """Published editions, the newest feed and publication first: one short text each."""
+    listed = spark.read.parquet(f"{path}/{_EDITIONS}")
+    order = [F.split_part("edition", F.lit("_"), F.lit(1)), F.split_part("edition", F.lit("_"), F.lit(2)).cast("long")]
+    return [name for (name,) in listed.orderBy(*[F.desc(c) for c in order]).select("edition").collect()]
+
+
+def read_serving(spark: SparkSession, path: str, edition: str | None = None) -> dict[str, DataFrame]:
+    """The three tables of one edition, the newest by default."""
+    edition = serving_editions(spark, path)[0] if edition is None else edition
+    return {name: spark.read.parquet(f"{path}/{edition}/{name}") for name in SERVING}

@@ -5,7 +5,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from headway.operators.scd import current_versions, expire, scd1, scd2, upsert_by_key
+from headway.operators.scd import current_versions, expire, scd1, scd2, upsert_by_key, versions_at
+from headway.plans.schedule import scheduled_times
 
 SCHEMA = "stop_id STRING, snap STRING, name STRING, lat DOUBLE"
 STOPS = [
@@ -88,3 +89,43 @@ def test_upsert_and_expiry(spark):
     fresh = expire(merged, "at", F.lit("2024-01-03 12:00:00").cast("timestamp"), "24 hours")
     assert sorted(r["k"] for r in fresh.collect()) == ["b", "c"]
     assert merged.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+
+
+def test_versions_at_a_date(spark):
+    rng = random.Random(5)
+    day = lambda: f"20{rng.randrange(10, 25)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
+    changes = [(f"s{rng.randrange(6)}", day(), rng.choice("ABC"), 1.0) for _ in range(80)]
+    history = scd2(spark.createDataFrame(changes, SCHEMA), ["stop_id"], "snap")
+    asked = [(n, rng.choice(["s0", "s1", "s2", "s5", "s9", None]), day()) for n in range(300)]
+    asked += [(300 + n, c[0], c[1]) for n, c in enumerate(changes)] + [(900, "s1", None)]
+    versions = [tuple(r) for r in history.select("stop_id", "__START_AT", "__END_AT", "name").collect()]
+
+    def held(stop, at):
+        names = [n for s, a, e, n in versions if s == stop and at is not None and a <= at and (e is None or at < e)]
+        assert len(names) < 2
+        return names[0] if names else None
+
+    found = versions_at(spark.createDataFrame(asked, "n INT, stop_id STRING, at STRING"), history, ["stop_id"], "at")
+    assert rows(found.select("n", "stop_id", "at", "name")) == sorted([(*a, held(a[1], a[2])) for a in asked], key=repr)
+    assert versions_at(spark.createDataFrame([], "stop_id STRING, at STRING"), history, ["stop_id"], "at").collect() == []
+
+
+def test_segments_show_their_stops_at_the_snapshot_date(spark):
+    times = spark.sql("""
+        SELECT 't' trip_id, s stop_id, n stop_sequence, '08:00:00' arrival_time, '08:00:30' departure_time,
+               1D shape_dist_traveled, d gtfs_snapshot_date
+        FROM VALUES ('2024-01-05'), ('2024-01-12') AS v(d), VALUES ('a', 1), ('b', 2) AS w(s, n)""")
+    trips = spark.sql("""
+        SELECT 't' trip_id, 'r' route_id, 'h' trip_headsign, 0 direction_id, 'x' service_id, d gtfs_snapshot_date
+        FROM VALUES ('2024-01-05'), ('2024-01-12') AS v(d)""")
+    routes = spark.sql("SELECT 'r' route_id, '007' route_short_name, 'L' route_long_name, 3 route_type")
+    changes = spark.sql("""
+        SELECT * FROM VALUES ('a', '2024-01-05', 'old', 1D, 1D), ('a', '2024-01-12', 'new', 2D, 2D), ('b', '2024-01-12', 'late', 3D, 3D)
+        AS v(stop_id, gtfs_snapshot_date, stop_name, stop_lat, stop_lon)""")
+    history = scd2(changes, ["stop_id"], "gtfs_snapshot_date")
+    every = scheduled_times(times, trips, routes, history, all_snapshots=True)
+    picked = ["gtfs_snapshot_date", "origin_stop_name", "origin_lat", "dest_stop_name"]
+    assert rows(every.select(*picked)) == [("2024-01-05", "old", 1.0, None), ("2024-01-12", "new", 2.0, "late")]
+    newest = scheduled_times(times, trips, routes, current_versions(history))
+    assert rows(newest.select(*picked)) == [("2024-01-12", "new", 2.0, "late")]
+    assert newest.columns == every.columns

@@ -23,7 +23,8 @@ from headway.sources.gtfs import (
     scan_snapshots,
     stream_snapshots,
 )
-from headway.sources.tables import publish_serving
+from headway.sources.places import read_box, save_by_place, z_order
+from headway.sources.tables import publish_serving, read_serving, serving_editions
 from headway.sources.traffic import (
     append_poll_json,
     corridor_records,
@@ -256,7 +257,60 @@ def test_exports(spark, tmp_path):
     lines = spark.sql("SELECT 's' shape_id, array(array(1D, 2D)) coordinates")
     stops = spark.sql("SELECT 'x' stop_id, 'X' stop_name, 1D stop_lat, 2D stop_lon, 0 location_type")
     publish_serving(lines, stops, segments, f"{tmp_path}/serving", "2024-01-12")
-    assert spark.read.parquet(f"{tmp_path}/serving/routes").first()["coordinates"] == "[[1.0,2.0]]"
+    assert read_serving(spark, f"{tmp_path}/serving")["routes"].first()["coordinates"] == "[[1.0,2.0]]"
+
+
+def test_serving_tables_change_as_one(spark, tmp_path):
+    path = f"{tmp_path}/serving"
+
+    def publish(n, date, broken=False):
+        lines = spark.sql(f"SELECT '{n}' shape_id, array(array(1D, 2D)) coordinates")
+        stops = spark.sql(f"SELECT '{n}' stop_id, 'X' stop_name, 1D stop_lat, 2D stop_lon, 0 location_type")
+        segments = spark.sql(f"""
+            SELECT '{n}' shape_id, 1D origin_lat, 2D origin_lon, 3D dest_lat, 4D dest_lon,
+                   {"raise_error('x')" if broken else "'007'"} route_short_name""")
+        publish_serving(lines, stops, segments, path, date)
+
+    def seen(tables):
+        return {name: df.first()[0] for name, df in tables.items()}
+
+    publish(1, "2024-01-05")
+    reader = read_serving(spark, path)
+    publish(2, "2024-01-12")
+    assert set(seen(reader).values()) == {"1"} and set(seen(read_serving(spark, path)).values()) == {"2"}
+    with pytest.raises(Exception, match="x"):
+        publish(3, "2024-01-19", broken=True)
+    assert set(seen(read_serving(spark, path)).values()) == {"2"}
+    publish(4, "2024-01-05")  # an older feed that is published again is not the newest
+    assert set(seen(read_serving(spark, path)).values()) == {"2"}
+    publish(5, "2024-01-12")
+    assert set(seen(read_serving(spark, path)).values()) == {"5"}
+    assert len(serving_editions(spark, path)) == 4
+    assert set(seen(read_serving(spark, path, serving_editions(spark, path)[1])).values()) == {"2"}
+
+
+def test_tables_by_place(spark, tmp_path):
+    stops = spark.range(4000).selectExpr(
+        "CAST(id AS STRING) stop_id", "48.7D + (id % 63) * 0.011D stop_lat", "-123.4D + (id % 59) * 0.013D stop_lon"
+    ).unionByName(spark.sql("SELECT 'none' stop_id, CAST(NULL AS DOUBLE) stop_lat, 1D stop_lon"))
+    path, box = f"{tmp_path}/stops", (49.0, -123.1, 49.08, -123.0)
+    save_by_place(stops, path, "stop_lat", "stop_lon")
+    found = read_box(spark, path, "stop_lat", "stop_lon", box)
+    every = spark.read.parquet(path)
+    inside = stops.filter("stop_lat BETWEEN 49.0 AND 49.08 AND stop_lon BETWEEN -123.1 AND -123.0")
+    assert sorted(found.collect()) == sorted(inside.collect()) and found.count() > 0
+    assert every.count() == 4001
+    scan = found._jdf.queryExecution().sparkPlan().collectLeaves().apply(0)
+    assert 0 < scan.selectedPartitions().totalNumberOfFiles() <= len(every.inputFiles()) / 8
+    whole = read_box(spark, path, "stop_lat", "stop_lon", (-90.0, -180.0, 90.0, 180.0))
+    assert whole.count() == 4000
+
+
+def test_z_order_takes_turns(spark):
+    points = spark.range(64).selectExpr("id", "(id % 8 + 0.5D) / 8 AS lon", "(FLOOR(id / 8) + 0.5D) / 8 AS lat")
+    for r in points.withColumn("z", z_order(F.col("lat"), F.col("lon"), 1.0, 3)).collect():
+        x, y = r["id"] % 8, r["id"] // 8
+        assert r["z"] == sum((x >> b & 1) << 2 * b | (y >> b & 1) << 2 * b + 1 for b in range(3))
 
 
 def test_expectations(spark):

@@ -1,15 +1,30 @@
 """Streams over files in shuffled order give what the batch operators give."""
 
+import datetime as dt
 import os
 import random
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from headway.operators.distinct import distinct_counts, distinct_sketches, merge_sketches
 from headway.operators.scd import scd1, scd2, scd2_spliced
+from headway.operators.traffic import congestion_patterns, corridor_daily
 from headway.operators.vehicles import vehicle_speeds
 from headway.plans.live import quarter_hour_readings
+from headway.plans.traffic import traffic_readings
+from headway.streaming.gold import (
+    daily_from_parts,
+    gold_stream,
+    merge_parts,
+    merge_readings,
+    patterns_from_parts,
+    reading_parts,
+)
+from headway.streaming.quality import StreamCounts, expect_stream
+from headway.streaming.readings import stream_readings
 from headway.streaming.tables import (
     merge_batch,
     read_merged,
@@ -148,35 +163,172 @@ def test_upserts(spark, tmp_path):
     assert rows(stored.select("cache_key", "v")) == [("a", 2), ("b", 3), ("c", 3)]
 
 
-def test_vehicle_stream_equals_batch(spark, tmp_path):
-    rng = random.Random(9)
-    schema = "id STRING, ts LONG, lat DOUBLE, lon DOUBLE, route STRING, speed DOUBLE"
+VEHICLES = "id STRING, ts LONG, lat DOUBLE, lon DOUBLE, route STRING, speed DOUBLE, n LONG, seen_at TIMESTAMP"
+
+
+def vehicle_rows(rng):
     data, ts = [], 1000
-    for _ in range(120):
+    for n in range(240):
         ts += rng.choice([10, 30, 45])
         for vid in ("hot", "hot2", f"v{rng.randrange(4)}"):
-            data.append((vid, ts, 49 + rng.random() * 0.002, -123 + rng.random() * 0.002, "7",
-                         rng.choice([None, None, 20.5])))
-    expected = rows(vehicle_speeds(spark.createDataFrame(data, schema)).select("id", "ts", "speed_kmh"))
+            data.append((vid, ts, 49 + rng.random() * 0.002, -123 + rng.random() * 0.002, rng.choice(["7", None]),
+                         rng.choice([None, None, 20.5]), rng.choice([None, 2**53 + 1 + n]), dt.datetime(2024, 1, 1, 0, 0, 0, n)))
+    return data
+
+
+def test_vehicle_stream_equals_batch(spark, tmp_path):
+    rng = random.Random(9)
+    data = vehicle_rows(rng)
+    # Rows are up to 90 s late, ties and nulls among them; a far one lets the watermark pass the others.
+    arrival = sorted(data, key=lambda r: r[1] + rng.randrange(90))
+    arrival.append(("far", 10**6, 49.0, -123.0, "7", 5.0, 1, None))
     source, target = f"{tmp_path}/in", f"{tmp_path}/speeds"
-    cut = [0, 50, 51, 200, len(data)]
-    for start, end in zip(cut, cut[1:]):
-        part = data[start:end]
-        # Cut at whole time stamps so that no file holds older rows than the one before.
-        rng.shuffle(part)
-        add_file(spark.createDataFrame(part, schema), source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        run_vehicle_speeds(
-            stream, target=target, state=f"{tmp_path}/state", checkpoint=f"{tmp_path}/cp"
-        ).awaitTermination()
-    late = [("hot", 1000, 49.5, -123.5, "7", 50.0)]
-    add_file(spark.createDataFrame(late, schema), source)
-    run_vehicle_speeds(
-        spark.readStream.schema(schema).parquet(source),
-        target=target, state=f"{tmp_path}/state", checkpoint=f"{tmp_path}/cp",
-    ).awaitTermination()
-    stored = spark.read.parquet(target).select("id", "ts", "speed_kmh")
-    assert rows(stored) == expected
+    cut = [0, 50, 51, 200, 500, len(arrival)]
+    for start, end in zip(cut, cut[1:]):  # every round restarts the query from its checkpoint
+        add_file(spark.createDataFrame(arrival[start:end], VEHICLES), source)
+        query = run_vehicle_speeds(spark.readStream.schema(VEHICLES).parquet(source), target=target, checkpoint=f"{tmp_path}/cp")
+        query.awaitTermination()
+    expected = vehicle_speeds(spark.createDataFrame(data, VEHICLES))
+    stored = spark.read.parquet(target).select(*expected.columns)
+    assert rows(stored) == rows(expected) and stored.count() > 300
+    # Silent vehicles have left the state: only the far one is held.
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
+    add_file(spark.createDataFrame([("hot", 1000, 49.5, -123.5, "7", 50.0, 1, None)], VEHICLES), source)
+    query = run_vehicle_speeds(spark.readStream.schema(VEHICLES).parquet(source), target=target, checkpoint=f"{tmp_path}/cp")
+    query.awaitTermination()
+    assert spark.read.parquet(target).count() == expected.count()
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress) == 1
+
+
+POLLS = """corridor_id STRING, corridor_name STRING, polled_at TIMESTAMP, _file_arrival_time TIMESTAMP, event_id LONG,
+    static_duration_seconds INT, duration_seconds INT, congestion_ratio DOUBLE, distance_meters INT, api_response_json STRING"""
+
+
+def poll_rows(rng, n):
+    data = []
+    for i in range(n):
+        at = dt.datetime(2024, 1, 1, 8) + dt.timedelta(minutes=15 * rng.randrange(n // 8))
+        seconds = rng.randrange(250, 900)
+        data.append((rng.choice(["route_001_seg_1", "route_002_seg_2", None]), "C", at, rng.choice([None, at + dt.timedelta(seconds=rng.randrange(3))]),
+                     i, 300, seconds, rng.choice([None, seconds / 300]), 1000, rng.choice(['{}', '{}', '{"error": 1}'])))
+    return data
+
+
+@pytest.mark.parametrize("keep", ["newest", "first"])
+def test_readings_stream_equals_batch(spark, tmp_path, keep):
+    rng = random.Random(4)
+    data = poll_rows(rng, 200)
+    arrival = sorted(data, key=lambda r: r[2] + dt.timedelta(minutes=rng.randrange(40)))
+    source, newest = f"{tmp_path}/in", ("_file_arrival_time", "event_id")
+    far = (None, "C", None, None, -1, 300, 300, 1.0, 1, "{}")
+    far = ("far", *far[1:2], dt.datetime(2025, 1, 1), *far[3:])
+    counts = StreamCounts(spark)
+    spark.streams.addListener(counts)
+    try:
+        for part in (arrival[:70], arrival[70:150], [*arrival[150:], far], [arrival[0][:4] + (999,) + arrival[0][5:]]):
+            add_file(spark.createDataFrame([("route_001_seg_1", *part[0][1:9], "{}")] if part[0][4] == 999 else part, POLLS), source)
+            stream = stream_readings(spark.readStream.schema(POLLS).parquet(source), keep=keep, newest=newest)
+            query = run_stream(stream, f"{tmp_path}/out", f"{tmp_path}/cp")
+            query.awaitTermination()
+        late = query.id
+        for _ in range(100):
+            if counts.late[str(late)]:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counts)
+    assert counts.late[str(late)] >= 1
+    expected = traffic_readings(spark.createDataFrame(data, POLLS), newest=newest)
+    stored = spark.read.parquet(f"{tmp_path}/out").filter("corridor_id <> 'far'").select(*expected.columns)
+    if keep == "newest":
+        assert rows(stored) == rows(expected)
+    else:
+        keys = ["corridor_id", "polled_at"]
+        assert rows(stored.select(*keys)) == rows(expected.select(*keys))
+
+
+def test_expectations_of_streams(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    rules = {"key": "k IS NOT NULL", "positive": "v > 0"}
+    for part in ([("a", 1), (None, 2), ("b", -1)], [(None, -5), ("c", None), ("d", 4)]):
+        add_file(spark.createDataFrame(part, "k STRING, v INT"), source)
+
+    def run(action, counts, name):
+        stream = spark.readStream.schema("k STRING, v INT").option("maxFilesPerTrigger", 1).parquet(source)
+        checked = expect_stream(stream, rules, action)
+        writer = checked.writeStream.queryName(name).format("parquet").option("path", f"{tmp_path}/{name}")
+        query = writer.option("checkpointLocation", f"{tmp_path}/{name}_cp").trigger(availableNow=True).start()
+        try:
+            query.awaitTermination()
+        finally:
+            for _ in range(50):
+                if len(counts.batches[name]) > 1 or counts.stopped or action == "fail":
+                    break
+                time.sleep(0.1)
+
+    counts, strict = StreamCounts(spark), StreamCounts(spark, {"positive": 0})
+    spark.streams.addListener(counts)
+    try:
+        run("warn", counts, "warned")
+        run("drop", counts, "dropped")
+        with pytest.raises(Exception, match="expectation failed"):
+            run("fail", counts, "failed")
+        assert spark.read.parquet(f"{tmp_path}/warned").count() == 6
+        assert rows(spark.read.parquet(f"{tmp_path}/dropped")) == [("a", 1), ("d", 4)]
+        for name in ("warned", "dropped"):
+            assert counts.total(name) == {"rows": 6, "key": 2, "positive": 3} and len(counts.batches[name]) == 2
+        spark.streams.addListener(strict)
+        run("warn", strict, "strict")
+        assert strict.stopped == {"strict": "positive"}
+    finally:
+        spark.streams.removeListener(counts)
+        spark.streams.removeListener(strict)
+
+
+def test_gold_grows_by_batch(spark, tmp_path):
+    rng = random.Random(6)
+    data = poll_rows(rng, 900)
+    readings = traffic_readings(spark.createDataFrame(data, POLLS), newest=("_file_arrival_time", "event_id")).persist()
+    target = f"{tmp_path}/gold"
+    part = lambda n: readings.filter(F.col("event_id") % 3 == n)
+    for number in (0, 1, 1):  # a batch that runs again adds nothing
+        merge_readings(part(number), number, target)
+    source = f"{tmp_path}/in"
+    add_file(part(2), source)
+    gold_stream(spark.readStream.schema(readings.schema).parquet(source), target=f"{tmp_path}/other", checkpoint=f"{tmp_path}/cp").awaitTermination()
+    merge_readings(part(2), 2, target)
+    parts = read_merged(spark, target)
+    assert rows(daily_from_parts(parts)) == rows(corridor_daily(readings))
+    mine, exact = patterns_from_parts(parts), congestion_patterns(readings)
+    percentiles = ("median_congestion_ratio", "p95_congestion_ratio")
+    assert mine.columns == exact.columns
+    assert rows(mine.drop(*percentiles)) == rows(exact.drop(*percentiles))
+    other = read_merged(spark, f"{tmp_path}/other")
+    assert rows(daily_from_parts(other)) == rows(corridor_daily(part(2)))
+    assert rows(other.drop("ratios")) == rows(reading_parts(part(2)).drop("ratios").select(*other.drop("ratios").columns))
+
+
+def test_merged_percentiles_are_near(spark):
+    values = spark.range(60_000).selectExpr(
+        "'c' corridor_id", "'C' corridor_name", "1 day_of_week", "'weekday' day_type", "8 hour_of_day", "'midday' time_period",
+        "CAST(id % 7 AS STRING) poll_date", "1 + (id * 7919 % 60000) / 60000D congestion_ratio", "300 duration_seconds",
+        "300 static_duration_seconds", "10 distance_meters", "'light' congestion_severity",
+    )
+    parts = reading_parts(values.filter("congestion_ratio < 1.3")).unionByName(reading_parts(values.filter("congestion_ratio >= 1.3")))
+    found = patterns_from_parts(merge_parts(parts)).first()
+    assert abs(found["median_congestion_ratio"] - 1.5) < 0.007 and abs(found["p95_congestion_ratio"] - 1.95) < 0.007
+    assert found["num_observations"] == 60_000
+
+
+def test_distinct_sketches_add_up(spark):
+    rows_ = spark.range(90_000).selectExpr("id % 3 AS route", "id % 10 AS day", "CAST(id % 30000 AS STRING) AS trip_id", "id % 50 AS stop_id")
+    rows_ = rows_.unionByName(spark.sql("SELECT 0L AS route, 0L AS day, CAST(NULL AS STRING) AS trip_id, CAST(NULL AS BIGINT) AS stop_id"))
+    columns = ["trip_id", "stop_id"]
+    by_day = distinct_sketches(rows_, ["route", "day"], columns)
+    found = {r["route"]: r for r in distinct_counts(merge_sketches(by_day, ["route"], columns), columns).collect()}
+    for r in rows_.groupBy("route").agg(*[F.count_distinct(c).alias(c) for c in columns]).collect():
+        assert abs(found[r["route"]]["trip_id"] - r["trip_id"]) <= 0.02 * r["trip_id"]
+        assert found[r["route"]]["stop_id"] == r["stop_id"]
 
 
 def test_quarter_hours_with_watermark(spark, tmp_path):
