@@ -2,14 +2,15 @@
 
 Documents are dealt by hash into shards of a bounded number of pieces. A shard takes its pieces from
 long to short. Each goes into the open bin with the least room that is enough. Where there is none,
-a bin is opened in the permitted length whose cost per token is least, counting what the pieces
-still to come can fill; a bin costs its length and a fixed overhead. At the end each bin shrinks to
-the smallest permitted length that holds its contents.
+a bin is opened in the length of least cost a token, filled as far as the pieces still to come can
+fill it; a bin costs its final length and a fixed overhead. At the end each bin shrinks to the
+smallest permitted length that holds its contents. A shard is packed so under several mixes of the
+lengths, and the mix of least total cost is kept.
 """
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,19 +29,57 @@ PLACED = pa.schema(
 PLACED_DDL = "doc_id bigint, piece bigint, start bigint, length bigint, bin_id bigint, capacity bigint, offset bigint"
 
 
-def opened(length: int, rest: int, lengths: tuple[int, ...], overhead: int) -> int:
-    """The permitted length to open for a piece when pieces of `rest` tokens are still to come."""
-    return min((c for c in lengths if c >= length), key=lambda c: ((c + overhead) / min(c, length + rest), c))
+class Rest:
+    """The pieces still to come, as counts by length."""
 
+    def __init__(self, sizes: list[int]):
+        self.count = Counter(sizes)
+        self.lengths = 0  # bit n is set if there is a piece of length n
+        for size in self.count:
+            self.lengths |= 1 << size
 
-def best_fit(sizes: list[int], lengths: tuple[int, ...], overhead: int) -> tuple[list[int], list[int], list[int]]:
+    def take(self, size: int) -> None:
+        self.count[size] -= 1
+        if not self.count[size]:
+            self.lengths ^= 1 << size
+
+    def filled(self, room: int) -> int:
+        """Tokens that fill a room if the longest piece that fits is taken again and again."""
+        left, lengths = room, self.lengths
+        while left > 0:
+            lengths &= (1 << (left + 1)) - 1
+            if not lengths:
+                break
+            size = lengths.bit_length() - 1
+            left -= size * min(self.count[size], left // size)
+            lengths ^= 1 << size
+        return room - left
+
+
+def shrunk(used: int, lengths: tuple[int, ...]) -> int:
+    return min(c for c in lengths if c >= used)
+
+
+def opened(size: int, rest: Rest, mix: tuple[int, ...], lengths: tuple[int, ...], overhead: int) -> int:
+    """The length to open for a piece: the least cost a token once it is filled and has shrunk."""
+
+    def cost(c: int) -> tuple[float, int]:
+        used = size + rest.filled(c - size)
+        return (shrunk(used, lengths) + overhead) / used, c
+
+    return min((c for c in mix if c >= size), key=cost)
+
+
+def best_fit(
+    sizes: list[int], mix: tuple[int, ...], lengths: tuple[int, ...], overhead: int
+) -> tuple[list[int], list[int], list[int]]:
     """(bin of each piece, its offset, final length of each bin); sizes must not increase."""
     room: dict[int, deque[int]] = {}
     open_rooms = 0  # bit r is set if a bin has room r
     bins, offsets, used, capacity = [], [], [], []
-    rest = sum(sizes)
+    rest = Rest(sizes)
     for size in sizes:
-        rest -= size
+        rest.take(size)
         fits = open_rooms >> size
         if fits:
             left = size + (fits & -fits).bit_length() - 1
@@ -50,7 +89,7 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...], overhead: int) -> tuple
         else:
             own = len(used)
             used.append(0)
-            capacity.append(opened(size, rest, lengths, overhead))
+            capacity.append(opened(size, rest, mix, lengths, overhead) if len(mix) > 1 else mix[0])
         bins.append(own)
         offsets.append(used[own])
         used[own] += size
@@ -58,7 +97,21 @@ def best_fit(sizes: list[int], lengths: tuple[int, ...], overhead: int) -> tuple
         if left:
             room.setdefault(left, deque()).append(own)
             open_rooms |= 1 << left
-    return bins, offsets, [min(c for c in lengths if c >= u) for u in used]
+    return bins, offsets, [shrunk(u, lengths) for u in used]
+
+
+def mixes(lengths: tuple[int, ...]) -> list[tuple[int, ...]]:
+    """The mixes that a shard is packed under: all lengths, the largest, pairs with it, all but one."""
+    most = lengths[-1]
+    others = lengths[:-1]
+    tried = [lengths, (most,), *((c, most) for c in others), *(tuple(x for x in lengths if x != c) for c in others)]
+    return list(dict.fromkeys(tried))
+
+
+def pack(sizes: list[int], lengths: tuple[int, ...], overhead: int) -> tuple[list[int], list[int], list[int]]:
+    """The best fit of least total cost over the mixes; of equal ones the first."""
+    found = (best_fit(sizes, mix, lengths, overhead) for mix in mixes(lengths))
+    return min(found, key=lambda packed: sum(packed[2]) + overhead * len(packed[2]))
 
 
 def words(text: Column) -> Column:
@@ -92,7 +145,7 @@ def best_fit_packing(
     def place(table: pa.Table) -> pa.Table:
         table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
         shard = table["shard"][0].as_py()
-        bins, offsets, final = best_fit(table["length"].to_pylist(), lengths, overhead)
+        bins, offsets, final = pack(table["length"].to_pylist(), lengths, overhead)
         number = pa.array([(shard << 32) + b for b in bins], pa.int64())
         return pa.table(
             [*(table[c] for c in ("doc_id", "piece", "start", "length")), number, pa.array([final[b] for b in bins], pa.int64()), pa.array(offsets, pa.int64())],

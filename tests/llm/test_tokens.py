@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from headway.llm.packing import LENGTHS, best_fit, best_fit_packing, opened
+from headway.llm.packing import LENGTHS, best_fit, best_fit_packing, mixes, pack
 from headway.llm.pieces import BYTE_SCORE, Encoder, Vocabulary, decode, piece_counts
 from headway.llm.token_counts import token_counts
 
@@ -90,7 +90,16 @@ def test_piece_counts_of_odd_rows(spark):
     assert piece_counts(docs.limit(0), PIECES).collect() == []
 
 
-def plain_best_fit(sizes, lengths, overhead):
+def plain_cost(c, first, later, lengths, overhead):
+    """Cost a token of a bin of length c that takes every later piece that still fits, long ones first."""
+    used = first
+    for size in later:
+        if used + size <= c:
+            used += size
+    return (min(x for x in lengths if x >= used) + overhead) / used
+
+
+def plain_best_fit(sizes, mix, lengths, overhead):
     bins = []
     for i, size in enumerate(sizes):
         fits = [b for b in bins if b["room"] >= size]
@@ -98,7 +107,8 @@ def plain_best_fit(sizes, lengths, overhead):
             least = min(b["room"] for b in fits)
             own = min((b for b in fits if b["room"] == least), key=lambda b: b["since"])
         else:
-            own = {"room": opened(size, sum(sizes[i + 1 :]), lengths, overhead), "own": []}
+            room = min((c for c in mix if c >= size), key=lambda c: (plain_cost(c, size, sizes[i + 1 :], lengths, overhead), c))
+            own = {"room": room, "own": []}
             bins.append(own)
         own["own"].append(i)
         own["room"] -= size
@@ -107,13 +117,70 @@ def plain_best_fit(sizes, lengths, overhead):
     return [next(k for k, b in enumerate(bins) if i in b["own"]) for i in range(len(sizes))], final
 
 
+def cost_of(final, overhead):
+    return sum(final) + overhead * len(final)
+
+
+def least_cost(sizes, lengths, overhead):
+    """The least cost of any packing, by trying every way to deal the pieces to bins."""
+    best = [10**9]
+
+    def deal(i, used):
+        if i == len(sizes):
+            best[0] = min(best[0], cost_of([min(c for c in lengths if c >= u) for u in used], overhead))
+            return
+        for k in range(len(used)):
+            if used[k] + sizes[i] <= lengths[-1]:
+                deal(i + 1, [*used[:k], used[k] + sizes[i], *used[k + 1 :]])
+        deal(i + 1, [*used, sizes[i]])
+
+    deal(0, [])
+    return best[0]
+
+
+def random_pieces(rng, most):
+    lengths = tuple(sorted(rng.sample(range(5, 60), 3)))
+    return lengths, sorted((rng.randint(1, lengths[-1]) for _ in range(rng.randint(1, most))), reverse=True)
+
+
 def test_best_fit_against_plain_version():
     rng = random.Random(8)
     for _ in range(60):
-        lengths = tuple(sorted(rng.sample(range(5, 60), 3)))
-        sizes = sorted((rng.randint(1, lengths[-1]) for _ in range(rng.randint(1, 60))), reverse=True)
-        bins, _, final = best_fit(sizes, lengths, 3)
-        assert (bins, final) == plain_best_fit(sizes, lengths, 3)
+        lengths, sizes = random_pieces(rng, 60)
+        tried = []
+        for mix in mixes(lengths):
+            bins, _, final = best_fit(sizes, mix, lengths, 3)
+            assert (bins, final) == plain_best_fit(sizes, mix, lengths, 3)
+            tried.append(cost_of(final, 3))
+        assert cost_of(pack(sizes, lengths, 3)[2], 3) == min(tried)
+
+
+def test_mixes_beat_the_largest_length():
+    rng = random.Random(10)
+    better = 0
+    for _ in range(200):
+        lengths, sizes = random_pieces(rng, 40)
+        one = cost_of(plain_best_fit(sizes, lengths[-1:], lengths, 3)[1], 3)
+        mine = cost_of(pack(sizes, lengths, 3)[2], 3)
+        assert mine <= one
+        better += mine < one
+    assert better >= 20
+
+
+def test_cost_near_the_least_possible():
+    rng = random.Random(11)
+    mine = least = 0
+    for _ in range(60):
+        lengths, sizes = random_pieces(rng, 7)
+        own, best = cost_of(pack(sizes, lengths, 3)[2], 3), least_cost(sizes, lengths, 3)
+        assert own >= best
+        mine, least = mine + own, least + best
+    assert mine <= 1.05 * least
+
+
+def test_packing_ignores_columns_with_names_of_its_own(spark):
+    docs = spark.createDataFrame([(1, "a b c", 9, 9, 9, 9, 9)], "doc_id bigint, text string, length int, piece int, shard int, tokens int, bin_id int")
+    assert [r["length"] for r in best_fit_packing(docs).collect()] == [3]
 
 
 def test_packing_keeps_every_token(spark):
