@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from headway.llm.shared import tidy
 
 LEAF = 256
+# Queries that go through a tree together.
+TOGETHER = 256
 # Above the rounding of a distance in double precision, relative to its size.
 SLACK = 1e-9
 
@@ -162,20 +164,22 @@ def _search(k: int, factor: float):
         for batch in batches:
             for i in range(batch.num_rows):
                 tree = pickle.loads(batch["tree"][i].as_py())
-                block = batch["block"][i]
-                ids = block.values.field("vec_id").to_numpy()
-                d, found = tree.search(ids, _stack(block.values.field("vector")), k, factor)
-                real = np.isfinite(d)
-                yield pa.record_batch(
-                    [np.repeat(ids, k)[real.ravel()], found[real], d[real]], schema=schema
-                )
+                block = batch["block"][i].values
+                for start in range(0, len(block), TOGETHER):
+                    part = block.slice(start, TOGETHER)
+                    ids = part.field("vec_id").to_numpy()
+                    d, found = tree.search(ids, _stack(part.field("vector")), k, factor)
+                    real = np.isfinite(d)
+                    yield pa.record_batch(
+                        [np.repeat(ids, k)[real.ravel()], found[real], d[real]], schema=schema
+                    )
 
     return run
 
 
 def nearest(
     rows: DataFrame, queries: str = "vec_id % 100 = 0", k: int = 10, factor: float = 1.0,
-    shard_rows: int = 8192, block_rows: int = 256,
+    shard_rows: int = 8192, block_rows: int = 4096,
 ) -> DataFrame:
     """The k nearest other rows of each query: query_id, rank, vec_id, score, nearest first.
 
@@ -184,7 +188,8 @@ def nearest(
     whose id or vector is null, empty or zero, or has a null or non-finite component take no part.
     Of rows that repeat an id, the one with the smallest vector counts. Vectors of different length
     do not meet. Fewer candidates than k are all returned; no query or an empty table gives no row.
-    With factor 1 nothing is missed. Every row is indexed; every shard meets every block of queries.
+    With factor 1 nothing is missed. Every row is indexed; every shard meets every block of queries: a
+    tree is sent once per `block_rows` queries, a query once per `shard_rows` rows.
     """
     vector = F.col("embedding").cast("array<double>")
     sound = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), vector.alias("vector")).filter(
