@@ -19,7 +19,7 @@ from headway.operators.corridors import (
 )
 from headway.operators.latest import distinct_on, newest_if_dated
 from headway.operators.ordered import picked_places, with_position
-from headway.operators.shapes import longest_shape
+from headway.operators.shapes import shape_sizes
 
 
 def _one_per_name(routes: DataFrame) -> DataFrame:
@@ -42,24 +42,33 @@ def corridors_from_shapes(
 
     All tables are taken from their newest snapshot.  Of routes with one short
     name the last by id counts, because corridor ids are built from the name.
-    Only the points of chosen shapes are numbered.  Numbers of segments that
-    are too short stay unused.
+    Only the points of chosen shapes are numbered, once per route that chose
+    them.  Numbers of segments that are too short stay unused.
     """
     shapes, trips = newest_if_dated(shapes), newest_if_dated(trips)
     pairs = trips.filter(F.col("shape_id").isNotNull()).select("route_id", "shape_id").distinct()
-    counted = pairs.groupBy("route_id").agg(F.count(F.lit(1)).alias("shapes"))
+    rank = F.struct("points", "shape_id")
+    longest = (
+        pairs.join(shape_sizes(shapes), "shape_id", "left")
+        .groupBy("route_id")
+        .agg(
+            F.count(F.lit(1)).alias("shapes"), F.max("points").alias("points"),
+            F.max_by("shape_id", F.when(F.col("points").isNotNull(), rank)).alias("shape_id"),
+        )
+    )
     chosen = select_routes(
-        _one_per_name(routes).join(counted, "route_id"),
+        _one_per_name(routes).join(longest, "route_id"),
         priority=PRIORITY_BY_SHAPES, max_routes=max_routes,
-    ).drop("shapes")
-    mine = pairs.join(chosen.select("route_id"), "route_id", "left_semi")
-    longest = longest_shape(shapes, mine).filter(F.col("points") >= MIN_SHAPE_POINTS).drop("points")
-    used = shapes.join(longest.select("shape_id").distinct(), "shape_id", "left_semi")
-    placed = with_position(used, ["shape_id"], "shape_pt_sequence", size="group_size")
-    cut = evenly_spaced_segments(placed, "shape_id", per_route).withColumn("km", segment_km())
+    ).filter(F.col("points") >= MIN_SHAPE_POINTS)
+    # The route goes along with its points, so that it need not be looked up again.
+    route = F.struct("route_id", "route_short_name", "route_long_name", "route_type").alias("route")
+    used = shapes.select("shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon").join(
+        chosen.select("shape_id", route), "shape_id"
+    )
+    placed = with_position(used, ["route"], "shape_pt_sequence", size="group_size")
+    cut = evenly_spaced_segments(placed, "route", per_route).withColumn("km", segment_km())
     long_enough = cut.filter(F.col("km") >= MIN_SHAPE_SEGMENT_KM)
-    joined = chosen.join(longest, "route_id").join(long_enough, "shape_id")
-    return corridor_rows(joined, F.col("segment") + 1)
+    return corridor_rows(long_enough.select("*", "route.*"), F.col("segment") + 1)
 
 
 def corridors_from_waypoints(

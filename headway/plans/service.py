@@ -22,25 +22,34 @@ def top_corridors(
 ) -> DataFrame:
     """The ``n`` busiest routes of an hour with geometry and hourly profile.
 
-    Calls are first reduced to one row per trip and hour, so counts need no
-    distinct; stops are counted for the ``n`` chosen routes only.
+    Calls are read once and reduced to one row per trip and hour, and per stop
+    in the asked hour, so no count needs a distinct.
     """
     at, trips = F.col("hour"), F.col("trips")
     named = stop_times.filter(F.col("route_short_name").isNotNull()).select(
         F.col("route_short_name").alias("route"), "route_id", "trip_id", "stop_id", "shape_id",
         departure_hour(F.col("departure_time")).alias("hour"),
     )
+    trip = F.struct(F.lit(True).alias("is_trip"), F.col("trip_id").alias("id"))
+    stop = F.struct(F.lit(False).alias("is_trip"), F.col("stop_id").alias("id"))
+    counted = F.explode(F.when(at == hour, F.array(trip, stop)).otherwise(F.array(trip)))
     hourly = (
-        named.groupBy("route", "route_id", "hour", "trip_id")
+        named.select("route", "route_id", "hour", "shape_id", counted.alias("counted"))
+        .groupBy("route", "route_id", "hour", "counted")
         .agg(F.min("shape_id").alias("shape_id"))
         .groupBy("route", "route_id", "hour")
-        .agg(F.count(F.lit(1)).alias("trips"), F.min("shape_id").alias("shape_id"))
+        .agg(
+            F.count_if(F.col("counted.is_trip")).alias("trips"),
+            F.count_if(~F.col("counted.is_trip") & F.col("counted.id").isNotNull()).alias("stops"),
+            F.min("shape_id").alias("shape_id"),
+        )
     )
     shown = F.when(at.between(*PROFILE_HOURS), F.struct("hour", "trips"))
     busiest = (
         hourly.groupBy("route", "route_id")
         .agg(
             F.max(F.when(at == hour, trips)).alias("trips_per_hour"),
+            F.max(F.when(at == hour, F.col("stops"))).alias("stops_served"),
             F.max(F.when(at == hour, F.col("shape_id"))).alias("sample_shape_id"),
             F.sort_array(F.collect_list(shown)).alias("hourly_profile"),
         )
@@ -48,14 +57,6 @@ def top_corridors(
         .orderBy(F.desc("trips_per_hour"), "route", "route_id")
         .limit(n)
     )
-    served = (
-        named.filter(at == hour)
-        .join(busiest.select("route", "route_id"), ["route", "route_id"], "left_semi")
-        .groupBy("route", "route_id", "stop_id")
-        .agg(F.count(F.lit(1)).alias("calls"))
-        .groupBy("route", "route_id")
-        .agg(F.count("stop_id").alias("stops_served"))
-    )
     geometry = distinct_on(
         serving_routes.select(
             F.col("shape_id").alias("sample_shape_id"), "route_short_name", "route_long_name",
@@ -64,8 +65,7 @@ def top_corridors(
         ["sample_shape_id"], ["route_short_name", "route_long_name", "route_color"],
     ).drop("route_short_name")
     return (
-        busiest.join(served, ["route", "route_id"], "left")
-        .join(geometry, "sample_shape_id", "left")
+        busiest.join(geometry, "sample_shape_id", "left")
         .select(
             "route", "route_id", "trips_per_hour", "stops_served",
             F.coalesce("route_long_name", F.lit("")).alias("long_name"),
