@@ -1,29 +1,36 @@
 """Repeated passages by prefix-partitioned suffix trees over words.
 
-A suffix starts at each word. Only suffixes whose first `window` words seem to occur in several
-blocks of documents travel on (`blocks.holders`; inside a block repeats are settled there), and of
-equal ones a block sends one, that of its smallest document. They are dealt into groups by a prefix
-of variable length: as many words as make up some bytes, so frequent short words do not gather in
-one group. Each group sorts its suffixes, cut to `window` words, and takes the longest common
-prefixes of neighbours: the intervals that share all `window` words are the deep internal nodes of
-its suffix tree. A suffix goes if its node has a smaller document. Neighbouring repeats of a
-document make up its maximal repeats.
+A suffix starts at each word. Only suffixes whose first `window` words seem to occur twice are laid
+into trees: inside a block of documents there, and where several blocks seem to have them
+(`blocks.holders`) across blocks; of equal ones a block sends one, that of its smallest document.
+Groups are made by a prefix of variable length: some bytes of words at least, then longer word by
+word while more suffixes begin so than a group is to hold, as a count over all texts shows
+(`heavy_prefixes`). Each group sorts its suffixes, cut to `window` words, and takes the longest
+common prefixes of neighbours: the intervals that share all `window` words are the deep internal
+nodes of its suffix tree. A suffix goes if its node has a smaller document. Neighbouring repeats of
+a document make up its maximal repeats.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from headway.llm.blocks import (
     BLOCK_BYTES, NO_ID, Block, binary, block_count, classes, holders, key_bits, pack, packed, shortened, unpack,
 )
-from headway.llm.shared import tidy
+from headway.llm.shared import sliced, tidy
 
-PREFIX_BYTES = 16
+PREFIX_BYTES = 16  # a prefix has this many bytes at least, blanks included
+GROUP_SUFFIXES = 1 << 18  # a prefix that more suffixes share is lengthened
+MOST_HEAVY = 1 << 21  # bounds the prefixes that every task is told, 16 MB
+TREE_SUFFIXES = 1 << 17  # suffixes of a tree inside a block
+STEP = np.uint64(0x9E3779B97F4A7C15)
 BUNDLE = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
 MARKS = pa.schema([("block", pa.int32()), ("payload", pa.binary())])
 RESULT = pa.schema(
@@ -35,8 +42,69 @@ RESULT = pa.schema(
 RESULT_DDL = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string, repeats array<struct<start:bigint,end:bigint>>"
 
 
+def prefixes(block: Block, starts: np.ndarray, window: int, longer: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The fingerprint of each suffix's prefix: PREFIX_BYTES of words, then more while `longer` says so."""
+    length = block.ends - block.starts + 1
+    value, size = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.int64)
+    going = np.arange(len(starts))
+    for j in range(window):
+        at = starts[going] + j
+        value[going] = value[going] * STEP + block.hashes[at]
+        size[going] += length[at]
+        if j + 1 == window or not len(going):
+            break
+        stays = size[going] < PREFIX_BYTES
+        stays[~stays] = longer(value[going[~stays]])
+        going = going[stays]
+    return value
+
+
+def prefix_groups(block: Block, starts: np.ndarray, window: int, groups: int, heavy: np.ndarray) -> np.ndarray:
+    """The group of each suffix, by its shortest prefix that is not heavy."""
+    value = prefixes(block, starts, window, lambda own: np.isin(own, heavy))
+    return ((value ^ (value >> np.uint64(31))) % np.uint64(groups)).astype(np.int64)
+
+
+def heavy_prefixes(docs: DataFrame, window: int, size: int, most: int) -> np.ndarray:
+    """Fingerprints of the prefixes that about `most` suffixes or more begin with.
+
+    A batch of texts reports a prefix if its share of different suffixes is that of `most` in all
+    `size` bytes: what has `most` in all is reported by a batch at least, and what is not found
+    begins fewer than 2 * most. `most` grows where more than MOST_HEAVY prefixes could be found.
+    """
+    most = max(most, (window - 1) * (size // 2) // MOST_HEAVY)
+
+    @tidy
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "text", BLOCK_BYTES):
+            texts = batch.column("text").cast(pa.large_binary())
+            block = Block.of(texts)
+            first, value = block.windows(window)
+            starts = first[np.unique(value, return_index=True)[1]]
+            least = most * len(block.data) / size
+            found = []
+
+            def report(values: np.ndarray, least=least, found=found) -> np.ndarray:
+                own, back, many = np.unique(values, return_inverse=True, return_counts=True)
+                shown = many >= least
+                found.append((own[shown], many[shown]))
+                return shown[back]
+
+            prefixes(block, starts, window, report)
+            for own, many in found:
+                yield pa.record_batch([pa.array(own.view(np.int64)), pa.array(many.astype(np.int64))], names=["prefix", "suffixes"])
+
+    counts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(weigh, "prefix bigint, suffixes bigint")
+    heavy = counts.groupBy("prefix").agg(F.sum("suffixes").alias("suffixes")).filter(F.col("suffixes") >= most)
+    return np.array([row.prefix for row in heavy.select("prefix").collect()], np.int64).view(np.uint64)
+
+
 class Repeats:
-    """The windows of a block by fingerprint: classes of equal ones, each led by its first document."""
+    """The windows of a block: classes of equal ones, each led by its first document.
+
+    Windows whose fingerprint occurs once are alone; the others go by the deep nodes of their trees.
+    Classes are in the order of their fingerprints.
+    """
 
     def __init__(self, block: Block, window: int):
         self.first_word, value = block.windows(window)
@@ -44,21 +112,47 @@ class Repeats:
         value = value[order]
         new = np.ones(len(value), bool)
         new[1:] = value[1:] != value[:-1]
+        run = np.cumsum(new) - 1
+        again = np.flatnonzero(np.bincount(run, minlength=1)[run] > 1)
+        node = nodes_in(block, self.first_word[order[again]], window)
+        by_node = np.lexsort((node, run[again]))
+        order[again] = order[again][by_node]
+        node = node[by_node]
+        new[again[1:]] |= node[1:] != node[:-1]
         self.of = np.empty(len(value), np.int64)
         self.of[order] = np.cumsum(new) - 1
         self.value = value[new]
         self.leader = self.first_word[order[new]]  # the first word of the leading window
 
 
-def prefix_groups(block: Block, starts: np.ndarray, window: int, groups: int) -> np.ndarray:
-    """The group of each suffix: a hash of its first words up to PREFIX_BYTES bytes."""
-    length = block.ends - block.starts + 1
-    value, size = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.int64)
+def nodes_in(block: Block, starts: np.ndarray, window: int, most: int = TREE_SUFFIXES) -> np.ndarray:
+    """The deep node of each suffix of a block, from trees by prefix: longer prefixes for more than `most` suffixes."""
+    node = np.empty(len(starts), np.int64)
+    if not len(starts):
+        return node
+    size = block.ends - block.starts
+    place = np.repeat(block.starts - np.cumsum(size) + size, size)
+    text = block.data[np.arange(size.sum()) + place]
+    code = binary(text, np.concatenate([[0], np.cumsum(size)])).dictionary_encode().indices.to_numpy()
+    group = np.zeros(len(starts), np.int64)
     for j in range(window):
-        open_ = size < PREFIX_BYTES
-        value[open_] = value[open_] * np.uint64(0x9E3779B97F4A7C15) + block.hashes[starts[open_] + j]
-        size[open_] += length[starts[open_] + j]
-    return ((value ^ (value >> np.uint64(31))) % np.uint64(groups)).astype(np.int64)
+        open_ = np.flatnonzero(np.bincount(group)[group] > most)
+        if not len(open_):
+            break
+        group[open_] = group.max() + 1 + group[open_] * (int(code.max()) + 1) + code[starts[open_] + j]
+        group = np.unique(group, return_inverse=True)[1]
+    many = np.bincount(group)
+    tree_of = (np.cumsum(many) - many) // most  # small groups share a tree
+    order = np.argsort(tree_of[group], kind="stable")
+    edge = np.flatnonzero(np.diff(tree_of[group[order]], prepend=-1, append=-1))
+    last = 0
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        own = order[a:b]
+        tree = SuffixTree(code[starts[own][:, None] + np.arange(window)])
+        found = tree.deep_nodes(window)
+        node[own[tree.order]] = last + found
+        last += int(found[-1]) + 1
+    return node
 
 
 def bundle(block: Block, starts: np.ndarray, numbers: np.ndarray, window: int) -> bytes:
@@ -111,7 +205,7 @@ class SuffixTree:
 
 
 def substring_dedup(
-    docs: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES, with_text: bool = True
+    docs: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES, with_text: bool = True, group_suffixes: int = GROUP_SUFFIXES
 ) -> DataFrame:
     """Take out every word in a window of words that also starts in a document with a smaller id.
 
@@ -121,12 +215,14 @@ def substring_dedup(
     as word numbers, end excluded). Windows are judged on the input. A null text has no words; a
     null doc_id counts as larger than all others; rows that repeat a doc_id are one document as to
     what is smaller, and each gets a row. Texts shorter than a window keep all words. Only doc_id
-    and text are read. `block_bytes` bounds what a task holds and does not change the result.
+    and text are read. `block_bytes` and `group_suffixes` bound what a task holds and do not change
+    the result.
     """
     blocks, size = block_count(docs, block_bytes)
     bits = key_bits(size // 4)
     groups = max(1, blocks // 3)  # a block sends a part of its suffixes only
     rows = packed(docs, blocks)
+    heavy = heavy_prefixes(docs, window, size, group_suffixes) if groups > 1 else np.empty(0, np.uint64)
 
     def window_keys(block: Block) -> np.ndarray:
         return block.windows(window)[1]
@@ -140,7 +236,7 @@ def substring_dedup(
         held = classes(right)[np.cumsum(np.diff(short, prepend=short[:1]) > 0)] if len(short) else np.empty(0, np.uint8)
         numbers = np.flatnonzero(held)
         starts = repeats.leader[numbers]
-        group = prefix_groups(block, starts, window, groups)
+        group = prefix_groups(block, starts, window, groups, heavy)
         order = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1)) if len(order) else np.zeros(1, int)
         found = [

@@ -4,13 +4,16 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from headway.llm.blocks import Block
 from headway.llm.exact_dedup import RadixTrie, exact_dedup, text_owners
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.line_dedup import line_dedup, shingle_set
-from headway.llm.substring_dedup import substring_dedup
+from headway.llm.substring_dedup import Repeats, heavy_prefixes, nodes_in, prefix_groups, substring_dedup
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 # Extra columns carry names that the operators use themselves.
@@ -227,3 +230,51 @@ def test_spilled_texts_take_more_rounds(spark):
     entries = spark.createDataFrame(rows, "text binary, keep_id bigint, group_size bigint").coalesce(1)
     found = text_owners(entries, 5_000).withColumn("key", F.hex("digest")).collect()
     assert sorted((r["keep_id"], r["group_size"]) for r in found) == [(i, 3) for i in range(300)]
+
+
+def hot_beginnings(seed: int) -> list[tuple]:
+    """Texts full of one beginning with many different continuations, each of which occurs in several documents."""
+    rng = random.Random(seed)
+    tails = [[f"t{rng.randrange(60)}" for _ in range(14)] for _ in range(60)]
+    texts = [" ".join(w for _ in range(rng.randint(1, 12)) for w in ("licence", "granted", "under", *rng.choice(tails))) for _ in range(80)]
+    ids = rng.sample(range(1000), len(texts))
+    return [(i, t, None, "a", "b", 7, "c", 1) for i, t in zip(ids, texts, strict=True)]
+
+
+def test_hot_beginning_lands_in_several_groups(spark):
+    rows = hot_beginnings(3)
+    docs = frame(spark, rows)
+    size = sum(len(t) + 1 for _, t, *_ in rows)
+    heavy = heavy_prefixes(docs, 13, size, 20)
+    block = Block.of(pa.array([t.encode() for _, t, *_ in rows], pa.large_binary()))
+    starts, _ = block.windows(13)
+    words = np.array([block.data[a:b].tobytes() for a, b in zip(block.starts, block.ends, strict=True)])
+    hot = starts[words[starts] == b"licence"]
+    assert len(set(prefix_groups(block, hot, 13, 64, np.empty(0, np.uint64)).tolist())) == 1
+    assert len(set(prefix_groups(block, hot, 13, 64, heavy).tolist())) > 10
+    expected = brute_substring(rows)
+    for most in (1, 20, 1 << 18):
+        found = substring_dedup(docs, block_bytes=1500, group_suffixes=most).collect()
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == expected
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 17])
+def test_trees_of_a_block(most):
+    rows = hot_beginnings(5)
+    block = Block.of(pa.array([t.encode() for _, t, *_ in rows], pa.large_binary()))
+    starts, _ = block.windows(13)
+    words = [block.data[a:b].tobytes() for a, b in zip(block.starts, block.ends, strict=True)]
+    node = nodes_in(block, starts, 13, most)
+    number: dict = {}
+    for at, own in zip(starts.tolist(), node.tolist(), strict=True):
+        assert number.setdefault(tuple(words[at : at + 13]), own) == own
+    assert len(set(number.values())) == len(number)
+
+
+def test_equal_fingerprints_of_different_words():
+    block = Block.of(pa.array([b"a b c d e", b"f g h i j", b"x a b c d"], pa.large_binary()))
+    block.hashes[:] = 7
+    repeats = Repeats(block, 4)
+    of = dict(zip(repeats.first_word.tolist(), repeats.of.tolist(), strict=True))
+    assert of[0] == of[11] and len(set(of.values())) == 5
+    assert repeats.leader[of[11]] == 0
