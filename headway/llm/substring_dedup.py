@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.blocks import (
-    BLOCK_BYTES, NO_ID, Block, binary, block_count, classes, holders, key_bits, pack, packed, shortened, unpack,
+    BLOCK_BYTES, NO_ID, SPACE, Block, binary, block_count, classes, holders, key_bits, pack, packed, shortened, unpack,
 )
 from headway.llm.shared import sliced, tidy
 
@@ -68,8 +68,7 @@ def prefix_groups(block: Block, starts: np.ndarray, window: int, groups: int, he
 def heavy_prefixes(docs: DataFrame, window: int, size: int, most: int) -> np.ndarray:
     """Fingerprints of the prefixes that about `most` suffixes or more begin with.
 
-    A batch of texts reports a prefix if its share of different suffixes is that of `most` in all
-    `size` bytes: what has `most` in all is reported by a batch at least, and what is not found
+    A batch of texts reports a prefix if its share of suffixes is that of `most` in all `size` bytes: what has `most` in all is reported by a batch at least, and what is not found
     begins fewer than 2 * most. `most` grows where more than MOST_HEAVY prefixes could be found.
     """
     most = max(most, (window - 1) * (size // 2) // MOST_HEAVY)
@@ -79,8 +78,6 @@ def heavy_prefixes(docs: DataFrame, window: int, size: int, most: int) -> np.nda
         for batch in sliced(batches, "text", BLOCK_BYTES):
             texts = batch.column("text").cast(pa.large_binary())
             block = Block.of(texts)
-            first, value = block.windows(window)
-            starts = first[np.unique(value, return_index=True)[1]]
             least = most * len(block.data) / size
             found = []
 
@@ -90,7 +87,7 @@ def heavy_prefixes(docs: DataFrame, window: int, size: int, most: int) -> np.nda
                 found.append((own[shown], many[shown]))
                 return shown[back]
 
-            prefixes(block, starts, window, report)
+            prefixes(block, block.windows(window)[0], window, report)
             for own, many in found:
                 yield pa.record_batch([pa.array(own.view(np.int64)), pa.array(many.astype(np.int64))], names=["prefix", "suffixes"])
 
@@ -99,6 +96,27 @@ def heavy_prefixes(docs: DataFrame, window: int, size: int, most: int) -> np.nda
     return np.array([row.prefix for row in heavy.select("prefix").collect()], np.int64).view(np.uint64)
 
 
+class Words:
+    """The words of a block as numbers, in the order of their first bytes, which compresses well."""
+
+    def __init__(self, block: Block):
+        size = block.ends - block.starts
+        text = block.data[~SPACE[block.data]]
+        code = binary(text, np.concatenate([[0], np.cumsum(size)])).dictionary_encode().indices.to_numpy()
+        place = np.empty(int(code.max(initial=-1)) + 1, np.int64)
+        place[code[::-1]] = np.arange(len(code))[::-1]
+        a, size = block.starts[place], size[place]
+        head = np.zeros(len(place), np.uint64)
+        for j in range(8):
+            byte = block.data[np.minimum(a + j, len(block.data) - 1)].astype(np.uint64)
+            head = (head << np.uint64(8)) | np.where(j < size, byte, 0)
+        rank = np.argsort(head, kind="stable")
+        to = np.empty(len(rank), np.int32)
+        to[rank] = np.arange(len(rank))
+        self.code = to[code]  # of each word
+        self.place = place[rank]  # the first word of each number
+
+
 class Repeats:
     """The windows of a block: classes of equal ones, each led by its first document.
 
@@ -114,7 +132,8 @@ class Repeats:
         new[1:] = value[1:] != value[:-1]
         run = np.cumsum(new) - 1
         again = np.flatnonzero(np.bincount(run, minlength=1)[run] > 1)
-        node = nodes_in(block, self.first_word[order[again]], window)
+        self.words = Words(block)
+        node = nodes_in(self.words.code, self.first_word[order[again]], window)
         by_node = np.lexsort((node, run[again]))
         order[again] = order[again][by_node]
         node = node[by_node]
@@ -125,15 +144,11 @@ class Repeats:
         self.leader = self.first_word[order[new]]  # the first word of the leading window
 
 
-def nodes_in(block: Block, starts: np.ndarray, window: int, most: int = TREE_SUFFIXES) -> np.ndarray:
+def nodes_in(code: np.ndarray, starts: np.ndarray, window: int, most: int = TREE_SUFFIXES) -> np.ndarray:
     """The deep node of each suffix of a block, from trees by prefix: longer prefixes for more than `most` suffixes."""
     node = np.empty(len(starts), np.int64)
     if not len(starts):
         return node
-    size = block.ends - block.starts
-    place = np.repeat(block.starts - np.cumsum(size) + size, size)
-    text = block.data[np.arange(size.sum()) + place]
-    code = binary(text, np.concatenate([[0], np.cumsum(size)])).dictionary_encode().indices.to_numpy()
     group = np.zeros(len(starts), np.int64)
     for j in range(window):
         open_ = np.flatnonzero(np.bincount(group)[group] > most)
@@ -155,25 +170,17 @@ def nodes_in(block: Block, starts: np.ndarray, window: int, most: int = TREE_SUF
     return node
 
 
-def bundle(block: Block, starts: np.ndarray, numbers: np.ndarray, window: int) -> bytes:
+def bundle(block: Block, words: Words, starts: np.ndarray, numbers: np.ndarray, window: int) -> bytes:
     """Suffixes in order, with their words: numbers, documents, a dictionary, codes by column."""
-    words = (starts[:, None] + np.arange(window)).reshape(-1)
-    _, place, code = np.unique(block.hashes[words], return_index=True, return_inverse=True)
-    own = words[place]
+    code = words.code[starts[:, None] + np.arange(window)]
+    used = np.zeros(len(words.place), bool)
+    used[code] = True
+    own = words.place[used]
     a, size = block.starts[own], (block.ends - block.starts)[own]
-    # Words in the order of their first bytes, which compresses well.
-    head = np.zeros(len(own), np.uint64)
-    for j in range(8):
-        byte = block.data[np.minimum(a + j, len(block.data) - 1)].astype(np.uint64)
-        head = (head << np.uint64(8)) | np.where(j < size, byte, 0)
-    rank = np.argsort(head, kind="stable")
-    to = np.empty(len(rank), np.int64)
-    to[rank] = np.arange(len(rank))
-    a, size = a[rank], size[rank]
     text = block.data[np.arange(size.sum()) + np.repeat(a - np.cumsum(size) + size, size)]
-    code = to[code].reshape(-1, window)
+    code = (np.cumsum(used) - 1)[code]
     order = np.lexsort((code[:, 2], code[:, 1], code[:, 0]))
-    code = code[order].astype(np.uint16 if len(rank) < 1 << 16 else np.uint32)
+    code = code[order].astype(np.uint16 if len(own) < 1 << 16 else np.uint32)
     return pack(
         numbers[order].astype(np.uint32), block.ids[block.doc[starts[order]]], size.astype(np.uint32), text, code.T.reshape(-1)
     )
@@ -240,7 +247,7 @@ def substring_dedup(
         order = np.argsort(group, kind="stable")
         cuts = np.flatnonzero(np.diff(group[order], prepend=-1, append=-1)) if len(order) else np.zeros(1, int)
         found = [
-            (int(group[order[a]]), number, bundle(block, starts[order[a:b]], numbers[order[a:b]], window))
+            (int(group[order[a]]), number, bundle(block, repeats.words, starts[order[a:b]], numbers[order[a:b]], window))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True)
         ]
         return pa.Table.from_batches([pa.record_batch(list(zip(*found, strict=True)), schema=BUNDLE)] if found else [], schema=BUNDLE)

@@ -13,7 +13,7 @@ from headway.llm.blocks import Block
 from headway.llm.exact_dedup import RadixTrie, exact_dedup, text_owners
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.line_dedup import line_dedup, shingle_set
-from headway.llm.substring_dedup import Repeats, heavy_prefixes, nodes_in, prefix_groups, substring_dedup
+from headway.llm.substring_dedup import Repeats, Words, heavy_prefixes, nodes_in, prefix_groups, substring_dedup
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
 # Extra columns carry names that the operators use themselves.
@@ -264,7 +264,7 @@ def test_trees_of_a_block(most):
     block = Block.of(pa.array([t.encode() for _, t, *_ in rows], pa.large_binary()))
     starts, _ = block.windows(13)
     words = [block.data[a:b].tobytes() for a, b in zip(block.starts, block.ends, strict=True)]
-    node = nodes_in(block, starts, 13, most)
+    node = nodes_in(Words(block).code, starts, 13, most)
     number: dict = {}
     for at, own in zip(starts.tolist(), node.tolist(), strict=True):
         assert number.setdefault(tuple(words[at : at + 13]), own) == own
