@@ -20,6 +20,7 @@ from headway.llm.shared import tidy
 
 LENGTHS = (512, 1024, 2048, 4096)
 OVERHEAD = 64
+COPIES = 10_000  # rows with equal id and length that are spread from one row
 PLACED = pa.schema(
     [
         ("doc_id", pa.int64()), ("piece", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
@@ -127,16 +128,23 @@ def best_fit_packing(
     `length` is a document's number of tokens, its words by default. Documents longer than the
     largest permitted length are cut into pieces of that length and a rest, so no token is lost. A
     document without tokens (or with a null text) has one row with length 0 and no bin. Rows with a
-    null or repeated doc_id are placed like any other. capacity is the final length of the bin,
+    null or repeated doc_id are placed like any other; those of equal id and length are counted first
+    and dealt by their number, so that they spread over all shards. capacity is the final length of the bin,
     offset the piece's place in it. Only doc_id and what `length` reads are used.
     """
     lengths = tuple(sorted(lengths))
     most = lengths[-1]
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (words(F.col("text")) if length is None else length).cast("bigint").alias("tokens"))
-    pieces = sized.select(
-        "doc_id", "tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("tokens") / most) - 1, F.lit(0)))).alias("piece")
+    copies = sized.groupBy("doc_id", "tokens").agg(F.count(F.lit(1)).alias("copies"))
+    chunks = copies.select(
+        "doc_id", "tokens", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES).cast("bigint"))).alias("from")
+    ).repartition("doc_id", "tokens", "from")
+    last = F.least(F.col("copies"), F.col("from") + COPIES) - 1
+    numbered = chunks.select("doc_id", "tokens", F.explode(F.sequence(F.col("from"), last, F.lit(1).cast("bigint"))).alias("copy"))
+    pieces = numbered.select(
+        "doc_id", "tokens", "copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("tokens") / most) - 1, F.lit(0)))).alias("piece")
     ).select(
-        "doc_id", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most).cast("bigint"), F.col("tokens") - F.col("piece") * most).alias("length")
+        "doc_id", "copy", "piece", (F.col("piece") * most).alias("start"), F.least(F.lit(most).cast("bigint"), F.col("tokens") - F.col("piece") * most).alias("length")
     )
     total = sized.agg(F.coalesce(F.sum(F.greatest(F.ceil(F.col("tokens") / most), F.lit(1))), F.lit(0))).first()[0]
     shards = max(1, -(-int(total) // shard_rows))
@@ -152,7 +160,7 @@ def best_fit_packing(
             schema=PLACED,
         )
 
-    empty = pieces.filter("length = 0").select("*", *(F.lit(None).cast("bigint").alias(c) for c in ("bin_id", "capacity", "offset")))
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)).cast("bigint").alias("shard")
+    empty = pieces.filter("length = 0").drop("copy").select("*", *(F.lit(None).cast("bigint").alias(c) for c in ("bin_id", "capacity", "offset")))
+    shard = F.pmod(F.xxhash64("doc_id", "copy", "piece", "length"), F.lit(shards)).cast("bigint").alias("shard")
     placed = pieces.filter("length > 0").select("*", shard).groupBy("shard").applyInArrow(place, PLACED_DDL)
     return placed.unionByName(empty)

@@ -1,6 +1,7 @@
 """Token counts, pieces and packing against plain versions."""
 
 import random
+from collections import Counter
 import time
 
 import numpy as np
@@ -178,6 +179,15 @@ def test_cost_near_the_least_possible():
     assert mine <= 1.05 * least
 
 
+def test_packing_spreads_rows_of_equal_id_and_length(spark):
+    own = [(None, "w w w")] * 400 + [(5, "x y")] * 3 + [(i, "w " * (1 + i % 40)) for i in range(100, 300)]
+    rows = best_fit_packing(spark.createDataFrame(own, "doc_id bigint, text string"), shard_rows=50).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == sorted((d or 0, len(t.split())) for d, t in own)
+    shards = Counter(r["bin_id"] >> 32 for r in rows)
+    hot = Counter(r["bin_id"] >> 32 for r in rows if r["doc_id"] is None)
+    assert max(shards.values()) < 100 and len(hot) == len(shards)
+
+
 def test_packing_ignores_columns_with_names_of_its_own(spark):
     docs = spark.createDataFrame([(1, "a b c", 9, 9, 9, 9, 9)], "doc_id bigint, text string, length int, piece int, shard int, tokens int, bin_id int")
     assert [r["length"] for r in best_fit_packing(docs).collect()] == [3]
