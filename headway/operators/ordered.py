@@ -38,12 +38,15 @@ def with_position(
     major: Sequence[str] = (),
     position: str = "position",
     size: str | None = None,
+    groups: str | None = None,
     width: int = BLOCK_WIDTH,
 ) -> DataFrame:
-    """Add the 0-based place of every row in its group, and the group size.
+    """Add the 0-based place of every row in its group, the group size and the
+    number of groups.
 
     Rows are ordered by ``major`` columns first, then by the integer column
-    ``order``.  Blocks follow both.
+    ``order``.  Blocks follow both.  Groups are counted by their first blocks,
+    so the rows need not be gone through again.
     """
     keys, major = list(keys), list(major)
     tags = [*major, _BLOCK]
@@ -63,6 +66,9 @@ def with_position(
         starts, [*keys, *tags], "inner"
     )
     extra = [] if size is None else [F.col("__size").alias(size)]
+    if groups is not None:
+        firsts = starts.agg(F.count_if(F.col("__start") == 0).alias("groups"))
+        extra.append(firsts.scalar().alias(groups))
     return placed.select(
         *df.columns, (F.col("__start") + F.col("__place") - 1).alias(position), *extra
     )
@@ -164,16 +170,17 @@ def stratified_sample(
     form the group ``unknown``.
     """
     known = df.withColumn(group, F.coalesce(F.col(group), F.lit(DEFAULT_ROUTE_NAME)))
-    groups = known.agg(F.count_distinct(group).alias("groups")).scalar()
-    share = F.greatest(F.lit(1), F.floor(F.lit(cap) / groups))
-    placed = with_position(known, [group], order, major=major, size="group_size")
+    placed = with_position(
+        known, [group], order, major=major, size="group_size", groups="groups"
+    )
+    share = F.greatest(F.lit(1), F.floor(F.lit(cap) / F.col("groups")))
     stride = F.greatest(
         F.lit(1), F.floor(F.col("group_size") / F.least(share, F.col("group_size")))
     )
     chosen = placed.filter(
         (F.col("position") % stride == 0) & (F.col("position") < stride * share)
     )
-    return chosen.drop("position", "group_size")
+    return chosen.drop("position", "group_size", "groups")
 
 
 def strided_pick(
