@@ -144,9 +144,9 @@ def held_out(fold: int, of: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % of == fold
 
 
-def sampled(rate: Column | float, seed: int) -> Column:
-    """By id and text, so that rows without an id, or under one, are drawn one by one."""
-    return F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rate
+def sampled(rate: Column | float, seed: int, by: tuple[str, ...] = ("doc_id", "text")) -> Column:
+    """By id and text, so that rows without an id, or under one, are drawn one by one; or by other columns."""
+    return F.pmod(F.xxhash64(*by, F.lit(seed)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * rate
 
 
 @tidy

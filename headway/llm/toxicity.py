@@ -277,7 +277,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16_000, entries: i
     n = known.count()
     if not n:
         return Model()
-    chosen = known.filter(sampled(max_rows / n, 21))
+    chosen = known.filter(sampled(max_rows / n, 21, ("doc_id",)))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.limit(2 * max_rows)), "doc_id")
     sample = stored(rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(8)).cast("int")))
     sizes = {r["part"] < 4: (r["t"], r["n"]) for r in sample.groupBy(F.when(F.col("part") < 4, 0).otherwise(4).alias("part")).agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).collect()}

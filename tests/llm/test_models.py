@@ -99,6 +99,16 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity(docs.limit(0), labels).collect() == []
 
 
+def test_toxicity_learns_from_a_bounded_sample_of_labels(spark):
+    """Labels have no text: they are drawn by id, and more than `max_rows` of them still give a model."""
+    rows = [(i, ("you vile grumplet " if i % 5 == 0 else "a calm and pleasant ") + f"day number{i % 7} " * 3) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 5 = 0) AS toxic")
+    found = toxicity(docs, labels, max_rows=300).collect()
+    assert len(found) == 900 and all(r["predicted"] == (r["doc_id"] % 5 == 0) for r in found if r["held_out"])
+    assert {r["held_out"] for r in found} == {True, False}
+
+
 def test_trees_and_isotonic():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 4)).astype(np.float32)
