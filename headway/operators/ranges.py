@@ -17,7 +17,7 @@ BOX_LAT, BOX_LON, RADIUS_M = 0.008, 0.012, 800.0
 FINEST = 0.002 / 3**6
 
 
-def _covering(degrees: Column, reach: float, size: float) -> Column:
+def covering(degrees: Column, reach: float, size: float) -> Column:
     """Numbers of all buckets that a window of ``reach`` around a value touches."""
     return F.sequence(bucket(degrees - reach, size), bucket(degrees + reach, size))
 
@@ -40,8 +40,8 @@ def within_box(
     bucket is split by the adaptive skew join instead of a nested loop.
     """
     spread = points.withColumn(
-        "__by", F.explode(_covering(F.col(lat), reach_lat, reach_lat))
-    ).withColumn("__bx", F.explode(_covering(F.col(lon), reach_lon, reach_lon)))
+        "__by", F.explode(covering(F.col(lat), reach_lat, reach_lat))
+    ).withColumn("__bx", F.explode(covering(F.col(lon), reach_lon, reach_lon)))
     placed = targets.withColumns(
         {
             "__by": bucket(F.col(target_lat), reach_lat),

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.functions.geo import bucket, equirect_m
 from headway.functions.labels import DEFAULT_CORRIDOR_COLOR, default_if_blank
 from headway.functions.times import departure_hour, gtfs_seconds
 from headway.operators.latest import distinct_on
 from headway.operators.quality import filter_route
-from headway.operators.ranges import RADIUS_M, stops_within
+from headway.operators.ranges import BOX_LAT, BOX_LON, RADIUS_M, covering
 from headway.operators.schedule import PROFILE_HOURS
 
 # Fixed value: hours after the asked one.
 HOURS_ON = 2
+# Stands for the hour of a call without one, of which no request asks.
+NO_HOUR = -(1 << 31)
 ALIGHT = [f"__alight.{c}" for c in ("alight_time", "alight_stop", "alight_lat", "alight_lon")]
 
 
@@ -88,14 +91,86 @@ def frequency_for(
     return chosen if route is None else stops_served_by(chosen, stop_times, route)
 
 
-def _stops_near(requests: DataFrame, stops: DataFrame, side: str, radius_m: float) -> DataFrame:
-    at = requests.select(
-        "request_id", "hour",
-        F.col(f"{side}_lat").alias("lat"), F.col(f"{side}_lon").alias("lon"),
+def _is_near(lat: Column, lon: Column, stop_lat: Column, stop_lon: Column, radius_m: float) -> Column:
+    """Less than ``radius_m`` away and inside the search box."""
+    inside = (F.abs(stop_lat - lat) < BOX_LAT) & (F.abs(stop_lon - lon) < BOX_LON)
+    return inside & (equirect_m(lat, lon, stop_lat, stop_lon) < radius_m)
+
+
+def _cell(axis: str) -> Column:
+    """Twice the reach of the search box wide, so that a box touches at most two."""
+    return bucket(F.col(f"stop_{axis}"), 2 * {"lat": BOX_LAT, "lon": BOX_LON}[axis])
+
+
+def _links(calls: DataFrame) -> DataFrame:
+    """Cells that trips go from and to: per trip, hour and boarding cell, each cell it calls at later.
+
+    A trip's calls are first reduced to the earliest one of a cell and hour and the last one of a cell, with
+    the box around the stops called at there (for most trips the stop itself). So a trip of however many calls
+    has no more links than pairs of cells.
+    """
+    legs = calls.select("trip_id", "stop_sequence", "__hour", "stop_lat", "stop_lon").repartition("trip_id")
+    cell = ["trip_id", "__hour", _cell("lat").alias("__y"), _cell("lon").alias("__x")]
+
+    def box(side: str) -> list[Column]:
+        return [f(c).alias(f"{side}_{n}_{c[5:]}") for c in ("stop_lat", "stop_lon") for n, f in (("min", F.min), ("max", F.max))]
+
+    sequence = F.col("stop_sequence")
+    # A call without a number comes before all others and is reached from none.
+    first = F.when(F.count(sequence) == F.count(F.lit(1)), F.min(sequence)).alias("__first")
+    boardings = legs.groupBy(*cell).agg(first, *box("origin")).withColumnsRenamed({"__y": "origin_y", "__x": "origin_x"})
+    # By hour first here too: both sides then read one and the same shuffle.
+    by_hour = legs.groupBy(*cell).agg(F.max(sequence).alias("__last"), *box("dest"))
+    extremes = [getattr(F, n)(f"dest_{n}_{d}").alias(f"dest_{n}_{d}") for d in ("lat", "lon") for n in ("min", "max")]
+    arrivals = by_hour.groupBy("trip_id", F.col("__y").alias("dest_y"), F.col("__x").alias("dest_x")).agg(
+        F.max("__last").alias("__last"), *extremes
     )
-    return stops_within(at, stops, radius_m=radius_m).select(
-        "request_id", "hour", F.lit(side).alias("side"), "stop_id", "stop_name", "stop_lat", "stop_lon"
+    later = F.col("__last").isNotNull() & (F.col("__first").isNull() | (F.col("__first") < F.col("__last")))
+    return boardings.join(arrivals, "trip_id").filter(later).drop("__first", "__last")
+
+
+def _calls_near(calls: DataFrame, requests: DataFrame, radius_m: float, hours_on: int) -> DataFrame:
+    """Calls near either end of a request, of the trips that go from near its origin to near its destination.
+
+    Requests meet the links of trips by both cells and the hours at once, so calls near one end only
+    are never formed. Requests are copied to at most 2 cells per axis and 2 runs of hours, links stay
+    single; what grows faster than the tables are only the trips found.
+    """
+    span, sides = hours_on + 1, ("origin", "dest")
+    cells = {"y": ("lat", BOX_LAT), "x": ("lon", BOX_LON)}
+    asked = requests.select("request_id", "hour", "origin_lat", "origin_lon").distinct().join(
+        requests.select("request_id", "dest_lat", "dest_lon").distinct(), "request_id"
+    )
+    spread = asked.withColumn(
+        "__run", F.explode(F.sequence(F.floor(F.col("hour") / span), F.floor((F.col("hour") + hours_on) / span)))
     )
+    links = _links(calls).withColumn("__run", F.coalesce(F.floor(F.col("__hour") / span), F.lit(NO_HOUR)))
+    met = F.col("__hour").between(F.col("hour"), F.col("hour") + hours_on)
+    for side in sides:
+        for axis, (degrees, reach) in cells.items():
+            at = F.col(f"{side}_{degrees}")
+            spread = spread.withColumn(f"{side}_{axis}", F.explode(covering(at, reach, 2 * reach)))
+        lat, lon = F.col(f"{side}_lat"), F.col(f"{side}_lon")
+        nearest = (
+            F.least(F.greatest(at, F.col(f"{side}_min_{d}")), F.col(f"{side}_max_{d}")) for d, at in (("lat", lat), ("lon", lon))
+        )
+        # A millimetre more, as the place in the box is only a first look.
+        met &= _is_near(lat, lon, *nearest, radius_m + 0.001)
+    found = spread.join(links, ["__run", *(f"{side}_{axis}" for side in sides for axis in cells)]).filter(met)
+    end = F.explode(F.array(*(
+        F.struct(
+            F.lit(side == "dest").alias("__dest"), F.col(f"{side}_y").alias("__y"), F.col(f"{side}_x").alias("__x"),
+            F.col(f"{side}_lat").alias("__lat"), F.col(f"{side}_lon").alias("__lon"),
+            F.when(F.lit(side == "origin"), F.col("hour")).alias("__from"),
+        )
+        for side in sides
+    )))
+    place = ["trip_id", "__y", "__x"]
+    ends = found.select("request_id", "trip_id", end.alias("__end")).select("request_id", "trip_id", "__end.*")
+    ends = ends.repartition(*place).distinct()
+    in_time = F.col("__dest") | F.col("__hour").between(F.col("__from"), F.col("__from") + hours_on)
+    near = _is_near(F.col("__lat"), F.col("__lon"), F.col("stop_lat"), F.col("stop_lon"), radius_m)
+    return calls.join(ends, place).filter(in_time & near)
 
 
 def _rides(
@@ -109,19 +184,17 @@ def _rides(
     """Boardings near the origin of each request in its hours, with the first call near the
     destination after them.
 
-    Calls meet the stops near either end in one join. Each boarding then takes the arrival that lies
+    Only calls of trips that serve both ends are walked. Each boarding takes the arrival that lies
     next to it when a request's calls of a trip are walked from the last to the first, so boardings
-    and arrivals are never joined, and stop_times is read once.
+    and arrivals are never joined. Calls without a trip and requests without an id find nothing.
     """
-    near = _stops_near(requests, stops, "origin", radius_m).unionByName(_stops_near(requests, stops, "dest", radius_m))
-    leaves, is_dest = departure_hour(F.col("departure_time")), F.col("side") == "dest"
-    calls = (
-        stop_times.join(near, "stop_id")
-        .filter(is_dest | leaves.between(F.col("hour"), F.col("hour") + hours_on))
-        .select(
-            "request_id", "trip_id", is_dest.alias("__dest"), "stop_sequence", "stop_id", "route_id", "route_short_name", "shape_id",
-            "stop_name", "stop_lat", "stop_lon", F.when(is_dest, F.col("arrival_time")).otherwise(F.col("departure_time")).alias("__time"),
-        )
+    places = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon", _cell("lat").alias("__y"), _cell("lon").alias("__x"))
+    hour = F.coalesce(departure_hour(F.col("departure_time")), F.lit(NO_HOUR))
+    located = stop_times.join(places, "stop_id").withColumn("__hour", hour)
+    is_dest = F.col("__dest")
+    calls = _calls_near(located, requests, radius_m, hours_on).select(
+        "request_id", "trip_id", "__dest", "stop_sequence", "stop_id", "route_id", "route_short_name", "shape_id",
+        "stop_name", "stop_lat", "stop_lon", F.when(is_dest, F.col("arrival_time")).otherwise(F.col("departure_time")).alias("__time"),
     )
     alighting = F.struct(
         F.col("__time").alias("alight_time"), F.col("stop_name").alias("alight_stop"),

@@ -1,7 +1,8 @@
+import math
 import random
 
 from headway.plans.predict import hourly_profiles, predict_travel_time, seasonal_factors
-from headway.plans.service import trip_plan
+from headway.plans.service import direct_departures, trip_plan
 
 CALLS = (
     "trip_id STRING, arrival_time STRING, departure_time STRING, stop_id STRING, "
@@ -84,6 +85,74 @@ def test_earliest_by_clock_and_no_route_is_lost(spark):
     assert {r["route"]: r["trip_id"] for r in plan} == {"1": "early", "2": "other"}
 
 
+def shuffled_rows(df):
+    """Rows that the joins of a finished plan gave out, the most of any of them."""
+    df.collect()
+    todo, most = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(plan.plan())
+            continue
+        if "Join" in name:
+            most = max(most, plan.metrics().apply("numOutputRows").value())
+        children = plan.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_calls_near_one_end_only_are_not_formed(spark):
+    """300 requests at a stop where 300 trips call, of which one goes on to where they ask for."""
+    calls = [(f"t{n}", clock(480), clock(480), "a", 1, "r", "1", "x") for n in range(300)]
+    calls += [(f"t{n}", clock(490), clock(490), "b" if n else "c", 2, "r", "1", "x") for n in range(300)]
+    stops = [("a", "A", 49.0, -123.0), ("b", "B", 49.1, -123.0), ("c", "C", 49.2, -123.0)]
+    requests = spark.sql("SELECT id request_id, 49D origin_lat, -123D origin_lon, 49.2D dest_lat, -123D dest_lon, 8 hour FROM range(300)")
+    for search in (direct_departures, trip_plan):
+        found = search(
+            spark.createDataFrame(calls, CALLS),
+            spark.createDataFrame(stops, "stop_id STRING, stop_name STRING, stop_lat DOUBLE, stop_lon DOUBLE"), requests,
+        )
+        assert shuffled_rows(found) <= 1200
+        assert {(r["trip_id"], r["alight_stop"]) for r in found.collect()} == {("t0", "C")} and found.count() == 300
+
+
+def test_departures_against_all_pairs(spark):
+    """Crowded stops over several cells, calls without number or hour, trips that come back."""
+    rng = random.Random(21)
+    at = [(49 + rng.random() * 0.05, -123 + rng.random() * 0.07) for _ in range(60)]
+    stops = [(f"s{i:02}", f"Stop {i}", *place) for i, place in enumerate(at)]
+    calls = []
+    for n in range(120):
+        for s in range(rng.randrange(1, 9)):
+            minutes = 420 + rng.randrange(300)
+            leaves = None if rng.random() < 0.05 else clock(minutes)
+            calls.append((f"t{n:03}", clock(minutes), leaves, f"s{rng.randrange(60):02}", None if rng.random() < 0.05 else s, f"r{n % 4}", None, "x"))
+    requests = [(i, *rng.choice(at), 49 + rng.random() * 0.05, -123 + rng.random() * 0.07, 6 + i % 5) for i in range(40)]
+    found = direct_departures(
+        spark.createDataFrame(calls, CALLS),
+        spark.createDataFrame(stops, "stop_id STRING, stop_name STRING, stop_lat DOUBLE, stop_lon DOUBLE"),
+        spark.createDataFrame(requests, "request_id INT, origin_lat DOUBLE, origin_lon DOUBLE, dest_lat DOUBLE, dest_lon DOUBLE, hour INT"),
+    ).collect()
+    def near(lat, lon):
+        flat = lambda s: 111320 * ((s[2] - lat) ** 2 + ((s[3] - lon) * math.cos(math.radians(lat))) ** 2) ** 0.5
+        return {s[0] for s in stops if abs(s[2] - lat) < 0.008 and abs(s[3] - lon) < 0.012 and flat(s) < 800}
+
+    before = lambda o, d: d[4] is not None and (o[4] is None or o[4] < d[4])
+    theirs = set()
+    for rid, olat, olon, dlat, dlon, hour in requests:
+        origin, dest = near(olat, olon), near(dlat, dlon)
+        keys = {
+            (o[5], o[2]) for o in calls if o[3] in origin and o[2] and hour <= int(o[2][:2]) <= hour + 2
+            and any(d[0] == o[0] and d[3] in dest and before(o, d) for d in calls)
+        }
+        theirs |= {(rid, *k) for k in keys}
+    assert {(r["request_id"], r["route"], r["board_time"]) for r in found} == theirs and len(found) == len(theirs) > 20
+
+
 def test_labels_fall_back_to_long_name(spark):
     calls = [("t", clock(480), clock(480), "a", 1, "r", None, "x"), ("t", clock(490), clock(490), "b", 2, "r", None, "x")]
     stops = [("a", "A", 49.0, -123.0), ("b", "B", 49.1, -123.0)]
