@@ -38,8 +38,12 @@ def within_box(
     Points are copied to the 2 or 3 buckets per axis that their box touches;
     targets stay single.  The join is an equi-join on the bucket, so a hot
     bucket is split by the adaptive skew join instead of a nested loop.
+    Points are dealt to all tasks first: a small file of them can have far more
+    pairs than rows, and where targets are broadcast nothing else spreads them.
+    The number of tasks is given, as the bytes of the points say nothing of it.
     """
-    spread = points.withColumn(
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = points.repartition(tasks).withColumn(
         "__by", F.explode(covering(F.col(lat), reach_lat, reach_lat))
     ).withColumn("__bx", F.explode(covering(F.col(lon), reach_lon, reach_lon)))
     placed = targets.withColumns(

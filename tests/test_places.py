@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from headway.operators.ranges import nearest_stops, segments_near_cells, stops_within
 
 
@@ -63,6 +65,15 @@ def test_stops_within(spark, places):
     assert sorted((r["point_id"], r["stop_id"]) for r in found.collect()) == theirs
 
 
+def test_points_of_one_file_are_dealt_to_many_tasks(spark):
+    """2,000 points in one partition near 50 stops: their pairs are not all made by one task."""
+    points = spark.sql("SELECT id point_id, 49.0 + id * 1e-7 lat, -123D lon FROM range(0, 2000, 1, 1)")
+    stops = spark.sql("SELECT CAST(id AS STRING) stop_id, 49.0 + id * 1e-6 stop_lat, -123D stop_lon FROM range(50)")
+    made = stops_within(points, stops).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in made) == 100_000
+    assert len(made) > 1 and max(r["count"] for r in made) < 50_000
+
+
 def test_segments_near_cells_limits(spark):
     rng = random.Random(3)
     segments = [(i, 49 + rng.random() * 0.1, -123 + rng.random() * 0.1) for i in range(300)]
