@@ -152,13 +152,14 @@ def versions_at(
 
     ``history`` is an ``scd2`` result. Rows before the first version, or
     without a key, keep nulls. A version is copied to every bucket (by default
-    year) that it holds in, up to the newest one asked for, and met there by an
-    equi-join; so a key with a long history and many rows is no square, and a
-    hot key's rows can be split. At most one version holds at a time, so no row
-    is multiplied.
+    year) that it holds in, up to the one in which the last version begins, and
+    met there by an equi-join; so a key with a long history and many rows is no
+    square, and a hot key's rows can be split. Later rows look into that last
+    bucket, so the bound comes from the history and ``rows`` are read once. At
+    most one version holds at a time, so no row is multiplied.
     """
     year = bucket or (lambda c: F.year(c.cast("date")))
-    last = rows.agg(F.max(year(F.col(at)))).scalar()
+    last = history.agg(F.max(year(F.col(START)))).scalar()
     tracked = [c for c in history.columns if c not in (*keys, START, END, SEEN)]
     ends = F.least(F.coalesce(year(F.col(END)), last), last)
     begins = year(F.col(START))
@@ -169,7 +170,9 @@ def versions_at(
     moment = F.col(at)
     met = reduce(and_, [F.col(c) == F.col(f"__key_{n}") for n, c in enumerate(keys)])
     holds = (F.col("__from") <= moment) & (F.col("__to").isNull() | (moment < F.col("__to")))
-    joined = rows.join(held, met & (year(moment) == F.col("__bucket")) & holds, "left")
+    # A row without a date stays without a bucket.
+    asked = F.when(year(moment) > last, last).otherwise(year(moment))
+    joined = rows.join(held, met & (asked == F.col("__bucket")) & holds, "left")
     return joined.drop(*[f"__key_{n}" for n in range(len(keys))], "__from", "__to", "__bucket")
 
 

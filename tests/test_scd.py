@@ -91,6 +91,17 @@ def test_upsert_and_expiry(spark):
     assert merged.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
 
 
+def test_versions_at_reads_its_rows_once(spark, tmp_path):
+    """Rows come from a file; those long after the last version, before the first and without a date too."""
+    asked = [(1, "a", "2020-06-01"), (2, "a", "2031-01-01"), (3, "a", "2019-01-01"), (4, "b", "2040-01-01"), (5, "a", None), (6, "c", "2021-01-01")]
+    spark.createDataFrame(asked, "n INT, stop_id STRING, at STRING").write.parquet(f"{tmp_path}/asked")
+    changes = [("a", "2020-01-01", "old"), ("a", "2022-03-01", "new"), ("b", "2021-01-01", "b")]
+    history = scd2(spark.createDataFrame(changes, "stop_id STRING, at STRING, stop_name STRING"), ["stop_id"], "at")
+    found = versions_at(spark.read.parquet(f"{tmp_path}/asked"), history, ["stop_id"], "at")
+    assert {r["n"]: r["stop_name"] for r in found.collect()} == {1: "old", 2: "new", 3: None, 4: "b", 5: None, 6: None}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count(" parquet") == 1
+
+
 def test_versions_at_a_date(spark):
     rng = random.Random(5)
     day = lambda: f"20{rng.randrange(10, 25)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}"
