@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from headway.functions.geo import bucket, equirect_m
+from headway.functions.geo import METERS_PER_DEGREE, bucket, equirect_m
 from headway.functions.labels import DEFAULT_CORRIDOR_COLOR, default_if_blank
 from headway.functions.times import departure_hour, gtfs_seconds
 from headway.operators.latest import distinct_on
@@ -17,6 +17,10 @@ from headway.operators.schedule import PROFILE_HOURS
 HOURS_ON = 2
 # Stands for the hour of a call without one, of which no request asks.
 NO_HOUR = -(1 << 31)
+# Ends of a request; axes of its search box.
+SIDES, AXES = ("origin", "dest"), {"y": ("lat", BOX_LAT), "x": ("lon", BOX_LON)}
+# More than a float is off by, in degrees of latitude or longitude.
+FLOAT_DEGREES = 2e-5
 ALIGHT = [f"__alight.{c}" for c in ("alight_time", "alight_stop", "alight_lat", "alight_lon")]
 
 
@@ -91,30 +95,34 @@ def frequency_for(
     return chosen if route is None else stops_served_by(chosen, stop_times, route)
 
 
-def _is_near(lat: Column, lon: Column, stop_lat: Column, stop_lon: Column, radius_m: float) -> Column:
-    """Less than ``radius_m`` away and inside the search box."""
-    inside = (F.abs(stop_lat - lat) < BOX_LAT) & (F.abs(stop_lon - lon) < BOX_LON)
-    return inside & (equirect_m(lat, lon, stop_lat, stop_lon) < radius_m)
+def _is_near(lat: Column, lon: Column, stop_lat: Column, stop_lon: Column, radius_m: float, slack: float = 0.0) -> Column:
+    """Less than ``radius_m`` away and inside the search box, both wider by ``slack`` degrees."""
+    inside = (F.abs(stop_lat - lat) < BOX_LAT + slack) & (F.abs(stop_lon - lon) < BOX_LON + slack)
+    return inside & (equirect_m(lat, lon, stop_lat, stop_lon) < radius_m + slack * 2 * METERS_PER_DEGREE)
 
 
 def _cell(axis: str) -> Column:
-    """Twice the reach of the search box wide, so that a box touches at most two."""
+    """Twice the reach of the search box wide; two of them side by side are a place where requests meet links."""
     return bucket(F.col(f"stop_{axis}"), 2 * {"lat": BOX_LAT, "lon": BOX_LON}[axis])
 
 
-def _links(calls: DataFrame) -> DataFrame:
+def _links(legs: DataFrame) -> DataFrame:
     """Cells that trips go from and to: per trip, hour and boarding cell, each cell it calls at later.
 
     A trip's calls are first reduced to the earliest one of a cell and hour and the last one of a cell, with
-    the box around the stops called at there (for most trips the stop itself). So a trip of however many calls
-    has no more links than pairs of cells.
+    the box around the stops called at there (for most trips the stop itself), as its middle and half its
+    width in floats. So a trip of however many calls has no more links than pairs of cells.
     """
-    legs = calls.select("trip_id", "stop_sequence", "__hour", "stop_lat", "stop_lon").repartition("trip_id")
     cell = ["trip_id", "__hour", _cell("lat").alias("__y"), _cell("lon").alias("__x")]
 
     def box(side: str) -> list[Column]:
         return [f(c).alias(f"{side}_{n}_{c[5:]}") for c in ("stop_lat", "stop_lon") for n, f in (("min", F.min), ("max", F.max))]
 
+    def middles(side: str) -> list[Column]:
+        ends = [(d, F.col(f"{side}_min_{d}"), F.col(f"{side}_max_{d}")) for d in ("lat", "lon")]
+        middle = [((low + high) / 2).cast("float").alias(f"{side}_mid_{d}") for d, low, high in ends]
+        return middle + [((high - low) / 2).cast("float").alias(f"{side}_half_{d}") for d, low, high in ends]
+
     sequence = F.col("stop_sequence")
     # A call without a number comes before all others and is reached from none.
     first = F.when(F.count(sequence) == F.count(F.lit(1)), F.min(sequence)).alias("__first")
@@ -126,51 +134,46 @@ def _links(calls: DataFrame) -> DataFrame:
         F.max("__last").alias("__last"), *extremes
     )
     later = F.col("__last").isNotNull() & (F.col("__first").isNull() | (F.col("__first") < F.col("__last")))
-    return boardings.join(arrivals, "trip_id").filter(later).drop("__first", "__last")
+    places = [F.floor(F.col(f"{side}_{axis}") / 2).alias(f"{side}_{axis}") for side in SIDES for axis in AXES]
+    return boardings.join(arrivals, "trip_id").filter(later).select(
+        "trip_id", "__hour", *places, *middles("origin"), *middles("dest")
+    )
 
 
-def _calls_near(calls: DataFrame, requests: DataFrame, radius_m: float, hours_on: int) -> DataFrame:
-    """Calls near either end of a request, of the trips that go from near its origin to near its destination.
+def _trips_met(legs: DataFrame, requests: DataFrame, radius_m: float, hours_on: int) -> DataFrame:
+    """Requests with the trips that go from near their origin to near their destination, a few too many.
 
-    Requests meet the links of trips by both cells and the hours at once, so calls near one end only
-    are never formed. Requests are copied to at most 2 cells per axis and 2 runs of hours, links stay
-    single; what grows faster than the tables are only the trips found.
+    Requests meet the links of trips by both places and the hours at once, so calls near one end only
+    are never formed. Requests are copied to at most 2 places per axis (1.5 on average) and 2 runs of
+    hours, links stay single; what grows faster than the tables are only the trips found. Both sides
+    are shuffled by one number made of places and hours: where two of them share it, the look at the
+    boxes tells them apart.
     """
-    span, sides = hours_on + 1, ("origin", "dest")
-    cells = {"y": ("lat", BOX_LAT), "x": ("lon", BOX_LON)}
+    span = hours_on + 1
     asked = requests.select("request_id", "hour", "origin_lat", "origin_lon").distinct().join(
         requests.select("request_id", "dest_lat", "dest_lon").distinct(), "request_id"
     )
     spread = asked.withColumn(
         "__run", F.explode(F.sequence(F.floor(F.col("hour") / span), F.floor((F.col("hour") + hours_on) / span)))
     )
-    links = _links(calls).withColumn("__run", F.coalesce(F.floor(F.col("__hour") / span), F.lit(NO_HOUR)))
     met = F.col("__hour").between(F.col("hour"), F.col("hour") + hours_on)
-    for side in sides:
-        for axis, (degrees, reach) in cells.items():
-            at = F.col(f"{side}_{degrees}")
-            spread = spread.withColumn(f"{side}_{axis}", F.explode(covering(at, reach, 2 * reach)))
+    for side in SIDES:
+        for axis, (degrees, reach) in AXES.items():
+            spread = spread.withColumn(f"{side}_{axis}", F.explode(covering(F.col(f"{side}_{degrees}"), reach, 4 * reach)))
         lat, lon = F.col(f"{side}_lat"), F.col(f"{side}_lon")
-        nearest = (
-            F.least(F.greatest(at, F.col(f"{side}_min_{d}")), F.col(f"{side}_max_{d}")) for d, at in (("lat", lat), ("lon", lon))
-        )
-        # A millimetre more, as the place in the box is only a first look.
-        met &= _is_near(lat, lon, *nearest, radius_m + 0.001)
-    found = spread.join(links, ["__run", *(f"{side}_{axis}" for side in sides for axis in cells)]).filter(met)
-    end = F.explode(F.array(*(
-        F.struct(
-            F.lit(side == "dest").alias("__dest"), F.col(f"{side}_y").alias("__y"), F.col(f"{side}_x").alias("__x"),
-            F.col(f"{side}_lat").alias("__lat"), F.col(f"{side}_lon").alias("__lon"),
-            F.when(F.lit(side == "origin"), F.col("hour")).alias("__from"),
-        )
-        for side in sides
-    )))
-    place = ["trip_id", "__y", "__x"]
-    ends = found.select("request_id", "trip_id", end.alias("__end")).select("request_id", "trip_id", "__end.*")
-    ends = ends.repartition(*place).distinct()
-    in_time = F.col("__dest") | F.col("__hour").between(F.col("__from"), F.col("__from") + hours_on)
-    near = _is_near(F.col("__lat"), F.col("__lon"), F.col("stop_lat"), F.col("stop_lon"), radius_m)
-    return calls.join(ends, place).filter(in_time & near)
+        nearest = []
+        for d, at in (("lat", lat), ("lon", lon)):
+            middle, half = (F.col(f"{side}_{n}_{d}").cast("double") for n in ("mid", "half"))
+            nearest.append(F.least(F.greatest(at, middle - half), middle + half))
+        met &= _is_near(lat, lon, *nearest, radius_m, FLOAT_DEGREES)
+    places = [f"{side}_{axis}" for side in SIDES for axis in AXES]
+    meet = F.hash("__run", *(F.col(c).cast("bigint") for c in places)).alias("__meet")
+    ends = [f"{side}_{degrees}" for side in SIDES for degrees in ("lat", "lon")]
+    asking = spread.withColumn("__run", F.col("__run").cast("bigint")).select(meet, "request_id", "hour", *ends)
+    run = F.coalesce(F.floor(F.col("__hour") / span), F.lit(NO_HOUR)).cast("bigint")
+    links = _links(legs).withColumn("__run", run).withColumn("__meet", meet).drop("__run", *places)
+    found = asking.join(links, "__meet").filter(met).select("trip_id", "request_id", "hour", *ends)
+    return found.repartition("trip_id").distinct()
 
 
 def _rides(
@@ -184,18 +187,32 @@ def _rides(
     """Boardings near the origin of each request in its hours, with the first call near the
     destination after them.
 
-    Only calls of trips that serve both ends are walked. Each boarding takes the arrival that lies
+    Only trips that serve both ends are walked. Each boarding takes the arrival that lies
     next to it when a request's calls of a trip are walked from the last to the first, so boardings
     and arrivals are never joined. Calls without a trip and requests without an id find nothing.
     """
-    places = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon", _cell("lat").alias("__y"), _cell("lon").alias("__x"))
+    places = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")
+    shape = [] if serving_routes is None else ["shape_id"]
+    called = stop_times.filter(F.col("trip_id").isNotNull()).select(
+        "trip_id", "stop_sequence", "stop_id", "arrival_time", "departure_time", "route_id", "route_short_name", *shape
+    ).join(places, "stop_id")
+    call, trip = F.struct(*(c for c in called.columns if c != "trip_id")).alias("__call"), Window.partitionBy("trip_id")
+    # A trip whose calls are all equal goes nowhere. To tell, a trip's calls are brought into one task, which all that
+    # follows keeps to, and whole calls are compared, so that links and rides read one and the same shuffle.
+    goes = F.min("__call").over(trip) != F.max("__call").over(trip)
     hour = F.coalesce(departure_hour(F.col("departure_time")), F.lit(NO_HOUR))
-    located = stop_times.join(places, "stop_id").withColumn("__hour", hour)
-    is_dest = F.col("__dest")
-    calls = _calls_near(located, requests, radius_m, hours_on).select(
-        "request_id", "trip_id", "__dest", "stop_sequence", "stop_id", "route_id", "route_short_name", "shape_id",
-        "stop_name", "stop_lat", "stop_lon", F.when(is_dest, F.col("arrival_time")).otherwise(F.col("departure_time")).alias("__time"),
+    located = called.select("trip_id", call).withColumn("__goes", goes).filter("__goes").select("trip_id", "__call.*")
+    located = located.withColumn("__hour", hour)
+    trips = _trips_met(located, requests, radius_m, hours_on)
+    board, alight = (
+        _is_near(F.col(f"{side}_lat"), F.col(f"{side}_lon"), F.col("stop_lat"), F.col("stop_lon"), radius_m) for side in SIDES
     )
+    board &= F.col("__hour").between(F.col("hour"), F.col("hour") + hours_on)
+    ends = F.array_compact(F.array(F.when(board, F.lit(False)), F.when(alight, F.lit(True))))
+    is_dest = F.col("__dest")
+    calls = located.join(trips, "trip_id").filter(board | alight).withColumn("__dest", F.explode(ends)).withColumn(
+        "__time", F.when(is_dest, F.col("arrival_time")).otherwise(F.col("departure_time"))
+    ).drop("arrival_time", "departure_time", "__hour", "hour", *(f"{side}_{degrees}" for side in SIDES for degrees in ("lat", "lon")))
     alighting = F.struct(
         F.col("__time").alias("alight_time"), F.col("stop_name").alias("alight_stop"),
         F.col("stop_lat").alias("alight_lat"), F.col("stop_lon").alias("alight_lon"),

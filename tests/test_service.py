@@ -120,6 +120,53 @@ def test_calls_near_one_end_only_are_not_formed(spark):
         assert {(r["trip_id"], r["alight_stop"]) for r in found.collect()} == {("t0", "C")} and found.count() == 300
 
 
+def written_rows(df):
+    """Rows that the shuffles of a finished plan wrote; what is reused was written once."""
+    df.collect()
+    todo, rows = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        plan = todo.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            todo.append(plan.plan())
+            continue
+        if name == "ReusedExchange":
+            continue
+        if name == "Exchange":
+            rows += plan.metrics().apply("shuffleRecordsWritten").value()
+        children = plan.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
+def test_calls_are_shuffled_once_and_requests_have_few_copies(spark):
+    """Trips and requests all over the map: what goes to disk is a small multiple of the rows."""
+    rng = random.Random(5)
+    calls = [(f"t{n}", clock(420 + s), clock(420 + s), f"s{rng.randrange(400)}", s, f"r{n % 3}", None, "x") for n in range(500) for s in range(4)]
+    stops = [(f"s{i}", f"Stop {i}", 49 + rng.random(), -123 + rng.random()) for i in range(400)]
+    place = lambda: (49 + rng.random(), -123 + rng.random())
+    requests = [(i, *place(), *place(), 5 + i % 20) for i in range(1000)]
+    at = {c[3]: next(s[2:] for s in stops if s[0] == c[3]) for c in calls[:4]}
+    requests.append((1000, *at[calls[0][3]], *at[calls[3][3]], 7))
+    plan = trip_plan(
+        spark.createDataFrame(calls, CALLS),
+        spark.createDataFrame(stops, "stop_id STRING, stop_name STRING, stop_lat DOUBLE, stop_lon DOUBLE"),
+        spark.createDataFrame(requests, "request_id INT, origin_lat DOUBLE, origin_lon DOUBLE, dest_lat DOUBLE, dest_lon DOUBLE, hour INT"),
+    )
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(broadcast)
+    try:
+        spark.conf.set(broadcast, -1)
+        rows = written_rows(plan)
+    finally:
+        spark.conf.set(broadcast, before)
+    # Calls by stop and by trip, 3,000 links, 4,000 rows to pair the requests' ends, and 8.4 copies of a request (not 26.7).
+    assert rows < 2 * 2400 + 3000 + 4000 + 9.5 * 1000
+
+
 def test_departures_against_all_pairs(spark):
     """Crowded stops over several cells, calls without number or hour, trips that come back."""
     rng = random.Random(21)
