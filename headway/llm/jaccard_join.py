@@ -20,6 +20,7 @@ documents are already connected.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -141,9 +142,8 @@ def linked_chunk(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
     sets = [decode(r["shared"]) for r in rows]
     sizes = np.array([r["n"] for r in rows])
     parent = list(range(len(rows)))
-    tree = SignatureTree(
-        sizes, np.array([len(s) for s in sets]), _bitmaps([r["signature"] for r in rows]), np.arange(len(rows))
-    )
+    bits = [r["signature"] if "signature" in r else signature(s).tobytes() for r, s in zip(rows, sets, strict=True)]
+    tree = SignatureTree(sizes, np.array([len(s) for s in sets]), _bitmaps(bits), np.arange(len(rows)))
     for p, q in dual(tree, tree, percent):
         if _find(parent, p) != _find(parent, q):
             both = len(np.intersect1d(sets[p], sets[q], assume_unique=True))
@@ -191,6 +191,25 @@ def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tupl
                     parent[left_root] = right_root
 
 
+def linked_sides(rows: list[dict], percent: int, decode: Callable[[bytes], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Edges that connect what links connect among the documents of two chunks (sides) with their whole sets."""
+    for row in rows:
+        row["signature"] = signature(decode(row["shared"])).tobytes()
+        row["held"] = row["n"]
+    names = {r["doc_id"]: r for r in rows}
+    label = {r["doc_id"]: r["component"] for r in rows}
+    number = {c: i for i, c in enumerate(sorted(set(label.values())))}
+    parent = list(range(len(number)))
+    known = lru_cache(256)(lambda i: decode(names[i]["shared"]))
+    for a, b in candidate_chunk(rows, percent, once=False):
+        left, right = (_find(parent, number[label[i]]) for i in (a, b))
+        if left != right:
+            both = len(np.intersect1d(known(a), known(b), assume_unique=True))
+            if (100 + percent) * both >= percent * (names[a]["n"] + names[b]["n"]):
+                parent[left] = right
+                yield a, b
+
+
 def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, int]]]):
     """Run over rows that are sorted by keys within a partition, one group at a time."""
 
@@ -258,8 +277,10 @@ def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes],
 
     found: doc_id, n (size of the set), shared (what decode makes the sorted elements of that may
     occur elsewhere), held (their number), signature, and prefix, the keys one of which linked sets
-    have in common.
+    have in common. Short sets come without held and signature, with all their elements in shared: they
+    are sent along in place of signatures, so that pairs are verified where they are found, in one round.
     """
+    short = "signature" not in found.columns
     entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")))
     hubs = entries.groupBy("shingle").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     best = F.max(F.struct("hits", (-F.col("hub")).alias("minus")))
@@ -272,25 +293,26 @@ def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes],
     size = home.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
     members = home.join(size, "hub").select("doc_id", "hub", F.pmod(F.xxhash64("doc_id"), "chunks").alias("part"))
     heads = size.select(F.col("hub").alias("doc_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part"))
-    sets = found.select("doc_id", "n", "shared", "signature")
-    light = found.select("doc_id", "n", "signature", "held")
+    sets = found.drop("prefix", "held")
     chunks = members.unionByName(heads).join(sets, "doc_id")
     near = components(_edges(chunks, ["hub", "part"], lambda rows: linked_chunk(rows, percent, decode)))
     near = stored(near)
 
     # What the chunks could not see: groups of a prefix shingle in more than one component.
-    for once in (True, False):
-        rest = stored(_more_links(entries, near, sets, light, percent, chunk, once, decode))
+    light = sets if short else found.select("doc_id", "n", "signature", "held")
+    for once in (False,) if short else (True, False):
+        pairs = _more_pairs(entries, near, light, percent, chunk, once, decode if short else None)
+        rest = stored(pairs if short else _verified(pairs, sets, percent, decode))
         if not rest.isEmpty():
             near = stored(components(rest.unionByName(near.select(F.col("id").alias("a"), F.col("component").alias("b")))))
     return near
 
 
-def _more_links(
-    entries: DataFrame, near: DataFrame, sets: DataFrame, light: DataFrame, percent: int, chunk: int, once: bool,
-    decode: Callable[[bytes], np.ndarray],
+def _more_pairs(
+    entries: DataFrame, near: DataFrame, light: DataFrame, percent: int, chunk: int, once: bool,
+    decode: Callable[[bytes], np.ndarray] | None,
 ) -> DataFrame:
-    """Verified links between components of one prefix shingle."""
+    """Pairs that may link components of one prefix shingle; with `decode`, of whole sets, those that do."""
     labelled = (
         entries.join(near, entries.doc_id == near.id, "left")
         .select("shingle", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -307,7 +329,12 @@ def _more_links(
         .select("shingle", "doc_id", "component", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"))
         .join(light, "doc_id")
     )
-    pairs = _edges(spread, ["shingle", "first", "second"], lambda rows: candidate_chunk(rows, percent, once)).distinct()
+    work = (lambda rows: linked_sides(rows, percent, decode)) if decode else lambda rows: candidate_chunk(rows, percent, once)
+    return _edges(spread, ["shingle", "first", "second"], work).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """The pairs that are links by their sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("set_b"))
 

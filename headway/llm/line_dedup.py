@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.blocks import BLOCK_BYTES, NO_ID, Block, block_count, classes, holders, key_bits, mixed, packed, shortened
-from headway.llm.jaccard_join import links, signature
+from headway.llm.jaccard_join import links
 from headway.llm.shared import stored, tidy
 
 # Part of what the result means: longer shingles would ask for a higher similarity.
@@ -30,10 +30,10 @@ _EMPTY = np.uint32(0xFFFFFFFF)
 LINES = pa.schema(
     [
         ("block", pa.int32()), ("number", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int64()), ("digest", pa.binary()),
-        ("shared", pa.binary()), ("n", pa.int64()), ("signature", pa.binary()), ("prefix", pa.list_(pa.int64())),
+        ("shared", pa.binary()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())),
     ]
 )
-LINES_DDL = "block int, number bigint, doc_id bigint, line bigint, digest binary, shared binary, n bigint, signature binary, prefix array<bigint>"
+LINES_DDL = "block int, number bigint, doc_id bigint, line bigint, digest binary, shared binary, n bigint, prefix array<bigint>"
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
 
@@ -166,7 +166,7 @@ def line_dedup(
         for text, i in seen.items():
             own = shingle_set(text)
             digest = hashlib.blake2b(text, digest_size=16).digest()
-            found.append((number, i, int(block.ids[lines.doc[i]]), int(lines.line[i]), digest, text, len(own), signature(own).tobytes(), keys[i][shared[i]].view(np.int64)))
+            found.append((number, i, int(block.ids[lines.doc[i]]), int(lines.line[i]), digest, text, len(own), keys[i][shared[i]].view(np.int64)))
         return pa.Table.from_batches([pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), LINES, strict=True)], schema=LINES)] if found else [], schema=LINES)
 
     @tidy
@@ -195,10 +195,9 @@ def line_dedup(
     held = holders(rows, band_keys, blocks, bits, hashed=False)
     found = stored(rows.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(similar, LINES_DDL))
     first = F.min(F.struct("doc_id", "line")).alias("first")
-    same = [F.any_value(c).alias(c) for c in ("shared", "n", "signature")]
-    texts = found.groupBy("digest").agg(first, *same).withColumn("held", F.col("n"))
-    keys = found.select("digest", F.explode("prefix").alias("key")).distinct().groupBy("digest").agg(F.collect_list("key").alias("prefix"))
-    once = stored(texts.join(keys, "digest").withColumn("doc_id", F.monotonically_increasing_id()))
+    # A text that several blocks have shares all its band keys, so its rows have the same ones.
+    same = [F.any_value(c).alias(c) for c in ("shared", "n", "prefix")]
+    once = stored(found.groupBy("digest").agg(first, *same).withColumn("doc_id", F.monotonically_increasing_id()))
     labels = links(once.drop("digest", "first"), percent, chunk, shingle_set)
     named = once.select("digest", "first", "doc_id").join(labels, F.col("doc_id") == F.col("id"), "left").select(
         "digest", "first", F.coalesce("component", "doc_id").alias("component")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +14,7 @@ from headway.llm.blocks import Block
 from headway.llm.exact_dedup import RadixTrie, exact_dedup, text_owners
 from headway.llm.jaccard_join import jaccard_join
 from headway.llm.line_dedup import line_dedup, shingle_set
+from headway.llm.shared import shared_folder
 from headway.llm.substring_dedup import Repeats, Words, heavy_prefixes, nodes_in, prefix_groups, substring_dedup
 
 WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -162,6 +164,21 @@ def test_similar_lines_by_five_characters(spark):
     assert {r["doc_id"]: r["n_removed"] for r in line_dedup(frame(spark, rows)).collect()} == expected
 
 
+def test_lines_are_stored_without_what_their_texts_give(spark):
+    """Pairs of near copies in small chunks: found whole, and the tables in between hold text and keys only."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        line = "".join(rng.choice("abcdefghijklmnop") for _ in range(60))
+        rows += [(d, t, None, "", "", 0, "", 0) for d, t in ((2 * i, line), (2 * i + 1, line[:-1] + "!"))]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    removed = {r["doc_id"] for r in line_dedup(frame(spark, rows), chunk=4).collect() if r["n_removed"]}
+    made = sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before)
+    assert removed == {2 * i + 1 for i in range(600)}
+    assert made < 400 * len(rows), made / len(rows)
+
+
 @pytest.mark.parametrize("operator", [exact_dedup, substring_dedup, jaccard_join, line_dedup])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).collect() == []
