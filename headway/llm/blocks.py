@@ -107,7 +107,7 @@ class Block:
         self.offsets, self.data = bytes_of(texts)
         # Every text ends in a line feed that was added, so no word crosses into the next one.
         space = SPACE[self.data]
-        edge = np.flatnonzero(np.diff(space.astype(np.int8), prepend=1))
+        edge = np.flatnonzero(space != np.concatenate([[True], space[:-1]]))
         self.starts = edge[~space[edge]]
         self.ends = edge[space[edge]]
         self.first = np.searchsorted(self.starts, self.offsets)  # first word of each document
@@ -193,11 +193,12 @@ def _edges(ranges: int, bits: int) -> np.ndarray:
 
 def holders(
     rows: DataFrame, keys_of: Callable[[Block], np.ndarray], ranges: int, bits: int, lower: bool = False,
-    hashed: bool = True,
+    hashed: bool = True, exact: bool = False,
 ) -> DataFrame:
     """(block, part, payload): for each block and key range the class of its sorted distinct keys.
 
     Class 0: no other block has the key; class c: 2 ** c blocks or more have it, up to 2 ** (c + 1).
+    With `exact` the number of blocks that have the key, this one included, stands in place of its class.
     """
     ship = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("payload", pa.binary())])
 
@@ -226,8 +227,8 @@ def holders(
         order = np.argsort(keys)
         starts = np.flatnonzero(np.diff(keys[order], prepend=keys[order[0]] + np.uint64(1)))
         many = np.diff(starts, append=len(keys))
-        kind = np.empty(len(keys), np.uint8)
-        kind[order] = np.repeat(np.log2(many).astype(np.uint8), many)
+        kind = np.empty(len(keys), np.uint32 if exact else np.uint8)
+        kind[order] = np.repeat(many.astype(np.uint32) if exact else np.log2(many).astype(np.uint8), many)
         pieces = np.split(kind, np.cumsum([len(x) for x in own])[:-1])
         return pa.table([table["block"].combine_chunks(), pa.array([part] * len(own), pa.int32()), pa.array([pack(x) for x in pieces], pa.binary())], schema=back)
 

@@ -193,21 +193,25 @@ def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tupl
 
 def linked_sides(rows: list[dict], percent: int, decode: Callable[[bytes], np.ndarray]) -> Iterator[tuple[int, int]]:
     """Edges that connect what links connect among the documents of two chunks (sides) with their whole sets."""
-    for row in rows:
-        row["signature"] = signature(decode(row["shared"])).tobytes()
-        row["held"] = row["n"]
     names = {r["doc_id"]: r for r in rows}
-    label = {r["doc_id"]: r["component"] for r in rows}
-    number = {c: i for i, c in enumerate(sorted(set(label.values())))}
+    number = {c: i for i, c in enumerate(sorted({r["component"] for r in rows}))}
     parent = list(range(len(number)))
     known = lru_cache(256)(lambda i: decode(names[i]["shared"]))
-    for a, b in candidate_chunk(rows, percent, once=False):
-        left, right = (_find(parent, number[label[i]]) for i in (a, b))
-        if left != right:
+    if len(rows) <= LEAF:  # no tree for a few
+        pairs = ((u["doc_id"], v["doc_id"]) for i, u in enumerate(rows) for v in rows[:i])
+    else:
+        for row in rows:
+            row["signature"] = signature(known(row["doc_id"])).tobytes()
+            row["held"] = row["n"]
+        pairs = candidate_chunk(rows, percent, once=False)
+    for a, b in pairs:
+        left, right = (_find(parent, number[names[i]["component"]]) for i in (a, b))
+        n = names[a]["n"], names[b]["n"]
+        if left != right and 100 * min(n) >= percent * max(n):
             both = len(np.intersect1d(known(a), known(b), assume_unique=True))
-            if (100 + percent) * both >= percent * (names[a]["n"] + names[b]["n"]):
+            if (100 + percent) * both >= percent * sum(n):
                 parent[left] = right
-                yield a, b
+                yield max(a, b), min(a, b)
 
 
 def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, int]]]):
@@ -272,16 +276,19 @@ def _edges(rows: DataFrame, keys: list[str], work) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(by_group(keys, work), "a bigint, b bigint")
 
 
-def links(found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes], np.ndarray] = fingerprints) -> DataFrame:
+def links(
+    found: DataFrame, percent: int, chunk: int, decode: Callable[[bytes], np.ndarray] = fingerprints,
+    entries: DataFrame | None = None,
+) -> DataFrame:
     """(id, component) of the linked documents among distinct sets.
 
     found: doc_id, n (size of the set), shared (what decode makes the sorted elements of that may
     occur elsewhere), held (their number), signature, and prefix, the keys one of which linked sets
-    have in common. Short sets come without held and signature, with all their elements in shared: they
+    have in common, unless `entries` has these as rows (doc_id, shingle). Short sets come without held and signature, with all their elements in shared: they
     are sent along in place of signatures, so that pairs are verified where they are found, in one round.
     """
     short = "signature" not in found.columns
-    entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")))
+    entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")) if entries is None else entries)
     hubs = entries.groupBy("shingle").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     best = F.max(F.struct("hits", (-F.col("hub")).alias("minus")))
     home = (

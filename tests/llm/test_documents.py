@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from headway.llm.blocks import Block
 from headway.llm.exact_dedup import RadixTrie, exact_dedup, text_owners
 from headway.llm.jaccard_join import jaccard_join
-from headway.llm.line_dedup import line_dedup, shingle_set
+from headway.llm.line_dedup import BANDS, line_dedup, shingle_set
 from headway.llm.shared import shared_folder
 from headway.llm.substring_dedup import Repeats, Words, heavy_prefixes, nodes_in, prefix_groups, substring_dedup
 
@@ -179,6 +179,37 @@ def test_lines_are_stored_without_what_their_texts_give(spark):
     assert made < 400 * len(rows), made / len(rows)
 
 
+def test_equal_lines_and_unlike_ones_travel_without_text(spark):
+    """Lines of the same syllables share many shingles: neither these nor equal copies are stored with text or bands."""
+    rng = random.Random(8)
+    syllables = ["".join(rng.choices("abcdefghijklmnop", k=4)) for _ in range(60)]
+    lines = ["".join(rng.choice(syllables) + rng.choice([" ", "", ""]) for _ in range(90)).strip() for _ in range(300)]
+    rows = [(d, t, None, "", "", 0, "", 0) for i, t in enumerate(lines) for d in (i, 1000 + i)]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.rglob("*.parquet"))
+    removed = {r["doc_id"] for r in line_dedup(frame(spark, rows), block_bytes=20_000).collect() if r["n_removed"]}
+    made = sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before)
+    assert removed == {1000 + i for i in range(300)}
+    assert made < 150 * len(rows), made / len(rows)
+
+
+def test_similar_lines_of_different_kinds(spark):
+    """Pairs at the threshold whose sizes lie on both sides of the edges of the kinds."""
+    rng = random.Random(9)
+    rows, linked = [], set()
+    for i in range(120):
+        edge = BANDS[1 + i % 3][0]
+        size = edge + 3 - rng.randrange(edge // 4)
+        one = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size + 4))
+        two = one + "".join(rng.choices("ABCDEFGHIJ", k=size // 3 if i % 2 else size // 2))
+        rows += [(2 * i, one, None, "", "", 0, "", 0), (2 * i + 1, two, None, "", "", 0, "", 0)]
+        x, y = (len({t[j : j + 5] for j in range(len(t) - 4)}) for t in (one, two))
+        if 4 * x >= 3 * y:
+            linked.add(2 * i + 1)
+    assert len(linked) == 60
+    assert {r["doc_id"] for r in line_dedup(frame(spark, rows), block_bytes=9_000).collect() if r["n_removed"]} == linked
+
+
 @pytest.mark.parametrize("operator", [exact_dedup, substring_dedup, jaccard_join, line_dedup])
 def test_empty_table(spark, operator):
     assert operator(frame(spark, [])).collect() == []
