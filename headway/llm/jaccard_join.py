@@ -284,8 +284,9 @@ def links(
 
     found: doc_id, n (size of the set), shared (what decode makes the sorted elements of that may
     occur elsewhere), held (their number), signature, and prefix, the keys one of which linked sets
-    have in common, unless `entries` has these as rows (doc_id, shingle). Short sets come without held and signature, with all their elements in shared: they
-    are sent along in place of signatures, so that pairs are verified where they are found, in one round.
+    have in common, unless `entries` has these as rows (doc_id, shingle). Short sets come without held and
+    signature, with all their elements in shared: they are sent along in place of signatures, so that
+    pairs are verified where they are found, in one round.
     """
     short = "signature" not in found.columns
     entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")) if entries is None else entries)
