@@ -6,10 +6,13 @@
    so the documents of a prefix shingle are a group. Each document goes once, with its set, to the
    group of the smallest document it meets most often, in chunks; each chunk is joined with itself
    by a signature tree. What it links is contracted to components.
-3. Groups whose documents still lie in several components are joined by trees of signatures and
-   components alone, chunk by chunk; the pairs left are verified with the sets. A first round takes
-   only pairs that would connect components, which merges most of them; the second takes all that
-   are left. So every pair that shares a prefix shingle is either in one component or tested.
+3. Of each group whose documents still lie in several components, the component with most shingles
+   is the hub. A document goes once, with its set, to each hub of its groups, however many of these
+   have that hub, and meets the documents there that are not connected with it; overlaps are counted
+   exactly, of one document with many others at a time. Large hubs are joined chunk by chunk. So every
+   pair that shares a prefix shingle is either in one component or tested.
+
+Short sets (lines) meet in their groups themselves, by trees of signatures and components.
 
 A tree's nodes hold the OR of their sets' bitmaps, the range of their sizes, the most elements that
 share a bit, and their component if it is one. A pair of nodes is left out if no pair of sizes fits,
@@ -33,6 +36,8 @@ from headway.llm.shared import grouped, stored, tidy
 
 BITS = 1024
 LEAF = 8
+SIDE = 1 << 20  # shingles of a chunk of a hub
+AT_ONCE = 256  # documents that one is compared with at a time
 SETS = pa.schema(
     [
         ("doc_id", pa.int64()), ("n", pa.int64()), ("key1", pa.int64()), ("key2", pa.int64()), ("shared", pa.binary()),
@@ -152,14 +157,8 @@ def linked_chunk(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
                 yield rows[p]["doc_id"], rows[q]["doc_id"]
 
 
-def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of documents of two chunks (sides) that may be linked and are not yet connected.
-
-    With `once` only as many as would connect their components if all were links.
-    """
-    names = sorted({r["component"] for r in rows})
-    number = {c: i for i, c in enumerate(names)}
-    parent = list(range(len(names)))
+def candidate_chunk(rows: list[dict], percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of documents of two chunks (sides) that may be linked and lie in different components."""
     sides = sorted({r["side"] for r in rows})
     parts = [[r for r in rows if r["side"] == s] for s in sides]
 
@@ -180,15 +179,12 @@ def candidate_chunk(rows: list[dict], percent: int, once: bool) -> Iterator[tupl
 
     for p, q in dual(x, y, percent):
         u, v = a[p], b[q]
-        left_root, right_root = (_find(parent, number[r["component"]]) for r in (u, v))
-        if left_root != right_root:
+        if u["component"] != v["component"]:
             bits = np.bitwise_count(np.frombuffer(u["signature"], np.uint64) & np.frombuffer(v["signature"], np.uint64))
             # Elements that share a bit are bounded by those of the smaller side.
             most = min(int(bits.sum()) + doubled(u), int(bits.sum()) + doubled(v))
             if (100 + percent) * most >= percent * (u["n"] + v["n"]):
                 yield max(u["doc_id"], v["doc_id"]), min(u["doc_id"], v["doc_id"])
-                if once:
-                    parent[left_root] = right_root
 
 
 def linked_sides(rows: list[dict], percent: int, decode: Callable[[bytes], np.ndarray]) -> Iterator[tuple[int, int]]:
@@ -203,7 +199,7 @@ def linked_sides(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
         for row in rows:
             row["signature"] = signature(known(row["doc_id"])).tobytes()
             row["held"] = row["n"]
-        pairs = candidate_chunk(rows, percent, once=False)
+        pairs = candidate_chunk(rows, percent)
     for a, b in pairs:
         left, right = (_find(parent, number[names[i]["component"]]) for i in (a, b))
         n = names[a]["n"], names[b]["n"]
@@ -214,6 +210,52 @@ def linked_sides(rows: list[dict], percent: int, decode: Callable[[bytes], np.nd
                 yield max(a, b), min(a, b)
 
 
+def linked_hub(rows: list[dict], percent: int, decode: Callable[[bytes], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Edges that connect what links connect among the documents at a hub, or between two chunks (sides) of it."""
+    _, root, many = np.unique([r["component"] for r in rows], return_inverse=True, return_counts=True)
+    if len(many) < 2:
+        return
+    # The largest component comes last, as its documents need not be compared with each other.
+    order = np.lexsort((root, many[root]))
+    rows, root = [rows[i] for i in order.tolist()], root[order]
+    outside = len(rows) - int(many[root[-1]])
+    sizes, side = (np.array([r[k] for r in rows]) for k in ("n", "side"))
+    apart = rows[0]["first"] != rows[0]["second"]
+    sets = [decode(r["shared"]) for r in rows]
+    _, element, copies = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = copies[element] > 1
+    held = np.bincount(np.repeat(np.arange(len(sets)), [len(s) for s in sets])[common], minlength=len(sets))
+    element = element[common]
+    first = np.concatenate([[0], np.cumsum(held)])
+    marked = np.zeros(len(copies), bool)
+    for i in range(outside):
+        # No two sets share more than either has in common with anything here; this bounds their sizes, too.
+        need = percent * (sizes[i] + sizes[i + 1 :])
+        fit = (root[i + 1 :] != root[i]) & ((100 + percent) * np.minimum(held[i], held[i + 1 :]) >= need)
+        if apart:
+            fit &= side[i + 1 :] != side[i]
+        others = np.flatnonzero(fit) + i + 1
+        if not len(others):
+            continue
+        own = element[first[i] : first[i + 1]]
+        marked[own] = True
+        for at in range(0, len(others), AT_ONCE):
+            near = others[at : at + AT_ONCE]
+            near = near[root[near] != root[i]]
+            if not len(near):
+                continue
+            ends = np.cumsum(held[near])
+            place = np.arange(ends[-1]) + np.repeat(first[near] - ends + held[near], held[near])
+            hits = np.concatenate([[0], np.cumsum(marked[element[place]])])
+            both = hits[ends] - hits[ends - held[near]]
+            linked = near[(100 + percent) * both >= need[near - i - 1]]
+            for j in linked[np.unique(root[linked], return_index=True)[1]].tolist():
+                a, b = rows[i]["doc_id"], rows[j]["doc_id"]
+                yield max(a, b), min(a, b)
+                root[root == root[j]] = root[i]
+        marked[own] = False
+
+
 def by_group(keys: list[str], work: Callable[[list[dict]], Iterator[tuple[int, int]]]):
     """Run over rows that are sorted by keys within a partition, one group at a time."""
 
@@ -283,13 +325,12 @@ def links(
     """(id, component) of the linked documents among distinct sets.
 
     found: doc_id, n (size of the set), shared (what decode makes the sorted elements of that may
-    occur elsewhere), held (their number), signature, and prefix, the keys one of which linked sets
-    have in common, unless `entries` has these as rows (doc_id, shingle). Short sets come without held and
-    signature, with all their elements in shared: they are sent along in place of signatures, so that
-    pairs are verified where they are found, in one round.
+    occur elsewhere), signature, and prefix, the keys one of which linked sets have in common, unless
+    `entries` has these as rows (doc_id, shingle). Short sets come without signature, with all their
+    elements in shared: they go to every group that they are in, other sets once to every hub of these.
     """
     short = "signature" not in found.columns
-    entries = stored(found.select("doc_id", F.explode("prefix").alias("shingle")) if entries is None else entries)
+    entries = stored(found.select("doc_id", "n", F.explode("prefix").alias("shingle")) if entries is None else entries)
     hubs = entries.groupBy("shingle").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     best = F.max(F.struct("hits", (-F.col("hub")).alias("minus")))
     home = (
@@ -301,60 +342,54 @@ def links(
     size = home.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
     members = home.join(size, "hub").select("doc_id", "hub", F.pmod(F.xxhash64("doc_id"), "chunks").alias("part"))
     heads = size.select(F.col("hub").alias("doc_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part"))
-    sets = found.drop("prefix", "held")
+    sets = found.drop("prefix")
     chunks = members.unionByName(heads).join(sets, "doc_id")
     near = components(_edges(chunks, ["hub", "part"], lambda rows: linked_chunk(rows, percent, decode)))
     near = stored(near)
 
     # What the chunks could not see: groups of a prefix shingle in more than one component.
-    light = sets if short else found.select("doc_id", "n", "signature", "held")
-    for once in (False,) if short else (True, False):
-        pairs = _more_pairs(entries, near, light, percent, chunk, once, decode if short else None)
-        rest = stored(pairs if short else _verified(pairs, sets, percent, decode))
-        if not rest.isEmpty():
-            near = stored(components(rest.unionByName(near.select(F.col("id").alias("a"), F.col("component").alias("b")))))
-    return near
-
-
-def _more_pairs(
-    entries: DataFrame, near: DataFrame, light: DataFrame, percent: int, chunk: int, once: bool,
-    decode: Callable[[bytes], np.ndarray] | None,
-) -> DataFrame:
-    """Pairs that may link components of one prefix shingle; with `decode`, of whole sets, those that do."""
     labelled = (
         entries.join(near, entries.doc_id == near.id, "left")
-        .select("shingle", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        .select(*entries.columns, F.coalesce("component", "doc_id").alias("component"))
     )
-    open_ = (
-        labelled.groupBy("shingle")
-        .agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("many"))
-        .filter("p < q").select("shingle", F.ceil(F.col("many") / (8 * chunk)).alias("chunks"))
-    )
-    part = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks"))
-    spread = (
-        labelled.join(open_, "shingle").withColumn("side", part)
+    rest = stored((_met_in_groups if short else _met_at_hubs)(labelled, sets, percent, chunk, decode))
+    if not rest.isEmpty():
+        near = stored(components(rest.unionByName(near.select(F.col("id").alias("a"), F.col("component").alias("b")))))
+    return near
+
+
+def _sides(rows: DataFrame) -> DataFrame:
+    """Rows with `chunks`, the number of chunks of their group, copied to all pairs of chunks that have theirs, their side."""
+    return (
+        rows.withColumn("side", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-        .select("shingle", "doc_id", "component", "side", F.least("side", "other").alias("first"), F.greatest("side", "other").alias("second"))
-        .join(light, "doc_id")
+        .withColumn("first", F.least("side", "other")).withColumn("second", F.greatest("side", "other")).drop("chunks", "other")
     )
-    work = (lambda rows: linked_sides(rows, percent, decode)) if decode else lambda rows: candidate_chunk(rows, percent, once)
-    return _edges(spread, ["shingle", "first", "second"], work).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """The pairs that are links by their sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("set_b"))
+def _met_at_hubs(labelled: DataFrame, sets: DataFrame, percent: int, chunk: int, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """Links between components of one prefix shingle, found at the hub of the shingle: its heaviest component."""
+    hubs = (
+        labelled.groupBy("shingle", "component").agg(F.sum("n").alias("weight"))
+        .groupBy("shingle").agg(F.max(F.struct("weight", (-F.col("component")).alias("minus"))).alias("best"), F.count(F.lit(1)).alias("many"))
+        .filter("many > 1").select("shingle", (-F.col("best.minus")).alias("hub"))
+    )
+    visits = stored(labelled.join(hubs, "shingle").select("hub", "doc_id", "component", "n").distinct())
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / (8 * chunk)), F.ceil(F.sum("n") / SIDE))
+    size = visits.groupBy("hub").agg(parts.alias("chunks"))
+    met = _sides(visits.join(size, "hub")).join(sets.select("doc_id", "shared"), "doc_id")
+    return _edges(met, ["hub", "first", "second"], lambda rows: linked_hub(rows, percent, decode))
 
-    @tidy
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            own = lambda c, i: decode(batch.column(c)[i].as_py())  # noqa: E731, B023
-            both = np.array([len(np.intersect1d(own("set_a", i), own("set_b", i), assume_unique=True)) for i in range(len(total))], np.int64)
-            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * both >= percent * total))
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(verify, "a bigint, b bigint")
+def _met_in_groups(labelled: DataFrame, sets: DataFrame, percent: int, chunk: int, decode: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """Links between components of one prefix shingle, found in the group of the shingle."""
+    open_ = (
+        labelled.groupBy("shingle")
+        .agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count(F.lit(1)).alias("many"))
+        .filter("p < q").select("shingle", F.ceil(F.col("many") / (8 * chunk)).alias("chunks"))
+    )
+    met = _sides(labelled.join(open_, "shingle")).join(sets, "doc_id")
+    return _edges(met, ["shingle", "first", "second"], lambda rows: linked_sides(rows, percent, decode)).distinct()
 
 
 def jaccard_join(
@@ -377,7 +412,7 @@ def jaccard_join(
     sets = stored(alive.groupBy(*key).agg(F.min("doc_id").alias("leader")).withColumn("node", F.monotonically_increasing_id()))
     # One row of each set: the leader's, once even if its row is repeated.
     found = alive.join(sets.withColumnRenamed("leader", "doc_id"), [*key, "doc_id"]).drop("doc_id", *key[1:])
-    once = stored(found.dropDuplicates(["node"]).withColumnRenamed("node", "doc_id").withColumn("held", (F.octet_length("shared") / 8).cast("bigint")))
+    once = stored(found.dropDuplicates(["node"]).withColumnRenamed("node", "doc_id"))
     labels = links(once, percent, chunk)
     named = sets.join(labels, sets.node == labels.id).select(*key, "leader", F.col("component").alias("linked"))
     least = named.groupBy("linked").agg(F.min("leader").alias("least"))

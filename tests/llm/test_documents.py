@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from headway.llm import jaccard_join as jaccard
 from headway.llm.blocks import Block
 from headway.llm.exact_dedup import RadixTrie, exact_dedup, text_owners
 from headway.llm.jaccard_join import jaccard_join
@@ -149,6 +150,56 @@ def test_many_near_copies_in_small_chunks(spark):
     assert got == brute_jaccard(rows)
 
 
+def test_outsiders_of_a_group_travel_once(spark, monkeypatch):
+    """Copies beyond the threshold share many prefix shingles with a group: they meet it once, not once a shingle."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 7, 8, 9])):
+            words[rng.randrange(200)] = f"r{rng.randrange(9999)}"
+        rows.append((i, " ".join(words), None, "", "", 0, "", 0))
+    sent = []
+
+    def counted(met, keys, work, edges=jaccard._edges):
+        sent.append(met.count())
+        return edges(met, keys, work)
+
+    monkeypatch.setattr(jaccard, "_edges", counted)
+    got = {r[0]: tuple(r[1:]) for r in jaccard_join(frame(spark, rows), block_bytes=4_000, chunk=64).collect()}
+    assert got == brute_jaccard(rows)
+    assert 10 < len({c for _, c in got.values()}) < 110
+    assert sum(sent) < 5 * len(rows), sent
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_links_at_a_hub(seed):
+    """Sets of several components, by one chunk or two: what the edges connect is what all links between them connect."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 62, 40).astype(np.uint64)
+    rows = []
+    for i in range(300):
+        own = base[rng.random(40) < rng.choice([0.6, 0.85, 1])] if i % 3 else rng.choice(base, 5)
+        own = np.unique(np.concatenate([own, rng.integers(0, 1 << 62, rng.integers(0, 30)).astype(np.uint64)]))
+        component = int(rng.choice([0, 1, i + 2], p=[0.4, 0.1, 0.5]))
+        rows.append({"doc_id": i, "n": len(own) + int(rng.integers(0, 3)), "shared": own.tobytes(), "component": component, "side": i % 2})
+    sets = [set(np.frombuffer(r["shared"], np.uint64).tolist()) for r in rows]
+    for second in (0, 1):
+        links = [
+            (i, j) for i in range(300) for j in range(i)
+            if (second == 0 or i % 2 != j % 2) and rows[i]["component"] != rows[j]["component"]
+            and 175 * len(sets[i] & sets[j]) >= 75 * (rows[i]["n"] + rows[j]["n"])
+        ]
+        first_of: dict = {}
+        known = [(i, first_of.setdefault(r["component"], i)) for i, r in enumerate(rows)]
+        edges = list(jaccard.linked_hub([r | {"first": 0, "second": second} for r in rows], 75, jaccard.fingerprints))
+        assert set(edges) <= set(links)
+        one, two = roots(300, known + edges), roots(300, known + links)
+        assert [one.index(x) for x in one] == [two.index(x) for x in two]
+        assert len(edges) < len(first_of)
+
+
 def test_similar_lines_by_five_characters(spark):
     """One changed letter inside a line of 39 to 70 characters: alike by shingles of 5, not by longer ones."""
     rng = random.Random(6)
