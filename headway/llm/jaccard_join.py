@@ -48,8 +48,8 @@ SETS_DDL = "doc_id bigint, n bigint, key1 bigint, key2 bigint, shared binary, si
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Document and fingerprint of each distinct shingle; a shorter text is one shingle as a whole."""
+def occurrences(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and fingerprint of each shingle, repeated ones too; a shorter text is one shingle as a whole."""
     first, value = block.windows(size)
     doc = block.doc[first]
     words = np.diff(block.first)
@@ -58,8 +58,16 @@ def shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
     for j in range(size - 1):
         more = words[few] > j
         whole[more] = mixed(whole[more] + block.hashes[block.first[few[more]] + j])
-    doc, value = np.concatenate([doc, few]), np.concatenate([value, mixed(whole ^ np.uint64(size))])
-    order = np.lexsort((value, doc))
+    return np.concatenate([doc, few]), np.concatenate([value, mixed(whole ^ np.uint64(size))])
+
+
+def shingles(block: Block, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and fingerprint of each distinct shingle, in order."""
+    doc, value = occurrences(block, size)
+    order = np.argsort(value)
+    # Numbers of 16 bits are sorted by digits.
+    owner = doc[order].astype(np.uint16) if len(block.ids) <= 1 << 16 else doc[order]
+    order = order[np.argsort(owner, kind="stable")]
     doc, value = doc[order], value[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
@@ -283,7 +291,7 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, block_bytes: int) ->
     rows = packed(docs, blocks)
 
     def keys_of(block: Block) -> np.ndarray:
-        return shingles(block, size)[1]
+        return occurrences(block, size)[1]
 
     @tidy
     def sets(left: pa.Table, right: pa.Table) -> pa.Table:
